@@ -36,6 +36,7 @@ class SqlBinding:
     classes: list[str]
     numeric_sources: list[str] = field(default_factory=list)
     categorical_sources: list[str] = field(default_factory=list)
+    source_roles: list[tuple[str, str]] = field(default_factory=list)  # (source feature, role) in input order
 
     @property
     def feature_names(self) -> list[str]:
@@ -79,18 +80,12 @@ def long_cte(b: SqlBinding) -> str:
     return "long AS (" + "\nUNION ALL ".join(parts) + ")"
 
 
-def ig_sql(b: SqlBinding, k: int | None) -> str:
-    """I-3 (k=None) / I-4: IG ranking per training fold."""
+def ig_ctes(b: SqlBinding, k: int | None) -> str:
+    """CTE chain ending in ``ranked(fold, feature, role, information_gain, ..., rank)``."""
     nf = k or 1
     on = "long.fold <> folds.f" if k else "TRUE"
     on_f = "folded.fold <> folds.f" if k else "TRUE"
-    fold_sel = "CAST(fold AS INTEGER) AS fold, " if k else ""
-    enc_case = (
-        "CASE role WHEN 'numeric' THEN 'encoded numeric values' WHEN 'binary_encoded' THEN 'encoded binary values' "
-        "WHEN 'ordinal_encoded' THEN 'encoded ordinal values' WHEN 'one_hot_encoded' THEN 'encoded one-hot dummy values' "
-        "ELSE 'encoded values' END"
-    )
-    return f"""WITH {ctes(b)},
+    return f"""{ctes(b)},
 {long_cte(b)},
 folds AS (SELECT CAST(range AS INTEGER) AS f FROM range(1, {nf + 1})),
 cells AS (SELECT folds.f AS fold, feature, value, y, count(*) AS n FROM long JOIN folds ON {on} GROUP BY ALL),
@@ -109,7 +104,18 @@ ig AS (
   FROM cond JOIN hy ON cond.fold = hy.fold JOIN vc ON vc.fold = cond.fold AND vc.feature = cond.feature),
 ranked AS (
   SELECT *, CAST(row_number() OVER (PARTITION BY fold ORDER BY ROUND(information_gain, 12) DESC, feature ASC) AS INTEGER) AS rank
-  FROM ig)
+  FROM ig)"""
+
+
+def ig_sql(b: SqlBinding, k: int | None) -> str:
+    """I-3 (k=None) / I-4: IG ranking per training fold."""
+    fold_sel = "CAST(fold AS INTEGER) AS fold, " if k else ""
+    enc_case = (
+        "CASE role WHEN 'numeric' THEN 'encoded numeric values' WHEN 'binary_encoded' THEN 'encoded binary values' "
+        "WHEN 'ordinal_encoded' THEN 'encoded ordinal values' WHEN 'one_hot_encoded' THEN 'encoded one-hot dummy values' "
+        "ELSE 'encoded values' END"
+    )
+    return f"""WITH {ig_ctes(b, k)}
 SELECT {fold_sel}rank, feature, role, {rnd('information_gain')} AS information_gain,
        {rnd('target_entropy')} AS target_entropy, {rnd('conditional_entropy')} AS conditional_entropy,
        CAST(feature_value_count AS BIGINT) AS feature_value_count, {enc_case} AS ig_encoding,
@@ -117,6 +123,218 @@ SELECT {fold_sel}rank, feature, role, {rnd('information_gain')} AS information_g
 FROM ranked"""
 
 
+def selected_sql(b: SqlBinding, top_k: int) -> str:
+    """I-5."""
+    return f"WITH {ig_ctes(b, 10)} SELECT fold, rank, feature FROM ranked WHERE rank <= {top_k}"
+
+
+def frequency_cte(b: SqlBinding, top_k: int, folds: int = 10) -> str:
+    return f"""{ig_ctes(b, folds)},
+freq AS (SELECT feature, count(*) AS selected_in_folds FROM ranked WHERE rank <= {top_k} GROUP BY feature),
+freq_ranked AS (
+  SELECT CAST(row_number() OVER (ORDER BY selected_in_folds DESC, feature ASC) AS INTEGER) AS rank, feature,
+         CAST(selected_in_folds AS BIGINT) AS selected_in_folds, CAST({folds} AS BIGINT) AS total_folds,
+         selected_in_folds / {folds} * 100.0 AS selection_frequency_pct
+  FROM freq)"""
+
+
+def frequency_sql(b: SqlBinding, top_k: int) -> str:
+    """I-6."""
+    return (
+        f"WITH {frequency_cte(b, top_k)} SELECT rank, feature, selected_in_folds, total_folds, "
+        f"{rnd('selection_frequency_pct')} AS selection_frequency_pct FROM freq_ranked"
+    )
+
+
+def final_features_sql(b: SqlBinding, top_k: int) -> str:
+    """I-7."""
+    return f"WITH {frequency_cte(b, top_k)} SELECT rank, feature FROM freq_ranked WHERE rank <= {top_k}"
+
+
+def fold_selection_sql(b: SqlBinding, top_k: int) -> str:
+    """I-9."""
+    return f"""WITH {ig_ctes(b, 10)},
+sizes AS (SELECT fold, count(*) AS test_samples FROM folded GROUP BY fold),
+sel AS (
+  SELECT fold, count(*) AS selected_feature_count, string_agg(feature, ', ' ORDER BY rank) AS selected_features
+  FROM ranked WHERE rank <= {top_k} GROUP BY fold)
+SELECT CAST(sizes.fold AS INTEGER) AS fold, CAST((SELECT count(*) FROM folded) - sizes.test_samples AS BIGINT) AS train_samples,
+       CAST(sizes.test_samples AS BIGINT) AS test_samples, CAST(sel.selected_feature_count AS BIGINT) AS selected_feature_count,
+       sel.selected_features
+FROM sizes JOIN sel ON sizes.fold = sel.fold"""
+
+
+# ---- audit and exploration ---------------------------------------------------------
+
+SPARK_TYPE = "CASE typeof({c}) WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double' WHEN 'VARCHAR' THEN 'string' ELSE lower(typeof({c})) END"
+
+
+def _missing_expr(b: SqlBinding, c: str) -> str:
+    return f"({q(c)} IS NULL OR isnan({q(c)}))" if c in b.doubles else f"({q(c)} IS NULL)"
+
+
+def raw_audit_sql(b: SqlBinding) -> str:
+    """Q-1."""
+    n = len(b.columns)
+    missing = " + ".join(f"count_if({_missing_expr(b, c)})" for c in b.columns)
+    return f"""WITH raw AS ({b.raw})
+SELECT 'rows' AS item, CAST(count(*) AS VARCHAR) AS value FROM raw
+UNION ALL SELECT 'columns', '{n}'
+UNION ALL SELECT 'target_column', '{b.target}'
+UNION ALL SELECT 'feature_columns', '{n - 1}'
+UNION ALL SELECT 'duplicate_rows', CAST((SELECT count(*) FROM raw) - (SELECT count(*) FROM (SELECT DISTINCT * FROM raw)) AS VARCHAR)
+UNION ALL SELECT 'total_missing_values', CAST(CAST(({missing}) AS BIGINT) AS VARCHAR) FROM raw
+UNION ALL SELECT 'target_count_' || coalesce(CAST({q(b.target)} AS VARCHAR), 'nan'), CAST(count(*) AS VARCHAR) FROM raw GROUP BY 1"""
+
+
+def profile_sql(b: SqlBinding, source: str) -> str:
+    """Q-2 (source='raw') / Q-8 (source='clean')."""
+    parts = []
+    for i, c in enumerate(b.columns):
+        value = f"CASE WHEN isnan({q(c)}) THEN NULL ELSE {q(c)} END" if c in b.doubles else q(c)
+        parts.append(
+            f"SELECT CAST({i} AS INTEGER) AS position, '{c}' AS \"column\", (SELECT {SPARK_TYPE.format(c=q(c))} FROM {source} LIMIT 1) AS dtype, "
+            f"CAST(count_if({_missing_expr(b, c)}) AS BIGINT) AS missing_values, "
+            f"CAST(count(DISTINCT {value}) + CASE WHEN count_if({_missing_expr(b, c)}) > 0 THEN 1 ELSE 0 END AS BIGINT) AS unique_values "
+            f"FROM {source}"
+        )
+    return f"WITH {ctes(b)} " + " UNION ALL ".join(parts)
+
+
+def cleaning_stats_cte(b: SqlBinding) -> str:
+    any_missing = " OR ".join(_missing_expr(b, c) for c in b.columns)
+    return f"""raw AS ({b.raw}),
+stats AS (
+  SELECT CAST((SELECT count(*) FROM raw) AS BIGINT) AS rows_before,
+         CAST((SELECT count(*) FROM raw) - (SELECT count(*) FROM (SELECT DISTINCT * FROM raw)) AS BIGINT) AS duplicate_rows_removed,
+         CAST((SELECT count(*) FROM raw WHERE {any_missing}) AS BIGINT) AS missing_rows_before_cleaning,
+         CAST((SELECT count(*) FROM (SELECT DISTINCT * FROM raw WHERE NOT ({any_missing}))) AS BIGINT) AS rows_after)"""
+
+
+def cleaning_stats_sql(b: SqlBinding) -> str:
+    """Q-5."""
+    return (
+        f"WITH {cleaning_stats_cte(b)} SELECT rows_before, duplicate_rows_removed, missing_rows_before_cleaning, "
+        "rows_after, rows_before - rows_after AS total_rows_removed FROM stats"
+    )
+
+
+def preprocessing_summary_sql(b: SqlBinding) -> str:
+    """Q-6."""
+    return f"""WITH {cleaning_stats_cte(b)}
+SELECT 'rows_before_preprocessing' AS item, rows_before AS value FROM stats
+UNION ALL SELECT 'duplicate_rows_removed_keep_first', duplicate_rows_removed FROM stats
+UNION ALL SELECT 'missing_rows_before_cleaning', missing_rows_before_cleaning FROM stats
+UNION ALL SELECT 'rows_after_preprocessing', rows_after FROM stats
+UNION ALL SELECT 'total_rows_removed', rows_before - rows_after FROM stats"""
+
+
+def quality_check_sql(b: SqlBinding) -> str:
+    """Q-7."""
+    missing = " + ".join(f"count_if({_missing_expr(b, c)})" for c in b.columns)
+    return f"""WITH {ctes(b)}
+SELECT 'cleaned_rows' AS "check", CAST(count(*) AS BIGINT) AS value FROM clean
+UNION ALL SELECT 'cleaned_columns', CAST({len(b.columns)} AS BIGINT)
+UNION ALL SELECT 'remaining_missing_values', CAST(({missing}) AS BIGINT) FROM clean
+UNION ALL SELECT 'remaining_duplicate_rows', CAST((SELECT count(*) FROM clean) - (SELECT count(*) FROM (SELECT DISTINCT * FROM clean)) AS BIGINT)
+UNION ALL SELECT 'encoded_feature_rows', CAST(count(*) AS BIGINT) FROM enc
+UNION ALL SELECT 'encoded_target_rows', CAST(count({q(b.target)}) AS BIGINT) FROM enc"""
+
+
+def target_distribution_sql(b: SqlBinding) -> str:
+    """X-1 on the clean table."""
+    return f"""WITH {ctes(b)},
+c AS (SELECT CAST({q(b.target)} AS VARCHAR) AS class_label, count(*) AS n FROM clean WHERE {q(b.target)} IS NOT NULL GROUP BY 1)
+SELECT class_label, CAST(n AS BIGINT) AS "count", {rnd('n * 100.0 / sum(n) OVER ()')} AS percentage FROM c"""
+
+
+def numeric_summary_sql(b: SqlBinding, columns: list[str], source: str, digits: int) -> str:
+    """X-2 (source='clean') / X-4 (source='enc')."""
+    parts = []
+    for c in columns:
+        v = f"CAST({q(c)} AS DOUBLE)"
+        parts.append(
+            f"SELECT '{c}' AS feature, CAST(count({v}) AS BIGINT) AS \"count\", {rnd(f'avg({v})', digits)} AS mean, "
+            f"{rnd(f'stddev_samp({v})', digits)} AS std, {rnd(f'min({v})', digits)} AS \"min\", "
+            f"{rnd(f'quantile_cont({v}, 0.25)', digits)} AS p25, {rnd(f'quantile_cont({v}, 0.5)', digits)} AS p50, "
+            f"{rnd(f'quantile_cont({v}, 0.75)', digits)} AS p75, {rnd(f'max({v})', digits)} AS \"max\" FROM {source}"
+        )
+    return f"WITH {ctes(b)} " + " UNION ALL ".join(parts)
+
+
+def categorical_summary_sql(b: SqlBinding, columns: list[str]) -> str:
+    """X-3 on the clean table."""
+    longs = " UNION ALL ".join(f"SELECT '{c}' AS feature, CAST({q(c)} AS VARCHAR) AS value FROM clean" for c in columns)
+    return f"""WITH {ctes(b)},
+long AS ({longs}),
+cnt AS (SELECT feature, value, count(*) AS n FROM long GROUP BY ALL),
+top AS (SELECT *, row_number() OVER (PARTITION BY feature ORDER BY n DESC, value ASC NULLS FIRST) AS r FROM cnt)
+SELECT feature, CAST((SELECT count(*) FROM cnt c2 WHERE c2.feature = top.feature) AS BIGINT) AS unique_values,
+       value AS most_common_value, CAST(n AS BIGINT) AS most_common_count
+FROM top WHERE r = 1"""
+
+
+def fold_sizes_sql(b: SqlBinding) -> str:
+    """X-5."""
+    return f"WITH {ctes(b)} SELECT fold, CAST(count(*) AS BIGINT) AS test_samples_in_fold FROM folded GROUP BY fold"
+
+
+def fold_class_sql(b: SqlBinding) -> str:
+    """X-6: class text via the inverse label map (E-13)."""
+    inv = " ".join(f"WHEN {i} THEN '{c}'" for i, c in enumerate(b.classes))
+    return f"""WITH {ctes(b)},
+c AS (SELECT fold, CASE {q(b.target)} {inv} END AS class_label, count(*) AS n FROM folded GROUP BY ALL)
+SELECT fold, class_label, CAST(n AS BIGINT) AS "count", {rnd('n * 100.0 / sum(n) OVER (PARTITION BY fold)')} AS percentage FROM c"""
+
+
+MODEL_ENCODING = {
+    "binary": "manual binary mapping",
+    "ordinal": "manual ordinal mapping",
+    "nominal": "one-hot encoding",
+    "numeric": "numeric passthrough",
+}
+ENCODED = {
+    "numeric": ("numeric", "numeric passthrough"),
+    "binary": ("binary_encoded", "manual binary mapping"),
+    "ordinal": ("ordinal_encoded", "manual ordinal mapping"),
+    "nominal": ("one_hot_encoded", "manual one-hot encoding"),
+}
+
+
+def feature_roles_sql(b: SqlBinding) -> str:
+    """E-5 on the clean table."""
+    parts = [
+        f"SELECT CAST({i} AS INTEGER) AS position, '{c}' AS feature, '{r}' AS role, '{MODEL_ENCODING[r]}' AS model_encoding, "
+        f"CAST(count(DISTINCT {q(c)}) + max(CASE WHEN {q(c)} IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS unique_values FROM clean"
+        for i, (c, r) in enumerate(b.source_roles)
+    ]
+    return f"WITH {ctes(b)} " + " UNION ALL ".join(parts)
+
+
+def encoded_roles_sql(b: SqlBinding) -> str:
+    """E-9/E-10 role map; one-hot names come from the clean table's distinct categories."""
+    parts = []
+    for c, r in b.source_roles:
+        er, enc = ENCODED[r]
+        if r == "nominal":
+            parts.append(
+                f"SELECT DISTINCT '{c}' AS source_feature, '{c}_' || {strip(q(c))} AS encoded_feature, "
+                f"'{r}' AS source_role, '{er}' AS encoded_role, '{enc}' AS encoding FROM clean"
+            )
+        else:
+            parts.append(
+                f"SELECT '{c}' AS source_feature, '{c}' AS encoded_feature, '{r}' AS source_role, '{er}' AS encoded_role, '{enc}' AS encoding"
+            )
+    return f"WITH {ctes(b)} " + " UNION ALL ".join(parts)
+
+
+def label_mapping_sql(b: SqlBinding) -> str:
+    """E-12 from the clean table's distinct classes."""
+    return f"""WITH {ctes(b)}
+SELECT class_label, CAST(row_number() OVER (ORDER BY class_label) - 1 AS INTEGER) AS encoded_value
+FROM (SELECT DISTINCT CAST({q(b.target)} AS VARCHAR) AS class_label FROM clean)"""
+
+
 # ---- bindings --------------------------------------------------------------------
 
 
@@ -137,6 +355,7 @@ def lineitem() -> SqlBinding:
         classes=["No", "Yes"],
         numeric_sources=nums,
         categorical_sources=["l_linestatus"],
+        source_roles=[("l_linestatus", "binary")] + [(n, "numeric") for n in nums],
     )
 
 
@@ -163,6 +382,7 @@ def documents() -> SqlBinding:
         classes=["0", "1"],
         numeric_sources=["n_chars"],
         categorical_sources=["lang", "source"],
+        source_roles=[("lang", "nominal"), ("source", "nominal"), ("n_chars", "numeric")],
     )
 
 
@@ -184,6 +404,7 @@ def orders() -> SqlBinding:
         classes=["F", "O", "P"],
         numeric_sources=["o_totalprice"],
         categorical_sources=["o_orderpriority"],
+        source_roles=[("o_orderpriority", "ordinal"), ("o_totalprice", "numeric")],
     )
 
 

@@ -106,3 +106,181 @@ for _name in ("lineitem", "documents", "orders"):
         )
 
     register(f"fold_ig_{_name}", O.ig_sql(_b, 10))(_fold_ig)
+
+
+# ---- Q / E / X: audit, roles, exploration ------------------------------------------
+
+
+def _clean_raw(p: Prepared) -> DataFrame:
+    return p.clean
+
+
+for _name in ("lineitem", "documents", "orders"):
+    _b = O.SQL_BINDINGS[_name]()
+
+    def _raw_audit(spark, sf_dir, _name=_name):
+        from cvforge.operators.audit import raw_audit
+
+        b = BINDINGS[_name](spark, sf_dir)
+        return raw_audit(b.raw, b.spec.target)
+
+    register(f"raw_audit_{_name}", O.raw_audit_sql(_b))(_raw_audit)
+
+    def _profile(spark, sf_dir, _name=_name):
+        from cvforge.operators.audit import column_profile
+
+        return column_profile(BINDINGS[_name](spark, sf_dir).raw)
+
+    register(f"column_profile_{_name}", O.profile_sql(_b, "raw"))(_profile)
+
+    def _clean_profile(spark, sf_dir, _name=_name):
+        from cvforge.operators.audit import column_profile
+
+        return column_profile(prepared(spark, sf_dir, _name).clean)
+
+    register(f"clean_profile_{_name}", O.profile_sql(_b, "clean"))(_clean_profile)
+
+    def _stats(spark, sf_dir, _name=_name):
+        from cvforge.operators.audit import cleaning_stats
+
+        return cleaning_stats(BINDINGS[_name](spark, sf_dir).raw)
+
+    register(f"cleaning_stats_{_name}", O.cleaning_stats_sql(_b))(_stats)
+
+    def _summary(spark, sf_dir, _name=_name):
+        from cvforge.operators.audit import cleaning_stats, preprocessing_summary
+
+        return preprocessing_summary(cleaning_stats(BINDINGS[_name](spark, sf_dir).raw))
+
+    register(f"preprocessing_summary_{_name}", O.preprocessing_summary_sql(_b))(_summary)
+
+    def _clean_rows(spark, sf_dir, _name=_name):
+        return prepared(spark, sf_dir, _name).clean
+
+    register(
+        f"clean_rows_{_name}", f"WITH {O.ctes(_b)} SELECT * FROM clean"
+    )(_clean_rows)
+
+    def _quality(spark, sf_dir, _name=_name):
+        from cvforge.operators.audit import quality_check
+
+        p = prepared(spark, sf_dir, _name)
+        return quality_check(p.clean, p.encoded.df, p.target)
+
+    register(f"quality_check_{_name}", O.quality_check_sql(_b))(_quality)
+
+    def _roles(spark, sf_dir, _name=_name):
+        from cvforge.operators.encode import feature_role_table
+
+        p = prepared(spark, sf_dir, _name)
+        return feature_role_table(p.clean, p.binding.spec, [c for c, _ in O.SQL_BINDINGS[_name]().source_roles])
+
+    register(f"feature_roles_{_name}", O.feature_roles_sql(_b))(_roles)
+
+    def _enc_roles(spark, sf_dir, _name=_name):
+        p = prepared(spark, sf_dir, _name)
+        return p.encoded.roles(spark)
+
+    register(f"encoded_roles_{_name}", O.encoded_roles_sql(_b))(_enc_roles)
+
+    def _labels(spark, sf_dir, _name=_name):
+        from cvforge.operators.encode import label_mapping_table
+
+        return label_mapping_table(spark, prepared(spark, sf_dir, _name).encoded.target)
+
+    register(f"label_mapping_{_name}", O.label_mapping_sql(_b))(_labels)
+
+    def _target_dist(spark, sf_dir, _name=_name):
+        from cvforge.operators.audit import target_distribution
+
+        p = prepared(spark, sf_dir, _name)
+        return round_doubles(target_distribution(p.clean, p.target))
+
+    register(f"target_distribution_{_name}", O.target_distribution_sql(_b))(_target_dist)
+
+    def _num_summary(spark, sf_dir, _name=_name):
+        from cvforge.operators.audit import numeric_summary
+
+        p = prepared(spark, sf_dir, _name)
+        return round_doubles(numeric_summary(p.clean, O.SQL_BINDINGS[_name]().numeric_sources), 4)
+
+    register(
+        f"numeric_summary_{_name}", O.numeric_summary_sql(_b, _b.numeric_sources, "clean", 4)
+    )(_num_summary)
+
+    def _enc_summary(spark, sf_dir, _name=_name):
+        from cvforge.operators.audit import numeric_summary
+
+        p = prepared(spark, sf_dir, _name)
+        return round_doubles(numeric_summary(p.encoded.df, p.features), 4)
+
+    register(
+        f"encoded_summary_{_name}", O.numeric_summary_sql(_b, _b.feature_names, "enc", 4)
+    )(_enc_summary)
+
+    def _cat_summary(spark, sf_dir, _name=_name):
+        from cvforge.operators.audit import categorical_summary
+
+        p = prepared(spark, sf_dir, _name)
+        return categorical_summary(p.clean, O.SQL_BINDINGS[_name]().categorical_sources)
+
+    register(
+        f"categorical_summary_{_name}", O.categorical_summary_sql(_b, _b.categorical_sources)
+    )(_cat_summary)
+
+    def _fold_sizes(spark, sf_dir, _name=_name):
+        from cvforge.operators.split import fold_sizes
+
+        return fold_sizes(prepared(spark, sf_dir, _name).folded)
+
+    register(f"fold_sizes_{_name}", O.fold_sizes_sql(_b))(_fold_sizes)
+
+    def _fold_classes(spark, sf_dir, _name=_name):
+        from cvforge.operators.audit import fold_class_distribution
+
+        p = prepared(spark, sf_dir, _name)
+        return round_doubles(fold_class_distribution(p.folded, p.encoded.target.label(F.col(p.target))))
+
+    register(f"fold_class_distribution_{_name}", O.fold_class_sql(_b))(_fold_classes)
+
+
+# ---- I-5 .. I-9: fold-local selection ------------------------------------------------
+
+SELECTION_TOP_K = {"lineitem": 3, "documents": 10, "orders": 1}
+
+for _name, _k in SELECTION_TOP_K.items():
+    _b = O.SQL_BINDINGS[_name]()
+
+    def _fold_ig(spark, sf_dir, _name=_name):
+        from cvforge.operators.infogain import fold_information_gain
+
+        p = prepared(spark, sf_dir, _name)
+        return fold_information_gain(p.folded, p.features, p.target, p.n_classes, p.k, roles=p.roles(), nullable=p.nullable)
+
+    def _sel(spark, sf_dir, _name=_name, _k=_k, _fold_ig=_fold_ig):
+        from cvforge.operators.infogain import selected_features
+
+        return selected_features(_fold_ig(spark, sf_dir), _k)
+
+    register(f"selected_features_{_name}", O.selected_sql(_b, _k))(_sel)
+
+    def _freq(spark, sf_dir, _name=_name, _k=_k, _fold_ig=_fold_ig):
+        from cvforge.operators.infogain import selection_frequency
+
+        return round_doubles(selection_frequency(_fold_ig(spark, sf_dir), _k, 10))
+
+    register(f"selection_frequency_{_name}", O.frequency_sql(_b, _k))(_freq)
+
+    def _final(spark, sf_dir, _name=_name, _k=_k, _fold_ig=_fold_ig):
+        from cvforge.operators.infogain import final_feature_set, selection_frequency
+
+        return final_feature_set(selection_frequency(_fold_ig(spark, sf_dir), _k, 10), _k)
+
+    register(f"final_features_{_name}", O.final_features_sql(_b, _k))(_final)
+
+    def _fold_sel(spark, sf_dir, _name=_name, _k=_k, _fold_ig=_fold_ig):
+        from cvforge.operators.infogain import fold_selection_table
+
+        return fold_selection_table(_fold_ig(spark, sf_dir), prepared(spark, sf_dir, _name).folded, _k)
+
+    register(f"fold_selection_{_name}", O.fold_selection_sql(_b, _k))(_fold_sel)
