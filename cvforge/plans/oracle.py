@@ -409,3 +409,111 @@ def orders() -> SqlBinding:
 
 
 SQL_BINDINGS = {"lineitem": lineitem, "documents": documents, "orders": orders}
+
+
+# ---- metrics on fixed, data-derived scores -------------------------------------------
+
+SCORES = {
+    "lineitem": ("least(greatest(l_discount * 5.0 + l_tax * 5.0, 0.0), 1.0)", None),
+    "documents": ("n_chars / (n_chars + 1000.0)", None),
+    "orders": (None, "CAST(o_orderkey % 3 AS INTEGER)"),
+}
+
+
+def scored_cte(name: str, b: SqlBinding) -> str:
+    score, pred = SCORES[name]
+    if score is not None:
+        return (
+            f"pred AS (SELECT fold, {q(b.target)} AS y, CAST({score} AS DOUBLE) AS score, "
+            f"CAST({score} > 0.5 AS INTEGER) AS pred FROM folded)"
+        )
+    return f"pred AS (SELECT fold, {q(b.target)} AS y, {pred} AS pred FROM folded)"
+
+
+METRIC_COLS = ["accuracy", "precision", "recall", "specificity", "f1_score", "roc_auc", "mcc", "pr_auc", "brier_score"]
+
+
+def metrics_cte(name: str, b: SqlBinding, by_fold: bool) -> str:
+    """CTE ``m(fold?, n, metrics...)`` computed from ``pred``."""
+    g = "fold" if by_fold else "()"
+    gsel = "fold, " if by_fold else ""
+    j = "a.fold = b.fold" if by_fold else "TRUE"
+    jc = "b.fold = a.fold AND " if by_fold else ""
+    if len(b.classes) == 2:
+        return f"""cm AS (
+  SELECT {gsel}count(*) AS n, count_if(y = pred) AS c, count_if(y = 1 AND pred = 1) AS tp, count_if(y = 0 AND pred = 1) AS fp,
+         count_if(y = 1 AND pred = 0) AS fn, count_if(y = 0 AND pred = 0) AS tn, avg(power(score - y, 2)) AS brier
+  FROM pred GROUP BY {g}),
+sc AS (SELECT {gsel}score, count_if(y = 1) AS pos, count_if(y = 0) AS neg FROM pred GROUP BY {gsel}score),
+pairs AS (
+  SELECT {'a.fold, ' if by_fold else ''}sum(a.pos * b.neg * CASE WHEN a.score > b.score THEN 1.0 WHEN a.score = b.score THEN 0.5 ELSE 0.0 END) AS w
+  FROM sc a JOIN sc b ON {j} GROUP BY {'a.fold' if by_fold else '()'}),
+tot AS (SELECT {gsel}sum(pos) AS P, sum(neg) AS N FROM sc GROUP BY {g}),
+apt AS (
+  SELECT {'a.fold, ' if by_fold else ''}sum(CASE WHEN a.pos > 0 THEN a.pos *
+      (SELECT sum(b.pos) FROM sc b WHERE {jc}b.score >= a.score) /
+      (SELECT sum(b.pos + b.neg) FROM sc b WHERE {jc}b.score >= a.score) ELSE 0 END) AS s
+  FROM sc a GROUP BY {'a.fold' if by_fold else '()'}),
+m AS (
+  SELECT {'cm.fold, ' if by_fold else ''}cm.n, CAST(cm.c AS DOUBLE) / cm.n AS accuracy,
+    CASE WHEN cm.tp + cm.fp > 0 THEN cm.tp / (cm.tp + cm.fp) ELSE 0.0 END AS precision,
+    CASE WHEN cm.tp + cm.fn > 0 THEN cm.tp / (cm.tp + cm.fn) ELSE 0.0 END AS recall,
+    CASE WHEN cm.tn + cm.fp > 0 THEN cm.tn / (cm.tn + cm.fp) END AS specificity,
+    CASE WHEN 2 * cm.tp + cm.fp + cm.fn > 0 THEN 2.0 * cm.tp / (2 * cm.tp + cm.fp + cm.fn) ELSE 0.0 END AS f1_score,
+    CASE WHEN tot.P > 0 AND tot.N > 0 THEN pairs.w / (tot.P * tot.N) END AS roc_auc,
+    CASE WHEN (cm.tp + cm.fp) * (cm.tp + cm.fn) * (cm.tn + cm.fp) * (cm.tn + cm.fn) > 0
+         THEN (CAST(cm.tp AS DOUBLE) * cm.tn - CAST(cm.fp AS DOUBLE) * cm.fn)
+              / sqrt(CAST(cm.tp + cm.fp AS DOUBLE) * (cm.tp + cm.fn) * (cm.tn + cm.fp) * (cm.tn + cm.fn))
+         ELSE 0.0 END AS mcc,
+    CASE WHEN tot.P > 0 THEN apt.s / tot.P ELSE 0.0 END AS pr_auc,
+    cm.brier AS brier_score
+  FROM cm {'JOIN tot ON cm.fold = tot.fold JOIN pairs ON cm.fold = pairs.fold JOIN apt ON cm.fold = apt.fold' if by_fold else ', tot, pairs, apt'})"""
+    ks = ", ".join(f"({i})" for i in range(len(b.classes)))
+    return f"""cls AS (
+  SELECT {gsel}v.k, count_if(y = v.k) AS t, count_if(pred = v.k) AS p, count_if(y = v.k AND pred = v.k) AS tp
+  FROM pred, (VALUES {ks}) v(k) GROUP BY {gsel}v.k),
+agg AS (
+  SELECT {gsel}sum(t) AS n, sum(tp) AS c,
+    sum(t * CASE WHEN p > 0 THEN tp / p ELSE 0.0 END) / sum(t) AS precision,
+    sum(t * CASE WHEN t > 0 THEN tp / t ELSE 0.0 END) / sum(t) AS recall,
+    sum(t * CASE WHEN t + p > 0 THEN 2.0 * tp / (t + p) ELSE 0.0 END) / sum(t) AS f1_score,
+    sum(CAST(p AS DOUBLE) * t) AS pt, sum(CAST(p AS DOUBLE) * p) AS pp, sum(CAST(t AS DOUBLE) * t) AS tt
+  FROM cls GROUP BY {g}),
+m AS (
+  SELECT {gsel}n, CAST(c AS DOUBLE) / n AS accuracy, precision, recall, CAST(NULL AS DOUBLE) AS specificity, f1_score,
+    CAST(NULL AS DOUBLE) AS roc_auc,
+    CASE WHEN (CAST(n AS DOUBLE) * n - pp) * (CAST(n AS DOUBLE) * n - tt) > 0
+         THEN (CAST(c AS DOUBLE) * n - pt) / sqrt((CAST(n AS DOUBLE) * n - pp) * (CAST(n AS DOUBLE) * n - tt)) ELSE 0.0 END AS mcc,
+    CAST(NULL AS DOUBLE) AS pr_auc, CAST(NULL AS DOUBLE) AS brier_score
+  FROM agg)"""
+
+
+def fold_metrics_sql(name: str, b: SqlBinding) -> str:
+    """M-14."""
+    cols = ", ".join(f"{rnd(c)} AS {c}" for c in METRIC_COLS)
+    return f"""WITH {ctes(b)}, {scored_cte(name, b)}, {metrics_cte(name, b, True)}
+SELECT fold, CAST((SELECT count(*) FROM folded) - n AS BIGINT) AS train_samples, CAST(n AS BIGINT) AS test_samples, {cols} FROM m"""
+
+
+def pooled_metrics_sql(name: str, b: SqlBinding) -> str:
+    """M-15."""
+    cols = ", ".join(f"{rnd(c)} AS {c}" for c in METRIC_COLS)
+    return f"WITH {ctes(b)}, {scored_cte(name, b)}, {metrics_cte(name, b, False)} SELECT {cols} FROM m"
+
+
+def fold_summary_sql(name: str, b: SqlBinding) -> str:
+    """M-13."""
+    cols = ", ".join(
+        f"{rnd(f'avg({c})')} AS mean_cv_{c}, {rnd(f'stddev_pop({c})')} AS std_cv_{c}" for c in METRIC_COLS
+    )
+    return f"WITH {ctes(b)}, {scored_cte(name, b)}, {metrics_cte(name, b, True)} SELECT {cols} FROM m"
+
+
+def confusion_sql(name: str, b: SqlBinding) -> str:
+    """M-1 pooled over all rows, zeros included."""
+    labels = ", ".join(f"({i}, '{c}')" for i, c in enumerate(b.classes))
+    return f"""WITH {ctes(b)}, {scored_cte(name, b)},
+lab AS (SELECT * FROM (VALUES {labels}) v(k, label))
+SELECT a.label AS actual_label, p.label AS predicted_label,
+       CAST((SELECT count(*) FROM pred WHERE y = a.k AND pred.pred = p.k) AS BIGINT) AS "count"
+FROM lab a, lab p"""

@@ -284,3 +284,68 @@ for _name, _k in SELECTION_TOP_K.items():
         return fold_selection_table(_fold_ig(spark, sf_dir), prepared(spark, sf_dir, _name).folded, _k)
 
     register(f"fold_selection_{_name}", O.fold_selection_sql(_b, _k))(_fold_sel)
+
+
+# ---- M: metrics on fixed, data-derived scores ----------------------------------------
+
+
+def scored(spark: SparkSession, sf_dir: str, name: str) -> tuple[Prepared, DataFrame]:
+    """The folded table with a fixed score expression (no model) and its argmax class."""
+    p = prepared(spark, sf_dir, name)
+    f = p.folded
+    if name == "lineitem":
+        score = F.least(F.greatest(F.col("l_discount") * 5.0 + F.col("l_tax") * 5.0, F.lit(0.0)), F.lit(1.0))
+    elif name == "documents":
+        score = F.col("n_chars") / (F.col("n_chars") + 1000.0)
+    else:
+        score = None
+    if score is not None:
+        out = f.select("fold", F.col(p.target).alias("y"), score.alias("score"), (score > 0.5).cast("int").alias("pred"))
+    else:
+        out = f.select("fold", F.col(p.target).alias("y"), F.pmod(F.col("o_orderkey"), F.lit(3)).cast("int").alias("pred"))
+    return p, out
+
+
+for _name in ("lineitem", "documents", "orders"):
+    _b = O.SQL_BINDINGS[_name]()
+    _has_score = O.SCORES[_name][0] is not None
+
+    def _fold_metrics(spark, sf_dir, _name=_name, _has_score=_has_score):
+        from cvforge.operators.metrics import fold_metric_table
+
+        p, df = scored(spark, sf_dir, _name)
+        t = p.encoded.target
+        return round_doubles(
+            fold_metric_table(df, p.n_classes, t.positive_label, score="score" if _has_score else None)
+        )
+
+    register(f"fold_metrics_{_name}", O.fold_metrics_sql(_name, _b))(_fold_metrics)
+
+    def _pooled(spark, sf_dir, _name=_name, _has_score=_has_score):
+        from cvforge.operators.metrics import classification_scores
+
+        p, df = scored(spark, sf_dir, _name)
+        t = p.encoded.target
+        return round_doubles(
+            classification_scores(df, [], p.n_classes, t.positive_label, score="score" if _has_score else None)
+        )
+
+    register(f"pooled_metrics_{_name}", O.pooled_metrics_sql(_name, _b))(_pooled)
+
+    def _summary_m(spark, sf_dir, _name=_name, _has_score=_has_score):
+        from cvforge.operators.metrics import fold_metric_table, fold_summary
+
+        p, df = scored(spark, sf_dir, _name)
+        t = p.encoded.target
+        fm = fold_metric_table(df, p.n_classes, t.positive_label, score="score" if _has_score else None)
+        return round_doubles(fold_summary(fm))
+
+    register(f"fold_summary_{_name}", O.fold_summary_sql(_name, _b))(_summary_m)
+
+    def _cm(spark, sf_dir, _name=_name):
+        from cvforge.operators.metrics import confusion_matrix
+
+        p, df = scored(spark, sf_dir, _name)
+        return confusion_matrix(df, p.encoded.target.classes)
+
+    register(f"confusion_matrix_{_name}", O.confusion_sql(_name, _b))(_cm)
