@@ -517,3 +517,30 @@ lab AS (SELECT * FROM (VALUES {labels}) v(k, label))
 SELECT a.label AS actual_label, p.label AS predicted_label,
        CAST((SELECT count(*) FROM pred WHERE y = a.k AND pred.pred = p.k) AS BIGINT) AS "count"
 FROM lab a, lab p"""
+
+
+def first_split_sql(b: SqlBinding, digits: int = 8) -> str:
+    """B-1..B-4 round 1: base score 0.5 (g = 0.5 - y, h = 0.25), exact candidate values,
+    lambda 1, gamma 0, min_child_weight 1; best root split of each fold model."""
+    longs = " UNION ALL ".join(
+        f"SELECT row_id, fold, {q(b.target)} AS y, {i} AS fi, '{n}' AS feature, CAST({q(n)} AS DOUBLE) AS value FROM folded"
+        for i, n in enumerate(b.feature_names)
+    )
+    return f"""WITH {ctes(b)},
+long AS ({longs}),
+dv AS (SELECT DISTINCT fi, value FROM long),
+bins AS (SELECT fi, value, dense_rank() OVER (PARTITION BY fi ORDER BY value) - 1 AS bin,
+                lead(value) OVER (PARTITION BY fi ORDER BY value) AS threshold FROM dv),
+folds AS (SELECT CAST(range AS INTEGER) AS f FROM range(1, 11)),
+hist AS (
+  SELECT folds.f AS fold, l.fi, l.feature, bins.bin, bins.threshold, sum(0.5 - l.y) AS sg, count(*) * 0.25 AS sh
+  FROM long l JOIN bins ON l.fi = bins.fi AND l.value = bins.value JOIN folds ON l.fold <> folds.f GROUP BY ALL),
+cum AS (
+  SELECT *, sum(sg) OVER (PARTITION BY fold, fi ORDER BY bin) AS gl, sum(sh) OVER (PARTITION BY fold, fi ORDER BY bin) AS hl,
+         sum(sg) OVER (PARTITION BY fold, fi) AS g, sum(sh) OVER (PARTITION BY fold, fi) AS h FROM hist),
+gains AS (
+  SELECT *, 0.5 * (gl * gl / (hl + 1.0) + (g - gl) * (g - gl) / (h - hl + 1.0) - g * g / (h + 1.0)) AS gain
+  FROM cum WHERE hl >= 1.0 AND h - hl >= 1.0),
+best AS (SELECT *, row_number() OVER (PARTITION BY fold ORDER BY ROUND(gain, 12) DESC, fi, bin) AS rn FROM gains)
+SELECT fold, feature, threshold, {rnd('gain', digits)} AS gain, {rnd('gl', digits)} AS grad_left, {rnd('hl', digits)} AS hess_left
+FROM best WHERE rn = 1 AND gain > 0"""

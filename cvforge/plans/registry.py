@@ -349,3 +349,37 @@ for _name in ("lineitem", "documents", "orders"):
         return confusion_matrix(df, p.encoded.target.classes)
 
     register(f"confusion_matrix_{_name}", O.confusion_sql(_name, _b))(_cm)
+
+
+# ---- B: first boosting round (SQL-checkable) ---------------------------------------------
+
+
+def _first_split(spark, sf_dir, name):
+    from cvforge.operators.boost import ModelSpec, bin_features, train
+    from cvforge.spec import BoostParams
+
+    p = prepared(spark, sf_dir, name)
+    binned = bin_features(p.folded, p.features, p.target, max_bin=None)
+    params = BoostParams(n_estimators=1, max_depth=1, learning_rate=0.3)
+    models = [ModelSpec(f, f, tuple(range(len(p.features))), params) for f in range(1, p.k + 1)]
+    res = train(binned, models, p.n_classes)
+    # gain/GL/HL of the chosen split come from the split table; recompute GL/HL of the root split
+    root = res.trees.where((F.col("round") == 1) & (F.col("node") == 0) & ~F.col("is_leaf"))
+    stats = (
+        res.state.where(F.col("in_train") & (F.col("tree") == 0))
+        .join(F.broadcast(root.select("model_id", "fi", "bin")), "model_id")
+        .where(F.element_at("b", F.col("fi") + 1) <= F.col("bin"))
+        .groupBy("model_id")
+        .agg(F.sum(0.5 - F.col("y")).alias("grad_left"), (F.count(F.lit(1)) * 0.25).alias("hess_left"))
+    )
+    out = root.join(stats, "model_id").select(
+        F.col("model_id").alias("fold"), "feature", "threshold", "gain", "grad_left", "hess_left"
+    )
+    return round_doubles(out.select("fold", "feature", "threshold", F.round("gain", 8).alias("gain"),
+                                    F.round("grad_left", 8).alias("grad_left"), F.round("hess_left", 8).alias("hess_left")))
+
+
+for _name in ("lineitem", "documents"):
+    register(f"first_split_{_name}", O.first_split_sql(O.SQL_BINDINGS[_name]()))(
+        lambda spark, sf_dir, _name=_name: _first_split(spark, sf_dir, _name)
+    )
