@@ -383,3 +383,60 @@ for _name in ("lineitem", "documents"):
     register(f"first_split_{_name}", O.first_split_sql(O.SQL_BINDINGS[_name]()))(
         lambda spark, sf_dir, _name=_name: _first_split(spark, sf_dir, _name)
     )
+
+
+# ---- G: screening, grid search, comparison, out-of-fold results (rows-only) --------------
+# Iterative training has no SQL form; these run the whole workflow on the documents
+# binding (every labelled document) with a small grid, and the driver checks rows.
+
+WORKFLOW_DATASET = "documents"
+
+
+def _workflow_config():
+    from cvforge.spec import BoostParams, GridSpec
+
+    grid = GridSpec(
+        top_k=(None, 5, 10),
+        learning_rates=(0.1, 0.3),
+        max_depths=(2,),
+        n_estimators=(2, 3),
+        subsamples=(1.0,),
+        colsample_bytree=(0.8, 1.0),
+    )
+    return grid, BoostParams(n_estimators=3, max_depth=2)
+
+
+_WORKFLOWS: dict[tuple, object] = {}
+
+
+def workflow(spark: SparkSession, sf_dir: str):
+    from cvforge.plans.workflow import run_workflow
+
+    key = (id(spark), sf_dir.rstrip("/"))
+    if key not in _WORKFLOWS:
+        grid, base = _workflow_config()
+        _WORKFLOWS[key] = run_workflow(prepared(spark, sf_dir, WORKFLOW_DATASET), grid, base=base)
+    return _WORKFLOWS[key]
+
+
+_WORKFLOW_TABLES = {
+    "default_screen": "defaults",
+    "screened_feature_count": "screened",
+    "grid_results": "grid",
+    "best_by_feature_count": "best_by_count",
+    "default_vs_grid": "comparison",
+    "main_summary": "main_summary",
+    "supporting_summary": "supporting_summary",
+    "final_main_ranking": "final_main",
+    "final_supporting_ranking": "final_supporting",
+    "oof_predictions": "predictions",
+    "oof_fold_metrics": "fold_metrics",
+    "oof_fold_selection": "fold_selection",
+    "oof_selection_frequency": "selection_frequency",
+    "oof_pooled_scores": "oof_scores",
+}
+
+for _q, _attr in _WORKFLOW_TABLES.items():
+    register(f"{_q}_{WORKFLOW_DATASET}")(
+        lambda spark, sf_dir, _attr=_attr: getattr(workflow(spark, sf_dir), _attr)
+    )
