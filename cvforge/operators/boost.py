@@ -279,6 +279,7 @@ def train(
         ).withColumn("node", F.lit(0)).withColumn("_leaf", F.lit(False))
         st = st.persist()
         leaves: list[tuple] = []
+        stale: list[DataFrame] = []
         for d in range(max_depth + 1):
             open_rows = st.where(F.col("_act") & ~F.col("_leaf"))
             if d < max_depth:
@@ -289,6 +290,9 @@ def train(
                     .agg(F.sum("g").alias("sg"), F.sum("h").alias("sh"))
                 )
                 rows = _best_splits(hist, models, d).collect()
+                for old in stale:
+                    old.unpersist()
+                stale.clear()
             else:
                 rows = [
                     (x["model_id"], x["tree"], x["node"], None, None, None, x["G"], x["H"], False)
@@ -296,6 +300,9 @@ def train(
                     .agg(F.sum("g").alias("G"), F.sum("h").alias("H"))
                     .collect()
                 ]
+                for old in stale:
+                    old.unpersist()
+                stale.clear()
             splits = []
             for row in rows:
                 mid, tree, node, fi, b, gain, G, H, split = tuple(row)
@@ -318,8 +325,8 @@ def train(
             ).withColumn(
                 "node", F.when(F.col("_sfi").isNotNull(), 2 * F.col("node") + 1 + go_right.cast("int")).otherwise(F.col("node"))
             ).drop("_sfi", "_sbin").persist()
-            nxt.count()
-            st.unpersist()
+            # the next level's histogram job materialises `nxt`; `st` stays cached until then
+            stale.append(st)
             st = nxt
         ldf = F.broadcast(spark.createDataFrame(leaves or [(-1, 0, 0, 0.0)], "model_id int, tree int, node int, _lv double"))
         upd = st.join(ldf, ["model_id", "tree", "node"], "left").withColumn(
@@ -331,6 +338,8 @@ def train(
             new_state = upd.persist()
             new_state.count()
         st.unpersist()
+        for old in stale:
+            old.unpersist()
         state = new_state
         rec = [mid for mid, rounds in record_rounds.items() if r in rounds]
         if rec:
