@@ -1,0 +1,9 @@
+"""Structured Streaming views of a running grid search.
+
+The workflow itself has no streaming input. The only stream is the grid progress
+table, which grows by one file set per batch; these helpers follow it.
+"""
+
+from cvforge.streaming.progress import completed_stream, start_progress_monitor
+
+__all__ = ["completed_stream", "start_progress_monitor"]

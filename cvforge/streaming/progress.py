@@ -1,0 +1,29 @@
+"""Follow grid progress with Structured Streaming (file source over the progress table)."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from cvforge.operators.search import GRID_KEYS
+from cvforge.sources.progress import PROGRESS_SCHEMA
+
+
+def completed_stream(spark: SparkSession, path: str, signature: str | None = None) -> DataFrame:
+    """Streaming count of distinct completed combinations per signature.
+
+    Deduplication state is bounded by the grid size (one entry per combination).
+    """
+    rows = spark.readStream.schema(PROGRESS_SCHEMA).parquet(path)
+    if signature is not None:
+        rows = rows.where(F.col("signature") == signature)
+    distinct = rows.dropDuplicates(["signature", *GRID_KEYS])
+    return distinct.groupBy("signature").agg(F.count(F.lit(1)).alias("completed"))
+
+
+def start_progress_monitor(spark: SparkSession, path: str, name: str, signature: str | None = None, checkpoint: str | None = None):
+    """Start a complete-mode query into the in-memory table ``name`` (``SELECT * FROM name``)."""
+    w = completed_stream(spark, path, signature).writeStream.outputMode("complete").format("memory").queryName(name)
+    if checkpoint:
+        w = w.option("checkpointLocation", checkpoint)
+    return w.start()

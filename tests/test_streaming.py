@@ -1,0 +1,30 @@
+from pyspark.sql import functions as F
+
+from cvforge.sources.progress import append_progress
+from cvforge.spec import REPORT_METRICS
+from cvforge.streaming import start_progress_monitor
+
+
+def _rows(spark, ks):
+    cols = ", ".join(f"mean_cv_{m} double, std_cv_{m} double" for m in REPORT_METRICS)
+    data = [(k, 0.1, 2, 3, 1.0, 1.0, *([0.5] * 18), "completed") for k in ks]
+    return spark.createDataFrame(
+        data,
+        "top_k int, learning_rate double, max_depth int, n_estimators int, subsample double, colsample_bytree double, "
+        + cols
+        + ", status string",
+    )
+
+
+def test_progress_monitor_counts_distinct_combinations(spark, tmp_dir):
+    path = f"{tmp_dir}/progress"
+    append_progress(_rows(spark, [None, 1]), path, "sig", 1 << 40)
+    q = start_progress_monitor(spark, path, "grid_progress_test", checkpoint=f"{tmp_dir}/chk")
+    try:
+        q.processAllAvailable()
+        append_progress(_rows(spark, [1, 2]), path, "sig", 2 << 40)  # one repeat, one new
+        q.processAllAvailable()
+        got = spark.sql("SELECT * FROM grid_progress_test").collect()
+        assert [(r["signature"], r["completed"]) for r in got] == [("sig", 3)]
+    finally:
+        q.stop()
