@@ -94,10 +94,12 @@ def _train_cells(
     )
     tcols = _class_count_cols(n_classes)
     exploded = exploded.where(sum((F.col(t) for t in tcols[1:]), F.col(tcols[0])) > 0)
-    # class totals per fold: every row has exactly one cell per feature
-    totals = exploded.where(F.col("feature") == F.lit(features[0])).groupBy("fold").agg(
-        *[F.sum(t).alias(t) for t in tcols]
+    # class totals per training fold from a two-column scan (K x C cells), not from the cells above
+    fold = col(fold_col) if folds else F.lit(1)
+    by_fold = modeling.select(fold.alias("_fold"), col(target).alias("_y")).groupBy().agg(
+        *[F.count_if((F.col("_fold") == f) & (F.col("_y") == c)).alias(f"c_{f}_{c}") for f in range(1, k + 1) for c in range(n_classes)]
     )
+    totals = by_fold.select(F.explode(F.array(*per_fold)).alias("_t")).select("_t.fold", *[f"_t.t{c}" for c in range(n_classes)])
     return exploded, totals
 
 
