@@ -13,6 +13,8 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cvforge.session import reliable_checkpoint
+
 _LOCAL_BITS = 33  # monotonically_increasing_id keeps the row index in the low 33 bits
 
 
@@ -34,7 +36,9 @@ def with_global_position(
     cumulative offset and the grand total (column ``_total``).
     """
     parts = _num_ranges(df, num_partitions)
-    ranged = (
+    # Range bounds come from sampling the input; read twice, two samples of a shuffled input
+    # can disagree. Materialise the ranged rows once so sizes and rows share partition ids.
+    ranged = reliable_checkpoint(
         df.repartitionByRange(parts, *order_by)
         .sortWithinPartitions(*order_by)
         .withColumn("_pid", F.spark_partition_id())
@@ -68,7 +72,8 @@ def with_running_totals(
     """
     parts = _num_ranges(df, num_partitions)
     keys = [F.col(c) for c in group_cols] + [F.col(order_col)]
-    ranged = df.repartitionByRange(parts, *keys).withColumn("_pid", F.spark_partition_id())
+    # materialised once: both branches below must see the same partition ids
+    ranged = reliable_checkpoint(df.repartitionByRange(parts, *keys).withColumn("_pid", F.spark_partition_id()))
     local_w = (
         Window.partitionBy("_pid", *group_cols)
         .orderBy(order_col)

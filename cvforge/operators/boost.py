@@ -215,33 +215,51 @@ def _gradients(st: DataFrame, models: list[ModelSpec], n_trees: int) -> DataFram
     ).drop("_p")
 
 
-def _best_splits(hist: DataFrame, models: list[ModelSpec], depth: int) -> DataFrame:
+def _best_splits(hist: DataFrame, models: list[ModelSpec], depth: int, exact: bool = False) -> DataFrame:
+    """B-3: best split per (model, tree, node): gain desc, feature asc, bin asc.
+
+    Histogram mode (bins <= max_bin) uses windows over at most max_bin rows; exact mode
+    (one bin per distinct value) uses range-partitioned running totals, so a feature with
+    billions of distinct values is never gathered into one task. The pick itself is a
+    ``min(struct)`` aggregate, not a window over all candidates of a node.
+    """
     lam = _lookup({m.model_id: m.params.reg_lambda for m in models}, F.col("model_id"), "double")
     alpha = _lookup({m.model_id: m.params.reg_alpha for m in models}, F.col("model_id"), "double")
     gamma = _lookup({m.model_id: m.params.gamma for m in models}, F.col("model_id"), "double")
     mcw = _lookup({m.model_id: m.params.min_child_weight for m in models}, F.col("model_id"), "double")
     max_depth = _lookup({m.model_id: m.params.max_depth for m in models}, F.col("model_id"), "int")
-    part = Window.partitionBy("model_id", "tree", "node", "fi")
-    cum = part.orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    whole = part.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    s = hist.select(
-        "model_id", "tree", "node", "fi", "bin",
-        F.sum("sg").over(cum).alias("GL"), F.sum("sh").over(cum).alias("HL"),
-        F.sum("sg").over(whole).alias("G"), F.sum("sh").over(whole).alias("H"),
-    )
+    keys = ["model_id", "tree", "node", "fi"]
+    if exact:
+        run = with_running_totals(hist, keys, "bin", ["sg", "sh"])
+        tot = hist.groupBy(*keys).agg(F.sum("sg").alias("G"), F.sum("sh").alias("H"))
+        s = run.join(tot, keys).select(*keys, "bin", F.col("cum_sg").alias("GL"), F.col("cum_sh").alias("HL"), "G", "H")
+    else:
+        part = Window.partitionBy(*keys)
+        cum = part.orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        whole = part.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        s = hist.select(
+            *keys, "bin",
+            F.sum("sg").over(cum).alias("GL"), F.sum("sh").over(cum).alias("HL"),
+            F.sum("sg").over(whole).alias("G"), F.sum("sh").over(whole).alias("H"),
+        )
     GR, HR = F.col("G") - F.col("GL"), F.col("H") - F.col("HL")
     gain = 0.5 * (
         _score(F.col("GL"), F.col("HL"), lam, alpha) + _score(GR, HR, lam, alpha) - _score(F.col("G"), F.col("H"), lam, alpha)
     ) - gamma
     valid = (F.col("HL") >= mcw) & (HR >= mcw) & (F.col("HL") > 0) & (HR > 1e-12) & (F.lit(depth) < max_depth)
-    s = s.withColumn("gain", F.when(valid, gain))
-    best = Window.partitionBy("model_id", "tree", "node").orderBy(
-        F.round("gain", GAIN_DIGITS).desc_nulls_last(), F.col("fi").asc(), F.col("bin").asc()
+    g = F.when(valid, gain)
+    cand = F.struct(
+        F.coalesce(-F.round(g, GAIN_DIGITS), F.lit(math.inf)).alias("k"),
+        F.col("fi").alias("fi"),
+        F.col("bin").alias("bin"),
+        g.alias("gain"),
+        F.col("G").alias("G"),
+        F.col("H").alias("H"),
     )
-    top = s.withColumn("_rn", F.row_number().over(best)).where(F.col("_rn") == 1)
+    top = s.groupBy("model_id", "tree", "node").agg(F.min(cand).alias("b"))
     return top.select(
-        "model_id", "tree", "node", "fi", "bin", "gain", "G", "H",
-        (F.col("gain").isNotNull() & (F.col("gain") > 0)).alias("split"),
+        "model_id", "tree", "node", "b.fi", "b.bin", "b.gain", "b.G", "b.H",
+        (F.col("b.gain").isNotNull() & (F.col("b.gain") > 0)).alias("split"),
     )
 
 
@@ -289,7 +307,7 @@ def train(
                     .groupBy("model_id", "tree", "node", "fi", "bin")
                     .agg(F.sum("g").alias("sg"), F.sum("h").alias("sh"))
                 )
-                rows = _best_splits(hist, models, d).collect()
+                rows = _best_splits(hist, models, d, exact=binned.missing_bin is not None).collect()
                 for old in stale:
                     old.unpersist()
                 stale.clear()
