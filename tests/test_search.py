@@ -87,3 +87,25 @@ def test_resume_equals_one_shot(spark, small, tmp_dir):
     cols = ["rank", "top_k", "max_depth", "n_estimators", "mean_cv_accuracy", "mean_cv_roc_auc"]
     assert resumed.count() == 8
     assert resumed.select(*cols).orderBy("rank").collect() == one_shot.select(*cols).orderBy("rank").collect()
+
+
+def test_softmax_booster_three_classes(spark):
+    rng = np.random.default_rng(9)
+    n = 300
+    a = rng.normal(size=n)
+    pdf = pd.DataFrame({"row_id": np.arange(n), "fold": (np.arange(n) % 3) + 1, "a": a, "b": rng.integers(0, 3, n).astype(float)})
+    pdf["y"] = np.digitize(a + 0.2 * rng.normal(size=n), [-0.5, 0.5]).astype(int)
+    df = spark.createDataFrame(pdf)
+    binned = bin_features(df, ["a", "b"], "y", max_bin=32)
+    one = train(binned, [ModelSpec(1, 1, (0, 1), BoostParams(n_estimators=1, max_depth=2))], 3)
+    three = train(binned, [ModelSpec(1, 1, (0, 1), BoostParams(n_estimators=3, max_depth=2))], 3)
+
+    def mlogloss(res):
+        pr = probabilities(res.state.where(F.col("in_train")), 3).toPandas()
+        probs = np.array([list(x) for x in pr["probability"]])
+        assert np.allclose(probs.sum(axis=1), 1.0)
+        return float(-np.mean(np.log(probs[np.arange(len(pr)), pr["y"].to_numpy()])))
+
+    assert mlogloss(three) < mlogloss(one) < math.log(3)
+    oof = probabilities(three.state.where(~F.col("in_train")), 3).toPandas()
+    assert len(oof) == 100 and set(oof["pred"]) <= {0, 1, 2}
