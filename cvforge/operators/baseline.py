@@ -1,0 +1,58 @@
+"""B-10: MLlib gradient-boosted trees as a quality baseline for our booster.
+
+MLlib's ``GBTClassifier`` has no L1/L2 terms, ``gamma``, hessian weights or per-tree
+column sampling, so it is not a replacement, only a sanity check. Each fold model is
+one distributed MLlib fit on that fold's training rows.
+"""
+
+from __future__ import annotations
+
+from pyspark.ml.classification import GBTClassifier
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from cvforge.functions.columns import col
+from cvforge.spec import BoostParams
+
+
+def mllib_oof_predictions(
+    folded: DataFrame,
+    features: list[str],
+    target: str,
+    folds: list[int],
+    params: BoostParams = BoostParams(),
+    fold_lists: dict[int, list[str]] | None = None,
+    top_k: int | None = None,
+    fold_col: str = "fold",
+) -> DataFrame:
+    """Out-of-fold ``(row_id, fold, y, probability, pred)`` from one MLlib fit per fold (two classes)."""
+    out = None
+    for f in folds:
+        names = list(features) if top_k is None or fold_lists is None else fold_lists[f][: int(top_k)]
+        cols = [f"_f{i}" for i in range(len(names))]
+        base = folded.select(
+            "row_id", col(fold_col).alias("fold"), col(target).alias("y"),
+            *[col(n).cast("double").alias(c) for n, c in zip(names, cols)],
+        )
+        asm = VectorAssembler(inputCols=cols, outputCol="_features", handleInvalid="keep")
+        gbt = GBTClassifier(
+            labelCol="_label",
+            featuresCol="_features",
+            maxIter=params.n_estimators,
+            stepSize=params.learning_rate,
+            maxDepth=params.max_depth,
+            subsamplingRate=params.subsample,
+            maxBins=min(params.max_bin, 256) if params.max_bin else 32,
+            seed=params.seed,
+        )
+        train = asm.transform(base.where(F.col("fold") != f)).withColumn("_label", F.col("y").cast("double"))
+        model = gbt.fit(train)
+        test = model.transform(asm.transform(base.where(F.col("fold") == f)))
+        part = test.select(
+            "row_id", "fold", "y", vector_to_array("probability").alias("probability"),
+            F.col("prediction").cast("int").alias("pred"),
+        )
+        out = part if out is None else out.unionByName(part)
+    return out

@@ -440,3 +440,20 @@ for _q, _attr in _WORKFLOW_TABLES.items():
     register(f"{_q}_{WORKFLOW_DATASET}")(
         lambda spark, sf_dir, _attr=_attr: getattr(workflow(spark, sf_dir), _attr)
     )
+
+
+def _mllib_fold_metrics(spark, sf_dir):
+    from cvforge.operators.baseline import mllib_oof_predictions
+    from cvforge.operators.metrics import fold_metric_table
+    from cvforge.spec import BoostParams
+
+    p = prepared(spark, sf_dir, WORKFLOW_DATASET)
+    probs = mllib_oof_predictions(
+        p.folded, p.features, p.target, list(range(1, p.k + 1)), BoostParams(n_estimators=5, max_depth=3)
+    )
+    pos = p.encoded.target.positive_label
+    scored = probs.select("fold", "y", "pred", F.element_at("probability", pos + 1).alias("score"))
+    return fold_metric_table(scored, p.n_classes, pos)
+
+
+register(f"mllib_baseline_fold_metrics_{WORKFLOW_DATASET}")(_mllib_fold_metrics)
