@@ -408,7 +408,25 @@ def orders() -> SqlBinding:
     )
 
 
-SQL_BINDINGS = {"lineitem": lineitem, "documents": documents, "orders": orders}
+def events() -> SqlBinding:
+    return SqlBinding(
+        raw=(
+            "SELECT event_id, value, CAST(hour(ts) AS INTEGER) AS hour, "
+            "CASE WHEN event_type = 'purchase' THEN 'Yes' ELSE 'No' END AS purchased FROM events"
+        ),
+        columns=["event_id", "value", "hour", "purchased"],
+        doubles=["value"],
+        keys=["event_id"],
+        features=[("value", "CAST(value AS DOUBLE)", "numeric"), ("hour", "CAST(hour AS DOUBLE)", "numeric")],
+        target="purchased",
+        classes=["No", "Yes"],
+        numeric_sources=["value", "hour"],
+        categorical_sources=[],
+        source_roles=[("value", "numeric"), ("hour", "numeric")],
+    )
+
+
+SQL_BINDINGS = {"lineitem": lineitem, "documents": documents, "orders": orders, "events": events}
 
 
 # ---- metrics on fixed, data-derived scores -------------------------------------------
@@ -417,6 +435,7 @@ SCORES = {
     "lineitem": ("least(greatest(l_discount * 5.0 + l_tax * 5.0, 0.0), 1.0)", None),
     "documents": ("n_chars / (n_chars + 1000.0)", None),
     "orders": (None, "CAST(o_orderkey % 3 AS INTEGER)"),
+    "events": ("value / (value + 50.0)", None),
 }
 
 

@@ -58,7 +58,7 @@ def prepared(spark: SparkSession, sf_dir: str, name: str, k: int = 10) -> Prepar
 
 # ---- K: folds --------------------------------------------------------------------
 
-for _name in ("lineitem", "documents", "orders"):
+for _name in ("lineitem", "documents", "orders", "events"):
     _b = O.SQL_BINDINGS[_name]()
 
     def _folds(spark, sf_dir, _name=_name):
@@ -115,7 +115,7 @@ def _clean_raw(p: Prepared) -> DataFrame:
     return p.clean
 
 
-for _name in ("lineitem", "documents", "orders"):
+for _name in ("lineitem", "documents", "orders", "events"):
     _b = O.SQL_BINDINGS[_name]()
 
     def _raw_audit(spark, sf_dir, _name=_name):
@@ -224,9 +224,10 @@ for _name in ("lineitem", "documents", "orders"):
         p = prepared(spark, sf_dir, _name)
         return categorical_summary(p.clean, O.SQL_BINDINGS[_name]().categorical_sources)
 
-    register(
-        f"categorical_summary_{_name}", O.categorical_summary_sql(_b, _b.categorical_sources)
-    )(_cat_summary)
+    if _b.categorical_sources:
+        register(
+            f"categorical_summary_{_name}", O.categorical_summary_sql(_b, _b.categorical_sources)
+        )(_cat_summary)
 
     def _fold_sizes(spark, sf_dir, _name=_name):
         from cvforge.operators.split import fold_sizes
@@ -246,7 +247,7 @@ for _name in ("lineitem", "documents", "orders"):
 
 # ---- I-5 .. I-9: fold-local selection ------------------------------------------------
 
-SELECTION_TOP_K = {"lineitem": 3, "documents": 10, "orders": 1}
+SELECTION_TOP_K = {"lineitem": 3, "documents": 10, "orders": 1, "events": 1}
 
 for _name, _k in SELECTION_TOP_K.items():
     _b = O.SQL_BINDINGS[_name]()
@@ -297,6 +298,8 @@ def scored(spark: SparkSession, sf_dir: str, name: str) -> tuple[Prepared, DataF
         score = F.least(F.greatest(F.col("l_discount") * 5.0 + F.col("l_tax") * 5.0, F.lit(0.0)), F.lit(1.0))
     elif name == "documents":
         score = F.col("n_chars") / (F.col("n_chars") + 1000.0)
+    elif name == "events":
+        score = F.col("value") / (F.col("value") + 50.0)
     else:
         score = None
     if score is not None:
@@ -306,7 +309,7 @@ def scored(spark: SparkSession, sf_dir: str, name: str) -> tuple[Prepared, DataF
     return p, out
 
 
-for _name in ("lineitem", "documents", "orders"):
+for _name in ("lineitem", "documents", "orders", "events"):
     _b = O.SQL_BINDINGS[_name]()
     _has_score = O.SCORES[_name][0] is not None
 
@@ -379,7 +382,7 @@ def _first_split(spark, sf_dir, name):
                                     F.round("grad_left", 8).alias("grad_left"), F.round("hess_left", 8).alias("hess_left")))
 
 
-for _name in ("lineitem", "documents"):
+for _name in ("lineitem", "documents", "events"):
     register(f"first_split_{_name}", O.first_split_sql(O.SQL_BINDINGS[_name]()))(
         lambda spark, sf_dir, _name=_name: _first_split(spark, sf_dir, _name)
     )
