@@ -35,6 +35,9 @@ from cvforge.spec import BoostParams
 
 GAIN_DIGITS = 12
 MAX_SPLIT_ROWS = 2_000_000  # bound on the per-level split table sent to the driver
+# Histogram subtraction pays off once building histograms outweighs the extra join per
+# level; below this many (row x model x feature) cells a level is built directly.
+SUBTRACT_MIN_CELLS = 200_000_000
 HESS_FLOOR = 1e-16
 
 
@@ -255,10 +258,12 @@ def _best_splits(hist: DataFrame, models: list[ModelSpec], depth: int, exact: bo
         g.alias("gain"),
         F.col("G").alias("G"),
         F.col("H").alias("H"),
+        F.col("GL").alias("GL"),
+        F.col("HL").alias("HL"),
     )
     top = s.groupBy("model_id", "tree", "node").agg(F.min(cand).alias("b"))
     return top.select(
-        "model_id", "tree", "node", "b.fi", "b.bin", "b.gain", "b.G", "b.H",
+        "model_id", "tree", "node", "b.fi", "b.bin", "b.gain", "b.G", "b.H", "b.GL", "b.HL",
         (F.col("b.gain").isNotNull() & (F.col("b.gain") > 0)).alias("split"),
     )
 
@@ -269,8 +274,13 @@ def train(
     n_classes: int,
     record_rounds: dict[int, list[int]] | None = None,
     checkpoint_every: int = 1,
+    subtract: bool | None = None,
 ) -> TrainResult:
-    """B-6: boosting loop over rounds and depth levels for a batch of models."""
+    """B-6: boosting loop over rounds and depth levels for a batch of models.
+
+    ``subtract`` (None = by size) builds each level's histograms only for the smaller
+    child of every split and derives the sibling as parent minus child.
+    """
     spark: SparkSession = binned.df.sparkSession
     n_trees = 1 if n_classes == 2 else n_classes
     by_id = {m.model_id: m for m in models}
@@ -278,6 +288,9 @@ def train(
     max_depth = max(m.params.max_depth for m in models)
     if len(models) * n_trees * (2 ** max_depth) > MAX_SPLIT_ROWS:
         raise ValueError("too many models in one batch for the split table bound; use smaller batches")
+    if subtract is None:
+        cells = binned.df.count() * n_trees * sum(len(m.features) for m in models)
+        subtract = cells >= SUBTRACT_MIN_CELLS
     state = reliable_checkpoint(init_state(binned, models, n_classes))
     tree_rows: list[tuple] = []
     snaps: list[DataFrame] = []
@@ -295,57 +308,111 @@ def train(
         st = st.withColumn(
             "_act", F.col("in_train") & F.col("model_id").isin(*live_ids) & row_sampled(seed, r, sub)
         ).withColumn("node", F.lit(0)).withColumn("_leaf", F.lit(False))
-        st = st.persist()
+        st = st.withColumn("_small", F.lit(True)).persist()
         leaves: list[tuple] = []
         stale: list[DataFrame] = []
-        for d in range(max_depth + 1):
-            open_rows = st.where(F.col("_act") & ~F.col("_leaf"))
-            if d < max_depth:
-                hist = (
-                    open_rows.select("model_id", "tree", "node", "g", "h", F.posexplode("b").alias("fi", "bin"))
-                    .where(F.array_contains(F.element_at(allow_map, F.col("model_id")), F.col("fi")))
-                    .groupBy("model_id", "tree", "node", "fi", "bin")
-                    .agg(F.sum("g").alias("sg"), F.sum("h").alias("sh"))
-                )
-                rows = _best_splits(hist, models, d, exact=binned.missing_bin is not None).collect()
-                for old in stale:
-                    old.unpersist()
-                stale.clear()
+        parent_hist: DataFrame | None = None
+        siblings: list[tuple] = []  # (model, tree, parent, small child, large child)
+
+        def leaf(mid: int, tree: int, node: int, G: float, H: float) -> None:
+            p = by_id[mid].params
+            t = math.copysign(max(abs(G) - p.reg_alpha, 0.0), G)
+            value = -t / (H + p.reg_lambda) * p.learning_rate
+            leaves.append((mid, tree, node, value))
+            tree_rows.append((mid, r, tree, node, True, None, None, None, value))
+
+        for d in range(max_depth):
+            # histograms only for the smaller child of each split; the sibling is parent - child
+            built = (
+                st.where(F.col("_act") & ~F.col("_leaf") & F.col("_small"))
+                .select("model_id", "tree", "node", "g", "h", F.posexplode("b").alias("fi", "bin"))
+                .where(F.array_contains(F.element_at(allow_map, F.col("model_id")), F.col("fi")))
+                .groupBy("model_id", "tree", "node", "fi", "bin")
+                .agg(F.sum("g").alias("sg"), F.sum("h").alias("sh"), F.count(F.lit(1)).alias("cnt"))
+            )
+            if parent_hist is None:
+                hist = built
             else:
-                rows = [
-                    (x["model_id"], x["tree"], x["node"], None, None, None, x["G"], x["H"], False)
-                    for x in open_rows.groupBy("model_id", "tree", "node")
-                    .agg(F.sum("g").alias("G"), F.sum("h").alias("H"))
-                    .collect()
-                ]
-                for old in stale:
-                    old.unpersist()
-                stale.clear()
+                # one row per split with children still open: bounded like the split table
+                sib = F.broadcast(
+                    spark.createDataFrame(siblings, "model_id int, tree int, _parent int, _smallnode int, _largenode int")
+                )
+                small = built.join(
+                    sib.select("model_id", "tree", "_parent", F.col("_smallnode").alias("node")), ["model_id", "tree", "node"]
+                ).select("model_id", "tree", "_parent", "fi", "bin",
+                         F.col("sg").alias("_ssg"), F.col("sh").alias("_ssh"), F.col("cnt").alias("_scnt"))
+                large = (
+                    parent_hist.join(
+                        sib.select("model_id", "tree", F.col("_parent").alias("node"), "_largenode"), ["model_id", "tree", "node"]
+                    )
+                    .withColumnRenamed("node", "_parent")
+                    .join(small, ["model_id", "tree", "_parent", "fi", "bin"], "left")
+                    .select(
+                        "model_id", "tree", F.col("_largenode").alias("node"), "fi", "bin",
+                        (F.col("sg") - F.coalesce("_ssg", F.lit(0.0))).alias("sg"),
+                        (F.col("sh") - F.coalesce("_ssh", F.lit(0.0))).alias("sh"),
+                        (F.col("cnt") - F.coalesce("_scnt", F.lit(0))).alias("cnt"),
+                    )
+                    .where(F.col("cnt") > 0)
+                )
+                hist = built.unionByName(large)
+            if subtract:
+                hist = hist.persist()
+            rows = _best_splits(hist, models, d, exact=binned.missing_bin is not None).collect()
+            for old in stale:
+                old.unpersist()
+            stale.clear()
+            if parent_hist is not None:
+                parent_hist.unpersist()
+            parent_hist = hist if subtract else None
             splits = []
+            siblings = []
+            continuing = False
             for row in rows:
-                mid, tree, node, fi, b, gain, G, H, split = tuple(row)
-                p = by_id[mid].params
-                if split:
-                    splits.append((mid, tree, node, fi, b))
-                    tree_rows.append((mid, r, tree, node, False, fi, b, float(gain), None))
+                mid, tree, node, fi, b, gain, G, H, GL, HL, split = tuple(row)
+                if not split:
+                    leaf(mid, tree, node, G, H)
+                    continue
+                tree_rows.append((mid, r, tree, node, False, fi, b, float(gain), None))
+                children_are_leaves = d + 1 >= by_id[mid].params.max_depth
+                small_right = (H - HL) < HL
+                if children_are_leaves:
+                    leaf(mid, tree, 2 * node + 1, GL, HL)
+                    leaf(mid, tree, 2 * node + 2, G - GL, H - HL)
                 else:
-                    t = math.copysign(max(abs(G) - p.reg_alpha, 0.0), G)
-                    value = -t / (H + p.reg_lambda) * p.learning_rate
-                    leaves.append((mid, tree, node, value))
-                    tree_rows.append((mid, r, tree, node, True, None, None, None, value))
+                    continuing = True
+                    small = 2 * node + 1 + int(small_right)
+                    siblings.append((mid, tree, node, small, 4 * node + 3 - small))
+                splits.append((mid, tree, node, fi, b, children_are_leaves, small_right))
             if not splits:
                 break
-            sdf = F.broadcast(spark.createDataFrame(splits, "model_id int, tree int, node int, _sfi int, _sbin int"))
-            nxt = st.join(sdf, ["model_id", "tree", "node"], "left")
+            sdf = F.broadcast(
+                spark.createDataFrame(
+                    splits, "model_id int, tree int, node int, _sfi int, _sbin int, _cleaf boolean, _sright boolean"
+                )
+            )
+            nxt = st.drop("_small").join(sdf, ["model_id", "tree", "node"], "left")
             go_right = F.element_at(F.col("b"), F.col("_sfi") + 1) > F.col("_sbin")
-            nxt = nxt.withColumn(
-                "_leaf", F.col("_leaf") | F.col("_sfi").isNull()
-            ).withColumn(
-                "node", F.when(F.col("_sfi").isNotNull(), 2 * F.col("node") + 1 + go_right.cast("int")).otherwise(F.col("node"))
-            ).drop("_sfi", "_sbin").persist()
+            nxt = (
+                nxt.withColumn("_leaf", F.col("_leaf") | F.col("_sfi").isNull() | F.coalesce(F.col("_cleaf"), F.lit(False)))
+                .withColumn(
+                    "_small",
+                    F.coalesce(go_right == F.col("_sright"), F.lit(False)) if subtract else F.lit(True),
+                )
+                .withColumn(
+                    "node",
+                    F.when(F.col("_sfi").isNotNull(), 2 * F.col("node") + 1 + go_right.cast("int")).otherwise(F.col("node")),
+                )
+                .drop("_sfi", "_sbin", "_cleaf", "_sright")
+                .persist()
+            )
             # the next level's histogram job materialises `nxt`; `st` stays cached until then
             stale.append(st)
             st = nxt
+            if not continuing:
+                break
+        if parent_hist is not None:
+            parent_hist.unpersist()
         ldf = F.broadcast(spark.createDataFrame(leaves or [(-1, 0, 0, 0.0)], "model_id int, tree int, node int, _lv double"))
         upd = st.join(ldf, ["model_id", "tree", "node"], "left").withColumn(
             "margin", F.col("margin") + F.coalesce(F.col("_lv"), F.lit(0.0))
