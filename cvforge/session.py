@@ -22,6 +22,8 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "16g")
+        # superseded round states are removed from the checkpoint folder once unreferenced
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .getOrCreate()
     )
 
