@@ -66,6 +66,22 @@ def main() -> None:
         t = time.time()
         train(binned, models, p.n_classes)
         times[f"boost_round_{n_models}_models"] = round((time.time() - t) / params.n_estimators, 3)
+    binned.df.unpersist()
+
+    # end to end: default screen, 24-combination grid x 10 folds, four-setup comparison, OOF
+    from cvforge.plans.datasets import document_quality
+    from cvforge.plans.workflow import run_workflow
+    from cvforge.spec import GridSpec
+
+    grid = GridSpec(
+        top_k=(None, 5, 10), learning_rates=(0.1, 0.3), max_depths=(2,), n_estimators=(2, 3),
+        subsamples=(1.0,), colsample_bytree=(0.8, 1.0),
+    )
+    docs = prepare(document_quality(spark, SF_DIR), k=10, materialize=True)
+    timed(
+        "workflow_documents_grid24",
+        lambda: run_workflow(docs, grid, base=BoostParams(n_estimators=3, max_depth=2)).predictions.count(),
+    )
     total = round(sum(times.values()), 3)
     print(json.dumps({"metric": "total_seconds", "value": total, "unit": "sec", "queries": times, "sf": _sf(SF_DIR)}))
     spark.stop()

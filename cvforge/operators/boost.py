@@ -55,6 +55,12 @@ class Binned:
     thresholds: DataFrame  # fi, bin, threshold: left child iff value < threshold
     features: list[str]
     missing_bin: int | None = None
+    _rows: int | None = None
+
+    def rows(self) -> int:
+        if self._rows is None:
+            self._rows = self.df.count()
+        return self._rows
 
 
 @dataclass
@@ -289,9 +295,10 @@ def train(
     if len(models) * n_trees * (2 ** max_depth) > MAX_SPLIT_ROWS:
         raise ValueError("too many models in one batch for the split table bound; use smaller batches")
     if subtract is None:
-        cells = binned.df.count() * n_trees * sum(len(m.features) for m in models)
+        cells = binned.rows() * n_trees * sum(len(m.features) for m in models)
         subtract = cells >= SUBTRACT_MIN_CELLS
-    state = reliable_checkpoint(init_state(binned, models, n_classes))
+    # one explode over the checkpointed binned table: short lineage, no write needed
+    state = init_state(binned, models, n_classes)
     tree_rows: list[tuple] = []
     snaps: list[DataFrame] = []
     record_rounds = record_rounds or {}

@@ -152,7 +152,7 @@ def evaluate_combinations(
             for ci in members:
                 mapping.append((mid, combos[ci]["n_estimators"], ci))
     n_trees = 1 if n_classes == 2 else n_classes
-    n_rows = n_rows or binned.df.count()
+    n_rows = n_rows or binned.rows()
     per_batch = max(len(folds), (max_state_rows // max(1, n_rows * n_trees)) // len(folds) * len(folds))
     snaps = []
     for start in range(0, len(models), per_batch):
