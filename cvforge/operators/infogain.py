@@ -268,3 +268,22 @@ def fold_selection_table(
     return sizes.join(sel, "fold").select(
         "fold", "train_samples", "test_samples", "selected_feature_count", "selected_features"
     )
+
+
+def discretize_for_ig(
+    modeling: DataFrame, features: Sequence[str], max_bin: int = 256, only: Sequence[str] | None = None
+) -> DataFrame:
+    """Optional: replace continuous features by quantile-bin ids before IG.
+
+    Exact IG groups by every distinct value, so a continuous column contributes one
+    cell per distinct value and fold. With this step a column holds at most
+    ``max_bin`` cells; IG is then the gain of the binned feature. Columns with at
+    most ``max_bin`` distinct values are unchanged in effect (one bin per value).
+    """
+    from cvforge.operators.boost import bin_features
+
+    cols = list(only) if only is not None else list(features)
+    binned = bin_features(modeling.select("row_id", *[col(c) for c in cols], F.lit(0).alias("_y"), F.lit(0).alias("_f")),
+                          cols, "_y", max_bin=max_bin, fold_col="_f")
+    ids = binned.df.select("row_id", *[F.element_at("b", i + 1).cast("double").alias(c) for i, c in enumerate(cols)])
+    return modeling.drop(*cols).join(ids, "row_id")

@@ -84,3 +84,29 @@ def test_selection_frequency_ties_by_name(spark, table):
     freq = selection_frequency(ig, 3, 5).orderBy("rank").collect()
     assert [r["feature"] for r in freq] == ["a", "b", "c"]
     assert all(r["selection_frequency_pct"] == 100.0 for r in freq)
+
+
+def test_discretized_ig_bounds_cells(spark, table):
+    from cvforge.operators.infogain import discretize_for_ig
+
+    pdf, df = table
+    df = df.withColumn("row_id", F.monotonically_increasing_id())
+    binned = discretize_for_ig(df, ["a", "b", "c"], max_bin=8, only=["c"])
+    got = fold_information_gain(binned, ["a", "b", "c"], "y", 2, 5).toPandas()
+    assert got[got["feature"] == "c"]["feature_value_count"].max() <= 8
+    exact = fold_information_gain(df, ["a"], "y", 2, 5).toPandas().set_index("fold")["information_gain"]
+    same = got[got["feature"] == "a"].set_index("fold")["information_gain"]
+    assert np.allclose(exact.sort_index(), same.sort_index())
+
+
+def test_hot_value_is_combined_map_side(spark):
+    # one value holds a third of all rows: the plan must aggregate before the shuffle
+    df = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(0.0)).otherwise(F.col("id").cast("double")).alias("x"),
+        (F.col("id") % 2).cast("int").alias("y"),
+        ((F.col("id") % 5) + 1).cast("int").alias("fold"),
+    )
+    ig = fold_information_gain(df, ["x"], "y", 2, 5)
+    plan = ig._jdf.queryExecution().executedPlan().toString()
+    assert "partial_count" in plan
+    assert ig.count() == 5
