@@ -94,7 +94,7 @@ def fit_plan(grid: GridSpec, screen_top_k: tuple[int | None, ...], cv_splits: in
     combos = len(grid.normalized_top_k()) * grid.hyperparameter_combinations()
     return [
         ("feature_count_screening_fits", screening),
-        ("grid_combinations", combos),
+        ("grid_search_combinations", combos),
         ("grid_search_fits", combos * cv_splits),
         ("final_oof_prediction_fits", cv_splits),
         ("total_planned_model_fits", screening + combos * cv_splits + cv_splits),

@@ -40,7 +40,7 @@ def test_grid_product_and_plan(spark):
     g = GridSpec(top_k=(None, 10), learning_rates=(0.1, 0.2), max_depths=(3,), n_estimators=(1, 2), subsamples=(1.0,), colsample_bytree=(1.0,))
     assert grid_combinations(spark, g).count() == 8
     plan = dict(fit_plan(GridSpec(), (None, *range(10, 21)), 10))
-    assert plan["grid_combinations"] == 37500
+    assert plan["grid_search_combinations"] == 37500
     assert plan["total_planned_model_fits"] == 375130
 
 
