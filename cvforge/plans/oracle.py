@@ -349,7 +349,7 @@ def lineitem() -> SqlBinding:
         columns=keys + ["l_linestatus"] + nums + ["returned"],
         doubles=nums,
         keys=keys,
-        features=[("l_linestatus", f"CASE {strip('l_linestatus')} WHEN 'F' THEN 0.0 WHEN 'O' THEN 1.0 END", "binary_encoded")]
+        features=[("l_linestatus", f"CAST(CASE {strip('l_linestatus')} WHEN 'F' THEN 0 WHEN 'O' THEN 1 END AS DOUBLE)", "binary_encoded")]
         + [(n, f"CAST({n} AS DOUBLE)", "numeric") for n in nums],
         target="returned",
         classes=["No", "Yes"],
@@ -390,14 +390,14 @@ PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
 
 
 def orders() -> SqlBinding:
-    case = " ".join(f"WHEN '{p}' THEN {float(i)}" for i, p in enumerate(PRIORITIES))
+    case = " ".join(f"WHEN '{p}' THEN {i}" for i, p in enumerate(PRIORITIES))
     return SqlBinding(
         raw="SELECT o_orderkey, o_orderpriority, o_totalprice, o_orderstatus FROM orders",
         columns=["o_orderkey", "o_orderpriority", "o_totalprice", "o_orderstatus"],
         doubles=["o_totalprice"],
         keys=["o_orderkey"],
         features=[
-            ("o_orderpriority", f"CASE {strip('o_orderpriority')} {case} END", "ordinal_encoded"),
+            ("o_orderpriority", f"CAST(CASE {strip('o_orderpriority')} {case} END AS DOUBLE)", "ordinal_encoded"),
             ("o_totalprice", "CAST(o_totalprice AS DOUBLE)", "numeric"),
         ],
         target="o_orderstatus",

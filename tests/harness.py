@@ -31,8 +31,33 @@ def _key(row):
     return tuple((x is None, str(type(x).__name__) if x is not None else "", x if x is not None else 0) for x in row)
 
 
+DUCK_TO_SPARK = {
+    "BIGINT": "bigint",
+    "INTEGER": "int",
+    "DOUBLE": "double",
+    "VARCHAR": "string",
+    "BOOLEAN": "boolean",
+    "FLOAT": "float",
+    "HUGEINT": "decimal",
+}
+
+
+def type_mismatches(spark_df, con, sql: str) -> list[str]:
+    rel = con.sql(sql)
+    duck = {n: DUCK_TO_SPARK.get(str(t), str(t)) for n, t in zip(rel.columns, rel.types)}
+    out = []
+    for f in spark_df.schema.fields:
+        st = f.dataType.simpleString()
+        if f.name in duck and duck[f.name] != st:
+            out.append(f"{f.name}: spark {st} vs oracle {duck[f.name]}")
+    return out
+
+
 def compare(spark_df, con, sql: str):
-    """Return (ok, message). Columns compared by sorted name, rows as multisets."""
+    """Return (ok, message). Columns compared by sorted name and type, rows as multisets."""
+    bad_types = type_mismatches(spark_df, con, sql)
+    if bad_types:
+        return False, "types differ: " + "; ".join(bad_types)
     sdf = spark_df.toPandas()
     odf = con.execute(sql).df()
     s_cols = sorted(sdf.columns)
