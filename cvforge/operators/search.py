@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from cvforge.operators.boost import Binned, ModelSpec, bin_features, probabilities, train
 from cvforge.operators.metrics import fold_metric_table, fold_summary
 from cvforge.operators.report import rank_grid
-from cvforge.session import checkpoint_dir
+from cvforge.session import checkpoint_dir, reliable_checkpoint
 from cvforge.sources.progress import append_progress, read_progress
 from cvforge.spec import REPORT_METRICS, SCHEMA_VERSION, BoostParams, GridSpec, RunConfig
 
@@ -125,9 +125,11 @@ def evaluate_combinations(
     base: BoostParams = BoostParams(),
     max_state_rows: int = MAX_STATE_ROWS,
     n_rows: int | None = None,
+    keep_index: bool = False,
 ) -> DataFrame:
     """G-8 / G-9: cross-validate each combination; returns one row per combination with
-    the six grid keys and mean/std (population) of the nine metrics over folds."""
+    the six grid keys and mean/std (population) of the nine metrics over folds
+    (plus ``_combo``, the position in ``combos``, when ``keep_index``)."""
     spark = binned.df.sparkSession
     index = {f: i for i, f in enumerate(binned.features)}
     all_features = list(binned.features)
@@ -183,29 +185,24 @@ def evaluate_combinations(
         combo_rows,
         "_combo int, top_k int, learning_rate double, max_depth int, n_estimators int, subsample double, colsample_bytree double",
     )
-    out = cdf.join(summary, "_combo").drop("_combo")
-    return out.select(*GRID_KEYS, *[x for m in REPORT_METRICS for x in (f"mean_cv_{m}", f"std_cv_{m}")])
+    out = cdf.join(summary, "_combo")
+    index = ["_combo"] if keep_index else []
+    return out.select(*index, *GRID_KEYS, *[x for m in REPORT_METRICS for x in (f"mean_cv_{m}", f"std_cv_{m}")])
 
 
-def default_screen(
-    binned: Binned,
-    fold_lists: dict[int, list[str]],
-    top_k_values: tuple[int | None, ...],
-    n_classes: int,
-    positive_label: int | None,
-    base: BoostParams = BoostParams(),
-) -> DataFrame:
-    """G-10: default parameters for every feature count; position kept for stable ranking."""
-    combos = [
+def default_combinations(top_k_values: tuple[int | None, ...], base: BoostParams = BoostParams()) -> list[dict]:
+    """G-9 inputs: default parameters once per feature count."""
+    return [
         {"top_k": k, "learning_rate": base.learning_rate, "max_depth": base.max_depth, "n_estimators": base.n_estimators,
          "subsample": base.subsample, "colsample_bytree": base.colsample_bytree}
         for k in top_k_values
     ]
-    res = evaluate_combinations(binned, fold_lists, combos, n_classes, positive_label, base)
-    pos = binned.df.sparkSession.createDataFrame(
-        [(i, k) for i, k in enumerate(top_k_values)], "position int, top_k int"
-    )
-    res = res.join(pos, res["top_k"].eqNullSafe(pos["top_k"])).drop(pos["top_k"])
+
+
+def shape_default_screen(results: DataFrame, top_k_values: tuple[int | None, ...]) -> DataFrame:
+    """G-10 output: input position (for stable ranking), labels and the metric summary."""
+    pos = results.sparkSession.createDataFrame([(i, k) for i, k in enumerate(top_k_values)], "position int, top_k int")
+    res = results.join(pos, results["top_k"].eqNullSafe(pos["top_k"])).drop(pos["top_k"])
     return res.select(
         "position", "top_k", F.lit("default_xgboost").alias("model_type"),
         F.lit("xgboost_defaults").alias("hyperparameter_setup"),
@@ -213,6 +210,19 @@ def default_screen(
     )
 
 
+def default_screen(
+    binned: Binned,
+    fold_lists: dict[int, list[str]],
+    top_k_values: tuple[int | None, ...],
+    n_classes: int,
+    positive_label: int | None,
+    base: BoostParams = BoostParams(),
+) -> DataFrame:
+    """G-10: default parameters for every feature count; position kept for stable ranking."""
+    res = evaluate_combinations(binned, fold_lists, default_combinations(top_k_values, base), n_classes, positive_label, base)
+    return shape_default_screen(res, top_k_values)
+
+
 def run_grid_search(
     binned: Binned,
     fold_lists: dict[int, list[str]],
@@ -225,11 +235,15 @@ def run_grid_search(
     signature: str | None = None,
     batch_size: int | None = None,
     max_batches: int | None = None,
-) -> DataFrame:
+    extra_combos: list[dict] | None = None,
+):
     """G-11: evaluate pending combinations in batches, append each batch, resume by anti join.
 
     Returns the ranked grid (G-12) once every combination is complete; raises (G-7)
     while combinations remain (e.g. when ``max_batches`` stopped the run early).
+    ``extra_combos`` (e.g. the default screen) train in the same jobs as the first
+    batch; they are not written to the progress table and are returned as a second
+    DataFrame: ``(ranked, extra_results)``.
     """
     spark = binned.df.sparkSession
     check_grid_top_k(grid)
@@ -247,17 +261,29 @@ def run_grid_search(
     size = batch_size or config.progress_every
     start_seq = read_progress(spark, progress_path, signature).agg(F.max("seq")).first()[0]
     batch_no = ((start_seq or 0) >> 40) + 1
+    extra = list(extra_combos or [])
+    extra_rows = None
     for i, start in enumerate(range(0, len(pending), size)):
         if max_batches is not None and i >= max_batches:
             break
-        rows = evaluate_combinations(binned, fold_lists, pending[start : start + size], n_classes, positive_label, base)
-        append_progress(rows.withColumn("status", F.lit("completed")), progress_path, signature, batch_no << 40)
+        batch = pending[start : start + size]
+        rows = evaluate_combinations(
+            binned, fold_lists, batch + extra, n_classes, positive_label, base, keep_index=True
+        )
+        if extra:
+            extra_rows = reliable_checkpoint(rows.where(F.col("_combo") >= len(batch)).drop("_combo"))
+            extra = []
+        grid_rows = rows.where(F.col("_combo") < len(batch)).drop("_combo")
+        append_progress(grid_rows.withColumn("status", F.lit("completed")), progress_path, signature, batch_no << 40)
         batch_no += 1
+    if extra:  # nothing was pending (fully resumed): evaluate the extras alone
+        extra_rows = evaluate_combinations(binned, fold_lists, extra, n_classes, positive_label, base)
     final = latest_within_grid(read_progress(spark, progress_path, signature), combos)
     remaining = pending_combinations(combos, final).count()
     if remaining:
         raise RuntimeError(f"Grid search checkpoint is incomplete. {remaining} combinations remain.")
-    return rank_grid(final.drop("seq", "signature"), config.selection_metric)
+    ranked = rank_grid(final.drop("seq", "signature"), config.selection_metric)
+    return ranked if extra_combos is None else (ranked, extra_rows)
 
 
 def oof_predictions(
@@ -285,5 +311,5 @@ def oof_predictions(
 __all__ = [
     "grid_combinations", "grid_key", "check_grid_top_k", "latest_within_grid", "pending_combinations",
     "dataset_fingerprint", "configuration_signature", "fit_plan", "fold_feature_lists", "evaluate_combinations",
-    "default_screen", "run_grid_search", "oof_predictions", "bin_features",
+    "default_screen", "default_combinations", "shape_default_screen", "run_grid_search", "oof_predictions", "bin_features",
 ]

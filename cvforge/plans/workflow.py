@@ -20,7 +20,13 @@ from cvforge.operators.report import (
     rank_defaults,
     screened_feature_count,
 )
-from cvforge.operators.search import default_screen, fold_feature_lists, oof_predictions, run_grid_search
+from cvforge.operators.search import (
+    default_combinations,
+    fold_feature_lists,
+    oof_predictions,
+    run_grid_search,
+    shape_default_screen,
+)
 from cvforge.plans.prepare import Prepared
 from cvforge.session import reliable_checkpoint
 from cvforge.spec import BoostParams, GridSpec, RunConfig
@@ -62,15 +68,17 @@ def run_workflow(
     binned = bin_features(p.folded, p.features, p.target, max_bin=max_bin)
     binned = Binned(reliable_checkpoint(binned.df), binned.thresholds, binned.features, binned.missing_bin)
 
-    defaults = rank_defaults(
-        default_screen(binned, lists, grid.normalized_top_k(), p.n_classes, tenc.positive_label, base),
-        config.selection_metric,
+    # the default screen (G-10) trains in the same jobs as the grid's first batch
+    top_k_values = grid.normalized_top_k()
+    ranked, default_rows = run_grid_search(
+        binned, lists, grid, p.n_classes, tenc.positive_label, config, base, progress_path,
+        extra_combos=default_combinations(top_k_values, base),
     )
-    defaults = reliable_checkpoint(defaults)
-    screened = screened_feature_count(defaults, config.selection_metric)
-    ranked = reliable_checkpoint(
-        run_grid_search(binned, lists, grid, p.n_classes, tenc.positive_label, config, base, progress_path)
+    ranked = reliable_checkpoint(ranked)
+    defaults = reliable_checkpoint(
+        rank_defaults(shape_default_screen(default_rows, top_k_values), config.selection_metric)
     )
+    screened = screened_feature_count(defaults, config.selection_metric)
     by_count = best_by_feature_count(ranked, config.selection_metric)
     comparison = reliable_checkpoint(default_vs_grid(by_count, defaults, config.selection_metric))
     main, supporting = four_setup_summaries(comparison, len(p.features))
