@@ -253,13 +253,25 @@ def final_feature_set(frequency: DataFrame, top_k: int | None) -> DataFrame:
 
 
 def fold_selection_table(
-    fold_ig: DataFrame, folded: DataFrame, top_k: int | None, fold_col: str = "fold"
+    fold_ig: DataFrame,
+    folded: DataFrame,
+    top_k: int | None,
+    fold_col: str = "fold",
+    feature_order: Sequence[str] | None = None,
 ) -> DataFrame:
-    """I-9: fold, train_samples, test_samples, selected_feature_count, selected_features (rank order)."""
+    """I-9: fold, train_samples, test_samples, selected_feature_count, selected_features.
+
+    Top-k selections list features in rank order; ``all`` lists them in column order
+    (``feature_order``) when given.
+    """
     sizes = folded.groupBy(F.col(fold_col).alias("fold")).agg(F.count(F.lit(1)).alias("test_samples"))
     total = F.sum("test_samples").over(Window.partitionBy(F.lit(1)))
     sizes = sizes.select("fold", (total - F.col("test_samples")).alias("train_samples"), "test_samples")
-    sel = selected_features(fold_ig, top_k).groupBy("fold").agg(
+    chosen = selected_features(fold_ig, top_k)
+    if top_k is None and feature_order:
+        position = F.create_map(*[x for i, f in enumerate(feature_order) for x in (F.lit(f), F.lit(i + 1))])
+        chosen = chosen.withColumn("rank", F.element_at(position, F.col("feature")))
+    sel = chosen.groupBy("fold").agg(
         F.count(F.lit(1)).alias("selected_feature_count"),
         F.array_join(
             F.transform(F.array_sort(F.collect_list(F.struct("rank", "feature"))), lambda s: s["feature"]), ", "

@@ -107,9 +107,9 @@ def export_results(
             "label_mapping": p.encoded.target.mapping,
         },
         "best_params": {k: ("all" if (k == "top_k" and v is None) else v) for k, v in w.best_params.items()},
-        "selected_features": [r["feature"] for r in w.selection_frequency.orderBy("rank").collect()][
-            : (w.best_params["top_k"] or len(p.features))
-        ],
+        "selected_features": list(p.features)
+        if w.best_params["top_k"] is None
+        else [r["feature"] for r in w.selection_frequency.orderBy("rank").collect()][: w.best_params["top_k"]],
     }
     path = f"{out}/run_metadata"
     write_metadata(spark, metadata, path)

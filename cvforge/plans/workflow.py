@@ -120,7 +120,7 @@ def run_workflow(
         final_supporting=final_supporting,
         predictions=prediction_table(probs, tenc.classes),
         fold_metrics=fold_metrics,
-        fold_selection=fold_selection_table(fold_ig, p.folded, best["top_k"]),
+        fold_selection=fold_selection_table(fold_ig, p.folded, best["top_k"], feature_order=p.features),
         selection_frequency=selection_frequency(fold_ig, best["top_k"], p.k),
         oof_scores=oof_scores,
         best_params=best,

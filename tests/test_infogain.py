@@ -110,3 +110,14 @@ def test_hot_value_is_combined_map_side(spark):
     plan = ig._jdf.queryExecution().executedPlan().toString()
     assert "partial_count" in plan
     assert ig.count() == 5
+
+
+def test_fold_selection_all_uses_column_order(spark, table):
+    from cvforge.operators.infogain import fold_selection_table
+
+    _, df = table
+    ig = fold_information_gain(df, ["a", "b", "c"], "y", 2, 5)
+    rows = fold_selection_table(ig, df, None, feature_order=["c", "a", "b"]).collect()
+    assert all(r["selected_features"] == "c, a, b" and r["selected_feature_count"] == 3 for r in rows)
+    top = fold_selection_table(ig, df, 1).collect()
+    assert all(r["selected_features"] == "a" for r in top)
