@@ -50,7 +50,7 @@ _PREPARED: dict[tuple, Prepared] = {}
 
 def prepared(spark: SparkSession, sf_dir: str, name: str, k: int = 10) -> Prepared:
     """Prepare (clean, encode, fold) a binding once per session and input folder."""
-    key = (id(spark), sf_dir.rstrip("/"), name, k)
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name, k)
     if key not in _PREPARED:
         _PREPARED[key] = prepare(BINDINGS[name](spark, sf_dir), k=k, materialize=True)
     return _PREPARED[key]
@@ -415,7 +415,7 @@ _WORKFLOWS: dict[tuple, object] = {}
 def workflow(spark: SparkSession, sf_dir: str):
     from cvforge.plans.workflow import run_workflow
 
-    key = (id(spark), sf_dir.rstrip("/"))
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
     if key not in _WORKFLOWS:
         grid, base = _workflow_config()
         _WORKFLOWS[key] = run_workflow(prepared(spark, sf_dir, WORKFLOW_DATASET), grid, base=base)
