@@ -444,7 +444,10 @@ def train(
         tree_rows,
         "model_id int, round int, tree int, node int, is_leaf boolean, fi int, bin int, gain double, value double",
     )
-    trees = trees.join(F.broadcast(binned.thresholds), ["fi", "bin"], "left").select(
+    # histogram cut points are bounded (features x max_bin) and broadcast; exact-mode
+    # thresholds are one row per distinct value, so the planner chooses the join there
+    thresholds = binned.thresholds if binned.missing_bin is not None else F.broadcast(binned.thresholds)
+    trees = trees.join(thresholds, ["fi", "bin"], "left").select(
         "model_id", "round", "tree", "node", "is_leaf", "fi",
         F.when(F.col("fi").isNotNull(), F.element_at(F.array(*[F.lit(f) for f in binned.features]), F.col("fi") + 1)).alias(
             "feature"
