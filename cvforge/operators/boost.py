@@ -483,3 +483,75 @@ def probabilities(state: DataFrame, n_classes: int, keys: tuple[str, ...] = ("mo
         lambda acc, k: F.when(F.element_at("probability", k + 1) > F.element_at("probability", acc + 1), k).otherwise(acc),
     )
     return out.withColumn("pred", best.cast("int"))
+
+
+def predict(
+    trees: DataFrame,
+    rows: DataFrame,
+    features: list[str],
+    models: list[ModelSpec],
+    n_classes: int,
+    keys: tuple[str, ...] = ("row_id",),
+) -> DataFrame:
+    """B-7 on new rows: route raw feature values through a tree table (``value < threshold``
+    goes left, missing goes right) and return ``(model_id, keys..., probability, pred)``.
+
+    The tree table is model parameters (bounded by models x rounds x 2^(depth+1) rows),
+    so it is collected once and shipped to the tasks; rows are scored per Arrow batch
+    with vectorised numpy in ``mapInPandas``, partitioned and shuffled by Spark.
+    """
+    import numpy as np
+    import pandas as pd
+
+    n_trees = 1 if n_classes == 2 else n_classes
+    table: dict[int, list[tuple[int, dict[int, tuple]]]] = {}
+    grouped: dict[tuple[int, int, int], dict[int, tuple]] = {}
+    for t in trees.select("model_id", "round", "tree", "node", "is_leaf", "fi", "threshold", "value").collect():
+        grouped.setdefault((t["model_id"], t["round"], t["tree"]), {})[t["node"]] = (
+            t["is_leaf"], t["fi"], t["threshold"], t["value"]
+        )
+    for (mid, rnd, tree), nodes in sorted(grouped.items()):
+        table.setdefault(mid, []).append((tree, nodes))
+    base = {}
+    for m in models:
+        bs = m.params.base_score
+        base[m.model_id] = math.log(bs / (1 - bs)) if n_trees == 1 else 0.0
+    model_ids = [m.model_id for m in models]
+
+    def score(batches):
+        for pdf in batches:
+            x = pdf[features].to_numpy(dtype="float64")
+            n = len(pdf)
+            for mid in model_ids:
+                margin = np.full((n, n_trees), base[mid])
+                for tree, nodes in table.get(mid, []):
+                    node = np.zeros(n, dtype=np.int64)
+                    done = np.zeros(n, dtype=bool)
+                    value = np.zeros(n)
+                    while not done.all():
+                        for nd in np.unique(node[~done]):
+                            at = (node == nd) & ~done
+                            leaf, fi, thr, val = nodes.get(int(nd), (True, None, None, 0.0))
+                            if leaf:
+                                value[at] = val
+                                done[at] = True
+                            else:
+                                go_left = x[at, fi] < thr  # NaN compares False: missing goes right
+                                node[at] = np.where(go_left, 2 * nd + 1, 2 * nd + 2)
+                    margin[:, tree] += value
+                if n_trees == 1:
+                    p1 = 1.0 / (1.0 + np.exp(-margin[:, 0]))
+                    prob = np.stack([1.0 - p1, p1], axis=1)
+                else:
+                    e = np.exp(margin - margin.max(axis=1, keepdims=True))
+                    prob = e / e.sum(axis=1, keepdims=True)
+                out = pdf[list(keys)].copy()
+                out.insert(0, "model_id", mid)
+                out["probability"] = list(prob)
+                out["pred"] = prob.argmax(axis=1).astype("int32")
+                yield out
+
+    key_types = ", ".join(f"{k} {rows.schema[k].dataType.simpleString()}" for k in keys)
+    schema = f"model_id int, {key_types}, probability array<double>, pred int"
+    cols = [col(k) for k in keys] + [col(f).cast("double").alias(f) for f in features]
+    return rows.select(*cols).mapInPandas(score, schema)

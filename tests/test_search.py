@@ -167,3 +167,20 @@ def test_trainer_matches_numpy_reference(spark, small, subtract):
     b = np.array(bd["b"].tolist())
     expect = _numpy_boost(b, bd["y"].to_numpy(), (bd["fold"] != 2).to_numpy(), 3, 3, 0.3)
     assert np.allclose(got.to_numpy(), expect, atol=1e-9)
+
+
+@pytest.mark.parametrize("n_classes", [2, 3])
+def test_predict_reproduces_training_margins(spark, small, n_classes):
+    from cvforge.operators.boost import predict
+
+    df = small if n_classes == 2 else small.withColumn("y", (F.col("row_id") % 3).cast("int"))
+    binned = bin_features(df, ["a", "b"], "y", max_bin=16)
+    models = [ModelSpec(1, 1, (0, 1), BoostParams(n_estimators=2, max_depth=2, colsample_bytree=0.5)),
+              ModelSpec(2, None, (0, 1), BoostParams(n_estimators=3, max_depth=3))]
+    res = train(binned, models, n_classes)
+    want = probabilities(res.state, n_classes).select("model_id", "row_id", "probability", "pred").toPandas()
+    got = predict(res.trees, df, ["a", "b"], models, n_classes).toPandas()
+    m = want.merge(got, on=["model_id", "row_id"], suffixes=("_w", "_g"))
+    assert len(m) == len(want) == 600
+    assert np.allclose(np.stack(m["probability_w"]), np.stack(m["probability_g"]), atol=1e-12)
+    assert (m["pred_w"] == m["pred_g"]).all()
