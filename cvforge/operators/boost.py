@@ -183,8 +183,14 @@ def row_sampled(seed: int, round_no: int, rate: Column) -> Column:
 # ---- B-1 .. B-7: training ------------------------------------------------------------------
 
 
-def init_state(binned: Binned, models: list[ModelSpec], n_classes: int) -> DataFrame:
-    """Every row for every model; ``tree`` indexes the class for softmax models."""
+STATE_COLS = ("model_id", "tree", "row_id", "in_train", "margin")
+
+
+def init_state(rows: DataFrame, models: list[ModelSpec], n_classes: int) -> DataFrame:
+    """Narrow per-model state: every row for every model (``tree`` = class for softmax).
+
+    Bins, labels and folds stay in the shared rows table and are joined back per round.
+    """
     n_trees = 1 if n_classes == 2 else n_classes
     fold_of = {m.model_id: (m.fold if m.fold is not None else -1) for m in models}
     base = {}
@@ -192,18 +198,21 @@ def init_state(binned: Binned, models: list[ModelSpec], n_classes: int) -> DataF
         bs = m.params.base_score
         base[m.model_id] = math.log(bs / (1 - bs)) if n_trees == 1 else 0.0
     ids = F.array(*[F.lit(m.model_id) for m in models])
-    st = binned.df.select("row_id", "fold", "y", "b", F.explode(ids).alias("model_id"))
-    st = st.select(
+    st = rows.select("row_id", "fold", F.explode(ids).alias("model_id"))
+    return st.select(
         "model_id",
         F.explode(F.sequence(F.lit(0), F.lit(n_trees - 1))).alias("tree"),
         "row_id",
-        "fold",
-        "y",
-        "b",
         (F.col("fold") != _lookup(fold_of, F.col("model_id"), "int")).alias("in_train"),
         _lookup(base, F.col("model_id"), "double").alias("margin"),
     )
-    return st
+
+
+def _with_rows(state: DataFrame, rows: DataFrame) -> DataFrame:
+    """Join the bins, label and fold back to the narrow state. ``rows`` is cached and
+    hash-partitioned by row_id, so only the state side moves; the hash table per task
+    holds one partition of rows."""
+    return state.join(rows.hint("shuffle_hash"), "row_id")
 
 
 def _gradients(st: DataFrame, models: list[ModelSpec], n_trees: int) -> DataFrame:
@@ -297,8 +306,11 @@ def train(
     if subtract is None:
         cells = binned.rows() * n_trees * sum(len(m.features) for m in models)
         subtract = cells >= SUBTRACT_MIN_CELLS
-    # one explode over the checkpointed binned table: short lineage, no write needed
-    state = init_state(binned, models, n_classes)
+    # bins stored once, co-located by row_id; recomputed deterministically from the
+    # checkpointed binned table if a cached partition is lost
+    row_table = binned.df.select("row_id", "fold", "y", "b").repartition("row_id").persist()
+    # one explode over the rows table: short lineage, no write needed
+    state = init_state(row_table, models, n_classes)
     tree_rows: list[tuple] = []
     snaps: list[DataFrame] = []
     record_rounds = record_rounds or {}
@@ -311,7 +323,7 @@ def train(
         allow_map = F.create_map(
             *[x for k, v in allowed.items() for x in (F.lit(k), F.array(*[F.lit(i) for i in v]))]
         )
-        st = _gradients(state, models, n_trees)
+        st = _gradients(_with_rows(state, row_table), models, n_trees)
         st = st.withColumn(
             "_act", F.col("in_train") & F.col("model_id").isin(*live_ids) & row_sampled(seed, r, sub)
         ).withColumn("node", F.lit(0)).withColumn("_leaf", F.lit(False))
@@ -423,7 +435,7 @@ def train(
         ldf = F.broadcast(spark.createDataFrame(leaves or [(-1, 0, 0, 0.0)], "model_id int, tree int, node int, _lv double"))
         upd = st.join(ldf, ["model_id", "tree", "node"], "left").withColumn(
             "margin", F.col("margin") + F.coalesce(F.col("_lv"), F.lit(0.0))
-        ).select("model_id", "tree", "row_id", "fold", "y", "b", "in_train", "margin")
+        ).select(*STATE_COLS)
         if r % checkpoint_every == 0 or r == max_rounds:
             new_state = reliable_checkpoint(upd)
         else:
@@ -436,7 +448,7 @@ def train(
         rec = [mid for mid, rounds in record_rounds.items() if r in rounds]
         if rec:
             snaps.append(
-                state.where(F.col("model_id").isin(*rec)).select(
+                _with_rows(state.where(F.col("model_id").isin(*rec)), row_table).select(
                     "model_id", F.lit(r).alias("round"), "tree", "row_id", "fold", "y", "in_train", "margin"
                 )
             )
@@ -459,7 +471,8 @@ def train(
         snapshots = snaps[0]
         for s in snaps[1:]:
             snapshots = snapshots.unionByName(s)
-    return TrainResult(trees, state, snapshots, n_trees)
+    full = _with_rows(state, row_table).select("model_id", "tree", "row_id", "fold", "y", "b", "in_train", "margin")
+    return TrainResult(trees, full, snapshots, n_trees)
 
 
 def probabilities(state: DataFrame, n_classes: int, keys: tuple[str, ...] = ("model_id", "row_id")) -> DataFrame:
