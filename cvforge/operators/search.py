@@ -313,3 +313,24 @@ __all__ = [
     "dataset_fingerprint", "configuration_signature", "fit_plan", "fold_feature_lists", "evaluate_combinations",
     "default_screen", "default_combinations", "shape_default_screen", "run_grid_search", "oof_predictions", "bin_features",
 ]
+
+
+def default_model_report(
+    binned: Binned,
+    fold_lists: dict[int, list[str]],
+    top_k: int | None,
+    n_classes: int,
+    positive_label: int | None,
+    base: BoostParams = BoostParams(),
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """G-24: default parameters for one feature count -> (fold metrics, fold means, pooled OOF scores)."""
+    from cvforge.operators.metrics import classification_scores
+
+    params = {"top_k": top_k, "learning_rate": base.learning_rate, "max_depth": base.max_depth,
+              "n_estimators": base.n_estimators, "subsample": base.subsample, "colsample_bytree": base.colsample_bytree}
+    probs = oof_predictions(binned, fold_lists, params, n_classes, base)
+    pos = positive_label if positive_label is not None else 1
+    scored = probs.select("fold", "y", "pred", F.element_at("probability", pos + 1).alias("score"))
+    score = "score" if n_classes == 2 else None
+    fm = fold_metric_table(scored, n_classes, positive_label, score=score)
+    return fm, fold_summary(fm), classification_scores(scored, [], n_classes, positive_label, score=score)

@@ -98,3 +98,12 @@ def test_format_decimal(spark):
     df = spark.createDataFrame([(0.5,), (1.23456,), (-0.00001,), (2.0,)], "x double")
     got = [r[0] for r in df.select(format_decimal(F.col("x"))).collect()]
     assert got == ["0.5", "1.2346", "0", "2"]
+
+
+def test_auc_of_complement_score(spark):
+    random.seed(3)
+    data = [(random.randint(0, 1), round(random.random(), 2)) for _ in range(400)]
+    df = spark.createDataFrame([(y, s, 0) for y, s in data], "y int, score double, pred int")
+    a = classification_scores(df, [], 2, 1).first()["roc_auc"]
+    b = classification_scores(df.withColumn("score", 1 - F.col("score")), [], 2, 1).first()["roc_auc"]
+    assert a + b == pytest.approx(1.0, abs=1e-12)

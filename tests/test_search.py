@@ -184,3 +184,27 @@ def test_predict_reproduces_training_margins(spark, small, n_classes):
     assert len(m) == len(want) == 600
     assert np.allclose(np.stack(m["probability_w"]), np.stack(m["probability_g"]), atol=1e-12)
     assert (m["pred_w"] == m["pred_g"]).all()
+
+
+def test_parameter_ranges_raise():
+    from cvforge.spec import RunConfig
+
+    for bad in ({"learning_rate": 0}, {"max_depth": 0}, {"subsample": 1.5}, {"colsample_bytree": 0}, {"max_bin": 1}):
+        with pytest.raises(ValueError):
+            BoostParams(**bad)
+    with pytest.raises(ValueError):
+        GridSpec(subsamples=(0.0,))
+    with pytest.raises(ValueError):
+        RunConfig(cv_splits=1)
+    with pytest.raises(ValueError):
+        RunConfig(selection_metric="mcc")
+
+
+def test_default_model_report(spark, small):
+    from cvforge.operators.search import default_model_report
+
+    binned = bin_features(small, ["a", "b"], "y", max_bin=16)
+    fm, means, pooled = default_model_report(binned, {f: ["a", "b"] for f in (1, 2, 3)}, 1, 2, 1,
+                                             BoostParams(n_estimators=2, max_depth=2))
+    assert fm.count() == 3 and means.count() == 1 and pooled.count() == 1
+    assert 0.5 < pooled.first()["accuracy"] <= 1.0
