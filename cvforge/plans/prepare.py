@@ -51,12 +51,20 @@ class Prepared:
 
 
 def prepare(binding: Binding, k: int = 10, seed: int = 42, clean: bool = True, materialize: bool = False) -> Prepared:
+    """Clean, validate, encode and assign folds.
+
+    With ``materialize`` the cleaned table is written once to the checkpoint folder, so
+    the validation queries (null target, classes, unknown categories, nominal domains)
+    and the fold assignment read it instead of each repeating the de-duplication
+    shuffle. The fold assignment writes its range-partitioned rows itself, so the
+    folded table has a short lineage without another write.
+    """
     raw = binding.raw
     spec = binding.spec
     cleaned = clean_dataset(raw) if clean else raw
+    if materialize:
+        cleaned = reliable_checkpoint(cleaned)
     features = split_features_target(cleaned, spec.target, spec.exclude)
     encoded = encode_features(cleaned, spec, features)
     folded = assign_folds(encoded.df, spec.key_cols, k=k, seed=seed)
-    if materialize:
-        folded = reliable_checkpoint(folded)
     return Prepared(binding, cleaned, encoded, folded, k, clean)
