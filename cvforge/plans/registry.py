@@ -460,3 +460,44 @@ def _mllib_fold_metrics(spark, sf_dir):
 
 
 register(f"mllib_baseline_fold_metrics_{WORKFLOW_DATASET}")(_mllib_fold_metrics)
+
+
+# ---- B-8 / G-21 / G-22 on the three-class orders binding (rows-only) -------------------
+
+_MULTICLASS: dict[tuple, object] = {}
+
+
+def _orders_oof(spark, sf_dir):
+    from cvforge.operators.boost import bin_features
+    from cvforge.operators.infogain import fold_information_gain
+    from cvforge.operators.search import fold_feature_lists, oof_predictions
+    from cvforge.spec import BoostParams
+
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    if key not in _MULTICLASS:
+        p = prepared(spark, sf_dir, "orders")
+        ig = fold_information_gain(p.folded, p.features, p.target, p.n_classes, p.k, roles=p.roles())
+        binned = bin_features(p.folded, p.features, p.target, max_bin=64)
+        params = {"top_k": None, "learning_rate": 0.3, "max_depth": 2, "n_estimators": 2, "subsample": 1.0,
+                  "colsample_bytree": 1.0}
+        probs = oof_predictions(binned, fold_feature_lists(ig), params, p.n_classes, BoostParams(n_estimators=2, max_depth=2))
+        _MULTICLASS[key] = (p, probs)
+    return _MULTICLASS[key]
+
+
+def _orders_predictions(spark, sf_dir):
+    from cvforge.operators.report import prediction_table
+
+    p, probs = _orders_oof(spark, sf_dir)
+    return prediction_table(probs, p.encoded.target.classes)
+
+
+def _orders_fold_metrics(spark, sf_dir):
+    from cvforge.operators.metrics import fold_metric_table
+
+    p, probs = _orders_oof(spark, sf_dir)
+    return fold_metric_table(probs.select("fold", "y", "pred"), p.n_classes, p.encoded.target.positive_label, score=None)
+
+
+register("oof_predictions_orders")(_orders_predictions)
+register("oof_fold_metrics_orders")(_orders_fold_metrics)
