@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from cvforge.functions.columns import round_metric_columns
 from cvforge.operators.audit import cleaning_stats

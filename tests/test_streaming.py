@@ -1,4 +1,3 @@
-from pyspark.sql import functions as F
 
 from cvforge.sources.progress import append_progress
 from cvforge.spec import REPORT_METRICS

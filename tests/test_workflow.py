@@ -3,7 +3,6 @@ import os
 
 from pyspark.sql import functions as F
 
-from cvforge.operators.audit import clean_dataset
 from cvforge.plans.datasets import Binding
 from cvforge.plans.export import OUTPUT_NAMES, export_results
 from cvforge.plans.prepare import prepare
