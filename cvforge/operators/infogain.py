@@ -148,7 +148,8 @@ def _rank_table(
     )
     # one row per fold: the broadcast is bounded by K
     joined = per_feature.join(F.broadcast(fold_stats), "fold")
-    cond = F.when(F.col("_n") > 0, -F.col("_s") / F.col("_n")).otherwise(F.lit(0.0))
+    # 0 - s rather than -s: an all-zero sum must give +0.0, never -0.0
+    cond = F.when(F.col("_n") > 0, (F.lit(0.0) - F.col("_s")) / F.col("_n")).otherwise(F.lit(0.0))
     role_map = roles or {}
     role = (
         F.element_at(F.create_map(*[x for k, v in role_map.items() for x in (F.lit(k), F.lit(v))]), F.col("feature"))

@@ -99,8 +99,8 @@ tot AS (SELECT fold, sum(n) AS n_train FROM cls GROUP BY ALL),
 hy AS (SELECT cls.fold, tot.n_train, -sum(cls.n * log2(cls.n / tot.n_train)) / tot.n_train AS h FROM cls JOIN tot ON cls.fold = tot.fold GROUP BY cls.fold, tot.n_train),
 ig AS (
   SELECT cond.fold, cond.feature, {b.role_case('cond.feature')} AS role,
-         hy.h - (-cond.s / hy.n_train) AS information_gain, hy.h AS target_entropy,
-         -cond.s / hy.n_train AS conditional_entropy, vc.value_count AS feature_value_count
+         hy.h - (0.0 - cond.s) / hy.n_train AS information_gain, hy.h AS target_entropy,
+         (0.0 - cond.s) / hy.n_train AS conditional_entropy, vc.value_count AS feature_value_count
   FROM cond JOIN hy ON cond.fold = hy.fold JOIN vc ON vc.fold = cond.fold AND vc.feature = cond.feature),
 ranked AS (
   SELECT *, CAST(row_number() OVER (PARTITION BY fold ORDER BY ROUND(information_gain, 12) DESC, feature ASC) AS INTEGER) AS rank
