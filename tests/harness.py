@@ -23,6 +23,8 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return None
+        if v == 0 and math.copysign(1.0, v) < 0:
+            return "-0.0"  # a text hash would tell -0.0 from 0.0
         return float(v)
     return v
 
