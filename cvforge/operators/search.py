@@ -155,7 +155,14 @@ def evaluate_combinations(
                 mapping.append((mid, combos[ci]["n_estimators"], ci))
     n_trees = 1 if n_classes == 2 else n_classes
     n_rows = n_rows or binned.rows()
-    per_batch = max(len(folds), (max_state_rows // max(1, n_rows * n_trees)) // len(folds) * len(folds))
+    # batch size: state rows (rows x models x trees) and the per-level split table
+    # (models x trees x 2^depth) must both stay within their bounds
+    from cvforge.operators.boost import MAX_SPLIT_ROWS
+
+    deepest = max(m.params.max_depth for m in models)
+    by_state = max_state_rows // max(1, n_rows * n_trees)
+    by_splits = MAX_SPLIT_ROWS // (n_trees * 2 ** deepest)
+    per_batch = max(len(folds), min(by_state, by_splits) // len(folds) * len(folds))
     snaps = []
     for start in range(0, len(models), per_batch):
         batch = models[start : start + per_batch]
