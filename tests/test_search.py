@@ -111,14 +111,20 @@ def test_softmax_booster_three_classes(spark):
     assert len(oof) == 100 and set(oof["pred"]) <= {0, 1, 2}
 
 
-def _numpy_boost(b, y, train, rounds, depth, lr, lam=1.0, mcw=1.0):
+def _soft(g, alpha):
+    return np.sign(g) * max(abs(g) - alpha, 0.0)
+
+
+def _numpy_boost(b, y, train, rounds, depth, lr, lam=1.0, mcw=1.0, alpha=0.0, gamma=0.0, spw=1.0):
     """Reference: same second-order greedy algorithm over bins, in numpy."""
     n, m = b.shape
     margin = np.zeros(n)
+    w = np.where(y == 1, spw, 1.0)
+    score = lambda G, H: _soft(G, alpha) ** 2 / (H + lam)
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-margin))
-        g = p - y
-        h = np.maximum(p * (1 - p), 1e-16)
+        g = (p - y) * w
+        h = np.maximum(p * (1 - p), 1e-16) * w
         node = np.zeros(n, dtype=int)
         open_nodes = {0}
         leaf_val = {}
@@ -135,12 +141,12 @@ def _numpy_boost(b, y, train, rounds, depth, lr, lam=1.0, mcw=1.0):
                         GR, HR = G - GL, H - HL
                         if HL < mcw or HR < mcw or HL <= 0 or HR <= 1e-12:
                             continue
-                        gain = 0.5 * (GL * GL / (HL + lam) + GR * GR / (HR + lam) - G * G / (H + lam))
+                        gain = 0.5 * (score(GL, HL) + score(GR, HR) - score(G, H)) - gamma
                         key = (-round(gain, 12), fi, s)
                         if best is None or key < best[0]:
                             best = (key, fi, s, gain, GL, HL)
                 if best is None or best[3] <= 0:
-                    leaf_val[nd] = -G / (H + lam) * lr
+                    leaf_val[nd] = -_soft(G, alpha) / (H + lam) * lr
                     continue
                 _, fi, s, _, GL, HL = best
                 here = node == nd
@@ -148,8 +154,8 @@ def _numpy_boost(b, y, train, rounds, depth, lr, lam=1.0, mcw=1.0):
                 node[here] = 2 * nd + 1
                 node[right] = 2 * nd + 2
                 if d + 1 >= depth:
-                    leaf_val[2 * nd + 1] = -GL / (HL + lam) * lr
-                    leaf_val[2 * nd + 2] = -(G - GL) / (H - HL + lam) * lr
+                    leaf_val[2 * nd + 1] = -_soft(GL, alpha) / (HL + lam) * lr
+                    leaf_val[2 * nd + 2] = -_soft(G - GL, alpha) / (H - HL + lam) * lr
                 else:
                     nxt |= {2 * nd + 1, 2 * nd + 2}
             open_nodes = nxt
@@ -208,3 +214,27 @@ def test_default_model_report(spark, small):
                                              BoostParams(n_estimators=2, max_depth=2))
     assert fm.count() == 3 and means.count() == 1 and pooled.count() == 1
     assert 0.5 < pooled.first()["accuracy"] <= 1.0
+
+
+@pytest.mark.parametrize(
+    "kw",
+    [
+        {"reg_alpha": 0.5},
+        {"gamma": 0.3},
+        {"min_child_weight": 8.0},
+        {"scale_pos_weight": 2.5, "reg_lambda": 0.5},
+    ],
+)
+def test_trainer_regularisation_matches_numpy(spark, small, kw):
+    binned = bin_features(small, ["a", "b"], "y", max_bin=16)
+    params = BoostParams(n_estimators=2, max_depth=3, learning_rate=0.3, **kw)
+    res = train(binned, [ModelSpec(3, 1, (0, 1), params)], 2)
+    got = res.state.select("row_id", "margin").toPandas().set_index("row_id")["margin"].sort_index()
+    bd = binned.df.toPandas().sort_values("row_id")
+    b = np.array(bd["b"].tolist())
+    expect = _numpy_boost(
+        b, bd["y"].to_numpy(), (bd["fold"] != 1).to_numpy(), 2, 3, 0.3,
+        lam=params.reg_lambda, mcw=params.min_child_weight, alpha=params.reg_alpha,
+        gamma=params.gamma, spw=params.scale_pos_weight,
+    )
+    assert np.allclose(got.to_numpy(), expect, atol=1e-9)
