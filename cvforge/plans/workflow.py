@@ -57,15 +57,16 @@ def run_workflow(
     grid: GridSpec,
     config: RunConfig = RunConfig(),
     base: BoostParams = BoostParams(),
-    max_bin: int | None = 256,
+    exact: bool = False,
     progress_path: str | None = None,
 ) -> WorkflowResult:
+    """Histogram binning with ``base.max_bin`` cut points, or every distinct value with ``exact``."""
     tenc = p.encoded.target
     fold_ig = reliable_checkpoint(
         fold_information_gain(p.folded, p.features, p.target, p.n_classes, p.k, roles=p.roles(), nullable=p.nullable)
     )
     lists = fold_feature_lists(fold_ig)
-    binned = bin_features(p.folded, p.features, p.target, max_bin=max_bin)
+    binned = bin_features(p.folded, p.features, p.target, max_bin=None if exact else base.max_bin)
     binned = Binned(reliable_checkpoint(binned.df), binned.thresholds, binned.features, binned.missing_bin)
 
     # the default screen (G-10) trains in the same jobs as the grid's first batch
