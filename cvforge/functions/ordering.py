@@ -18,10 +18,12 @@ from cvforge.session import reliable_checkpoint
 _LOCAL_BITS = 33  # monotonically_increasing_id keeps the row index in the low 33 bits
 
 
-def _num_ranges(df: DataFrame, num_partitions: int | None) -> int:
+def _range_partition(df: DataFrame, num_partitions: int | None, *keys) -> DataFrame:
+    """Range-partition on ``keys``. Without an explicit count AQE may merge adjacent
+    ranges of small data; merged ranges stay contiguous, so per-range offsets hold."""
     if num_partitions:
-        return int(num_partitions)
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        return df.repartitionByRange(int(num_partitions), *keys)
+    return df.repartitionByRange(*keys)
 
 
 def with_global_position(
@@ -35,17 +37,16 @@ def with_global_position(
     Returns ``(rows, sizes)`` where ``sizes`` holds one row per range with the
     cumulative offset and the grand total (column ``_total``).
     """
-    parts = _num_ranges(df, num_partitions)
     # Range bounds come from sampling the input; read twice, two samples of a shuffled input
     # can disagree. Materialise the ranged rows once so sizes and rows share partition ids.
     ranged = reliable_checkpoint(
-        df.repartitionByRange(parts, *order_by)
+        _range_partition(df, num_partitions, *order_by)
         .sortWithinPartitions(*order_by)
         .withColumn("_pid", F.spark_partition_id())
         .withColumn("_local", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1)))
     )
     sizes = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    # one row per range: the window below runs over at most `parts` rows
+    # one row per range: the window below runs over at most the partition count
     w = Window.orderBy("_pid")
     sizes = sizes.select(
         "_pid",
@@ -70,10 +71,9 @@ def with_running_totals(
     split into balanced key ranges; a group may span many ranges, so a hot group
     never lands in a single task.
     """
-    parts = _num_ranges(df, num_partitions)
     keys = [F.col(c) for c in group_cols] + [F.col(order_col)]
     # materialised once: both branches below must see the same partition ids
-    ranged = reliable_checkpoint(df.repartitionByRange(parts, *keys).withColumn("_pid", F.spark_partition_id()))
+    ranged = reliable_checkpoint(_range_partition(df, num_partitions, *keys).withColumn("_pid", F.spark_partition_id()))
     local_w = (
         Window.partitionBy("_pid", *group_cols)
         .orderBy(order_col)
