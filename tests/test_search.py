@@ -238,3 +238,43 @@ def test_trainer_regularisation_matches_numpy(spark, small, kw):
         gamma=params.gamma, spw=params.scale_pos_weight,
     )
     assert np.allclose(got.to_numpy(), expect, atol=1e-9)
+
+
+def test_progress_last_write_wins_and_signature_filter(spark, tmp_dir):
+    from cvforge.operators.search import latest_within_grid, pending_combinations
+    from cvforge.sources.progress import append_progress, read_progress
+
+    grid = GridSpec(top_k=(None, 3), learning_rates=(0.1,), max_depths=(2,), n_estimators=(5,), subsamples=(1.0,), colsample_bytree=(1.0,))
+    combos = grid_combinations(spark, grid)
+    cols = ["top_k", "learning_rate", "max_depth", "n_estimators", "subsample", "colsample_bytree"]
+    schema = ", ".join(
+        ["top_k int", "learning_rate double", "max_depth int", "n_estimators int", "subsample double", "colsample_bytree double"]
+        + [f"{s}_cv_{m} double" for m in REPORT_METRICS for s in ("mean", "std")]
+        + ["status string"]
+    )
+
+    def rows(top_k, acc):
+        vals = []
+        for m in REPORT_METRICS:
+            vals += [acc if m == "accuracy" else 0.5, 0.0]
+        return spark.createDataFrame([(top_k, 0.1, 2, 5, 1.0, 1.0, *vals, "completed")], schema)
+
+    path = f"{tmp_dir}/progress"
+    append_progress(rows(None, 0.60), path, "sig-a", 1 << 40)
+    append_progress(rows(None, 0.70), path, "sig-a", 2 << 40)  # same key again: later write wins
+    append_progress(rows(3, 0.99), path, "sig-b", 3 << 40)  # another configuration
+    done = latest_within_grid(read_progress(spark, path, "sig-a"), combos)
+    got = done.collect()
+    assert len(got) == 1 and got[0]["top_k"] is None and got[0]["mean_cv_accuracy"] == 0.70
+    pending = pending_combinations(combos, done).select(*cols).collect()
+    assert [r["top_k"] for r in pending] == [3]  # sig-b's row does not count for sig-a
+
+
+def test_dataset_fingerprint_is_order_free(spark):
+    from cvforge.operators.search import dataset_fingerprint
+
+    df = spark.range(500).select((F.col("id") * 7 % 13).alias("a"), (F.col("id") % 5).cast("double").alias("b"))
+    same = dataset_fingerprint(df.repartition(7).orderBy(F.rand(3)))
+    assert dataset_fingerprint(df) == same
+    changed = df.withColumn("b", F.when(F.col("a") == 0, F.lit(9.0)).otherwise(F.col("b")))
+    assert dataset_fingerprint(changed) != same
