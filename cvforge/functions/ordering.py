@@ -45,14 +45,15 @@ def with_global_position(
         .withColumn("_pid", F.spark_partition_id())
         .withColumn("_local", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1)))
     )
-    sizes = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    # one row per range: the window below runs over at most the partition count
-    w = Window.orderBy("_pid")
-    sizes = sizes.select(
-        "_pid",
-        (F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, 0)) - F.col("_n")).alias("_offset"),
-        F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("_total"),
-    )
+    # one row per range (bounded by the partition count): collected once, so later reads of
+    # the result do not rescan the ranged rows to recount them
+    counts = sorted((r["_pid"], r["_n"]) for r in ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n")).collect())
+    total = sum(n for _, n in counts)
+    offsets, running = [], 0
+    for pid, n in counts:
+        offsets.append((pid, running, total))
+        running += n
+    sizes = df.sparkSession.createDataFrame(offsets or [(-1, 0, 0)], "_pid int, _offset long, _total long")
     rows = ranged.join(F.broadcast(sizes), "_pid").withColumn(name, F.col("_offset") + F.col("_local"))
     return rows.drop("_pid", "_local", "_offset"), sizes
 
