@@ -4,6 +4,7 @@ shared checkpoint folder."""
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -54,3 +55,14 @@ def reliable_checkpoint(df, eager: bool = True):
     """Cut lineage by writing ``df`` to the shared checkpoint folder (survives executor loss)."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=eager)
+
+
+def write_shared(df, name: str):
+    """Write ``df`` as Parquet under the shared checkpoint folder and read it back.
+
+    Cuts lineage like a checkpoint, but later scans prune columns and push filters down.
+    The folder belongs to this application's checkpoint folder and holds disposable data.
+    """
+    path = f"{checkpoint_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
