@@ -6,7 +6,8 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 ASCII_LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
@@ -39,3 +40,16 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int =
 def texts(batch: pa.RecordBatch, column: str = "text") -> list[str]:
     """Texts of a batch with null as the empty text."""
     return [t or "" for t in batch.column(column).to_pylist()]
+
+
+#: Digits, a-z and all bytes of non-ASCII characters are word bytes; A-Z are lower-cased.
+WORD_BYTES = bytes(b if b >= 0x80 or 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A else b + 32 if 0x41 <= b <= 0x5A else 0x20 for b in range(256))
+
+
+def words_of(text: str | None) -> list[bytes]:
+    return (text or "").encode("utf-8", "replace").translate(WORD_BYTES).split()
+
+
+def fold(doc_id: Column) -> Column:
+    """The fold of a document, 0 to 3: crc32 of its id as text, modulo 4. Fold 2 is held out."""
+    return F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(4))

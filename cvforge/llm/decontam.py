@@ -23,17 +23,9 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from cvforge.llm.common import id_text, slices
+from cvforge.llm.common import id_text, slices, words_of
 from cvforge.session import write_shared
 
-#: Digits, a-z and all bytes of non-ASCII characters are word bytes; A-Z are lower-cased.
-WORD_BYTES = bytes(b if b >= 0x80 or 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A else b + 32 if 0x41 <= b <= 0x5A else 0x20 for b in range(256))
-
-
-def words_of(text: str | None) -> list[bytes]:
-    return (text or "").encode("utf-8", "replace").translate(WORD_BYTES).split()
-
-
 def patterns_of(items: list[tuple[int | None, str | None]], window: int) -> dict[tuple[bytes, ...], set[str]]:
     """Each window of the items, with the ids of the items that hold it."""
     found: dict[tuple[bytes, ...], set[str]] = {}

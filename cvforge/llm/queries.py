@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cvforge.llm import langid, toxicity
 from cvforge.llm.bpe import decode, encode
-from cvforge.llm.common import read_table
+from cvforge.llm.common import fold, read_table
 from cvforge.llm.decontam import find_occurrences
 from cvforge.llm.oracles import ORACLES as ALL_ORACLES
 from cvforge.llm.url_filter import filter_urls
@@ -18,6 +19,13 @@ from cvforge.llm.warc import archive_round_trip
 TOKENIZER = "byte_bpe_multi_50k.tiktoken"
 
 
+def op2_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    profiles = langid.learn(docs.where(fold(F.col("doc_id")) != 2))
+    found = langid.predict(docs, profiles)
+    return found.select("doc_id", (fold(F.col("doc_id")) == 2).alias("held_out"), "lang_pred", "score")
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(TOKENIZER)
     ids = encode(read_table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
@@ -42,6 +50,18 @@ def op5_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    model = toxicity.learn(docs, read_table(spark, sf_dir, "labels"))
+    found = toxicity.score(docs, model)
+    return found.select(
+        "doc_id",
+        (fold(F.col("doc_id")) == 2).alias("held_out"),
+        "score",
+        F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"),
+    )
+
+
 def op9_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(read_table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
 
@@ -52,7 +72,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op3_bpe, op5_decontam, op9_urls, op10_warc)
+    for f in (op2_langid, op3_bpe, op5_decontam, op8_toxicity, op9_urls, op10_warc)
 }
 
 ORACLES: dict[str, str] = {k: v for k, v in ALL_ORACLES.items() if k in QUERIES}

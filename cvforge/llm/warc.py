@@ -33,26 +33,29 @@ MAGIC = "WARC/1.1\r\n"
 END = "\r\n\r\n"
 
 
-def plan_records(pages: DataFrame, id_col: str = "page_id", payload_col: str = "html", min_revisit: int = 100) -> DataFrame:
-    """Rows (page_id, payload, payload_bytes, payload_digest, record_type, refers_to)."""
+def plan_records(pages: DataFrame, id_col: str = "page_id", payload_col: str = "html", min_revisit: int = 100, small: int = 1_000_000) -> DataFrame:
+    """Rows (page_id, payload, payload_bytes, payload_digest, record_type, refers_to).
+
+    Equal payloads are found on ids and digests alone. The list of revisits is broadcast if it has at
+    most ``small`` rows (of about 100 bytes), so payloads need no shuffle; else both sides shuffle.
+    """
     rows = pages.select(pages[id_col].cast("long").alias("page_id"), F.coalesce(pages[payload_col].cast("string"), F.lit("")).alias("payload"))
     rows = rows.withColumns({"payload_bytes": F.octet_length("payload").cast("long"), "payload_digest": F.sha2(F.col("payload").cast("binary"), 256)})
-    firsts = (
-        rows.where(F.col("payload_bytes") >= min_revisit)
-        .groupBy(F.col("payload_digest").alias("first_digest"))
-        .agg(F.min("page_id").alias("first_id"), F.count("*").alias("copies"))
-        .where("copies > 1")
-        .drop("copies")
-    )
-    joined = rows.join(firsts, rows.payload_digest == firsts.first_digest, "left")
-    again = F.col("first_digest").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first_id"))
+    long_ones = rows.where(F.col("payload_bytes") >= min_revisit).select("page_id", "payload_digest")
+    firsts = long_ones.groupBy(F.col("payload_digest").alias("first_digest")).agg(F.min("page_id").alias("first_id"), F.count("*").alias("copies")).where("copies > 1")
+    again = long_ones.join(firsts, long_ones.payload_digest == firsts.first_digest).where(~F.col("page_id").eqNullSafe(F.col("first_id")))
+    again = write_shared(again.select(F.col("page_id").alias("r_id"), F.col("first_digest"), "first_id").distinct(), "warc-revisits")
+    if again.count() <= small:
+        again = F.broadcast(again)
+    joined = rows.join(again, rows.page_id.eqNullSafe(again.r_id) & (rows.payload_digest == again.first_digest), "left")
+    revisit = F.col("first_digest").isNotNull()
     return joined.select(
         "page_id",
         "payload",
         "payload_bytes",
         "payload_digest",
-        F.when(again, "revisit").otherwise("response").alias("record_type"),
-        F.when(again, F.col("first_id")).alias("refers_to"),
+        F.when(revisit, "revisit").otherwise("response").alias("record_type"),
+        F.when(revisit, F.col("first_id")).alias("refers_to"),
     )
 
 
@@ -91,8 +94,11 @@ def candidates(spark: SparkSession, path: str) -> DataFrame:
     ).withColumn("length", F.expr("try_cast({} as long)".format("regexp_extract(head, '(?:^|\\r\\n)Content-Length: ([0-9]+)(?:\\r\\n|$)', 1)")))
     body = F.substr("value", F.length("head") + F.lit(len(END) + 1))
     span = F.octet_length("head") + F.col("length") + F.lit(len(MAGIC) + 2 * len(END))
-    whole = F.coalesce(F.col("size") == span, F.lit(False))
     payload = F.substr(body, F.lit(1), F.length(body) - len(END))
+    digest = F.sha2(payload.cast("binary"), 256)
+    said = field("WARC-Payload-Digest", "sha256:([0-9a-f]+)")
+    revisit = field("WARC-Type", "([a-z]+)") == "revisit"
+    whole = F.coalesce((F.col("size") == span) & (revisit | (digest == said)), F.lit(False))
     return pieces.select(
         "file",
         "block",
@@ -101,10 +107,10 @@ def candidates(spark: SparkSession, path: str) -> DataFrame:
         span.cast("long").alias("span"),
         F.expr("try_cast(regexp_extract(head, '(?:^|\\r\\n)WARC-Record-ID: <urn:page:(-?[0-9]+)>(?:\\r\\n|$)', 1) as long)").alias("page_id"),
         field("WARC-Type", "([a-z]+)").alias("record_type"),
-        field("WARC-Payload-Digest", "sha256:([0-9a-f]+)").alias("payload_digest"),
+        said.alias("payload_digest"),
         F.expr("try_cast(regexp_extract(head, '(?:^|\\r\\n)X-Payload-Length: ([0-9]+)(?:\\r\\n|$)', 1) as long)").alias("payload_bytes"),
         F.expr("try_cast(regexp_extract(head, '(?:^|\\r\\n)WARC-Refers-To: <urn:page:(-?[0-9]+)>(?:\\r\\n|$)', 1) as long)").alias("refers_to"),
-        F.when(whole, F.sha2(payload.cast("binary"), 256)).alias("read_digest"),
+        F.when(whole, digest).alias("read_digest"),
         F.when(~whole, F.col("value")).alias("piece"),
     )
 
@@ -138,84 +144,71 @@ def chain_marks(starts: np.ndarray, nexts: np.ndarray, entry: int) -> np.ndarray
 
 def _exits(table: pa.Table) -> pa.Table:
     t = table.sort_by("start")
-    starts, nexts = t["start"].to_numpy(), t["next"].to_numpy()
     end = int(t["block_end"][0].as_py())
-    return pa.table({"file": t["file"], "start": t["start"], "exit": jump(starts, nexts, end)})
+    return pa.table({"file": t["file"], "start": t["start"], "exit": jump(t["start"].to_numpy(), t["next"].to_numpy(), end)})
 
 
-def _marks(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
+def _marks(left: pa.Table, right: pa.Table) -> pa.Table:
     t = left.sort_by("start")
-    if not t.num_rows or not right.num_rows:
-        return pa.table({"file": pa.array([], pa.string()), "start": pa.array([], pa.int64())})
-    marks = chain_marks(t["start"].to_numpy(), t["next"].to_numpy(), right["entry"][0].as_py())
-    return pa.table({"file": t["file"].filter(marks), "start": t["start"].filter(marks)})
+    if t.num_rows and right.num_rows:
+        marks = chain_marks(t["start"].to_numpy(), t["next"].to_numpy(), right["entry"][0].as_py())
+    else:
+        marks = np.zeros(t.num_rows, bool)
+    return t.select(["file", "block", "seq", "start", "next"]).filter(pa.array(marks, pa.bool_()))
 
 
 def reachable(index: DataFrame) -> DataFrame:
-    """(file, start) of the candidates that the chain from offset 0 of their file reaches.
+    """(file, block, seq, start, next) of the candidates that the chain from offset 0 of their file reaches.
 
-    ``index`` has file, block, block_end, start and next of every candidate. The files'
-    blocks are the input splits, so a task holds the narrow rows of one split.
+    ``index`` has file, block, seq, block_end, start and next of every candidate. The blocks are
+    the input splits of the files, so a task holds the narrow rows of one split.
     """
-    spark = index.sparkSession
-    links = index.select("file", "block", "block_end", "start", "next").where("next is not null")
-    many = links.agg(F.max("block")).first()[0]
-    entries = links.where("start = 0").select("file", "block", F.col("start").alias("entry"))
-    if many:  # files of several splits: which candidate does the chain enter each later split by?
-        hop = write_shared(links.groupBy("file", "block").applyInArrow(_exits, "file string, start long, exit long").where("exit >= 0"), "warc-hops")
+    links = index.where("next is not null").select("file", "block", "seq", "block_end", "start", "next")
+    entries = links.where("start = 0").select(F.col("file").alias("e_file"), F.col("block").alias("e_block"), F.col("start").alias("entry"))
+    if links.where("block > 0").limit(1).count():  # files of several splits: where does the chain enter each later split?
+        hop = links.groupBy("file", "block").applyInArrow(_exits, "file string, start long, exit long").where("exit >= 0")
+        hop = write_shared(hop, "warc-hops")
         found = hop.where("start = 0").select("file", F.col("exit").alias("at"))
         total = -1
         while (count := found.count()) > total:
             total = count
-            onward = found.join(hop, (found["file"] == hop["file"]) & (found["at"] == hop["start"])).select(found["file"], F.col("exit").alias("at"))
-            found = write_shared(found.union(onward).distinct(), "warc-found")
             a, b = hop.alias("a"), hop.alias("b")
-            hop = write_shared(
-                a.join(b, (F.col("a.file") == F.col("b.file")) & (F.col("a.exit") == F.col("b.start")), "left").select(
-                    "a.file", "a.start", F.coalesce("b.exit", "a.exit").alias("exit")
-                ),
-                "warc-hops",
-            )
-        later = found.join(links, (found["file"] == links["file"]) & (found["at"] == links["start"])).select(links["file"], links["block"], F.col("start").alias("entry"))
+            onward = found.alias("f").join(b, F.expr("f.file = b.file and f.at = b.start")).select("f.file", F.col("b.exit").alias("at"))
+            found = write_shared(found.union(onward).distinct(), "warc-found")
+            hop = a.join(b, F.expr("a.file = b.file and a.exit = b.start"), "left").select("a.file", "a.start", F.coalesce("b.exit", "a.exit").alias("exit"))
+            hop = write_shared(hop, "warc-hops")
+        later = found.alias("f").join(links.alias("l"), F.expr("f.file = l.file and f.at = l.start")).select("l.file", "l.block", "l.start")
         entries = entries.union(later)
-    return links.groupBy("file", "block").cogroup(entries.groupBy("file", "block")).applyInArrow(_marks, "file string, start long")
+    grouped = links.groupBy("file", "block").cogroup(entries.groupBy("e_file", "e_block"))
+    return grouped.applyInArrow(_marks, "file string, block long, seq long, start long, next long")
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
     """Records of all archives under ``path``: the columns of ``plan_records`` without the
-    payload, and ``read_digest``, the SHA-256 of the payload bytes found (empty for revisits)."""
+    payload, and ``read_digest``, the SHA-256 of the payload bytes found (of none for revisits;
+    null if the payload holds a whole record with its right digest, whose text is not kept)."""
     pieces = write_shared(candidates(spark, path), "warc-pieces")
-    blocks = pieces.groupBy("file", "block").agg(F.sum("size").alias("bytes"))
-    blocks = blocks.select(
-        "file",
-        "block",
-        (F.sum("bytes").over(W.partitionBy("file").orderBy("block")) - F.col("bytes")).alias("base"),
-        "bytes",
-    )
+    sizes = pieces.groupBy("file", "block").agg(F.sum("size").alias("bytes"))
+    sizes = sizes.withColumn("base", F.sum("bytes").over(W.partitionBy("file").orderBy("block")) - F.col("bytes"))
     order = W.partitionBy("file", "block").orderBy("seq")
+    start = F.col("base") + F.sum("size").over(order) - F.col("size") - len(MAGIC)
     placed = (
-        pieces.join(blocks, ["file", "block"])
-        .withColumn("start", F.col("base") + F.sum("size").over(order) - F.col("size") - len(MAGIC))
-        .withColumn("next", F.when(F.col("start") >= 0, F.col("start") + F.col("span")))
-        .withColumn("block_end", F.col("base") + F.col("bytes") - len(MAGIC))
+        pieces.select("file", "block", "seq", "size", "span", "piece")
+        .join(sizes, ["file", "block"])
+        .select("file", "block", "seq", start.alias("start"), "span", (F.col("base") + F.col("bytes") - len(MAGIC)).alias("block_end"), "piece")
     )
-    placed = write_shared(placed, "warc-placed")
-    kept = reachable(placed).select(F.col("file").alias("k_file"), F.col("start").alias("k_start"))
-    marked = placed.join(kept, (placed["file"] == F.col("k_file")) & (placed["start"] == F.col("k_start")), "left")
-    marked = write_shared(marked.withColumn("reached", F.col("k_start").isNotNull()).drop("k_file", "k_start"), "warc-marked")
-    records = marked.where("reached")
+    placed = write_shared(placed.withColumn("next", F.when(F.col("start") >= 0, F.col("start") + F.col("span"))), "warc-index")
+    kept = reachable(placed).select("file", "block", "seq", F.col("start").alias("k_start"), F.col("next").alias("k_next"))
+    records = write_shared(pieces.drop("size", "span", "piece").join(kept, ["file", "block", "seq"]), "warc-records")
     # a payload that holds a magic lies in several pieces; they are few and go back together by record
-    holders = records.where("read_digest is null").select(F.col("file").alias("h_file"), F.col("start").alias("owner"), F.col("next").alias("h_next"))
-    parts = marked.where("read_digest is null or not reached").join(
-        holders, (F.col("file") == F.col("h_file")) & (F.col("start") >= F.col("owner")) & (F.col("start") < F.col("h_next"))
-    )
-    text = F.coalesce("piece", F.lit(""))
-    whole = parts.groupBy("h_file", "owner").agg(
-        F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("start", text.alias("text")))), lambda p: p["text"]), MAGIC).alias("joined")
-    )
+    holders = records.where("read_digest is null").select(F.col("file").alias("h_file"), F.col("k_start").alias("owner"), "k_next")
+    parts = placed.where("piece is not null").join(holders, F.expr("file = h_file and start >= owner and start < k_next"))
+    joined = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("start", "piece"))), lambda p: p["piece"]), MAGIC)
+    found = F.sum(F.octet_length("piece") + len(MAGIC)) == F.max(F.col("k_next") - F.col("owner"))
+    whole = parts.groupBy("h_file", "owner").agg(joined.alias("joined"), found.alias("found")).where("found")
     cut = F.substr("joined", F.length(F.substring_index("joined", END, 1)) + F.lit(len(END) + 1))
     whole = whole.select("h_file", "owner", F.sha2(F.substr(cut, F.lit(1), F.length(cut) - len(END)).cast("binary"), 256).alias("joined_digest"))
-    return records.join(whole, (records["file"] == whole["h_file"]) & (records["start"] == whole["owner"]), "left").select(
+    return records.join(whole, F.expr("file = h_file and k_start = owner"), "left").select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", F.coalesce("read_digest", "joined_digest").alias("read_digest")
     )
 
