@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cvforge.llm import langid, toxicity
+from cvforge.llm import langid, pii, toxicity
 from cvforge.llm.bpe import decode, encode
 from cvforge.llm.common import fold, read_table
 from cvforge.llm.decontam import find_occurrences
@@ -50,6 +50,20 @@ def op5_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    found = pii.find(docs, pii.learn(docs))
+    written = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    rank = lambda s: F.array_position(F.array(*map(F.lit, pii.KINDS)), s["kind"])
+    every = F.array_sort(F.transform(F.concat("base", "added"), lambda s: F.struct(rank(s).alias("rank"), s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
+    return found.select(
+        "doc_id",
+        *(F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in pii.KINDS),
+        F.sha2(written(F.col("base")).cast("binary"), 256).alias("base_sha256"),
+        written(every).alias("spans"),
+    )
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     model = toxicity.learn(docs, read_table(spark, sf_dir, "labels"))
@@ -72,7 +86,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op2_langid, op3_bpe, op5_decontam, op8_toxicity, op9_urls, op10_warc)
+    for f in (op2_langid, op3_bpe, op5_decontam, op6_pii, op8_toxicity, op9_urls, op10_warc)
 }
 
 ORACLES: dict[str, str] = {k: v for k, v in ALL_ORACLES.items() if k in QUERIES}

@@ -1,18 +1,19 @@
 """Toxicity by class-conditional Kneser-Ney models.
 
-Two word models are learned, one from texts labelled toxic and one from the others. Both are
-interpolated Kneser-Ney: a bigram's discounted count, backed off to the discounted number of
-different words that the word follows within the class, backed off to the same number
-over both classes. That last, shared, level keeps rare expressions from speaking for the
+Two models are learned, one from texts labelled toxic and one from the others. Their units are
+pieces of words (three bytes each), so that words never seen share what their parts have
+shown. Both are interpolated Kneser-Ney: a bigram's discounted count, backed off to the
+discounted number of different units that the unit follows within the class, backed off to the
+same number over both classes. That last, shared, level keeps rare expressions from speaking for the
 class that merely happens to hold more text. A text's evidence is the difference of the
-two log-likelihoods per word, over the whole text and over its most toxic stretches
+two log-likelihoods per unit, over the whole text and over its most toxic stretches
 of each length in ``stretches``; a logistic curve fitted on labelled rows that the counts have not seen
 turns these numbers into a score from 0 to 1.
 
 Counts cover every learning row: tasks add up bigrams of what they read, Spark adds those up by
 bigram. They are then laid into tables whose sizes are fixed by ``word_bits`` and
 ``pair_bits``, of one byte an entry (a 16th of a doubling precise), so what is broadcast is bounded
-whatever the corpus holds; words that share an entry share its counts. The curve alone
+whatever the corpus holds; units that share an entry share its counts. The curve alone
 is fitted on a bounded sample, of about ``curve_rows`` labelled rows.
 
 Words are runs of digits, letters and non-ASCII characters, A-Z lower-cased. A text without
@@ -26,43 +27,48 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
-from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cvforge.llm.common import fold, id_text, slices, words_of
+from cvforge.llm.common import WORD_BYTES, fold, id_text, slices
 from cvforge.session import write_shared
 
-#: Taken from every count, or the whole count if it is less: an expression speaks for its class from the fourth occurrence on.
-DISCOUNT = 3.0
-#: Most that one word may add to the evidence.
+#: Taken from every count.
+DISCOUNT = 0.75
+#: Most that one unit may add to the evidence.
 MOST = 4.0
 SLOTS = 64
 
 
 @dataclass(frozen=True)
 class Sizes:
-    word_bits: int = 21
-    pair_bits: int = 23
-
-
-def word_ids(many: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-    """31-bit ids of all words of all texts, and where each text begins (and the last ends)."""
-    rows = [words_of(t) for t in many]
-    ends = np.cumsum([0, *map(len, rows)])
-    ids = np.fromiter((x for w in rows for x in map(crc32, w)), np.int64, ends[-1])
-    return ids >> 1, ends
-
-
-def pairs_of(ids: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """For each word the word before it; -1 at a text's beginning."""
-    before = np.empty_like(ids)
-    before[1:] = ids[:-1]
-    before[ends[:-1][ends[:-1] < len(ids)]] = -1
-    return before
+    word_bits: int = 18
+    pair_bits: int = 22
+
+
+def units(many: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Units of all texts, the unit before each within its word (0 at a word's beginning), and
+    where each text's units begin (and the last end). A unit is three bytes of a word, the last
+    one of a word perhaps less, and whether it is the first; ids are positive."""
+    raw = [(t or "").encode("utf-8", "replace") + b" " for t in many]
+    ends = np.cumsum([0, *map(len, raw)])
+    chars = np.frombuffer(b"".join(raw).translate(WORD_BYTES) + b"  ", np.uint8)
+    inside = chars != 0x20
+    n = len(chars) - 2
+    place = np.arange(n, dtype=np.int32)
+    last_blank = np.maximum.accumulate(np.where(inside[:n], -1, place))
+    within = place - last_blank - 1
+    at = np.flatnonzero(inside[:n] & (within % 3 == 0))
+    first = within[at] == 0
+    second = np.where(inside[at + 1], chars[at + 1], 0).astype(np.int64)
+    third = np.where(inside[at + 1] & inside[at + 2], chars[at + 2], 0).astype(np.int64)
+    ids = chars[at].astype(np.int64) | second << 8 | third << 16 | first.astype(np.int64) << 24
+    before = np.zeros_like(ids)
+    before[1:] = np.where(first[1:], 0, ids[:-1])
+    return ids, before, np.searchsorted(at, ends)
 
 
 def spread(x: np.ndarray) -> np.ndarray:
@@ -95,15 +101,13 @@ def kept(counts: np.ndarray) -> np.ndarray:
 
 
 def count_bigrams(labelled: DataFrame, sizes: Sizes) -> DataFrame:
-    """(slot, key, n): every bigram of every class; key = word before, word and class in one number."""
+    """(slot, key, n): every bigram of every class; key = unit before, unit and class in one number."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, limit=16 << 20):
-            ids, ends = word_ids(batch.column("text").to_pylist())
+            ids, before, ends = units(batch.column("text").to_pylist())
             toxic = np.repeat(batch.column("toxic").to_numpy(zero_copy_only=False).astype(np.int64), np.diff(ends))
-            before = pairs_of(ids, ends)
-            inner = before >= 0
-            key, n = np.unique(before[inner] << 32 | ids[inner] << 1 | toxic[inner], return_counts=True)
+            key, n = np.unique(before << 32 | ids << 1 | toxic, return_counts=True)
             slot = word_entry(key >> 32, sizes) >> (sizes.word_bits - 6)
             yield pa.RecordBatch.from_pydict({"slot": pa.array(slot.astype(np.int32)), "key": pa.array(key), "n": pa.array(n.astype(np.int64))})
 
@@ -181,15 +185,15 @@ class Evidence:
         self.backoff = [1 - k / t for k, t in zip(left, self.types, strict=True)]
         self.floor = 1.0 / (1 << sizes.word_bits)
 
-    def per_word(self, ids: np.ndarray, before: np.ndarray) -> np.ndarray:
-        """log P(word | toxic) - log P(word | ordinary)."""
+    def per_unit(self, ids: np.ndarray, before: np.ndarray) -> np.ndarray:
+        """log P(unit | toxic) - log P(unit | ordinary)."""
         get = lambda name, c, at: UNPACK[self.tables[name, c][at]]
         w, u, p = word_entry(ids, self.sizes), word_entry(before, self.sizes), pair_entry(before, ids, self.sizes)
         seen = [get("preceders", c, w) for c in (0, 1)]
         shared = (seen[0] + seen[1]) / sum(self.types) * 0.99 + 0.01 * self.floor
         totals = [get("history", c, u) for c in (0, 1)]
-        # a word before that only one class knows would compare a bigram with a mere word
-        known = (before >= 0) & (totals[0] > DISCOUNT) & (totals[1] > DISCOUNT)
+        # a unit before that only one class knows would compare a bigram with a mere unit
+        known = (totals[0] > DISCOUNT) & (totals[1] > DISCOUNT)
         logs = []
         for c in (0, 1):
             unigram = kept(seen[c]) / self.types[c] + self.backoff[c] * shared
@@ -200,12 +204,12 @@ class Evidence:
         return np.clip(logs[1] - logs[0], -MOST, MOST)
 
     def of(self, many: list[str | None]) -> np.ndarray:
-        """Of each text the mean over its words and the greatest mean of a stretch of each length; zeros without words."""
-        ids, ends = word_ids(many)
+        """Of each text the mean over its units and the greatest mean of a stretch of each length; zeros without words."""
+        ids, before, ends = units(many)
         out = np.zeros((len(many), 1 + len(self.stretches)))
         if not len(ids):
             return out
-        sums = np.concatenate([[0.0], np.cumsum(self.per_word(ids, pairs_of(ids, ends)), dtype=np.float64)])
+        sums = np.concatenate([[0.0], np.cumsum(self.per_unit(ids, before), dtype=np.float64)])
         starts, stops = ends[:-1], ends[1:]
         n = stops - starts
         full = n > 0
@@ -253,7 +257,7 @@ def learn(
     curve_fold: int = 3,
     curve_rows: int = 8000,
     sizes: Sizes = Sizes(),
-    stretches: tuple[int, ...] = (2, 8),
+    stretches: tuple[int, ...] = (2, 4, 16),
 ) -> Model:
     """Counts from the labelled rows outside folds ``held_out`` and ``curve_fold``; the curve from a sample of the latter."""
     spark = docs.sparkSession
