@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cvforge.llm import langid, pii, toxicity
+from cvforge.llm import fingerprint, langid, pii, toxicity
 from cvforge.llm.bpe import decode, encode
 from cvforge.llm.common import fold, read_table
 from cvforge.llm.decontam import find_occurrences
@@ -64,6 +64,19 @@ def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fingerprint.compare_with_edits(read_table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        F.char_length("text").cast("long").alias("n_chars"),
+        F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        fingerprint.written(F.col("sketch")).alias("fingerprint"),
+        fingerprint.written(F.col("edited_sketch")).alias("edited_fingerprint"),
+        fingerprint.resemblance(F.col("sketch"), F.col("edited_sketch")).alias("near_edited"),
+        fingerprint.resemblance(F.col("sketch"), F.col("next_sketch")).alias("near_next"),
+    )
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     model = toxicity.learn(docs, read_table(spark, sf_dir, "labels"))
@@ -86,7 +99,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op2_langid, op3_bpe, op5_decontam, op6_pii, op8_toxicity, op9_urls, op10_warc)
+    for f in (op2_langid, op3_bpe, op5_decontam, op6_pii, op7_fingerprints, op8_toxicity, op9_urls, op10_warc)
 }
 
 ORACLES: dict[str, str] = {k: v for k, v in ALL_ORACLES.items() if k in QUERIES}
