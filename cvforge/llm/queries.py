@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cvforge.llm import fingerprint, langid, pii, toxicity
+from cvforge.llm import fingerprint, langid, minhash, pii, toxicity
 from cvforge.llm.bpe import decode, encode
 from cvforge.llm.common import fold, read_table
 from cvforge.llm.decontam import find_occurrences
@@ -19,6 +19,10 @@ from cvforge.llm.warc import archive_round_trip
 TOKENIZER = "byte_bpe_multi_50k.tiktoken"
 
 
+def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 def op2_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     profiles = langid.learn(docs.where(fold(F.col("doc_id")) != 2))
@@ -99,7 +103,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op2_langid, op3_bpe, op5_decontam, op6_pii, op7_fingerprints, op8_toxicity, op9_urls, op10_warc)
+    for f in (op1_minhash, op2_langid, op3_bpe, op5_decontam, op6_pii, op7_fingerprints, op8_toxicity, op9_urls, op10_warc)
 }
 
 ORACLES: dict[str, str] = {k: v for k, v in ALL_ORACLES.items() if k in QUERIES}
