@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,3 +55,39 @@ def words_of(text: str | None) -> list[bytes]:
 def fold(doc_id: Column) -> Column:
     """The fold of a document, 0 to 3: crc32 of its id as text, modulo 4. Fold 2 is held out."""
     return F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(4))
+
+
+def packed_texts(docs: DataFrame, null_ids: bool = True) -> DataFrame:
+    """(doc_id, packed): texts compressed for a shuffle."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        c = zstandard.ZstdCompressor(level=3)
+        for batch in slices(batches):
+            yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "packed": pa.array([c.compress(t.encode("utf-8", "replace")) for t in texts(batch)], pa.binary())})
+
+    return docs.mapInArrow(run, "doc_id long, packed binary" if null_ids else "doc_id long not null, packed binary")
+
+
+def unpack(packed: bytes) -> str:
+    return zstandard.ZstdDecompressor().decompress(packed).decode("utf-8")
+
+
+def by_runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """Rows in order of ``keys``, as one table for each run of equal keys."""
+    rest: pa.Table | None = None
+    for batch in batches:
+        t = pa.Table.from_batches([batch])
+        t = pa.concat_tables([rest, t]) if rest is not None else t
+        if not t.num_rows:
+            continue
+        new = np.zeros(t.num_rows, bool)
+        new[0] = True
+        for k in keys:
+            x = t[k].to_numpy()
+            new[1:] |= x[1:] != x[:-1]
+        starts = np.flatnonzero(new)
+        for s, e in zip(starts[:-1], starts[1:], strict=True):
+            yield t.slice(s, e - s)
+        rest = t.slice(starts[-1])
+    if rest is not None and rest.num_rows:
+        yield rest

@@ -31,11 +31,10 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cvforge.llm.common import ASCII_LOWER, id_text, slices, texts
+from cvforge.llm.common import ASCII_LOWER, by_runs, id_text, packed_texts, slices, texts, unpack
 from cvforge.llm.components import components
 from cvforge.llm.rolling import Base, U, mix
 from cvforge.session import write_shared
@@ -154,21 +153,6 @@ def likely(pairs: DataFrame, classes: DataFrame, p: Params) -> DataFrame:
     return both.select("a", "b", "sig_a", "sig_b").mapInArrow(run, "a long, b long")
 
 
-def packed_texts(docs: DataFrame) -> DataFrame:
-    """Texts compressed for a shuffle."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        c = zstandard.ZstdCompressor(level=3)
-        for batch in slices(batches):
-            yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "packed": pa.array([c.compress(t.encode("utf-8", "replace")) for t in texts(batch)], pa.binary())})
-
-    return docs.mapInArrow(run, "doc_id long, packed binary")
-
-
-def unpack(packed: bytes) -> str:
-    return zstandard.ZstdDecompressor().decompress(packed).decode("utf-8")
-
-
 def confirmed(pairs: DataFrame, packed: DataFrame, p: Params) -> DataFrame:
     """The pairs whose full sets are similar enough."""
     side = lambda x: packed.select(F.col("doc_id").alias(x), F.col("packed").alias(f"text_{x}"))
@@ -235,27 +219,6 @@ def crossing_pairs(shared: DataFrame, classes: DataFrame, joined: DataFrame, kno
     return found.join(known, ["a", "b"], "left_anti")
 
 
-def by_runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
-    """Rows in order of ``keys``, as one table for each run of equal keys."""
-    rest: pa.Table | None = None
-    for batch in batches:
-        t = pa.Table.from_batches([batch])
-        t = pa.concat_tables([rest, t]) if rest is not None else t
-        if not t.num_rows:
-            continue
-        new = np.zeros(t.num_rows, bool)
-        new[0] = True
-        for k in keys:
-            x = t[k].to_numpy()
-            new[1:] |= x[1:] != x[:-1]
-        starts = np.flatnonzero(new)
-        for s, e in zip(starts[:-1], starts[1:], strict=True):
-            yield t.slice(s, e - s)
-        rest = t.slice(starts[-1])
-    if rest is not None and rest.num_rows:
-        yield rest
-
-
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", params: Params = Params()) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every document."""
     p = params

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cvforge.llm import fingerprint, langid, minhash, pii, toxicity
+from cvforge.llm import fingerprint, langid, minhash, pii, suffix_dedup, toxicity
 from cvforge.llm.bpe import decode, encode
 from cvforge.llm.common import fold, read_table
 from cvforge.llm.decontam import find_occurrences
@@ -41,6 +41,17 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.remove_repeats(read_table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).cast("long").alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op5_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_occurrences(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
     n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + (s["end"] - s["start"]).cast("long"))
@@ -103,7 +114,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_minhash, op2_langid, op3_bpe, op5_decontam, op6_pii, op7_fingerprints, op8_toxicity, op9_urls, op10_warc)
+    for f in (op1_minhash, op2_langid, op3_bpe, op4_suffix_dedup, op5_decontam, op6_pii, op7_fingerprints, op8_toxicity, op9_urls, op10_warc)
 }
 
 ORACLES: dict[str, str] = {k: v for k, v in ALL_ORACLES.items() if k in QUERIES}
