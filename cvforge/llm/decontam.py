@@ -162,3 +162,37 @@ def _searcher(shared, window: int, keep_text: bool):
             )
 
     return run
+
+
+def clean(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    text_col: str = "text",
+    item_col: str = "item_id",
+    item_text_col: str = "text",
+    window: int = 10,
+    block_words: int = 5_000_000,
+) -> DataFrame:
+    """The rows of ``docs``, all columns, in whose text no window of any item occurs."""
+    queries = benchmark.select(benchmark[item_col].alias("item_id"), benchmark[item_text_col].cast("string").alias("text"))
+    schema = docs.schema
+    for items, last in _lookahead(blocks(queries, window, block_words)):
+        docs = docs.mapInArrow(_cleaner(docs.sparkSession.sparkContext.broadcast(items), window, text_col), schema)
+        if not last:
+            docs = write_shared(docs, "decontam-pass")
+    return docs
+
+
+def _cleaner(shared, window: int, text_col: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tables = tables_of(patterns_of(shared.value, window))
+        for batch in slices(batches, text_col):
+            marks = []
+            for text in batch.column(text_col).to_pylist():
+                words, spans = words_of(text), []
+                for t in tables:
+                    t.search(words, spans, set())
+                marks.append(not spans)
+            yield batch.filter(pa.array(marks, pa.bool_()))
+
+    return run

@@ -93,9 +93,9 @@ class Grams:
         return out
 
 
-def groups(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+def groups(batches: Iterator[pa.RecordBatch], rows: int = 512, column: str = "text") -> Iterator[pa.RecordBatch]:
     """Slices of at most ``rows`` texts, so that a table of counts stays small."""
-    for batch in slices(batches, limit=2 << 20):
+    for batch in slices(batches, column, limit=2 << 20):
         for i in range(0, batch.num_rows, rows):
             yield batch.slice(i, rows)
 
@@ -133,20 +133,38 @@ def predict(docs: DataFrame, profiles: Profiles, id_col: str = "doc_id", text_co
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in groups(batches):
-            lang, score = nearest(texts(batch), profiles)
+            lang, score, _ = nearest(texts(batch), profiles)
             yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "lang_pred": pa.array(lang, pa.string()), "score": pa.array(score, pa.float64())})
 
     return id_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, lang_pred string, score double")
 
 
-def nearest(many: list[str], profiles: Profiles) -> tuple[list[str], list[float]]:
+def accepted(docs: DataFrame, profiles: Profiles, least: float, enough: int, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, whose text is in a learned language.
+
+    Rejected are texts without letters, and those of ``enough`` n-grams or more with a cosine
+    below ``least``; shorter texts say too little to be turned away.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in groups(batches, column=text_col):
+            lang, score, size = nearest(texts(batch, text_col), profiles)
+            yield batch.filter(pa.array([x != "und" and (s >= least or n < enough) for x, s, n in zip(lang, score, size, strict=True)], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
+def nearest(many: list[str], profiles: Profiles) -> tuple[list[str], list[float], list[int]]:
+    """Language, score and number of n-grams of each text."""
     grams = Grams(many, profiles.n)
+    sizes = grams.counts.sum(1).astype(int).tolist() if len(grams.codes) else [0] * len(many)
     if not profiles.langs or not len(grams.codes):
-        return ["und"] * len(many), [0.0] * len(many)
+        return ["und"] * len(many), [0.0] * len(many), sizes
     bundles = grams.counts.astype(np.float32) @ grams.vectors(profiles.dims).astype(np.float32)
     norms = np.linalg.norm(bundles, axis=1, keepdims=True)
     cosines = (bundles @ profiles.matrix.T) / np.where(norms == 0, 1, norms)
     best = cosines.argmax(1)
     top = np.clip(cosines[np.arange(len(many)), best], 0.0, 1.0)
     known = grams.has_letter
-    return [profiles.langs[b] if k else "und" for b, k in zip(best, known, strict=True)], [float(s) if k else 0.0 for s, k in zip(top, known, strict=True)]
+    langs = [profiles.langs[b] if k else "und" for b, k in zip(best, known, strict=True)]
+    return langs, [float(s) if k else 0.0 for s, k in zip(top, known, strict=True)], sizes

@@ -345,3 +345,25 @@ def redacted(text: str, spans: list[Span]) -> str:
             out += [text[done:a], f"[{kind.upper()}]"]
         done = max(done, b)
     return "".join(out) + text[done:]
+
+
+def redact(docs: DataFrame, weights: dict[str, float], text_col: str = "text", length_col: str | None = None) -> DataFrame:
+    """The rows of ``docs``, all columns, with all spans of the text replaced (and its new length in ``length_col``)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = Numbering({"": 0} | {f: i + 1 for i, f in enumerate(weights)})
+        values = np.array([0.0, *weights.values()])
+        for batch in slices(batches, text_col):
+            out: list[str | None] = []
+            for text in batch.column(text_col).to_pylist():
+                if text:
+                    base = base_spans(text)
+                    text = redacted(text, base + (added_spans(text, base, number, values) if weights else []))
+                out.append(text)
+            columns = dict(zip(batch.schema.names, batch.columns, strict=True))
+            columns[text_col] = pa.array(out, batch.schema.field(text_col).type)
+            if length_col in columns:
+                columns[length_col] = pa.array([None if t is None else len(t) for t in out], batch.schema.field(length_col).type)
+            yield pa.RecordBatch.from_pydict(columns, schema=batch.schema)
+
+    return docs.mapInArrow(run, docs.schema)
