@@ -71,10 +71,10 @@ def containment(a: Column, b: Column, k: int = K) -> Column:
 
 def merge_sketches(df: DataFrame, by: list[str], col: str, k: int = K) -> DataFrame:
     """One sketch for each group of rows: (``by``, ``col``). Tasks keep k hashes of a group before the shuffle."""
-    hashes = df.select(*by, F.explode(col).alias("hash")).groupBy(*by, "hash").agg(F.lit(1).alias("one"))
-    ranked = hashes.withColumn("place", F.row_number().over(W.partitionBy(*by).orderBy("hash"))).where(F.col("place") <= k)
-    merged = ranked.groupBy(*by).agg(F.sort_array(F.collect_list("hash")).alias(col))
-    return df.select(*by).distinct().join(merged, by, "left").withColumn(col, F.coalesce(col, F.array().cast("array<bigint>")))
+    hashes = df.select(*by, F.explode_outer(col).alias("hash")).groupBy(*by, "hash").agg(F.lit(1).alias("one"))
+    order = W.partitionBy(*by).orderBy(F.col("hash").asc_nulls_last())  # null: a group of empty sketches
+    ranked = hashes.withColumn("place", F.row_number().over(order)).where(F.col("place") <= k)
+    return ranked.groupBy(*by).agg(F.sort_array(F.collect_list("hash")).alias(col))
 
 
 def written(a: Column) -> Column:
