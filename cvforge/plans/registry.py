@@ -445,23 +445,6 @@ for _q, _attr in _WORKFLOW_TABLES.items():
     )
 
 
-def _mllib_fold_metrics(spark, sf_dir):
-    from cvforge.operators.baseline import mllib_oof_predictions
-    from cvforge.operators.metrics import fold_metric_table
-    from cvforge.spec import BoostParams
-
-    p = prepared(spark, sf_dir, WORKFLOW_DATASET)
-    probs = mllib_oof_predictions(
-        p.folded, p.features, p.target, list(range(1, p.k + 1)), BoostParams(n_estimators=5, max_depth=3)
-    )
-    pos = p.encoded.target.positive_label
-    scored = probs.select("fold", "y", "pred", F.element_at("probability", pos + 1).alias("score"))
-    return fold_metric_table(scored, p.n_classes, pos)
-
-
-register(f"mllib_baseline_fold_metrics_{WORKFLOW_DATASET}")(_mllib_fold_metrics)
-
-
 # ---- B-8 / G-21 / G-22 on the three-class orders binding (rows-only) -------------------
 
 _MULTICLASS: dict[tuple, object] = {}
@@ -501,3 +484,19 @@ def _orders_fold_metrics(spark, sf_dir):
 
 register("oof_predictions_orders")(_orders_predictions)
 register("oof_fold_metrics_orders")(_orders_fold_metrics)
+
+
+# ---- G: progress, ranking and reports over a progress table made of lineitem ------------
+
+from cvforge.plans import ranking as R  # noqa: E402
+
+for _name, _fn in R.QUERIES.items():
+    register(f"{_name}_lineitem", R.SQL[_name])(_fn)
+
+register(
+    "prediction_table_lineitem",
+    f"WITH {O.ctes(O.SQL_BINDINGS['lineitem']())}, s AS (SELECT *, {O.SCORES['lineitem'][0]} AS score FROM folded) "
+    "SELECT row_id AS source_row_index, fold, CASE returned WHEN 0 THEN 'No' ELSE 'Yes' END AS actual_label, "
+    "CASE WHEN score > 0.5 THEN 'Yes' ELSE 'No' END AS predicted_label, (score > 0.5) = (returned = 1) AS is_correct, "
+    'round(1 - score, 4) AS "probability_No", round(score, 4) AS "probability_Yes" FROM s',
+)(R.predictions)
