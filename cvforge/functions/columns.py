@@ -16,7 +16,7 @@ NUMERIC_TYPES = (
     T.DecimalType,
 )
 
-# Column-name tokens whose numeric columns are rounded for display.
+# Column-name tokens whose numeric columns are rounded for display.
 METRIC_TOKENS = (
     "score",
     "accuracy",

@@ -84,7 +84,7 @@ def raw_audit(df: DataFrame, target: str) -> DataFrame:
     ``(item STRING, value STRING)``; classes (missing shown as ``nan``) as ``target_count_<label>``.
     """
     if target not in df.columns:
-        raise ValueError(f"Target column '{target}' was not found.")
+        raise ValueError(f"the table has no column '{target}' to predict")
     g = _copy_groups(df)
     ncols = len(df.columns)
     totals = g.agg(

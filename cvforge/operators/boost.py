@@ -20,24 +20,22 @@ folder after every round, so a lost executor costs at most one round.
 
 from __future__ import annotations
 
+import hashlib
 import math
 from dataclasses import dataclass
 
-import xxhash
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cvforge.functions.columns import col
 from cvforge.functions.ordering import with_running_totals
-from cvforge.session import reliable_checkpoint
+from cvforge.session import reliable_checkpoint, write_shared
 from cvforge.spec import BoostParams
 
 GAIN_DIGITS = 12
-MAX_SPLIT_ROWS = 2_000_000  # bound on the per-level split table sent to the driver
-# Histogram subtraction pays off once building histograms outweighs the extra join per
-# level; below this many (row x model x feature) cells a level is built directly.
-SUBTRACT_MIN_CELLS = 200_000_000
+# Split, sibling and leaf tables of up to so many rows (under 100 bytes each) are broadcast; beyond, they are joined.
+BROADCAST_ROWS = 1_000_000
 HESS_FLOOR = 1e-16
 
 
@@ -107,18 +105,19 @@ def bin_features(
         for i in many:
             cuts[i] = sorted(set(v for v in row[f"q{i}"] if v is not None))
     splits = [[-math.inf] + cuts[i] + [math.inf] for i in range(len(features))]
-    out_cols = [f"_b{i}" for i in range(len(features))]
-    buck = Bucketizer(
-        splitsArray=splits,
-        inputCols=[f"_x{i}" for i in range(len(features))],
-        outputCols=out_cols,
-        handleInvalid="keep",
-    )
     xs = folded.select("row_id", F.col(fold_col).alias("fold"), col(target).alias("y"),
                        *[col(f).cast("double").alias(f"_x{i}") for i, f in enumerate(features)])
-    binned = buck.transform(xs).select(
-        "row_id", "fold", "y", F.array(*[F.col(c).cast("int") for c in out_cols]).alias("b")
-    )
+    # a feature without a cut (constant or all missing) has one bin for its values and one for missing
+    cut = [i for i in range(len(features)) if cuts[i]]
+    if cut:
+        xs = Bucketizer(
+            splitsArray=[splits[i] for i in cut],
+            inputCols=[f"_x{i}" for i in cut],
+            outputCols=[f"_b{i}" for i in cut],
+            handleInvalid="keep",
+        ).transform(xs)
+    bins = [F.col(f"_b{i}").cast("int") if cuts[i] else F.col(f"_x{i}").isNull().cast("int") for i in range(len(features))]
+    binned = xs.select("row_id", "fold", "y", F.array(*bins).alias("b"))
     thr_rows = [(i, s, float(splits[i][s + 1])) for i in range(len(features)) for s in range(len(splits[i]) - 1)]
     thresholds = spark.createDataFrame(thr_rows, "fi int, bin int, threshold double")
     return Binned(binned, thresholds, list(features))
@@ -170,7 +169,7 @@ def sampled_features(spec: ModelSpec, round_no: int) -> list[int]:
     n = max(1, int(spec.params.colsample_bytree * len(feats)))
     if n >= len(feats):
         return feats
-    key = lambda fi: xxhash.xxh64_intdigest(f"{spec.params.seed}|{round_no}|{fi}")
+    key = lambda fi: hashlib.blake2b(f"{spec.params.seed}|{round_no}|{fi}".encode(), digest_size=8).digest()
     return sorted(sorted(feats, key=key)[:n])
 
 
@@ -183,6 +182,14 @@ def row_sampled(seed: int, round_no: int, rate: Column) -> Column:
 # ---- B-1 .. B-7: training ------------------------------------------------------------------
 
 
+TREE_SCHEMA = "model_id int, round int, tree int, node int, is_leaf boolean, fi int, bin int, gain double, value double"
+
+
+def _bounded(df: DataFrame, rows: int) -> DataFrame:
+    """A table the driver made: broadcast while it is small, else left to the planner."""
+    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+
+
 STATE_COLS = ("model_id", "tree", "row_id", "in_train", "margin")
 
 
@@ -288,29 +295,28 @@ def train(
     n_classes: int,
     record_rounds: dict[int, list[int]] | None = None,
     checkpoint_every: int = 1,
-    subtract: bool | None = None,
+    subtract: bool = False,
+    keep_trees: bool = True,
 ) -> TrainResult:
     """B-6: boosting loop over rounds and depth levels for a batch of models.
 
-    ``subtract`` (None = by size) builds each level's histograms only for the smaller
-    child of every split and derives the sibling as parent minus child.
+    ``subtract`` builds each level's histograms only for the smaller child of every split and
+    derives the sibling as parent minus child: less to aggregate for one more join a level.
+    Each round's trees are written to the shared folder, or dropped without ``keep_trees``;
+    the driver holds the open nodes of one level.
     """
     spark: SparkSession = binned.df.sparkSession
     n_trees = 1 if n_classes == 2 else n_classes
     by_id = {m.model_id: m for m in models}
     max_rounds = max(m.params.n_estimators for m in models)
     max_depth = max(m.params.max_depth for m in models)
-    if len(models) * n_trees * (2 ** max_depth) > MAX_SPLIT_ROWS:
-        raise ValueError("too many models in one batch for the split table bound; use smaller batches")
-    if subtract is None:
-        cells = binned.rows() * n_trees * sum(len(m.features) for m in models)
-        subtract = cells >= SUBTRACT_MIN_CELLS
     # bins, labels and folds stay once in the checkpointed binned table and are joined
     # back each round (reading them back measured faster than caching the array column)
     row_table = binned.df.select("row_id", "fold", "y", "b")
     # one explode over the rows table: short lineage, no write needed
     state = init_state(row_table, models, n_classes)
     tree_rows: list[tuple] = []
+    rounds_of_trees: list[DataFrame] = []
     snaps: list[DataFrame] = []
     record_rounds = record_rounds or {}
     for r in range(1, max_rounds + 1):
@@ -352,8 +358,9 @@ def train(
                 hist = built
             else:
                 # one row per split with children still open: bounded like the split table
-                sib = F.broadcast(
-                    spark.createDataFrame(siblings, "model_id int, tree int, _parent int, _smallnode int, _largenode int")
+                sib = _bounded(
+                    spark.createDataFrame(siblings, "model_id int, tree int, _parent int, _smallnode int, _largenode int"),
+                    len(siblings),
                 )
                 small = built.join(
                     sib.select("model_id", "tree", "_parent", F.col("_smallnode").alias("node")), ["model_id", "tree", "node"]
@@ -404,10 +411,11 @@ def train(
                 splits.append((mid, tree, node, fi, b, children_are_leaves, small_right))
             if not splits:
                 break
-            sdf = F.broadcast(
+            sdf = _bounded(
                 spark.createDataFrame(
                     splits, "model_id int, tree int, node int, _sfi int, _sbin int, _cleaf boolean, _sright boolean"
-                )
+                ),
+                len(splits),
             )
             nxt = st.drop("_small").join(sdf, ["model_id", "tree", "node"], "left")
             go_right = F.element_at(F.col("b"), F.col("_sfi") + 1) > F.col("_sbin")
@@ -431,7 +439,12 @@ def train(
                 break
         if parent_hist is not None:
             parent_hist.unpersist()
-        ldf = F.broadcast(spark.createDataFrame(leaves or [(-1, 0, 0, 0.0)], "model_id int, tree int, node int, _lv double"))
+        ldf = _bounded(
+            spark.createDataFrame(leaves or [(-1, 0, 0, 0.0)], "model_id int, tree int, node int, _lv double"), len(leaves)
+        )
+        if keep_trees:
+            rounds_of_trees.append(write_shared(spark.createDataFrame(tree_rows, TREE_SCHEMA), "trees"))
+        tree_rows.clear()
         upd = st.join(ldf, ["model_id", "tree", "node"], "left").withColumn(
             "margin", F.col("margin") + F.coalesce(F.col("_lv"), F.lit(0.0))
         ).select(*STATE_COLS)
@@ -451,10 +464,9 @@ def train(
                     "model_id", F.lit(r).alias("round"), "tree", "row_id", "fold", "y", "in_train", "margin"
                 )
             )
-    trees = spark.createDataFrame(
-        tree_rows,
-        "model_id int, round int, tree int, node int, is_leaf boolean, fi int, bin int, gain double, value double",
-    )
+    trees = spark.createDataFrame([], TREE_SCHEMA)
+    for part in rounds_of_trees:
+        trees = trees.unionByName(part)
     # histogram cut points are bounded (features x max_bin) and broadcast; exact-mode
     # thresholds are one row per distinct value, so the planner chooses the join there
     thresholds = binned.thresholds if binned.missing_bin is not None else F.broadcast(binned.thresholds)

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,7 +30,6 @@ ENCODED_ROLE = {
     "nominal": ("one_hot_encoded", "manual one-hot encoding"),
 }
 ROLE_MAP_SCHEMA = "source_feature string, encoded_feature string, source_role string, encoded_role string, encoding string"
-MAX_CLASSES = 1000
 
 
 @dataclass
@@ -84,35 +83,54 @@ def split_features_target(df: DataFrame, target: str, exclude: tuple[str, ...] |
     excluded column, a missing target or a null target value."""
     missing = [c for c in exclude if c not in df.columns]
     if missing:
-        raise ValueError(f"Excluded feature columns were not found: {missing}")
+        raise ValueError(f"exclude names columns that the table lacks: {missing}")
     if target not in df.columns:
-        raise ValueError(f"Target column '{target}' was not found.")
+        raise ValueError(f"the table has no column '{target}' to predict")
     nulls = df.select(F.count_if(col(target).isNull()).alias("n")).first()["n"]
     if nulls:
-        raise ValueError("The target column contains missing values.")
+        raise ValueError(f"{nulls} rows have no value in '{target}'")
     return [c for c in df.columns if c != target and c not in set(exclude)]
 
 
 def encode_target(df: DataFrame, target: str, positive_class: str | None) -> TargetEncoding:
     """E-2: classes sorted as text get codes 0..n-1; positive label found, else 1 for two classes."""
-    rows = (
-        df.select(col(target).cast("string").alias("label"))
-        .distinct()
-        .limit(MAX_CLASSES + 1)
-        .collect()
-    )
-    if len(rows) > MAX_CLASSES:
-        raise ValueError(f"The target has more than {MAX_CLASSES} classes.")
+    rows = df.select(col(target).cast("string").alias("label")).distinct().collect()
     classes = sorted(r["label"] for r in rows)
     if positive_class is not None and positive_class in classes:
         return TargetEncoding(target, classes, positive_class, classes.index(positive_class))
     return TargetEncoding(target, classes, None, 1 if len(classes) == 2 else None)
 
 
-def label_mapping_table(spark: SparkSession, enc: TargetEncoding) -> DataFrame:
-    """E-12: (class_label, encoded_value)."""
-    return spark.createDataFrame(
-        [(label, i) for i, label in enumerate(enc.classes)], "class_label string, encoded_value int"
+def label_mapping_table(df: DataFrame, target: str) -> DataFrame:
+    """E-12: (class_label, encoded_value) from the classes the table holds."""
+    classes = df.select(col(target).cast("string").alias("class_label")).distinct()
+    return classes.withColumn("encoded_value", F.row_number().over(Window.orderBy("class_label")) - 1)
+
+
+def encoded_role_table(df: DataFrame, spec: FeatureSpec, features: list[str]) -> DataFrame:
+    """E-10: source and encoded feature with their roles; the one-hot columns are those of the
+    categories declared, or of the categories the table holds."""
+    types = {f.name: f.dataType for f in df.schema.fields}
+    cells = []
+    for c in features:
+        role = spec.role_of(c, is_numeric_type(types[c]))
+        declared = spec.nominal.get(c)
+        if role == "nominal" and declared is None:
+            found = F.array(normalize_category(col(c)))
+        else:
+            found = F.array(*[F.lit(v).cast("string") for v in (declared if role == "nominal" else (None,))])
+        cells.append((c, role, found))
+    rows = df.select(
+        F.explode(F.array(*[F.struct(F.lit(c).alias("source_feature"), F.lit(role).alias("source_role"), found.alias("found")) for c, role, found in cells])).alias("cell")
+    ).select("cell.source_feature", "cell.source_role", F.explode("cell.found").alias("category"))
+    rows = rows.distinct().where(F.col("category").isNotNull() | (F.col("source_role") != "nominal"))
+    lookup = lambda k: F.element_at(F.create_map(*[F.lit(x) for r, v in ENCODED_ROLE.items() for x in (r, v[k])]), F.col("source_role"))
+    return rows.select(
+        "source_feature",
+        F.concat_ws("_", "source_feature", "category").alias("encoded_feature"),
+        "source_role",
+        lookup(0).alias("encoded_role"),
+        lookup(1).alias("encoding"),
     )
 
 
@@ -138,14 +156,6 @@ def _nominal_domains(df: DataFrame, spec: FeatureSpec, nominal_cols: list[str])
                 F.array(*[F.struct(F.lit(c).alias("feature"), normalize_category(col(c)).alias("value")) for c in derive])
             ).alias("cell")
         ).select("cell.*")
-        counts = long.where(F.col("value").isNotNull()).groupBy("feature").agg(
-            F.count_distinct("value").alias("n")
-        )
-        too_big = counts.where(F.col("n") > spec.max_nominal_domain).collect()
-        if too_big:
-            raise ValueError(
-                f"Nominal columns exceed {spec.max_nominal_domain} categories: {[r['feature'] for r in too_big]}"
-            )
         values = long.where(F.col("value").isNotNull()).distinct().collect()
         for c in derive:
             domains[c] = sorted(r["value"] for r in values if r["feature"] == c)
@@ -200,7 +210,7 @@ def encode_features(
         enc_role, encoding = ENCODED_ROLE[role]
         if role == "numeric":
             if isinstance(types[c], T.StringType):
-                value = nan_to_null(F.try_cast(strip_text(col(c)), "double"))
+                value = nan_to_null(strip_text(col(c)).try_cast("double"))
                 coerced.append(c)
             else:
                 value = nan_to_null(col(c))
@@ -238,10 +248,16 @@ def encode_features(
     return EncodedTable(out, names, role_rows, tenc, key_cols, tuple(coerced))
 
 
+def unknown_categories(df: DataFrame, checks: list[tuple[str, Column, Column]]) -> DataFrame:
+    """(feature, value, rows) of every category that no mapping or category list defines."""
+    cells = F.array(*[F.struct(F.lit(f).alias("feature"), shown.alias("value"), flag.alias("unknown")) for f, flag, shown in checks])
+    return df.select(F.explode(cells).alias("cell")).select("cell.*").where("unknown").groupBy("feature", "value").agg(F.count("*").alias("rows"))
+
+
 def _raise_on_unknown(df: DataFrame, checks: list[tuple[str, Column, Column]], roles: dict[str, str]) -> None:
-    counts = df.agg(*[F.count_if(flag).alias(f"u{i}") for i, (_, flag, _) in enumerate(checks)]).first()
-    for i, (feature, flag, shown) in enumerate(checks):
-        if counts[f"u{i}"]:
-            values = sorted(r[0] for r in df.where(flag).select(shown).distinct().limit(50).collect())
-            kind = "the nominal category list" if roles[feature] == "nominal" else "the mapping"
-            raise ValueError(f"Feature '{feature}' contains values not defined in {kind}: {values}")
+    found: dict[str, list[str]] = {}
+    for r in unknown_categories(df, checks).orderBy("feature", "value").toLocalIterator():
+        found.setdefault(r["feature"], []).append(r["value"])
+    if found:
+        said = "; ".join(f"'{f}' ({roles[f]}): {values}" for f, values in found.items())
+        raise ValueError(f"categories that the declared roles do not know: {said}")

@@ -45,7 +45,7 @@ def screened_feature_count(default_results: DataFrame, metric: str = "accuracy")
     order = _metric_order(metric) + [F.col("top_k").asc()]
     best = numeric.withColumn("_r", F.row_number().over(Window.orderBy(*order))).where(F.col("_r") == 1).drop("_r")
     if best.isEmpty():
-        raise ValueError("top_k must include at least one positive integer for the feature-count experiment.")
+        raise ValueError("no result with a feature count to choose from")
     return best
 
 
@@ -116,14 +116,14 @@ def default_vs_grid(best_by_count: DataFrame, default_results: DataFrame, metric
     )
 
 
-def _winner(frame: DataFrame, n_features: int) -> DataFrame:
-    """G-19: accuracy, F1, PR-AUC, ROC-AUC descending, then fewer features (all = every column)."""
+def winner(frame: DataFrame, n_features: int, metric: str = "accuracy") -> DataFrame:
+    """G-19: the metric, F1, PR-AUC, ROC-AUC descending, then fewer features (all = every column)."""
     count = F.coalesce(F.col("top_k"), F.lit(n_features))
-    order = [F.col(c).desc_nulls_last() for c in ("mean_cv_accuracy", "mean_cv_f1_score", "mean_cv_pr_auc", "mean_cv_roc_auc")]
-    return frame.withColumn("_r", F.row_number().over(Window.orderBy(*order, count.asc()))).where(F.col("_r") == 1).drop("_r")
+    place = F.row_number().over(Window.orderBy(*_metric_order(metric), count.asc()))
+    return frame.withColumn("_r", place).where(F.col("_r") == 1).drop("_r")
 
 
-def four_setup_summaries(comparison: DataFrame, n_features: int) -> tuple[DataFrame, DataFrame]:
+def four_setup_summaries(comparison: DataFrame, n_features: int, metric: str = "accuracy") -> tuple[DataFrame, DataFrame]:
     """G-20: main and supporting summaries of the four setups."""
     is_all = F.col("top_k").isNull()
     is_default = F.col("model_type") == "default_xgboost"
@@ -135,7 +135,7 @@ def four_setup_summaries(comparison: DataFrame, n_features: int) -> tuple[DataFr
     ]
     picked = None
     for i, (label, cond) in enumerate(groups):
-        w = _winner(comparison.where(cond), n_features).select(F.lit(i).alias("_order"), F.lit(label).alias("Result"), "*")
+        w = winner(comparison.where(cond), n_features, metric).select(F.lit(i).alias("_order"), F.lit(label).alias("Result"), "*")
         picked = w if picked is None else picked.unionByName(w)
     setup = F.when(F.col("top_k").isNull(), F.lit("All encoded features")).otherwise(
         F.concat(F.lit("Top "), F.col("top_k").cast("string"), F.lit(" IG features"))
@@ -188,7 +188,7 @@ def final_ranking(main: DataFrame, supporting: DataFrame) -> tuple[DataFrame, Da
         "Rank", "Result", "MCC", (F.col("`ROC-AUC`") * 100).alias("ROC-AUC (%)"),
         (F.col("`PR-AUC`") * 100).alias("PR-AUC (%)"), "Brier score", "Setup",
     )
-    return main_out, sup
+    return main_out.orderBy("Rank", "Result"), sup.orderBy("Rank", "Result")
 
 
 def format_metric_text(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from cvforge.operators.boost import Binned, ModelSpec, bin_features, probabilities, train
 from cvforge.operators.metrics import fold_metric_table, fold_summary
 from cvforge.operators.report import rank_grid
-from cvforge.session import checkpoint_dir, reliable_checkpoint
+from cvforge.session import reliable_checkpoint, shared_root
 from cvforge.sources.progress import append_progress, read_progress
 from cvforge.spec import REPORT_METRICS, SCHEMA_VERSION, BoostParams, GridSpec, RunConfig
 
@@ -53,7 +53,7 @@ def check_grid_top_k(grid: GridSpec) -> None:
     """G-4: the grid needs ``all`` and at least one numeric feature count."""
     top = grid.normalized_top_k()
     if None not in top or not [k for k in top if k is not None]:
-        raise ValueError("grid top_k values must contain 'all' (None) and at least one numeric top-k.")
+        raise ValueError("a grid compares all features (None) with at least one feature count; top_k lacks one of them")
 
 
 def _same_key(left: DataFrame, right: DataFrame):
@@ -73,19 +73,22 @@ def pending_combinations(combos: DataFrame, completed: DataFrame) -> DataFrame:
 
 
 def dataset_fingerprint(df: DataFrame) -> str:
-    """G-26: order-free fingerprint: schema, row count and a sum of row hashes."""
+    """G-26: order-free fingerprint: schema, row count and a sum of row hashes. Hashes skip
+    nulls, so each row's hash also covers which of its cells are null."""
+    cells = [F.col(f"`{c}`") for c in df.columns]
     row = df.agg(
         F.count(F.lit(1)).alias("n"),
-        F.sum(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).cast("decimal(38,0)")).alias("h"),
+        F.sum(F.xxhash64(*cells, F.array(*[c.isNull() for c in cells])).cast("decimal(38,0)")).alias("h"),
     ).first()
     payload = json.dumps({"schema": df.schema.simpleString(), "rows": row["n"], "hash": str(row["h"])}, sort_keys=True)
     return hashlib.sha256(payload.encode()).hexdigest()
 
 
 def configuration_signature(config: dict) -> str:
-    """G-28: signature of everything that makes stored progress reusable."""
-    body = json.dumps({"schema_version": SCHEMA_VERSION, **config}, sort_keys=True, default=str, separators=(",", ":"))
-    return hashlib.sha256(body.encode()).hexdigest()
+    """G-28: one text for everything that decides a stored result: name and value of each
+    setting, sorted by name, under the layout version of the progress table."""
+    lines = [f"layout {SCHEMA_VERSION}"] + [f"{name} = {config[name]!r}" for name in sorted(config)]
+    return hashlib.blake2b("\n".join(lines).encode(), digest_size=16).hexdigest()
 
 
 def fit_plan(grid: GridSpec, screen_top_k: tuple[int | None, ...], cv_splits: int) -> list[tuple[str, int]]:
@@ -155,18 +158,13 @@ def evaluate_combinations(
                 mapping.append((mid, combos[ci]["n_estimators"], ci))
     n_trees = 1 if n_classes == 2 else n_classes
     n_rows = n_rows or binned.rows()
-    # batch size: state rows (rows x models x trees) and the per-level split table
-    # (models x trees x 2^depth) must both stay within their bounds
-    from cvforge.operators.boost import MAX_SPLIT_ROWS
-
-    deepest = max(m.params.max_depth for m in models)
+    # batch size: state rows (rows x models x trees), which also bound the open nodes of a level
     by_state = max_state_rows // max(1, n_rows * n_trees)
-    by_splits = MAX_SPLIT_ROWS // (n_trees * 2 ** deepest)
-    per_batch = max(len(folds), min(by_state, by_splits) // len(folds) * len(folds))
+    per_batch = max(len(folds), by_state // len(folds) * len(folds))
     snaps = []
     for start in range(0, len(models), per_batch):
         batch = models[start : start + per_batch]
-        res = train(binned, batch, n_classes, record_rounds={m.model_id: record[m.model_id] for m in batch})
+        res = train(binned, batch, n_classes, record_rounds={m.model_id: record[m.model_id] for m in batch}, keep_trees=False)
         snaps.append(res.snapshots)
     snap = snaps[0]
     for s in snaps[1:]:
@@ -230,6 +228,24 @@ def default_screen(
     return shape_default_screen(res, top_k_values)
 
 
+PATH_KEYS = tuple(k for k in GRID_KEYS if k != "n_estimators")
+
+
+def path_batches(pending: list[dict], size: int) -> list[list[dict]]:
+    """Combinations in batches of about ``size`` that never part those which differ only in
+    ``n_estimators``: they share one boosting path, which so trains once."""
+    place = lambda c: tuple((c[k] is not None, c[k] or 0) for k in (*PATH_KEYS, "n_estimators"))
+    batches: list[list[dict]] = []
+    last = None
+    for c in sorted(pending, key=place):
+        path = tuple(c[k] for k in PATH_KEYS)
+        if not batches or (len(batches[-1]) >= size and path != last):
+            batches.append([])
+        batches[-1].append(c)
+        last = path
+    return batches
+
+
 def run_grid_search(
     binned: Binned,
     fold_lists: dict[int, list[str]],
@@ -257,23 +273,24 @@ def run_grid_search(
     combos = grid_combinations(spark, grid)
     if signature is None:
         signature = configuration_signature(
-            {"grid": asdict(grid), "base": asdict(base), "cv": config.cv_splits, "seed": config.seed,
-             "data": dataset_fingerprint(binned.df)}
+            {"grid": asdict(grid), "base": asdict(base), "folds": config.cv_splits, "seed": config.seed,
+             "metric": config.selection_metric, "features": binned.features, "selected": fold_lists,
+             "classes": n_classes, "positive": positive_label, "exact": binned.missing_bin is not None,
+             "data": dataset_fingerprint(binned.df), "cuts": dataset_fingerprint(binned.thresholds)}
         )
     if progress_path is None:
-        progress_path = f"{checkpoint_dir(spark).rstrip('/')}/grid_progress"
+        progress_path = f"{shared_root(spark)}/grid_progress"
     done = latest_within_grid(read_progress(spark, progress_path, signature), combos)
     # the pending list is bounded by the grid configuration, not by the data
-    pending = [r.asDict() for r in pending_combinations(combos, done).orderBy(*[F.col(c).asc_nulls_first() for c in GRID_KEYS]).collect()]
-    size = batch_size or config.progress_every
+    pending = [r.asDict() for r in pending_combinations(combos, done).collect()]
+    batches = path_batches(pending, batch_size or config.progress_every)
     start_seq = read_progress(spark, progress_path, signature).agg(F.max("seq")).first()[0]
     batch_no = ((start_seq or 0) >> 40) + 1
     extra = list(extra_combos or [])
     extra_rows = None
-    for i, start in enumerate(range(0, len(pending), size)):
+    for i, batch in enumerate(batches):
         if max_batches is not None and i >= max_batches:
             break
-        batch = pending[start : start + size]
         rows = evaluate_combinations(
             binned, fold_lists, batch + extra, n_classes, positive_label, base, keep_index=True
         )
@@ -288,7 +305,7 @@ def run_grid_search(
     final = latest_within_grid(read_progress(spark, progress_path, signature), combos)
     remaining = pending_combinations(combos, final).count()
     if remaining:
-        raise RuntimeError(f"Grid search checkpoint is incomplete. {remaining} combinations remain.")
+        raise RuntimeError(f"{remaining} grid combinations have no result yet; run again to go on")
     ranked = rank_grid(final.drop("seq", "signature"), config.selection_metric)
     return ranked if extra_combos is None else (ranked, extra_rows)
 
@@ -311,7 +328,7 @@ def oof_predictions(
     for f in sorted(fold_lists):
         names = list(binned.features) if params["top_k"] is None else _selected(fold_lists[f], params["top_k"])
         models.append(ModelSpec(f, f, tuple(sorted(index[n] for n in names)), p))
-    res = train(binned, models, n_classes)
+    res = train(binned, models, n_classes, keep_trees=False)
     return probabilities(res.state.where(~F.col("in_train")), n_classes)
 
 

@@ -166,7 +166,7 @@ FROM sizes JOIN sel ON sizes.fold = sel.fold"""
 
 # ---- audit and exploration ---------------------------------------------------------
 
-SPARK_TYPE = "CASE typeof({c}) WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double' WHEN 'VARCHAR' THEN 'string' ELSE lower(typeof({c})) END"
+SPARK_TYPE = "CASE typeof({c}) WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double' WHEN 'VARCHAR' THEN 'string' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' ELSE lower(typeof({c})) END"
 
 
 def _missing_expr(b: SqlBinding, c: str) -> str:
@@ -198,7 +198,13 @@ def profile_sql(b: SqlBinding, source: str) -> str:
             f"CAST(count(DISTINCT {value}) + CASE WHEN count_if({_missing_expr(b, c)}) > 0 THEN 1 ELSE 0 END AS BIGINT) AS unique_values "
             f"FROM {source}"
         )
-    return f"WITH {ctes(b)} " + " UNION ALL ".join(parts)
+    return f"WITH {ctes(b) if source == 'clean' else f'raw AS ({b.raw})'} " + " UNION ALL ".join(parts)
+
+
+def clean_cte(b: SqlBinding) -> str:
+    """raw and clean alone: distinct rows without a missing value."""
+    any_missing = " OR ".join(_missing_expr(b, c) for c in b.columns)
+    return f"raw AS ({b.raw}), clean AS (SELECT DISTINCT * FROM raw WHERE NOT ({any_missing}))"
 
 
 def cleaning_stats_cte(b: SqlBinding) -> str:
@@ -429,6 +435,43 @@ def events() -> SqlBinding:
 SQL_BINDINGS = {"lineitem": lineitem, "documents": documents, "orders": orders, "events": events}
 
 
+# ---- whole tables, for the audits ------------------------------------------------------
+
+
+def _whole(table: str, columns: list[str], doubles: list[str], target: str) -> SqlBinding:
+    return SqlBinding(raw=f"SELECT * FROM {table}", columns=columns, doubles=doubles, keys=[], features=[], target=target, classes=[])
+
+
+WHOLE = {
+    "lineitem": _whole(
+        "lineitem",
+        ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"],
+        ["l_quantity", "l_extendedprice", "l_discount", "l_tax"],
+        "l_returnflag",
+    ),
+    "documents": _whole("documents", ["doc_id", "text", "lang", "source", "n_chars"], [], "lang"),
+    "orders": _whole("orders", ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"], ["o_totalprice"], "o_orderstatus"),
+    "events": _whole("events", ["event_id", "ts", "user_id", "event_type", "value", "props"], ["value"], "event_type"),
+}
+
+GAPS = SqlBinding(
+    raw=(
+        "SELECT l_linenumber AS line, nullif(l_quantity, 7) AS quantity, "
+        "CASE WHEN l_suppkey % 3 = 0 THEN '  ' || l_linestatus || chr(9) ELSE l_linestatus END AS status, "
+        "CASE WHEN l_partkey % 11 > 0 THEN ' ' || CAST(l_partkey % 5 AS VARCHAR) || ' ' END AS part, l_returnflag AS returned FROM lineitem"
+    ),
+    columns=["line", "quantity", "status", "part", "returned"],
+    doubles=["quantity"],
+    keys=[],
+    features=[],
+    target="returned",
+    classes=["A", "N", "R"],
+)
+GAPS_ENCODED = f"""WITH {clean_cte(GAPS)}
+SELECT CAST(line AS DOUBLE) AS line, quantity, CAST(CASE {strip('status')} WHEN 'F' THEN 0 WHEN 'O' THEN 1 END AS DOUBLE) AS status,
+       CAST({strip('part')} AS DOUBLE) AS part, CAST(CASE returned WHEN 'A' THEN 0 WHEN 'N' THEN 1 ELSE 2 END AS INTEGER) AS returned FROM clean"""
+
+
 # ---- metrics on fixed, data-derived scores -------------------------------------------
 
 SCORES = {

@@ -56,6 +56,13 @@ def prepared(spark: SparkSession, sf_dir: str, name: str, k: int = 10) -> Prepar
     return _PREPARED[key]
 
 
+def whole(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table as given, all columns: what the audits read."""
+    from cvforge.plans.datasets import read
+
+    return read(spark, sf_dir, name)
+
+
 # ---- K: folds --------------------------------------------------------------------
 
 for _name in ("lineitem", "documents", "orders", "events"):
@@ -118,20 +125,21 @@ def _clean_raw(p: Prepared) -> DataFrame:
 for _name in ("lineitem", "documents", "orders", "events"):
     _b = O.SQL_BINDINGS[_name]()
 
+    _w = O.WHOLE[_name]
+
     def _raw_audit(spark, sf_dir, _name=_name):
         from cvforge.operators.audit import raw_audit
 
-        b = BINDINGS[_name](spark, sf_dir)
-        return raw_audit(b.raw, b.spec.target)
+        return raw_audit(whole(spark, sf_dir, _name), O.WHOLE[_name].target)
 
-    register(f"raw_audit_{_name}", O.raw_audit_sql(_b))(_raw_audit)
+    register(f"raw_audit_{_name}", O.raw_audit_sql(_w))(_raw_audit)
 
     def _profile(spark, sf_dir, _name=_name):
         from cvforge.operators.audit import column_profile
 
-        return column_profile(BINDINGS[_name](spark, sf_dir).raw)
+        return column_profile(whole(spark, sf_dir, _name))
 
-    register(f"column_profile_{_name}", O.profile_sql(_b, "raw"))(_profile)
+    register(f"column_profile_{_name}", O.profile_sql(_w, "raw"))(_profile)
 
     def _clean_profile(spark, sf_dir, _name=_name):
         from cvforge.operators.audit import column_profile
@@ -143,16 +151,16 @@ for _name in ("lineitem", "documents", "orders", "events"):
     def _stats(spark, sf_dir, _name=_name):
         from cvforge.operators.audit import cleaning_stats
 
-        return cleaning_stats(BINDINGS[_name](spark, sf_dir).raw)
+        return cleaning_stats(whole(spark, sf_dir, _name))
 
-    register(f"cleaning_stats_{_name}", O.cleaning_stats_sql(_b))(_stats)
+    register(f"cleaning_stats_{_name}", O.cleaning_stats_sql(_w))(_stats)
 
     def _summary(spark, sf_dir, _name=_name):
         from cvforge.operators.audit import cleaning_stats, preprocessing_summary
 
-        return preprocessing_summary(cleaning_stats(BINDINGS[_name](spark, sf_dir).raw))
+        return preprocessing_summary(cleaning_stats(whole(spark, sf_dir, _name)))
 
-    register(f"preprocessing_summary_{_name}", O.preprocessing_summary_sql(_b))(_summary)
+    register(f"preprocessing_summary_{_name}", O.preprocessing_summary_sql(_w))(_summary)
 
     def _clean_rows(spark, sf_dir, _name=_name):
         return prepared(spark, sf_dir, _name).clean
@@ -178,15 +186,18 @@ for _name in ("lineitem", "documents", "orders", "events"):
     register(f"feature_roles_{_name}", O.feature_roles_sql(_b))(_roles)
 
     def _enc_roles(spark, sf_dir, _name=_name):
+        from cvforge.operators.encode import encoded_role_table
+
         p = prepared(spark, sf_dir, _name)
-        return p.encoded.roles(spark)
+        return encoded_role_table(p.clean, p.binding.spec, [c for c, _ in O.SQL_BINDINGS[_name]().source_roles])
 
     register(f"encoded_roles_{_name}", O.encoded_roles_sql(_b))(_enc_roles)
 
     def _labels(spark, sf_dir, _name=_name):
         from cvforge.operators.encode import label_mapping_table
 
-        return label_mapping_table(spark, prepared(spark, sf_dir, _name).encoded.target)
+        p = prepared(spark, sf_dir, _name)
+        return label_mapping_table(p.clean, p.target)
 
     register(f"label_mapping_{_name}", O.label_mapping_sql(_b))(_labels)
 
@@ -245,6 +256,48 @@ for _name in ("lineitem", "documents", "orders", "events"):
     register(f"fold_class_distribution_{_name}", O.fold_class_sql(_b))(_fold_classes)
 
 
+# Duplicates, gaps and padded text, made of lineitem: the branches that the given tables do not reach.
+
+
+def gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whole(spark, sf_dir, "lineitem").selectExpr(
+        "l_linenumber AS line",
+        "nullif(l_quantity, 7) AS quantity",
+        "CASE WHEN l_suppkey % 3 = 0 THEN concat('  ', l_linestatus, chr(9)) ELSE l_linestatus END AS status",
+        "CASE WHEN l_partkey % 11 > 0 THEN concat(' ', cast(l_partkey % 5 AS string), ' ') END AS part",
+        "l_returnflag AS returned",
+    )
+
+
+_GAPS = O.GAPS
+
+
+def _gaps_encoded(spark, sf_dir):
+    from cvforge.operators.audit import clean_dataset
+    from cvforge.operators.encode import encode_features
+    from cvforge.spec import FeatureSpec
+
+    spec = FeatureSpec(target="returned", numeric=("line", "quantity", "part"), binary={"status": {"F": 0, "O": 1}})
+    return encode_features(clean_dataset(gaps(spark, sf_dir)), spec).df
+
+
+def _gaps_audit(fn):
+    def run(spark, sf_dir):
+        from cvforge.operators import audit
+
+        return fn(audit, gaps(spark, sf_dir))
+
+    return run
+
+
+register("raw_audit_gaps", O.raw_audit_sql(_GAPS))(_gaps_audit(lambda a, df: a.raw_audit(df, "returned")))
+register("column_profile_gaps", O.profile_sql(_GAPS, "raw"))(_gaps_audit(lambda a, df: a.column_profile(df)))
+register("cleaning_stats_gaps", O.cleaning_stats_sql(_GAPS))(_gaps_audit(lambda a, df: a.cleaning_stats(df)))
+register("preprocessing_summary_gaps", O.preprocessing_summary_sql(_GAPS))(_gaps_audit(lambda a, df: a.preprocessing_summary(a.cleaning_stats(df))))
+register("clean_rows_gaps", f"WITH {O.clean_cte(_GAPS)} SELECT * FROM clean")(_gaps_audit(lambda a, df: a.clean_dataset(df)))
+register("encoded_gaps", O.GAPS_ENCODED)(_gaps_encoded)
+
+
 # ---- I-5 .. I-9: fold-local selection ------------------------------------------------
 
 SELECTION_TOP_K = {"lineitem": 3, "documents": 10, "orders": 1, "events": 1}

@@ -16,9 +16,11 @@ from cvforge.operators.report import (
     default_vs_grid,
     final_ranking,
     four_setup_summaries,
+    params_from_row,
     prediction_table,
     rank_defaults,
     screened_feature_count,
+    winner,
 )
 from cvforge.operators.search import (
     default_combinations,
@@ -82,25 +84,11 @@ def run_workflow(
     screened = screened_feature_count(defaults, config.selection_metric)
     by_count = best_by_feature_count(ranked, config.selection_metric)
     comparison = reliable_checkpoint(default_vs_grid(by_count, defaults, config.selection_metric))
-    main, supporting = four_setup_summaries(comparison, len(p.features))
+    main, supporting = four_setup_summaries(comparison, len(p.features), config.final_metric)
 
     # the final setup: best tuned row among numeric feature counts
     tuned = comparison.where((F.col("model_type") == "best_grid_search") & F.col("top_k").isNotNull())
-    best_row = (
-        tuned.orderBy(
-            *[F.col(c).desc_nulls_last() for c in ("mean_cv_accuracy", "mean_cv_f1_score", "mean_cv_pr_auc", "mean_cv_roc_auc")],
-            F.col("top_k").asc(),
-        )
-        .first()
-    )
-    best = {
-        "top_k": best_row["top_k"],
-        "learning_rate": float(best_row["learning_rate"]),
-        "max_depth": int(best_row["max_depth"]),
-        "n_estimators": int(best_row["n_estimators"]),
-        "subsample": float(best_row["subsample"]),
-        "colsample_bytree": float(best_row["colsample_bytree"]),
-    }
+    best = params_from_row(winner(tuned, len(p.features), config.final_metric).first())
     probs = reliable_checkpoint(oof_predictions(binned, lists, best, p.n_classes, base))
     pos = tenc.positive_label if tenc.positive_label is not None else 1
     scored = probs.select("fold", "y", "pred", F.element_at("probability", pos + 1).alias("score"))

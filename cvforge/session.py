@@ -66,3 +66,9 @@ def write_shared(df, name: str):
     path = f"{checkpoint_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def shared_root(spark: SparkSession) -> str:
+    """The shared folder itself, above this application's part of it: for what another run takes up."""
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    return (configured or checkpoint_dir(spark).rstrip("/").rpartition("/")[0]).rstrip("/")

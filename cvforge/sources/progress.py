@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,7 +19,9 @@ def read_progress(spark: SparkSession, path: str, signature: str | None = None)
     """S-2: completed rows (empty when nothing was written); only ``signature``'s partition when given."""
     try:
         df = spark.read.schema(PROGRESS_SCHEMA).parquet(path)
-    except Exception:  # path absent: nothing completed yet
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         df = spark.createDataFrame([], PROGRESS_SCHEMA)
     if signature is not None:
         df = df.where(F.col("signature") == signature)

@@ -28,30 +28,37 @@ def load_table(
 ) -> DataFrame:
     """S-1: read CSV or Parquet, require the target column and move it last.
 
-    CSV text equal to one of ``na_values`` becomes NULL (Spark's reader only nulls
-    empty fields), and numeric-looking CSV columns are inferred when no schema is given.
+    CSV text equal to one of ``na_values`` becomes NULL. Without a schema all columns are read
+    as text, and each becomes the narrowest of bigint, double and string that holds what is left.
     """
     reader = spark.read
     if schema is not None:
         reader = reader.schema(schema)
     if fmt == "csv":
-        df = reader.option("header", True).option("inferSchema", schema is None).option("nullValue", "").csv(path)
+        df = reader.option("header", True).option("nullValue", "").csv(path)
         tokens = list(na_values)
-        df = df.select(
-            *[
-                F.when(col(f.name).isin(*tokens), F.lit(None)).otherwise(col(f.name)).alias(f.name)
-                if isinstance(f.dataType, T.StringType)
-                else col(f.name)
-                for f in df.schema.fields
-            ]
-        )
+        text = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+        df = df.select(*[F.when(~col(c).isin(*tokens), col(c)).alias(c) if c in text else col(c) for c in df.columns])
+        if schema is None:
+            df = _typed(df)
     else:
         df = reader.format(fmt).load(path)
     if target not in df.columns:
-        raise ValueError(f"Target column '{target}' was not found in the input.")
+        raise ValueError(f"{path} has no column '{target}' to predict")
     return df.select(*[col(c) for c in df.columns if c != target], col(target))
 
 
+def _typed(df: DataFrame) -> DataFrame:
+    """Text columns as the narrowest type that every value fits; a column without values stays text."""
+    fits = [F.count_if(F.trim(col(c)).try_cast(t).isNotNull()).alias(f"{t}_{i}") for i, c in enumerate(df.columns) for t in ("bigint", "double")]
+    counts = df.agg(*[F.count(col(c)).alias(f"all_{i}") for i, c in enumerate(df.columns)], *fits).first()
+    out = []
+    for i, c in enumerate(df.columns):
+        fit = next((t for t in ("bigint", "double") if counts[f"all_{i}"] and counts[f"{t}_{i}"] == counts[f"all_{i}"]), None)
+        out.append(F.trim(col(c)).try_cast(fit).alias(c) if fit else col(c))
+    return df.select(*out)
+
+
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite") -> None:
     """S-4: write one result table (Parquet by default, CSV with a header)."""
     w = df.write.mode(mode)

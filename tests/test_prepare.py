@@ -58,13 +58,13 @@ def test_strip_and_unknown_category(spark, tmp_dir):
     bad = FeatureSpec(target="label", nominal={"color": ("blue", "red")}, exclude=("id",))
     with pytest.raises(ValueError, match="green"):
         encode_features(df, bad)
-    with pytest.raises(ValueError, match="not found"):
+    with pytest.raises(ValueError, match="lacks"):
         split_features_target(df, "label", ["nope"])
 
 
 def test_null_target_raises(spark):
     df = spark.createDataFrame([(1.0, "a"), (2.0, None)], "x double, t string")
-    with pytest.raises(ValueError, match="missing"):
+    with pytest.raises(ValueError, match="no value"):
         split_features_target(df, "t")
 
 

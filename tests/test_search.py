@@ -80,7 +80,7 @@ def test_resume_equals_one_shot(spark, small, tmp_dir):
     lists = {f: ["a", "b"] for f in (1, 2, 3)}
     grid = GridSpec(top_k=(None, 1), learning_rates=(0.3,), max_depths=(1, 2), n_estimators=(1, 2), subsamples=(1.0,), colsample_bytree=(1.0,))
     base = BoostParams(n_estimators=2, max_depth=2)
-    with pytest.raises(RuntimeError, match="incomplete"):
+    with pytest.raises(RuntimeError, match="no result yet"):
         run_grid_search(binned, lists, grid, 2, 1, base=base, progress_path=f"{tmp_dir}/p", signature="s", batch_size=3, max_batches=1)
     resumed = run_grid_search(binned, lists, grid, 2, 1, base=base, progress_path=f"{tmp_dir}/p", signature="s", batch_size=3)
     one_shot = run_grid_search(binned, lists, grid, 2, 1, base=base, progress_path=f"{tmp_dir}/q", signature="s", batch_size=8)
