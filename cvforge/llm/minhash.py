@@ -153,6 +153,14 @@ def likely(pairs: DataFrame, classes: DataFrame, p: Params) -> DataFrame:
     return both.select("a", "b", "sig_a", "sig_b").mapInArrow(run, "a long, b long")
 
 
+def similar(a: np.ndarray, b: np.ndarray, p: Params) -> bool:
+    """Whether two sets, sorted, are similar enough for a link."""
+    if not len(a) or not len(b):
+        return False
+    both = int((a[np.minimum(np.searchsorted(a, b), len(a) - 1)] == b).sum())
+    return 100 * both >= p.percent * (len(a) + len(b) - both)
+
+
 def confirmed(pairs: DataFrame, packed: DataFrame, p: Params) -> DataFrame:
     """The pairs whose full sets are similar enough."""
     side = lambda x: packed.select(F.col("doc_id").alias(x), F.col("packed").alias(f"text_{x}"))
@@ -166,19 +174,19 @@ def confirmed(pairs: DataFrame, packed: DataFrame, p: Params) -> DataFrame:
             for own, other in zip(batch.column("text_a").to_pylist(), others, strict=True):
                 if held is None or held[0] != own:
                     held = (own, sets_of([unpack(own)], p.shingle)[0])
-                both = len(np.intersect1d(held[1], other, assume_unique=True))
-                union = len(held[1]) + len(other) - both
-                marks.append(union > 0 and 100 * both >= p.percent * union)
+                marks.append(similar(held[1], other, p))
             yield batch.select(["a", "b"]).filter(pa.array(marks, pa.bool_()))
 
     return both.mapInArrow(run, "a long, b long")
 
 
-def crossing_pairs(shared: DataFrame, classes: DataFrame, joined: DataFrame, known: DataFrame, p: Params) -> DataFrame:
-    """Likely pairs that met in a table, lie in different components and have not been compared.
+def crossing_links(shared: DataFrame, classes: DataFrame, joined: DataFrame, packed: DataFrame, p: Params) -> DataFrame:
+    """Links between classes that met in a table and lie in different components.
 
     All classes of one half key of the first collection meet in a task, or in one task for
-    each two blocks if they are many. A pair counts under the first half key it shares.
+    each two blocks if they are many. A pair counts under the first half key it shares, and is
+    confirmed there on its full sets; pairs that links found before have joined are passed
+    over, so that only links which join something leave the task.
     """
     home = classes.join(joined, classes.rep == joined.node, "left").select("rep", "n", "sig", F.coalesce("component", "rep").alias("home"))
     first = shared.where(F.col("slot") < p.halves)
@@ -188,35 +196,46 @@ def crossing_pairs(shared: DataFrame, classes: DataFrame, joined: DataFrame, kno
     rows = rows.withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
     rows = rows.select("rep", "slot", "half", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     rows = rows.select("rep", "slot", "half", "own", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"))
-    rows = rows.join(home, "rep").repartition("half", "low", "high").sortWithinPartitions("half", "low", "high")
+    rows = rows.join(home, "rep").join(packed, F.col("rep") == F.col("doc_id"))
+    rows = rows.repartition("half", "low", "high").sortWithinPartitions("half", "low", "high")
 
     def compare(t: pa.Table) -> pa.Table:
         low, high, slot = (t[c][0].as_py() for c in ("low", "high", "slot"))
         rep, home_, own, n = (t[c].to_numpy() for c in ("rep", "home", "own", "n"))
-        sig = t["sig"].combine_chunks().flatten().to_numpy().reshape(len(rep), -1)
-        short = np.ascontiguousarray(sig).view(np.uint16)
-        a, b = [], []
+        sig = np.ascontiguousarray(t["sig"].combine_chunks().flatten().to_numpy().reshape(len(rep), -1))
+        short, packed_ = sig.view(np.uint16), t["packed"]
+        sets: dict[int, np.ndarray] = {}
+
+        def set_of(i: int) -> np.ndarray:
+            if i not in sets:
+                sets[i] = sets_of([unpack(packed_[i].as_py())], p.shingle)[0]
+            return sets[i]
+
+        links: list[tuple[int, int]] = []
+        where = home_.copy()  # components as the links found here join them
         for i in range(len(rep)):
-            far = home_ != home_[i]
+            far = where != where[i]
             far[: i + 1] = False
             if low != high:
                 far &= own != own[i]
             far &= 100 * np.minimum(n, n[i]) >= p.percent * np.maximum(n, n[i])
             at = np.flatnonzero(far)
-            at = at[(short[at] == short[i]).mean(1) >= p.estimate] if len(at) else at
-            if len(at):
-                same = sig[at] == sig[i]
-                at = at[(same[:, : p.halves].argmax(1) == slot) & same[:, p.halves :].any(1)]
-                a += [min(rep[i], r) for r in rep[at]]
-                b += [max(rep[i], r) for r in rep[at]]
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+            if not len(at):
+                continue
+            alike = (short[at] == short[i]).mean(1)
+            same = sig[at] == sig[i]
+            met = (alike >= p.estimate) & (same[:, : p.halves].argmax(1) == slot) & same[:, p.halves :].any(1)
+            for j in at[met][np.argsort(-alike[met], kind="stable")]:
+                if where[j] != where[i] and similar(set_of(i), set_of(j), p):
+                    links.append((min(rep[i], rep[j]), max(rep[i], rep[j])))
+                    where[where == where[j]] = where[i]
+        return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([y for _, y in links], pa.int64())})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in by_runs(batches, ["half", "low", "high"]):
             yield from compare(t).to_batches()
 
-    found = rows.select("half", "low", "high", "slot", "rep", "home", "own", "n", "sig").mapInArrow(run, "a long, b long").distinct()
-    return found.join(known, ["a", "b"], "left_anti")
+    return rows.select("half", "low", "high", "slot", "rep", "home", "own", "n", "sig", "packed").mapInArrow(run, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", params: Params = Params()) -> DataFrame:
@@ -229,11 +248,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = found.where("rep is not null").select("rep", "n", "sig")
     shared, pairs = star_pairs(classes, p)
     met = pairs.select(F.col("a").alias("m_id")).union(pairs.select("b")).distinct()
+    # a merge join at every size: a broadcast of few ids would only change the plan later
     packed = packed_texts(rows)
-    packed = write_shared(packed.join(met, packed.doc_id == met.m_id, "left_semi"), "minhash-texts")
+    packed = write_shared(packed.join(met.hint("merge"), packed.doc_id == met.m_id, "left_semi"), "minhash-texts")
     links = write_shared(confirmed(likely(pairs, classes, p), packed, p), "minhash-links")
     joined = components(links)
-    more = write_shared(confirmed(crossing_pairs(shared, classes, joined, pairs, p), packed, p), "minhash-links")
+    more = write_shared(crossing_links(shared, classes, joined, packed, p).distinct(), "minhash-links")
     if more.limit(1).count():
         joined = components(links.union(more))
     homes = found.join(joined, found.rep == joined.node, "left").select(F.col("set_key").alias("c_key"), F.coalesce("component", "rep").alias("home"))
