@@ -10,11 +10,17 @@ from __future__ import annotations
 
 from typing import Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from cvforge.session import reliable_checkpoint
+from cvforge.session import write_shared
 
+#: Offset tables of up to so many rows are broadcast; beyond, they are joined.
+BROADCAST_ROWS = 1_000_000
 _LOCAL_BITS = 33  # monotonically_increasing_id keeps the row index in the low 33 bits
 
 
@@ -39,11 +45,12 @@ def with_global_position(
     """
     # Range bounds come from sampling the input; read twice, two samples of a shuffled input
     # can disagree. Materialise the ranged rows once so sizes and rows share partition ids.
-    ranged = reliable_checkpoint(
+    ranged = write_shared(
         _range_partition(df, num_partitions, *order_by)
         .sortWithinPartitions(*order_by)
         .withColumn("_pid", F.spark_partition_id())
-        .withColumn("_local", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1)))
+        .withColumn("_local", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1))),
+        "ranged",
     )
     # one row per range (bounded by the partition count): collected once, so later reads of
     # the result do not rescan the ranged rows to recount them
@@ -73,17 +80,11 @@ def with_running_totals(
     never lands in a single task.
     """
     keys = [F.col(c) for c in group_cols] + [F.col(order_col)]
-    # materialised once: both branches below must see the same partition ids
-    ranged = reliable_checkpoint(_range_partition(df, num_partitions, *keys).withColumn("_pid", F.spark_partition_id()))
-    local_w = (
-        Window.partitionBy("_pid", *group_cols)
-        .orderBy(order_col)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    local = ranged.select(
-        "*", *[F.sum(v).over(local_w).alias(f"_loc_{v}") for v in value_cols]
-    )
-    totals = ranged.groupBy("_pid", *group_cols).agg(*[F.sum(v).alias(f"_tot_{v}") for v in value_cols])
+    # the running sums within each range are taken while its rows stand in order, before they
+    # are written: one shuffle of the rows, and both branches below see the same ranges
+    ranged = _range_partition(df, num_partitions, *keys).sortWithinPartitions(*keys)
+    local = write_shared(_local_sums(ranged, list(group_cols), list(value_cols)).withColumn("_pid", F.spark_partition_id()), "running")
+    totals = local.groupBy("_pid", *group_cols).agg(*[F.sum(v).alias(f"_tot_{v}") for v in value_cols])
     off_base = Window.partitionBy(*group_cols) if group_cols else Window
     off_w = off_base.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
@@ -91,12 +92,49 @@ def with_running_totals(
         *group_cols,
         *[F.coalesce(F.sum(f"_tot_{v}").over(off_w), F.lit(0)).alias(f"_off_{v}") for v in value_cols],
     )
+    # a row for each range and group that meet: ranges + groups at most
+    offsets = write_shared(offsets, "offsets")
+    if offsets.count() <= BROADCAST_ROWS:
+        offsets = F.broadcast(offsets)
     joined = local.join(offsets, ["_pid", *group_cols])
-    out = joined.select(
+    return joined.select(
         *[F.col(c) for c in df.columns],
         *[(F.col(f"_off_{v}") + F.col(f"_loc_{v}")).alias(f"{prefix}{v}") for v in value_cols],
     )
-    return out
+
+
+def _local_sums(ordered: DataFrame, group_cols: list[str], value_cols: list[str]) -> DataFrame:
+    """Running sums ``_loc_<value>`` over each partition's rows, which stand in group order."""
+    sums = ordered.select(*[F.sum(v).over(Window.partitionBy()).alias(f"_loc_{v}") for v in value_cols]).schema  # sum types
+    whole = {v: isinstance(sums[f"_loc_{v}"].dataType, T.LongType) for v in value_cols}
+    schema = T.StructType([*ordered.schema.fields, *[T.StructField(f"_loc_{v}", T.LongType() if whole[v] else T.DoubleType()) for v in value_cols]])
+
+    def run(batches):
+        last, carry = None, {}
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            new = np.zeros(batch.num_rows, bool)
+            for c in group_cols:
+                codes = pc.dictionary_encode(batch.column(c), null_encoding="encode").indices.to_numpy()
+                new[1:] |= codes[1:] != codes[:-1]
+            first = tuple(batch.column(c)[0].as_py() for c in group_cols)
+            starts = np.append(0, np.flatnonzero(new))
+            ends = np.append(starts[1:], batch.num_rows)
+            columns = list(batch.columns)
+            for v in value_cols:
+                kind = np.int64 if whole[v] else np.float64
+                values = pc.fill_null(batch.column(v).cast(pa.int64() if whole[v] else pa.float64()), 0).to_numpy()
+                out = np.empty(batch.num_rows, kind)
+                for n, (a, b) in enumerate(zip(starts, ends, strict=True)):
+                    before = carry[v] if n == 0 and last == first and v in carry else kind(0)
+                    out[a:b] = np.cumsum(np.append(before, values[a:b]))[1:]
+                carry[v] = out[-1]
+                columns.append(pa.array(out))
+            last = tuple(batch.column(c)[batch.num_rows - 1].as_py() for c in group_cols)
+            yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in schema])
+
+    return ordered.mapInArrow(run, schema)
 
 
 def weighted_quantiles(

@@ -15,7 +15,7 @@ from cvforge.operators.audit import clean_dataset
 from cvforge.operators.encode import EncodedTable, encode_features, split_features_target
 from cvforge.operators.split import assign_folds
 from cvforge.plans.datasets import Binding
-from cvforge.session import reliable_checkpoint
+from cvforge.session import write_shared
 
 
 @dataclass
@@ -53,7 +53,7 @@ class Prepared:
 def prepare(binding: Binding, k: int = 10, seed: int = 42, clean: bool = True, materialize: bool = False) -> Prepared:
     """Clean, validate, encode and assign folds.
 
-    With ``materialize`` the cleaned table is written once to the checkpoint folder, so
+    With ``materialize`` the cleaned table is written once to the shared folder (as Parquet, so readers scan only their columns), so
     the validation queries (null target, classes, unknown categories, nominal domains)
     and the fold assignment read it instead of each repeating the de-duplication
     shuffle. The fold assignment writes its range-partitioned rows itself, so the
@@ -63,7 +63,7 @@ def prepare(binding: Binding, k: int = 10, seed: int = 42, clean: bool = True, m
     spec = binding.spec
     cleaned = clean_dataset(raw) if clean else raw
     if materialize:
-        cleaned = reliable_checkpoint(cleaned)
+        cleaned = write_shared(cleaned, "clean")
     features = split_features_target(cleaned, spec.target, spec.exclude)
     encoded = encode_features(cleaned, spec, features)
     folded = assign_folds(encoded.df, spec.key_cols, k=k, seed=seed)
