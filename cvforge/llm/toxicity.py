@@ -273,7 +273,8 @@ def learn(
     drawn = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20))
     train = rows.where(~fold(rows.doc_id).isin(held_out, curve_fold))
     curve = rows.where((fold(rows.doc_id) == curve_fold) & drawn)
-    label = lambda part: part.join(known, part.doc_id == known.l_id).select("text", "toxic")
+    # a merge join at every size: a broadcast of the labels while they are few would only change the plan later
+    label = lambda part: part.join(known.hint("merge"), part.doc_id == known.l_id).select("text", "toxic")
     tables = lay_tables(count_bigrams(label(train), sizes), sizes)
     shared = spark.sparkContext.broadcast(tables)
 
