@@ -151,8 +151,8 @@ def features(s: str, left: str, right: str) -> list[str]:
         out.append(f"shape={sh[:40]}")
     if s[0] == "+":
         out.append("plus")
-    if 16 <= len(digits) <= 19 and luhn(digits):
-        out.append("luhn")
+    if 16 <= len(digits) <= 19:
+        out.append("luhn" if luhn(digits) else "not luhn")
     if sh.count("<") == 4 and s.count(".") == 3 and len(sh) < 24 and all(p.isdigit() for p in s.split(".")) and small_parts(s):
         out.append("parts")
     return out

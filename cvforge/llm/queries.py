@@ -69,11 +69,12 @@ def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     found = pii.find(docs, pii.learn(docs))
     written = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind))
     rank = lambda s: F.array_position(F.array(*map(F.lit, pii.KINDS)), s["kind"])
     every = F.array_sort(F.transform(F.concat("base", "added"), lambda s: F.struct(rank(s).alias("rank"), s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
     return found.select(
         "doc_id",
-        *(F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in pii.KINDS),
+        *(count(k).cast("long").alias(f"n_{k}") for k in pii.KINDS),
         F.sha2(written(F.col("base")).cast("binary"), 256).alias("base_sha256"),
         written(every).alias("spans"),
     )
