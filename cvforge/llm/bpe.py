@@ -20,13 +20,15 @@ import os
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from tokenizers import Regex, Tokenizer, decoders, models, pre_tokenizers
 
-from cvforge.llm.common import id_text, slices, texts
+from cvforge.llm.common import id_text, slices, texts, tidy
 
 
 def byte_chars() -> list[str]:
@@ -52,20 +54,27 @@ def merges_of(ranks: dict[bytes, int]) -> list[tuple[bytes, bytes]]:
 
 
 @lru_cache(maxsize=2)
-def load(path: str, pattern: str) -> tuple[Tokenizer, list[bytes]]:
-    """Tokenizer of a rank file and the bytes of each id; built once in a Python worker."""
+def load(path: str, pattern: str) -> Tokenizer:
+    """Tokenizer of a rank file; built once in a Python worker."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task for each core already
     ranks, chars = read_ranks(path), byte_chars()
     written = lambda token: "".join(chars[b] for b in token)
     vocab = {written(t): r for t, r in ranks.items()}
-    model = models.BPE(vocab=vocab, merges=[(written(a), written(b)) for a, b in merges_of(ranks)], ignore_merges=True, cache_capacity=200_000)
+    model = models.BPE(vocab=vocab, merges=[(written(a), written(b)) for a, b in merges_of(ranks)], ignore_merges=True, cache_capacity=10_000)
     t = Tokenizer(model)
     t.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.Split(Regex(pattern), "isolated"), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
     t.decoder = decoders.ByteLevel()
+    return t
+
+
+@lru_cache(maxsize=2)
+def token_bytes(path: str) -> list[bytes]:
+    """The bytes of each id; decoding needs no tokenizer."""
+    ranks = read_ranks(path)
     by_id = [b""] * (max(ranks.values()) + 1)
     for token, rank in ranks.items():
         by_id[rank] = token
-    return t, by_id
+    return by_id
 
 
 #: White space as the split pattern's ``\\s`` has it.
@@ -83,30 +92,33 @@ class Segments:
     space has matches across such borders and is encoded as one.
     """
 
-    def __init__(self, tokenizer: Tokenizer, most: int = 300_000):
+    def __init__(self, tokenizer: Tokenizer, most: int = 120_000):
         self.tokenizer, self.most, self.known, self.before = tokenizer, most, {}, {}
 
     def learn(self, parts: set[str]) -> None:
         if len(self.known) > self.most:
             self.before, self.known = self.known, {}
-        new = [p for p in parts if p not in self.known]
+        new = parts - self.known.keys()
         if self.before:
-            self.known.update((p, self.before[p]) for p in new if p in self.before)
-            new = [p for p in new if p not in self.known]
-        for p, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            self.known[p] = np.array(e.ids, np.int32).tobytes()
+            again = new & self.before.keys()
+            self.known.update((p, self.before[p]) for p in again)
+            new -= again
+        self.known.update(zip(new, self.packed([" " + p for p in new]), strict=True))
+
+    def packed(self, many: list[str]) -> list[bytes]:
+        """Ids of each string; in pieces, since the library's results are far larger than the ids."""
+        out: list[bytes] = []
+        for i in range(0, len(many), 2000):
+            found = self.tokenizer.encode_batch_fast(many[i : i + 2000], add_special_tokens=False)
+            out += [np.array(e.ids, np.int32).tobytes() for e in found]
+        return out
 
     def encode(self, many: list[str]) -> list[np.ndarray]:
-        cut = []
-        for t in many:
-            first, *rest = [t] if SPACE_RUN.search(t) else t.split(" ")
-            if rest and not rest[-1]:  # a blank at the end of the text
-                rest[-1:] = []
-                cut.append([first, *(" " + r for r in rest), " "])
-            else:
-                cut.append([first, *(" " + r for r in rest)])
-        self.learn({p for parts in cut for p in parts})
-        return [np.frombuffer(b"".join(map(self.known.__getitem__, parts)), np.int32) for parts in cut]
+        """The ids of each text; parts are known by what follows their blank."""
+        cut = [[t] if SPACE_RUN.search(t) else t.split(" ") for t in many]
+        heads = self.packed([parts.pop(0) for parts in cut])
+        self.learn(set(chain.from_iterable(cut)))
+        return [np.frombuffer(head + b"".join(map(self.known.__getitem__, parts)), np.int32) for head, parts in zip(heads, cut, strict=True)]
 
 
 def id_lists(rows: list[np.ndarray]) -> pa.Array:
@@ -118,9 +130,9 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
     """(doc_id, ids) of every text, with ``starts`` and ``ends`` of each token if asked for."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer, _ = load(path, pattern)
+        tokenizer = load(path, pattern)
         segments = Segments(tokenizer)
-        for batch in slices(batches):
+        for batch in slices(batches, limit=1 << 20):
             if not offsets:
                 ids = id_lists(segments.encode(texts(batch)))
                 yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "ids": ids})
@@ -133,21 +145,30 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
             yield pa.RecordBatch.from_pydict(columns)
 
     more = ", starts array<int>, ends array<int>" if offsets else ""
-    return id_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, ids array<int>" + more)
+    return id_text(docs, id_col, text_col).mapInArrow(tidy(run), "doc_id long, ids array<int>" + more)
 
 
-def decode(encoded: DataFrame, path: str, pattern: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
+def decode(encoded: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
     """(doc_id, ids, decoded) with the bytes that the ids stand for."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        _, by_id = load(path, pattern)
-        for batch in slices(batches, "ids", 1 << 20):
-            ids = batch.column("ids").to_pylist()
-            joined = [b"".join(map(by_id.__getitem__, x or ())) for x in ids]
-            yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "ids": batch.column("ids"), "decoded": pa.array(joined, pa.binary())})
-
-    rows = encoded.select(encoded[id_col].alias("doc_id"), encoded[ids_col].alias("ids"))
-    return rows.mapInArrow(run, "doc_id long, ids array<int>, decoded binary")
+        by_id = token_bytes(path)
+        table, lengths = np.frombuffer(b"".join(by_id), np.uint8), np.array([len(t) for t in by_id], np.int64)
+        starts = np.cumsum(lengths) - lengths
+        for batch in slices(batches, "ids", 1 << 18):
+            ids = batch.column("ids")
+            flat = ids.flatten().to_numpy(zero_copy_only=False)
+            n = lengths[flat]
+            ends = np.cumsum(n)
+            # where each byte of the output stands in the table of all tokens' bytes
+            place = np.repeat(starts[flat] - ends + n, n) + np.arange(ends[-1] if len(ends) else 0)
+            cuts = np.cumsum([0, *(x or 0 for x in pa.compute.list_value_length(ids).to_pylist())])
+            offsets = np.concatenate([[0], ends])[cuts].astype(np.int32)
+            decoded = pa.Array.from_buffers(pa.binary(), len(ids), [None, pa.py_buffer(offsets), pa.py_buffer(table[place])])
+            yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "ids": ids, "decoded": decoded})
+
+    rows = encoded.select(encoded[id_col].cast("long").alias("doc_id"), encoded[ids_col].cast("array<int>").alias("ids"))
+    return rows.mapInArrow(tidy(run), "doc_id long, ids array<int>, decoded binary")
 
 
 def decoded_text(decoded: bytes) -> str:

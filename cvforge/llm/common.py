@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import gc
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +25,26 @@ def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("text"))
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Let a Python worker give memory back: Spark keeps workers between stages, and what one
+    stage has freed would else stay with a worker that another stage uses or that only waits."""
+
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        libc = ctypes.CDLL(None)
+        if hasattr(libc, "mallopt"):
+            libc.mallopt(-3, 1 << 20)  # arrays over 1 MB go back to the system as soon as they are freed
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            if hasattr(libc, "malloc_trim"):
+                libc.malloc_trim(0)
+
+    return wrapped
+
+
+def slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches into pieces of about ``limit`` bytes (list items) of ``column``, one row at least."""
     for batch in batches:
         values = batch.column(column)
@@ -65,7 +86,7 @@ def packed_texts(docs: DataFrame, null_ids: bool = True) -> DataFrame:
         for batch in slices(batches):
             yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "packed": pa.array([c.compress(t.encode("utf-8", "replace")) for t in texts(batch)], pa.binary())})
 
-    return docs.mapInArrow(run, "doc_id long, packed binary" if null_ids else "doc_id long not null, packed binary")
+    return docs.mapInArrow(tidy(run), "doc_id long, packed binary" if null_ids else "doc_id long not null, packed binary")
 
 
 def unpack(packed: bytes) -> str:

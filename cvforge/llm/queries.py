@@ -33,7 +33,7 @@ def op2_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(TOKENIZER)
     ids = encode(read_table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
-    return decode(ids, path, public_tokenizers.PATTERN).select(
+    return decode(ids, path).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),

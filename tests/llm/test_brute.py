@@ -75,7 +75,7 @@ def test_op3_as_tiktoken(spark, texts):
 def test_segments_as_tiktoken():
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     own = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.read_ranks(path), special_tokens={})
-    segments = bpe.Segments(bpe.load(path, public_tokenizers.PATTERN)[0], most=50)
+    segments = bpe.Segments(bpe.load(path, public_tokenizers.PATTERN), most=50)
     draw = random.Random(3)
     for _ in range(3000):
         t = "".join(draw.choice("abc   \n\t'sé日🙂́\x85\xa0\x1c12٣") for _ in range(draw.randrange(30)))

@@ -73,13 +73,13 @@ def test_bpe(docs, nothing):
     ids = bpe.encode(docs, PATH, public_tokenizers.PATTERN, offsets=True)
     for r in docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(ids.dropDuplicates(["doc_id"]), "doc_id").collect():
         assert len(r.ids) == len(r.starts) and (not r.ids or r.ends[-1] == len(r.text))
-    back = bpe.decode(ids, PATH, public_tokenizers.PATTERN)
+    back = bpe.decode(ids, PATH)
     want = sorted(hashlib.sha256((r.text or "").encode()).hexdigest() for r in docs.collect())
     assert sorted(hashlib.sha256(r.decoded).hexdigest() for r in back.collect()) == want
     fast = bpe.encode(docs, PATH, public_tokenizers.PATTERN).select("ids").collect()
     assert sorted(r.ids for r in fast) == sorted(r.ids for r in ids.collect())
     assert bpe.encode(nothing, PATH, public_tokenizers.PATTERN).count() == 0
-    assert bytes(bpe.decode(docs.select(F.lit(1).alias("doc_id"), F.lit(None).cast("array<int>").alias("ids")).limit(1), PATH, public_tokenizers.PATTERN).first().decoded) == b""
+    assert bytes(bpe.decode(docs.select(F.lit(1).alias("doc_id"), F.lit(None).cast("array<int>").alias("ids")).limit(1), PATH).first().decoded) == b""
 
 
 def test_suffix_dedup(spark, docs, nothing):
