@@ -23,7 +23,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from cvforge.llm.common import id_text, slices, words_of
+from cvforge.llm.common import id_text, slices, tidy, words_of
 from cvforge.session import write_shared
 
 def patterns_of(items: list[tuple[int | None, str | None]], window: int) -> dict[tuple[bytes, ...], set[str]]:
@@ -161,7 +161,7 @@ def _searcher(shared, window: int, keep_text: bool):
                 names=["doc_id", "text", "n_words", "spans", "items"],
             )
 
-    return run
+    return tidy(run)
 
 
 def clean(
@@ -195,4 +195,4 @@ def _cleaner(shared, window: int, text_col: str):
                 marks.append(not spans)
             yield batch.filter(pa.array(marks, pa.bool_()))
 
-    return run
+    return tidy(run)

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cvforge.llm.common import id_text, slices, texts
+from cvforge.llm.common import id_text, slices, texts, tidy
 
 #: Whole-number weight that each learning text spreads over its n-grams.
 UNIT = 1 << 20
@@ -93,9 +93,9 @@ class Grams:
         return out
 
 
-def groups(batches: Iterator[pa.RecordBatch], rows: int = 512, column: str = "text") -> Iterator[pa.RecordBatch]:
+def groups(batches: Iterator[pa.RecordBatch], rows: int = 256, column: str = "text") -> Iterator[pa.RecordBatch]:
     """Slices of at most ``rows`` texts, so that a table of counts stays small."""
-    for batch in slices(batches, column, limit=2 << 20):
+    for batch in slices(batches, column):
         for i in range(0, batch.num_rows, rows):
             yield batch.slice(i, rows)
 
@@ -112,15 +112,18 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
             totals = np.maximum(grams.counts.sum(1, keepdims=True), 1)
             weights = grams.counts * UNIT // totals
             langs = np.array(batch.column("lang").to_pylist(), object)
-            vectors = grams.vectors(dims).astype(np.float64)
-            for lang in dict.fromkeys(langs):
-                part = weights[langs == lang].sum(0).astype(np.float64) @ vectors  # exact: far below 2**53
-                sums[lang] = sums.get(lang, 0) + part.astype(np.int64)
+            vectors = grams.vectors(dims)
+            here = list(dict.fromkeys(langs))
+            added = np.stack([weights[langs == lang].sum(0) for lang in here]).astype(np.float64)
+            for k in range(0, dims, 256):  # whole numbers far below 2**53, so the products are exact
+                part = (added @ vectors[:, k : k + 256].astype(np.float64)).astype(np.int64)
+                for lang, v in zip(here, part, strict=True):
+                    sums.setdefault(lang, np.zeros(dims, np.int64))[k : k + 256] += v
         for lang, v in sums.items():
             yield pa.RecordBatch.from_pydict({"lang": pa.array([lang]), "bundle": pa.array([v.tolist()], pa.list_(pa.int64()))})
 
     rows = docs.select(docs[text_col].cast("string").alias("text"), docs[lang_col].cast("string").alias("lang")).where("lang is not null")
-    bundles = rows.mapInArrow(run, "lang string, bundle array<long>")
+    bundles = rows.mapInArrow(tidy(run), "lang string, bundle array<long>")
     added = bundles.select("lang", F.posexplode("bundle").alias("k", "v")).groupBy("lang", "k").agg(F.sum(F.col("v").cast("double")).alias("v"))
     found = added.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("k", "v")))["v"].alias("v")).orderBy("lang").collect()
     matrix = np.array([r["v"] for r in found], np.float64).reshape(len(found), dims)
@@ -136,7 +139,7 @@ def predict(docs: DataFrame, profiles: Profiles, id_col: str = "doc_id", text_co
             lang, score, _ = nearest(texts(batch), profiles)
             yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "lang_pred": pa.array(lang, pa.string()), "score": pa.array(score, pa.float64())})
 
-    return id_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, lang_pred string, score double")
+    return id_text(docs, id_col, text_col).mapInArrow(tidy(run), "doc_id long, lang_pred string, score double")
 
 
 def accepted(docs: DataFrame, profiles: Profiles, least: float, enough: int, text_col: str = "text") -> DataFrame:
@@ -151,7 +154,7 @@ def accepted(docs: DataFrame, profiles: Profiles, least: float, enough: int, tex
             lang, score, size = nearest(texts(batch, text_col), profiles)
             yield batch.filter(pa.array([x != "und" and (s >= least or n < enough) for x, s, n in zip(lang, score, size, strict=True)], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidy(run), docs.schema)
 
 
 def nearest(many: list[str], profiles: Profiles) -> tuple[list[str], list[float], list[int]]:

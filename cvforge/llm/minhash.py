@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cvforge.llm.common import ASCII_LOWER, by_runs, id_text, packed_texts, slices, texts, unpack
+from cvforge.llm.common import ASCII_LOWER, by_runs, id_text, packed_texts, slices, texts, tidy, unpack
 from cvforge.llm.components import components
 from cvforge.llm.rolling import Base, U, mix
 from cvforge.session import write_shared
@@ -122,7 +122,7 @@ def describe(docs: DataFrame, p: Params) -> DataFrame:
                 {"doc_id": batch.column("doc_id"), "n": pa.array([len(s) for s in sets], pa.int64()), "set_key": pa.array(keys, pa.binary()), "sig": pa.array(sigs, pa.list_(pa.int64()))}
             )
 
-    return docs.mapInArrow(run, "doc_id long, n long, set_key binary, sig array<long>")
+    return docs.mapInArrow(tidy(run), "doc_id long, n long, set_key binary, sig array<long>")
 
 
 def star_pairs(classes: DataFrame, p: Params) -> tuple[DataFrame, DataFrame]:
@@ -150,7 +150,7 @@ def likely(pairs: DataFrame, classes: DataFrame, p: Params) -> DataFrame:
                 x, y = (batch.column(c).flatten().to_numpy().view(np.uint16).reshape(batch.num_rows, -1) for c in ("sig_a", "sig_b"))
                 yield batch.select(["a", "b"]).filter(pa.array((x == y).mean(1) >= p.estimate))
 
-    return both.select("a", "b", "sig_a", "sig_b").mapInArrow(run, "a long, b long")
+    return both.select("a", "b", "sig_a", "sig_b").mapInArrow(tidy(run), "a long, b long")
 
 
 def similar(a: np.ndarray, b: np.ndarray, p: Params) -> bool:
@@ -177,7 +177,7 @@ def confirmed(pairs: DataFrame, packed: DataFrame, p: Params) -> DataFrame:
                 marks.append(similar(held[1], other, p))
             yield batch.select(["a", "b"]).filter(pa.array(marks, pa.bool_()))
 
-    return both.mapInArrow(run, "a long, b long")
+    return both.mapInArrow(tidy(run), "a long, b long")
 
 
 def crossing_links(shared: DataFrame, classes: DataFrame, joined: DataFrame, packed: DataFrame, p: Params) -> DataFrame:
@@ -235,7 +235,7 @@ def crossing_links(shared: DataFrame, classes: DataFrame, joined: DataFrame, pac
         for t in by_runs(batches, ["half", "low", "high"]):
             yield from compare(t).to_batches()
 
-    return rows.select("half", "low", "high", "slot", "rep", "home", "own", "n", "sig", "packed").mapInArrow(run, "a long, b long")
+    return rows.select("half", "low", "high", "slot", "rep", "home", "own", "n", "sig", "packed").mapInArrow(tidy(run), "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", params: Params = Params()) -> DataFrame:

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cvforge.llm.common import id_text, slices, texts
+from cvforge.llm.common import id_text, slices, texts, tidy
 from cvforge.session import write_shared
 
 KINDS = ("email", "ip", "card", "phone")
@@ -290,7 +290,7 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", per_k
             fields = [("zone", pa.string()), ("start", pa.int32()), ("stop", pa.int32()), ("kind", pa.list_(pa.string())), ("first", ints), ("last", ints), ("kinds", pa.string())]
             yield pa.RecordBatch.from_pylist(rows, schema=pa.schema(fields))
 
-    found = write_shared(id_text(docs, id_col, text_col).mapInArrow(run, ZONE), "pii-zones")
+    found = write_shared(id_text(docs, id_col, text_col).mapInArrow(tidy(run), ZONE), "pii-zones")
     cases = []
     for kind in ("", *KINDS):
         some = found.where(F.col("kinds") == kind).dropDuplicates(["zone"]).orderBy(F.xxhash64("zone"), "zone").limit(per_kind).collect()
@@ -333,7 +333,7 @@ def find(docs: DataFrame, weights: dict[str, float], id_col: str = "doc_id", tex
                     out.append([{"kind": k, "start": a, "end": b} for k, a, b in spans])
             yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "base": pa.array(both[0], arrow), "added": pa.array(both[1], arrow)})
 
-    return id_text(docs, id_col, text_col).mapInArrow(run, f"doc_id long, base {SPANS}, added {SPANS}")
+    return id_text(docs, id_col, text_col).mapInArrow(tidy(run), f"doc_id long, base {SPANS}, added {SPANS}")
 
 
 def redacted(text: str, spans: list[Span]) -> str:
@@ -366,4 +366,4 @@ def redact(docs: DataFrame, weights: dict[str, float], text_col: str = "text", l
                 columns[length_col] = pa.array([None if t is None else len(t) for t in out], batch.schema.field(length_col).type)
             yield pa.RecordBatch.from_pydict(columns, schema=batch.schema)
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidy(run), docs.schema)

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from cvforge.llm.common import id_text, packed_texts, slices, texts, unpack
+from cvforge.llm.common import id_text, packed_texts, slices, texts, tidy, unpack
 from cvforge.llm.rolling import Base, U, mix
 from cvforge.session import write_shared
 
@@ -115,7 +115,7 @@ def find_runs(docs: DataFrame, length: int) -> DataFrame:
                 {"gram": pa.array(np.where(again, own, r["gram"])), "whole": pa.array(r["whole"]), "doc_id": pa.array(doc), "place": pa.array(place), "again": pa.array(again)}
             )
 
-    return docs.mapInArrow(run, RUN)
+    return docs.mapInArrow(tidy(run), RUN)
 
 
 def judge_runs(runs: DataFrame) -> DataFrame:
@@ -259,7 +259,7 @@ def sorted_spans(contexts: DataFrame, length: int, windows: int = 200_000) -> Da
         doc, start = repeated_windows(*(t[c].to_numpy() for c in ("gram", "doc_id", "place")), t["context"].to_pylist(), length)
         return spans_of(doc, start, length)
 
-    return contexts.repartition("gram").sortWithinPartitions("gram").select("gram", "doc_id", "place", "context").mapInArrow(run, SPANS)
+    return contexts.repartition("gram").sortWithinPartitions("gram").select("gram", "doc_id", "place", "context").mapInArrow(tidy(run), SPANS)
 
 
 def hashed_spans(contexts: DataFrame, length: int) -> DataFrame:
@@ -273,7 +273,7 @@ def hashed_spans(contexts: DataFrame, length: int) -> DataFrame:
             start = np.concatenate([p + np.arange(n) for p, n in zip(place >> 16, place & 0xFF, strict=True)]) if len(place) else place
             yield pa.RecordBatch.from_pydict({"key": pa.array(keys, pa.binary()), "doc_id": pa.array(doc), "start": pa.array(start)})
 
-    found = contexts.select("doc_id", "place", "context").mapInArrow(run, "key binary, doc_id long, start long")
+    found = contexts.select("doc_id", "place", "context").mapInArrow(tidy(run), "key binary, doc_id long, start long")
     lead = found.groupBy("key").agg(F.min(F.struct("doc_id", "start")).alias("lead"), F.count("*").alias("n")).where("n > 1").select("key", "lead")
     late = found.join(lead, "key").where(F.col("lead") < F.struct("doc_id", "start"))
     return late.select("doc_id", "start", (F.col("start") + length).alias("stop"))
@@ -300,7 +300,7 @@ def removed_spans(docs: DataFrame, packed: DataFrame, length: int, group_limit:
             yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*rows, strict=True), schema, strict=True)] if rows else [pa.array([], f.type) for f in schema], schema=schema)
 
     joined = packed.join(wanted, packed.doc_id == wanted.w_id).select("doc_id", "packed", "runs")
-    contexts = joined.mapInArrow(cut, "gram long, doc_id long, place long, many long, context binary")
+    contexts = joined.mapInArrow(tidy(cut), "gram long, doc_id long, place long, many long, context binary")
     spans = whole.union(sorted_spans(contexts.where(F.col("many") <= group_limit), length))
     if judged.where((~F.col("repeat")) & (F.col("many") > group_limit)).limit(1).count():
         spans = spans.union(hashed_spans(contexts.where(F.col("many") > group_limit), length))
@@ -340,5 +340,5 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             )
 
     both = packed.join(gathered, packed.doc_id == gathered.s_id, "left").select("doc_id", "packed", "found")
-    out = both.mapInArrow(run, "doc_id long, n_bytes long, spans array<struct<start:long,stop:long>>, kept binary")
+    out = both.mapInArrow(tidy(run), "doc_id long, n_bytes long, spans array<struct<start:long,stop:long>>, kept binary")
     return out.withColumn("doc_id", F.nullif("doc_id", F.lit(LAST_ID)))

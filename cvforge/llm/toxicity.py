@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cvforge.llm.common import WORD_BYTES, fold, id_text, slices
+from cvforge.llm.common import WORD_BYTES, fold, id_text, slices, tidy
 from cvforge.session import write_shared
 
 #: Taken from every count.
@@ -104,14 +104,14 @@ def count_bigrams(labelled: DataFrame, sizes: Sizes) -> DataFrame:
     """(slot, key, n): every bigram of every class; key = unit before, unit and class in one number."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, limit=16 << 20):
+        for batch in slices(batches, limit=4 << 20):
             ids, before, ends = units(batch.column("text").to_pylist())
             toxic = np.repeat(batch.column("toxic").to_numpy(zero_copy_only=False).astype(np.int64), np.diff(ends))
             key, n = np.unique(before << 32 | ids << 1 | toxic, return_counts=True)
             slot = word_entry(key >> 32, sizes) >> (sizes.word_bits - 6)
             yield pa.RecordBatch.from_pydict({"slot": pa.array(slot.astype(np.int32)), "key": pa.array(key), "n": pa.array(n.astype(np.int64))})
 
-    found = labelled.select("text", "toxic").mapInArrow(run, "slot int, key long, n long")
+    found = labelled.select("text", "toxic").mapInArrow(tidy(run), "slot int, key long, n long")
     return found.repartition(SLOTS, "slot").groupBy("slot", "key").agg(F.sum("n").alias("n"))
 
 
@@ -152,7 +152,7 @@ def lay_tables(bigrams: DataFrame, sizes: Sizes) -> dict[tuple[str, int], np.nda
         fields = (("slot", slot, pa.int32()), ("name", name, pa.string()), ("toxic", toxic, pa.int32()), ("entry", entry, pa.int64()), ("n", n, pa.int64()), ("data", data, pa.binary()))
         return pa.RecordBatch.from_pydict({k: pa.array(v, t) for k, v, t in fields})
 
-    laid = bigrams.mapInArrow(lay, "slot int, name string, toxic int, entry long, n long, data binary")
+    laid = bigrams.mapInArrow(tidy(lay), "slot int, name string, toxic int, entry long, n long, data binary")
     laid = write_shared(laid, "toxicity-counts")
 
     def lay_heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -166,7 +166,7 @@ def lay_tables(bigrams: DataFrame, sizes: Sizes) -> dict[tuple[str, int], np.nda
             yield rows([s], ["preceders"], [c], [None], [None], [pack(t).tobytes()])
 
     followed = laid.where("data is null").groupBy((F.col("entry") / words).cast("int").alias("slot"), "toxic", "entry").agg(F.sum("n").alias("n"))
-    heads = followed.repartition(SLOTS, "slot").mapInArrow(lay_heads, laid.schema)
+    heads = followed.repartition(SLOTS, "slot").mapInArrow(tidy(lay_heads), laid.schema)
     tables = {(name, c): np.zeros(1 << (sizes.pair_bits if name == "pair" else sizes.word_bits), np.uint8) for name in ("pair", "history", "followers", "preceders") for c in (0, 1)}
     for r in laid.where("data is not null").union(heads).select("slot", "name", "toxic", "data").toLocalIterator():
         part = np.frombuffer(r["data"], np.uint8)
@@ -284,7 +284,7 @@ def learn(
             x = evidence.of(batch.column("text").to_pylist())
             yield pa.RecordBatch.from_pydict({"evidence": pa.array(x.tolist(), pa.list_(pa.float64())), "toxic": batch.column("toxic")})
 
-    sample = label(curve).mapInArrow(measure, "evidence array<double>, toxic int").orderBy("evidence", "toxic").collect()
+    sample = label(curve).mapInArrow(tidy(measure), "evidence array<double>, toxic int").orderBy("evidence", "toxic").collect()
     if not sample:
         return Model(None, None, sizes, stretches)
     x = np.array([r["evidence"] for r in sample])
@@ -307,4 +307,4 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
             p = [1 / (1 + math.exp(-z)) for z in np.clip(x @ np.array(curve[:-1]) + curve[-1], -500, 500).tolist()]
             yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "evidence": pa.array(x.tolist(), pa.list_(pa.float64())), "score": pa.array(p, pa.float64())})
 
-    return rows.mapInArrow(run, "doc_id long, evidence array<double>, score double")
+    return rows.mapInArrow(tidy(run), "doc_id long, evidence array<double>, score double")

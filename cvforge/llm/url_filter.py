@@ -18,7 +18,7 @@ import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from cvforge.llm.common import ASCII_LOWER
+from cvforge.llm.common import ASCII_LOWER, tidy
 
 STRICT_TERMS = ("casino", "porn", "porno", "xxx", "escort", "adult", "spam", "viagra", "warez")
 SOFT_TERMS = ("free", "bet", "bets", "win", "poker", "sex", "hot", "cheap", "pills", "loan", "farm", "torrent", "crack", "dating")
@@ -126,4 +126,4 @@ def filter_urls(
             yield pa.RecordBatch.from_pylist([dict(zip(schema.names, r, strict=True)) for r in out], schema=schema)
 
     rows = pages.select(pages[id_col].cast("long").alias("page_id"), pages[url_col].cast("string").alias("url"))
-    return rows.mapInArrow(judge, SCHEMA)
+    return rows.mapInArrow(tidy(judge), SCHEMA)
