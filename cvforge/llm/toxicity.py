@@ -12,7 +12,7 @@ turns these numbers into a score from 0 to 1.
 
 Counts cover every learning row: tasks add up bigrams of what they read, Spark adds those up by
 bigram. They are then laid into tables whose sizes are fixed by ``word_bits`` and
-``pair_bits``, of one byte an entry (a 16th of a doubling precise), so what is broadcast is bounded
+``pair_bits``, of whole numbers without a ceiling, so what is broadcast is bounded
 whatever the corpus holds; units that share an entry share its counts. The curve alone
 is fitted on a bounded sample, of about ``curve_rows`` labelled rows.
 
@@ -88,15 +88,8 @@ def pair_entry(before: np.ndarray, ids: np.ndarray, sizes: Sizes) -> np.ndarray:
     return slot << (sizes.pair_bits - 6) | rest
 
 
-def pack(counts: np.ndarray) -> np.ndarray:
-    return np.minimum(np.round(np.log2(1.0 + counts) * 16), 255).astype(np.uint8)
-
-
-UNPACK = (2.0 ** (np.arange(256) / 16) - 1.0).astype(np.float32)
-
-
 def kept(counts: np.ndarray) -> np.ndarray:
-    """Counts less their discounts; rounding of packed counts stays within them."""
+    """Counts less their discounts."""
     return np.maximum(counts - DISCOUNT, 0)
 
 
@@ -135,18 +128,18 @@ def lay_tables(bigrams: DataFrame, sizes: Sizes) -> dict[tuple[str, int], np.nda
                         ("history", words, word_entry(u, sizes) % words, k),
                         ("followers", words, word_entry(u, sizes) % words, None),
                     ):
-                        t = held.setdefault((int(s), name, c), np.zeros(size, np.float32))
+                        t = held.setdefault((int(s), name, c), np.zeros(size, np.int64))
                         np.add.at(t, entry, 1 if weight is None else weight)
             for c in (0, 1):
                 entry, many = np.unique(word_entry(ids[toxic == c], sizes), return_counts=True)
-                total = heads.setdefault(c, np.zeros(1 << sizes.word_bits, np.float32))
+                total = heads.setdefault(c, np.zeros(1 << sizes.word_bits, np.int64))
                 total[entry] += many
         for (s, name, c), t in held.items():
-            yield rows([s], [name], [c], [None], [None], [pack(t).tobytes()])
+            yield rows([s], [name], [c], [None], [None], [t.tobytes()])
         for c, t in heads.items():
             entry = np.flatnonzero(t)
             k = len(entry)
-            yield rows([None] * k, ["preceders"] * k, [c] * k, entry, t[entry].astype(np.int64), [None] * k)
+            yield rows([None] * k, ["preceders"] * k, [c] * k, entry, t[entry], [None] * k)
 
     def rows(slot, name, toxic, entry, n, data) -> pa.RecordBatch:
         fields = (("slot", slot, pa.int32()), ("name", name, pa.string()), ("toxic", toxic, pa.int32()), ("entry", entry, pa.int64()), ("n", n, pa.int64()), ("data", data, pa.binary()))
@@ -161,15 +154,15 @@ def lay_tables(bigrams: DataFrame, sizes: Sizes) -> dict[tuple[str, int], np.nda
             slot, toxic, entry, n = (batch.column(c).to_numpy() for c in ("slot", "toxic", "entry", "n"))
             for s, c in set(zip(slot.tolist(), toxic.tolist(), strict=True)):
                 at = (slot == s) & (toxic == c)
-                held.setdefault((s, c), np.zeros(words, np.float32))[entry[at] % words] += n[at]
+                held.setdefault((s, c), np.zeros(words, np.int64))[entry[at] % words] += n[at]
         for (s, c), t in held.items():
-            yield rows([s], ["preceders"], [c], [None], [None], [pack(t).tobytes()])
+            yield rows([s], ["preceders"], [c], [None], [None], [t.tobytes()])
 
     followed = laid.where("data is null").groupBy((F.col("entry") / words).cast("int").alias("slot"), "toxic", "entry").agg(F.sum("n").alias("n"))
     heads = followed.repartition(SLOTS, "slot").mapInArrow(tidy(lay_heads), laid.schema)
-    tables = {(name, c): np.zeros(1 << (sizes.pair_bits if name == "pair" else sizes.word_bits), np.uint8) for name in ("pair", "history", "followers", "preceders") for c in (0, 1)}
+    tables = {(name, c): np.zeros(1 << (sizes.pair_bits if name == "pair" else sizes.word_bits), np.int64) for name in ("pair", "history", "followers", "preceders") for c in (0, 1)}
     for r in laid.where("data is not null").union(heads).select("slot", "name", "toxic", "data").toLocalIterator():
-        part = np.frombuffer(r["data"], np.uint8)
+        part = np.frombuffer(r["data"], np.int64)
         tables[r["name"], r["toxic"]][r["slot"] * len(part) : (r["slot"] + 1) * len(part)] = part
     return tables
 
@@ -179,15 +172,15 @@ class Evidence:
 
     def __init__(self, tables: dict[tuple[str, int], np.ndarray], sizes: Sizes, stretches: tuple[int, ...]):
         self.tables, self.sizes, self.stretches = tables, sizes, stretches
-        types = [float(UNPACK[tables["preceders", c]].sum(dtype=np.float64)) for c in (0, 1)]
+        types = [float(tables["preceders", c].sum()) for c in (0, 1)]
         self.types = [max(t, 1.0) for t in types]
-        left = [float(kept(UNPACK[tables["preceders", c]]).sum(dtype=np.float64)) for c in (0, 1)]
+        left = [float(kept(tables["preceders", c]).sum(dtype=np.float64)) for c in (0, 1)]
         self.backoff = [1 - k / t for k, t in zip(left, self.types, strict=True)]
         self.floor = 1.0 / (1 << sizes.word_bits)
 
     def per_unit(self, ids: np.ndarray, before: np.ndarray) -> np.ndarray:
         """log P(unit | toxic) - log P(unit | ordinary)."""
-        get = lambda name, c, at: UNPACK[self.tables[name, c][at]]
+        get = lambda name, c, at: self.tables[name, c][at]
         w, u, p = word_entry(ids, self.sizes), word_entry(before, self.sizes), pair_entry(before, ids, self.sizes)
         seen = [get("preceders", c, w) for c in (0, 1)]
         shared = (seen[0] + seen[1]) / sum(self.types) * 0.99 + 0.01 * self.floor

@@ -142,6 +142,16 @@ def test_toxicity(spark, docs, nothing):
     assert toxicity.score(nothing, model).count() == 0
 
 
+def test_toxicity_counts_have_no_ceiling(spark):
+    # "same" is every tenth word of both classes, of which one is 20 times as large
+    words = " ".join("same" if i % 10 == 0 else f"{'xyz'[i % 3]}{i % 7}" for i in range(4000))
+    rows = [(i, words if i < 60 else " ".join([words] * 20), "en") for i in range(120)]
+    labels = spark.createDataFrame([(i, int(i < 60)) for i, _, _ in rows], "doc_id long, toxic int")
+    model = toxicity.learn(table(spark, rows), labels)
+    found = toxicity.score(table(spark, [(1000, "same", "en"), (1001, words, "en")]), model).collect()
+    assert all(abs(x) < 0.1 for r in found for x in r.evidence)
+
+
 def test_urls(spark):
     urls = ["http://a.example.com/en/x?q=1", "https://WWW.Example.com/en/", "http://com", "http://x.net/es/", "ftp no scheme", None, "http://x.org/casino", "http://x.org/free-bets", "http://x.org/freebets", "http://x.org/free/free", "", "a://b#c/d"]
     pages = spark.createDataFrame([(i, u, "x", "y") for i, u in enumerate(urls)], "page_id long, url string, host string, verdict string")
