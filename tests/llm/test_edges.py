@@ -1,6 +1,9 @@
 """Every operator and pipeline stage on nulls, empty and long texts, ties, repeated rows, empty tables and clashing columns."""
 
 import hashlib
+import math
+import random
+from collections import Counter
 
 import public_tokenizers
 import pytest
@@ -8,6 +11,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from cvforge.llm import bpe, decontam, fingerprint, langid, minhash, pii, suffix_dedup, toxicity, url_filter, warc
+from cvforge.llm.common import fold
 
 PATH = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 CLASH = "kept boolean, n int, rep string, sig string, packed string, found string, chunk string, spans string, score string, copy_id string, home string"
@@ -152,6 +156,41 @@ def test_toxicity_counts_have_no_ceiling(spark):
     assert all(abs(x) < 0.1 for r in found for x in r.evidence)
 
 
+def test_toxicity_counts_are_exact(spark):
+    # 20,000 different units and more bigrams, against counts in dictionaries
+    draw = random.Random(5)
+    word = lambda: "".join(draw.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(draw.choice((3, 4, 6, 9))))
+    rows = [(i, " ".join(word() for _ in range(400)), "en") for i in range(160)]
+    labels = spark.createDataFrame([(i, i % 2) for i, _, _ in rows], "doc_id long, toxic int")
+    docs = table(spark, rows)
+    counted = {r.doc_id for r in docs.select("doc_id").where(~fold(F.col("doc_id")).isin(2, 3)).collect()}
+    pieces = lambda t: [[w[i : i + 3] for i in range(0, len(w), 3)] for w in t.split()]
+    pairs_of = lambda t: [(u, (k == 0, w)) for p in pieces(t) for k, w in enumerate(p) for u in [(k == 1, p[k - 1]) if k else 0]]
+    n = [Counter(x for i, t, _ in rows if i in counted and i % 2 == c for x in pairs_of(t)) for c in (0, 1)]
+    total, follow, heads = [Counter(), Counter()], [Counter(), Counter()], [Counter(), Counter()]
+    for c in (0, 1):
+        for (u, w), k in n[c].items():
+            total[c][u] += k
+            follow[c][u] += 1
+            heads[c][w] += 1
+    types, known = [sum(h.values()) for h in heads], len(heads[0] | heads[1])
+
+    def value(u, w):
+        logs = []
+        for c in (0, 1):
+            shared = 0.99 * (heads[0][w] + heads[1][w]) / sum(types) + 0.01 / (known + 1)
+            p = max(heads[c][w] - 0.75, 0) / types[c] + 0.75 * len(heads[c]) / types[c] * shared
+            if total[0][u] and total[1][u]:
+                p = max(n[c][u, w] - 0.75, 0) / total[c][u] + 0.75 * follow[c][u] / total[c][u] * p
+            logs.append(math.log(p))
+        return min(max(logs[1] - logs[0], -4), 4)
+
+    got = {r.doc_id: r.evidence[0] for r in toxicity.score(docs, toxicity.learn(docs, labels)).collect()}
+    for i, t, _ in rows:
+        want = [value(*x) for x in pairs_of(t)]
+        assert abs(got[i] - sum(want) / len(want)) < 1e-6
+
+
 def test_urls(spark):
     urls = ["http://a.example.com/en/x?q=1", "https://WWW.Example.com/en/", "http://com", "http://x.net/es/", "ftp no scheme", None, "http://x.org/casino", "http://x.org/free-bets", "http://x.org/freebets", "http://x.org/free/free", "", "a://b#c/d"]
     pages = spark.createDataFrame([(i, u, "x", "y") for i, u in enumerate(urls)], "page_id long, url string, host string, verdict string")
