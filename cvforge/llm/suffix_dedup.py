@@ -8,7 +8,8 @@ so equal windows have the same anchor at the same offset, and neighbouring windo
 share theirs. Consecutive windows of one anchor make a *run*, about 2 % as many as bytes.
 
 Runs are grouped by the hash of the anchor's gram. If all runs of a group are equal as a
-whole, all but the earliest are repeats, and no text is looked at again. Otherwise the
+whole, by a 128-bit BLAKE2b digest of their bytes, all but the earliest are repeats, and no text
+is looked at again. Otherwise the
 different ones get their bytes, and their windows' suffixes are sorted: a mergesort whose
 comparisons find the common extension of two suffixes by binary search over prefix polynomial
 hashes, in a number of steps logarithmic in ``length``. Sorting is stable and starts from
@@ -57,12 +58,13 @@ def sliding_least(v: np.ndarray, width: int) -> np.ndarray:
 
 
 def runs_of(many: list[bytes], length: int) -> dict[str, np.ndarray]:
-    """All runs of the texts: text number, first window, offset of the anchor, number of windows, and two hashes."""
+    """All runs of the texts: text number, first window, offset of the anchor, number of windows, the
+    hash of the anchor's gram, and a 128-bit digest, as two numbers, of all its bytes, offset and count."""
     names = ("text", "first", "offset", "count", "gram", "whole")
     data = np.frombuffer(b"".join(many), np.uint8)
     ends = np.cumsum([0, *map(len, many)])
     if len(data) < length:
-        return {n: np.zeros(0, np.int64) for n in names}
+        return {n: np.zeros((0, 2) if n == "whole" else 0, np.int64) for n in names}
     b = base(1)
     sums = b.prefix(data)
     at = np.arange(len(data) - SHORT + 1)
@@ -79,13 +81,15 @@ def runs_of(many: list[bytes], length: int) -> dict[str, np.ndarray]:
     count = np.diff(np.append(starts, len(window)))
     first, anchor, text = window[starts], anchor[starts], text[starts]
     gram = mix(b.span(sums, anchor, anchor + length - SPREAD + 1))
-    other = base(2)
-    whole = other.span(other.prefix(data), first, first + count - 1 + length)
-    whole = mix(whole + U(64) * (anchor - first).astype(np.uint64) + count.astype(np.uint64))
-    return dict(zip(names, (text, first - ends[text], anchor - first, count, gram.view(np.int64), whole.view(np.int64)), strict=True))
+    joined, offset = memoryview(data), anchor - first
+    # offsets and counts fit a byte each
+    spans = zip(first.tolist(), (first + count - 1 + length).tolist(), offset.tolist(), count.tolist(), strict=True)
+    digests = b"".join(hashlib.blake2b(joined[x:y], digest_size=16, salt=bytes((o, n))).digest() for x, y, o, n in spans)
+    whole = np.frombuffer(digests, np.int64).reshape(-1, 2)
+    return dict(zip(names, (text, first - ends[text], offset, count, gram.view(np.int64), whole), strict=True))
 
 
-RUN = "gram long, whole long, doc_id long, place long, again boolean"
+RUN = "gram long, whole binary, doc_id long, place long, again boolean"
 
 
 def find_runs(docs: DataFrame, length: int) -> DataFrame:
@@ -101,18 +105,19 @@ def find_runs(docs: DataFrame, length: int) -> DataFrame:
             r = runs_of([t.encode("utf-8", "replace") for t in texts(batch)], length)
             doc = ids[r["text"]] if len(ids) else ids
             place = r["first"] << 16 | r["offset"] << 8 | r["count"]
-            order = np.lexsort((place, doc, r["whole"], r["gram"]))
+            order = np.lexsort((place, doc, *r["whole"].T, r["gram"]))
             g, w = r["gram"][order], r["whole"][order]
             again = np.zeros(len(order), bool)
             # rows of one id count as at the same place, so equal places are no repeats
             d, f = doc[order], r["first"][order]
             head = np.ones(len(order), bool)
-            head[1:] = (g[1:] != g[:-1]) | (w[1:] != w[:-1])
+            head[1:] = (g[1:] != g[:-1]) | (w[1:] != w[:-1]).any(axis=1)
             lead = np.maximum.accumulate(np.where(head, np.arange(len(order)), 0))
             again[order] = (d != d[lead]) | (f != f[lead])
             own = mix(mix(doc.astype(np.uint64)) + place.astype(np.uint64)).view(np.int64)
+            whole = pa.FixedSizeBinaryArray.from_buffers(pa.binary(16), len(order), [None, pa.py_buffer(r["whole"].tobytes())])
             yield pa.RecordBatch.from_pydict(
-                {"gram": pa.array(np.where(again, own, r["gram"])), "whole": pa.array(r["whole"]), "doc_id": pa.array(doc), "place": pa.array(place), "again": pa.array(again)}
+                {"gram": pa.array(np.where(again, own, r["gram"])), "whole": whole.cast(pa.binary()), "doc_id": pa.array(doc), "place": pa.array(place), "again": pa.array(again)}
             )
 
     return docs.mapInArrow(tidy(run), RUN)

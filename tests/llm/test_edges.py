@@ -5,6 +5,7 @@ import math
 import random
 from collections import Counter
 
+import numpy as np
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -96,6 +97,15 @@ def test_suffix_dedup(spark, docs, nothing):
     assert [len(r.kept) for r in rows] == [2, 2, 21]
 
 
+def test_suffix_runs_are_told_apart_by_their_bytes(monkeypatch):
+    draw = random.Random(6)
+    a, b = draw.randbytes(300), draw.randbytes(300)
+    monkeypatch.setattr(suffix_dedup, "mix", np.zeros_like)  # every polynomial hash collides
+    r = suffix_dedup.runs_of([a, b, a], 100)
+    of = lambda k: {tuple(np.atleast_1d(w)) for w, t in zip(r["whole"], r["text"], strict=True) if t == k}
+    assert of(0) and of(0) == of(2) and of(0).isdisjoint(of(1))
+
+
 def test_decontam(docs, nothing, benchmark):
     got = {r.doc_id: r for r in decontam.find_occurrences(docs, benchmark).collect()}
     assert [(s.start, s.end) for s in got[1].spans] == [(0, 13)] and got[1].items == ["1"]
