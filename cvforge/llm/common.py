@@ -76,6 +76,25 @@ def fold(doc_id: Column) -> Column:
     return F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(4))
 
 
+#: So many keys at most are broadcast by ``join_each``.
+HEAVY = 1000
+
+
+def join_each(rows: DataFrame, table: DataFrame, key: str, weight: str) -> DataFrame:
+    """``rows`` with the columns of ``table`` (one row for each key, of which ``weight`` rows have it), null without a match.
+
+    The ``HEAVY`` keys of the largest weight are broadcast; a key beyond them has fewer than a
+    thousandth of the rows. Rows that found theirs so are dealt on by the partition they come from.
+    """
+    values = F.struct(*[c for c in table.columns if c != key])
+    heavy = table.orderBy(F.desc(weight), key).limit(HEAVY).select(F.col(key).alias("heavy_key"), values.alias("heavy_value"))
+    other = table.select(F.col(key).alias("other_key"), values.alias("other_value"), F.lit(0).alias("other_slot"))
+    found = rows.join(F.broadcast(heavy), F.col(key) == F.col("heavy_key"), "left")
+    found = found.withColumn("slot", F.when(F.col("heavy_value").isNull(), 0).otherwise(1 + F.spark_partition_id()))
+    found = found.join(other, (F.col(key) == F.col("other_key")) & (F.col("slot") == F.col("other_slot")), "left")
+    return found.select(*rows.columns, F.coalesce("heavy_value", "other_value").alias("value")).select(*rows.columns, "value.*")
+
+
 def packed_texts(docs: DataFrame, null_ids: bool = True) -> DataFrame:
     """(doc_id, packed): texts compressed for a shuffle."""
 

@@ -10,8 +10,11 @@ from pyspark.sql import functions as F
 
 from cvforge.llm import fingerprint, langid, minhash, pii, suffix_dedup, toxicity
 from cvforge.llm.bpe import decode, encode
+from cvforge.llm.collocations import collocations
 from cvforge.llm.common import fold, read_table
 from cvforge.llm.decontam import find_occurrences
+from cvforge.llm.exact_dedup import exact_duplicates
+from cvforge.llm.filter_audit import filter_interactions
 from cvforge.llm.oracles import ORACLES as ALL_ORACLES
 from cvforge.llm.url_filter import filter_urls
 from cvforge.llm.warc import archive_round_trip
@@ -113,9 +116,21 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive_round_trip(read_table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_duplicates(read_table(spark, sf_dir, "documents"))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(read_table(spark, sf_dir, "documents"))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_interactions(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_minhash, op2_langid, op3_bpe, op4_suffix_dedup, op5_decontam, op6_pii, op7_fingerprints, op8_toxicity, op9_urls, op10_warc)
+    for f in (op1_minhash, op2_langid, op3_bpe, op4_suffix_dedup, op5_decontam, op6_pii, op7_fingerprints, op8_toxicity, op9_urls, op10_warc, op11_exact_dedup, op12_collocations, op13_filter_audit)
 }
 
 ORACLES: dict[str, str] = {k: v for k, v in ALL_ORACLES.items() if k in QUERIES}
