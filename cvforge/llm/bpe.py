@@ -18,11 +18,12 @@ from __future__ import annotations
 import base64
 import os
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 from itertools import chain
 
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
@@ -80,19 +81,21 @@ def token_bytes(path: str) -> list[bytes]:
 #: White space as the split pattern's ``\\s`` has it.
 WHITE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 SPACE_RUN = re.compile(f" [{WHITE}]")
+#: Patterns that end every match before a single blank; texts are encoded whole by any other.
+BY_BLANKS = frozenset({public_tokenizers.PATTERN})
 
 
 class Segments:
     """Ids of texts by their parts between single blanks.
 
-    The split pattern ends every match before a blank that a non-space character follows, so
+    A pattern of BY_BLANKS ends every match before a blank that a non-space character follows, so
     a blank and what follows up to the next one encode alike everywhere. Each distinct part goes
     through the tokenizer once while it is remembered; beyond ``most`` parts, those not seen
     since the last change of generation are forgotten. A text with a blank before other white
     space has matches across such borders and is encoded as one.
     """
 
-    def __init__(self, tokenizer: Tokenizer, most: int = 120_000):
+    def __init__(self, tokenizer: Tokenizer, most: int = 60_000):
         self.tokenizer, self.most, self.known, self.before = tokenizer, most, {}, {}
 
     def learn(self, parts: set[str]) -> None:
@@ -126,15 +129,22 @@ def id_lists(rows: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(rows) if rows else np.zeros(0, np.int32)))
 
 
+def encoder_of(path: str, pattern: str) -> Callable[[list[str]], list[np.ndarray]]:
+    """Ids of each text: by parts if ``pattern`` is known to end its matches before single blanks, else of whole texts."""
+    segments = Segments(load(path, pattern))
+    if pattern in BY_BLANKS:
+        return segments.encode
+    return lambda many: [np.frombuffer(x, np.int32) for x in segments.packed(many)]
+
+
 def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", offsets: bool = False) -> DataFrame:
     """(doc_id, ids) of every text, with ``starts`` and ``ends`` of each token if asked for."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = load(path, pattern)
-        segments = Segments(tokenizer)
-        for batch in slices(batches, limit=1 << 20):
+        tokenizer, encoder = load(path, pattern), encoder_of(path, pattern)
+        for batch in slices(batches, limit=1 << 19):
             if not offsets:
-                ids = id_lists(segments.encode(texts(batch)))
+                ids = id_lists(encoder(texts(batch)))
                 yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "ids": ids})
                 continue
             found = tokenizer.encode_batch(texts(batch), add_special_tokens=False)
@@ -148,28 +158,49 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
     return id_text(docs, id_col, text_col).mapInArrow(tidy(run), "doc_id long, ids array<int>" + more)
 
 
+class Decoder:
+    """The bytes of lists of ids, from a table of all tokens' bytes."""
+
+    def __init__(self, path: str):
+        by_id = token_bytes(path)
+        self.table, self.lengths = np.frombuffer(b"".join(by_id), np.uint8), np.array([len(t) for t in by_id], np.int64)
+        self.starts = np.cumsum(self.lengths) - self.lengths
+
+    def decode(self, ids: pa.Array) -> pa.Array:
+        flat = ids.flatten().to_numpy(zero_copy_only=False)
+        n = self.lengths[flat]
+        ends = np.cumsum(n)
+        # where each byte of the output stands in the table of all tokens' bytes
+        place = np.repeat(self.starts[flat] - ends + n, n) + np.arange(ends[-1] if len(ends) else 0)
+        cuts = np.cumsum([0, *(x or 0 for x in pa.compute.list_value_length(ids).to_pylist())])
+        offsets = np.concatenate([[0], ends])[cuts].astype(np.int32)
+        return pa.Array.from_buffers(pa.binary(), len(ids), [None, pa.py_buffer(offsets), pa.py_buffer(self.table[place])])
+
+
 def decode(encoded: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
     """(doc_id, ids, decoded) with the bytes that the ids stand for."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        by_id = token_bytes(path)
-        table, lengths = np.frombuffer(b"".join(by_id), np.uint8), np.array([len(t) for t in by_id], np.int64)
-        starts = np.cumsum(lengths) - lengths
+        decoder = Decoder(path)
         for batch in slices(batches, "ids", 1 << 18):
             ids = batch.column("ids")
-            flat = ids.flatten().to_numpy(zero_copy_only=False)
-            n = lengths[flat]
-            ends = np.cumsum(n)
-            # where each byte of the output stands in the table of all tokens' bytes
-            place = np.repeat(starts[flat] - ends + n, n) + np.arange(ends[-1] if len(ends) else 0)
-            cuts = np.cumsum([0, *(x or 0 for x in pa.compute.list_value_length(ids).to_pylist())])
-            offsets = np.concatenate([[0], ends])[cuts].astype(np.int32)
-            decoded = pa.Array.from_buffers(pa.binary(), len(ids), [None, pa.py_buffer(offsets), pa.py_buffer(table[place])])
-            yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "ids": ids, "decoded": decoded})
+            yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "ids": ids, "decoded": decoder.decode(ids)})
 
     rows = encoded.select(encoded[id_col].cast("long").alias("doc_id"), encoded[ids_col].cast("array<int>").alias("ids"))
     return rows.mapInArrow(tidy(run), "doc_id long, ids array<int>, decoded binary")
 
 
+def round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, ids, decoded) as ``decode(encode(docs))`` has it, in one pass: one Python worker a task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder, decoder = encoder_of(path, pattern), Decoder(path)
+        for batch in slices(batches, limit=1 << 19):
+            ids = id_lists(encoder(texts(batch)))
+            yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "ids": ids, "decoded": decoder.decode(ids)})
+
+    return id_text(docs, id_col, text_col).mapInArrow(tidy(run), "doc_id long, ids array<int>, decoded binary")
+
+
 def decoded_text(decoded: bytes) -> str:
     return decoded.decode("utf-8", errors="replace")

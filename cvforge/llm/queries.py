@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cvforge.llm import fingerprint, langid, minhash, pii, suffix_dedup, toxicity
-from cvforge.llm.bpe import decode, encode
+from cvforge.llm.bpe import round_trip
 from cvforge.llm.collocations import collocations
 from cvforge.llm.common import fold, read_table
 from cvforge.llm.decontam import find_occurrences
@@ -35,8 +35,7 @@ def op2_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(TOKENIZER)
-    ids = encode(read_table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
-    return decode(ids, path).select(
+    return round_trip(read_table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
