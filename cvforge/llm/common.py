@@ -88,10 +88,11 @@ def join_each(rows: DataFrame, table: DataFrame, key: str, weight: str) -> DataF
     """
     values = F.struct(*[c for c in table.columns if c != key])
     heavy = table.orderBy(F.desc(weight), key).limit(HEAVY).select(F.col(key).alias("heavy_key"), values.alias("heavy_value"))
-    other = table.select(F.col(key).alias("other_key"), values.alias("other_value"), F.lit(0).alias("other_slot"))
+    other = table.select(F.col(key).alias("other_key"), values.alias("other_value"), F.xxhash64(key, F.lit(0)).alias("other_deal"))
     found = rows.join(F.broadcast(heavy), F.col(key) == F.col("heavy_key"), "left")
-    found = found.withColumn("slot", F.when(F.col("heavy_value").isNull(), 0).otherwise(1 + F.spark_partition_id()))
-    found = found.join(other, (F.col(key) == F.col("other_key")) & (F.col("slot") == F.col("other_slot")), "left")
+    slot = F.when(F.col("heavy_value").isNull(), 0).otherwise(1 + F.spark_partition_id())
+    found = found.withColumn("deal", F.xxhash64(key, slot))
+    found = found.join(other, (F.col(key) == F.col("other_key")) & (F.col("deal") == F.col("other_deal")), "left")
     return found.select(*rows.columns, F.coalesce("heavy_value", "other_value").alias("value")).select(*rows.columns, "value.*")
 
 

@@ -67,10 +67,11 @@ def with_marks(masks: DataFrame, labels: DataFrame) -> DataFrame:
     """Add ``good`` (quality = 1) and ``toxic`` (toxic = 1), 0 without such a label."""
     mark = lambda c: F.max((F.col(c) == 1).cast("int"))
     known = labels.select(labels["doc_id"].cast("long").alias("l_id"), "quality", "toxic").where("quality = 1 or toxic = 1")
-    known = known.groupBy("l_id").agg(mark("quality").alias("good"), mark("toxic").alias("toxic")).withColumn("l_slot", F.lit(0))
+    known = known.groupBy("l_id").agg(mark("quality").alias("good"), mark("toxic").alias("toxic"))
+    known = known.withColumn("l_deal", F.xxhash64("l_id", F.lit(0)))
     slot = F.when(F.col("doc_id").isNull(), 1 + F.pmod(F.spark_partition_id(), F.lit(SPREAD))).otherwise(0)
-    rows = masks.withColumn("slot", slot)
-    joined = rows.join(known, (rows.doc_id == known.l_id) & (rows.slot == known.l_slot), "left")
+    rows = masks.withColumn("deal", F.xxhash64("doc_id", slot))
+    joined = rows.join(known, (rows.doc_id == known.l_id) & (rows.deal == known.l_deal), "left")
     return joined.select("part", "mask", F.coalesce("good", F.lit(0)).alias("good"), F.coalesce("toxic", F.lit(0)).alias("toxic"))
 
 
