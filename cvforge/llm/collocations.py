@@ -40,7 +40,7 @@ from cvforge.session import write_shared
 #: Bits of the bitmap that tells which shorter phrases may be frequent.
 BITS = 26
 #: Bytes of texts or chunks that a task counts at a time.
-PIECE = 4 << 20
+PIECE = 8 << 20
 SEP = b"\xff"  # in no UTF-8 text
 _ends = b".,;:!?\n\x0b\x0c\r"
 CUT = bytes(0xFF if b in _ends else 0x20 if b == 9 else b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
@@ -52,11 +52,11 @@ def words_in(texts_: list[str]) -> list[list[bytes]]:
 
 
 class Tokens:
-    """Lists of words as one array of ids, with a hash for each word."""
+    """Rows of words as one array of ids, with a hash for each word."""
 
-    def __init__(self, lists: list[list[bytes]]):
-        self.lengths = np.array([len(x) for x in lists], np.int64)
-        coded = pa.array(list(chain.from_iterable(lists)), pa.binary()).dictionary_encode()
+    def __init__(self, words: pa.Array, lengths: np.ndarray):
+        self.lengths = lengths
+        coded = words.dictionary_encode()
         self.words = coded.dictionary
         self.ids = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
         known = self.words.to_pylist()
@@ -64,10 +64,16 @@ class Tokens:
         self.real = np.array([w != SEP for w in known], bool)[self.ids] if known else np.zeros(0, bool)
 
 
+def split(rows: pa.Array) -> Tokens:
+    """The words of rows in which single blanks stand between them."""
+    lists = pc.split_pattern(rows, b" ")
+    return Tokens(lists.flatten(), pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64))
+
+
 def chunks_of(lists: list[list[bytes]], overlap: int, period: int) -> list[list[bytes]]:
     """The chunks of each text; the last is filled up with SEP, so the words that a chunk owns are all but ``overlap``."""
     filled = [x + [SEP] * overlap for x in lists]
-    t = Tokens(filled)
+    t = Tokens(pa.array(list(chain.from_iterable(filled)), pa.binary()), np.array([len(x) for x in filled], np.int64))
     if not len(t.ids):
         return [[] for _ in lists]
     h = t.hash
@@ -117,7 +123,7 @@ def known_bits(spark: SparkSession, frequent: DataFrame, size: int) -> np.ndarra
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             langs = batch.column("lang").dictionary_encode()
-            t = Tokens([p.split(b" ") for p in batch.column("phrase").cast(pa.binary()).to_pylist()])
+            t = split(batch.column("phrase").cast(pa.binary()))
             at = np.arange(batch.num_rows) * size
             lang = named(langs.dictionary.to_pylist())[langs.indices.to_numpy()] if batch.num_rows else np.zeros(0, np.uint64)
             bit = gram_hashes(t.hash, lang, at, size) >> U(64 - BITS)
@@ -135,7 +141,7 @@ def count_grams(dictionary: DataFrame, size: int, overlap: int, bits: object | N
 
     def count(batch: pa.RecordBatch) -> pa.RecordBatch:
         langs = batch.column("lang").dictionary_encode()
-        t = Tokens([c.split(b" ") for c in batch.column("chunk").to_pylist()])
+        t = split(batch.column("chunk"))
         many = len(t.ids)
         of_chunk = np.repeat(np.arange(batch.num_rows), t.lengths)
         lang = langs.indices.to_numpy()[of_chunk]
