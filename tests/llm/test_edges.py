@@ -243,3 +243,65 @@ def test_pipeline_stages(spark, docs, nothing, benchmark, tmp_path):
             assert now.columns == docs.columns == empty.columns
     assert {r.doc_id for r in now.collect()} == {9, 10, 11}
     assert {r.doc_id for r in corpus_pipeline.run(spark, str(tmp_path)).collect()} == {9, 10, 11}
+
+
+def test_minhash_tells_long_similar_words_apart(spark):
+    # a power-of-two polynomial hash of these two words is equal for every odd base
+    morse = "".join("ab"[bin(i).count("1") % 2] for i in range(2048))
+    other = morse.translate(str.maketrans("ab", "ba"))
+    rows = [(1, morse, "en"), (2, other, "en"), (3, morse.upper(), "en"), (4, f"{morse} x y z", "en"), (5, f"{other} x y z", "en")]
+    got = {r.doc_id: (r.component_id, r.kept) for r in minhash.near_duplicates(table(spark, rows)).collect()}
+    assert got == {1: (1, True), 2: (2, True), 3: (1, False), 4: (4, True), 5: (5, True)}
+
+
+def test_bpe_of_another_pattern_as_tiktoken(spark):
+    import tiktoken
+
+    pattern = r"\S+ \S+|\s+|\S+"  # matches span blanks
+    own = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=bpe.read_ranks(PATH), special_tokens={})
+    many = ["one two three four", "a b", "", "x  y z", "ends here "]
+    docs = spark.createDataFrame(list(enumerate(many)), "doc_id long, text string")
+    for found in (bpe.encode(docs, PATH, pattern), bpe.round_trip(docs, PATH, pattern)):
+        assert {r.doc_id: r.ids for r in found.collect()} == {i: own.encode_ordinary(t) for i, t in enumerate(many)}
+
+
+def test_language_pieces_of_long_texts(monkeypatch):
+    draw = random.Random(2)
+    many = ["".join(draw.choice("abß  .1日é") for _ in range(draw.randrange(300))) for _ in range(20)]
+    profiles = langid.Profiles(("x", "y"), np.random.default_rng(1).normal(size=(2, 64)).astype(np.float32), 3, 64)
+    whole = langid.nearest(many, profiles)
+    monkeypatch.setattr(langid, "LONG", 7)
+    monkeypatch.setattr(langid, "BLOCK", 5)
+    parts = langid.nearest(many, profiles)
+    assert whole[0] == parts[0] and whole[2] == parts[2] and np.allclose(whole[1], parts[1], atol=1e-5)
+    assert whole[2] == langid.grams_in(many, 3).tolist()
+
+
+def test_language_memory_is_bounded():
+    import resource
+
+    draw = np.random.default_rng(4)
+    text = "".join(map(chr, draw.integers(0x4E00, 0x7000, 300_000)))
+    profiles = langid.Profiles(("x",), np.ones((1, 1024), np.float32), 3, 1024)
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    assert langid.nearest([text, "abc"], profiles)[2][0] == 300_000
+    assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 400_000  # kilobytes
+
+
+def test_a_left_out_language_is_rejected(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    for out in ("de", "es"):
+        learning = docs.where((F.col("lang") != out) & (fold(F.col("doc_id")) != 2))
+        profiles = langid.learn(learning)
+        least = langid.least_cosines(learning, profiles, 100)
+        stays = {r.doc_id for r in langid.accepted(docs, profiles, least, 100).collect()}
+        of = lambda lang: {r.doc_id for r in docs.where(lang).collect()}
+        foreign, own = of(F.col("lang") == out), of(F.col("lang") != out)
+        assert len(stays & foreign) < 0.2 * len(foreign) and len(stays & own) > 0.99 * len(own)
+
+
+def test_pipeline_keeps_one_of_rows_without_or_with_one_id(spark):
+    text = " ".join(f"word{i}" for i in range(40))
+    rows = [(None, text, "en"), (None, text, "en"), (None, "another text without an id", "en"), (8, "twice the same row", "en"), (8, "twice the same row", "en"), (8, "and other words", "en")]
+    got = corpus_pipeline.keep_one_of_copies(spark, table(spark, rows).cache(), "").collect()
+    assert Counter((r.doc_id, r.text) for r in got) == Counter(set((i, t) for i, t, _ in rows))
