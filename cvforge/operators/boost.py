@@ -5,38 +5,38 @@ Standard regularised boosting (public formulation: Chen & Guestrin 2016):
 ``T`` the L1 soft threshold, leaf weight ``-T(G)/(H+l)``, children need
 ``H >= min_child_weight``.
 
-Many models train in the same jobs: the model id is a grouping key. The state
-table ``(model_id, tree, row_id, fold, y, b[], margin, node)`` holds every row for
-every model (held-out rows are routed through the trees too, so out-of-fold
-predictions come for free). Each depth level is one job:
+Many models train in the same passes. The state has one row for each data row, with its bins
+and an array of margins for all models (held-out rows are routed too, so out-of-fold
+predictions come for free). Each depth level is one job with one shuffle:
 
-    state -> posexplode(bins) -> groupBy(model, tree, node, feature, bin) sum(g, h)
-          -> prefix sums per (model, tree, node, feature) -> best split per node
+    state -> walk the trees grown so far -> dense histograms of each partition
+          -> merged by (node, block of features) -> best split of each
 
-Only the winning splits (bounded by models x trees x 2^depth) return to the driver
-and go back as a broadcast table. The state is written to the shared checkpoint
-folder after every round, so a lost executor costs at most one round.
+Gradients are whole multiples of 2**-30, so sums, and with them trees, do not depend on how rows
+are partitioned. Only winning splits return to the driver (bounded by models x trees x
+2^depth x blocks of features) and go back as a broadcast.
 """
 
 from __future__ import annotations
 
 import hashlib
 import math
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cvforge.functions.columns import col
 from cvforge.functions.ordering import with_running_totals
-from cvforge.session import reliable_checkpoint, write_shared
+from cvforge.session import write_shared
 from cvforge.spec import BoostParams
 
 GAIN_DIGITS = 12
-# Split, sibling and leaf tables of up to so many rows (under 100 bytes each) are broadcast; beyond, they are joined.
-BROADCAST_ROWS = 1_000_000
-HESS_FLOOR = 1e-16
 
 
 @dataclass
@@ -60,11 +60,15 @@ class Binned:
             self._rows = self.df.count()
         return self._rows
 
+    def bins(self) -> int:
+        """Bins of the feature that has most, the one for missing values included."""
+        return int(self.thresholds.agg(F.max("bin")).first()[0] or 0) + 2
+
 
 @dataclass
 class TrainResult:
     trees: DataFrame  # model_id, round, tree, node, is_leaf, fi, feature, bin, threshold, gain, value
-    state: DataFrame  # final state
+    state: DataFrame  # model_id, tree, row_id, fold, y, in_train, margin after the last round
     snapshots: DataFrame | None  # model_id, round, row_id, fold, y, margin..., for recorded rounds
     n_trees: int
 
@@ -146,147 +150,328 @@ def _bin_exact(folded: DataFrame, features: list[str], target: str, fold_col: st
     return Binned(binned, thresholds, list(features), missing)
 
 
-# ---- helpers ----------------------------------------------------------------------------
-
-
-def _lookup(values: dict[int, object], key: Column, cast: str) -> Column:
-    m = F.create_map(*[x for k, v in values.items() for x in (F.lit(k), F.lit(v))])
-    return F.element_at(m, key).cast(cast)
-
-
-def _soft(g: Column, alpha: Column) -> Column:
-    return F.signum(g) * F.greatest(F.abs(g) - alpha, F.lit(0.0))
-
-
-def _score(g: Column, h: Column, lam: Column, alpha: Column) -> Column:
-    t = _soft(g, alpha)
-    return t * t / (h + lam)
+# ---- B-5: draws that SQL can repeat ---------------------------------------------------
 
 
 def sampled_features(spec: ModelSpec, round_no: int) -> list[int]:
-    """B-5: per-tree column draw, the ``ceil``-free ``max(1, floor(rate * n))`` smallest hashes."""
+    """B-5: per-tree column draw, the ``max(1, floor(rate * n))`` features least by md5 of (seed, round, feature)."""
     feats = list(spec.features)
     n = max(1, int(spec.params.colsample_bytree * len(feats)))
     if n >= len(feats):
         return feats
-    key = lambda fi: hashlib.blake2b(f"{spec.params.seed}|{round_no}|{fi}".encode(), digest_size=8).digest()
+    key = lambda fi: (hashlib.md5(f"{spec.params.seed}|{round_no}|f{fi}".encode()).hexdigest(), fi)
     return sorted(sorted(feats, key=key)[:n])
 
 
-def row_sampled(seed: int, round_no: int, rate: Column) -> Column:
-    """B-5: per-round row draw from a hash of (seed, round, row_id); same draw for every model."""
-    u = F.pmod(F.xxhash64(F.lit(seed), F.lit(round_no), F.col("row_id")), F.lit(1 << 30)) / float(1 << 30)
-    return u < rate
+def row_draw(seed: int, round_no: int, key: str = "row_id") -> Column:
+    """B-5: a number in [0, 1) for each row and round, the same for every model: the first 32 bits of an md5."""
+    digest = F.md5(F.concat_ws("|", F.lit(str(seed)), F.lit(str(round_no)), F.col(key).cast("string")).cast("binary"))
+    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") / float(1 << 32)
 
 
-# ---- B-1 .. B-7: training ------------------------------------------------------------------
+# ---- trees as flat arrays ---------------------------------------------------------------
 
 
-TREE_SCHEMA = "model_id int, round int, tree int, node int, is_leaf boolean, fi int, bin int, gain double, value double"
+class Tree:
+    """A growing tree as flat arrays. Entry 0 is the root; feature -1 marks a leaf or a node still open."""
 
+    def __init__(self) -> None:
+        self.node, self.feature, self.bin, self.left, self.right, self.value = [0], [-1], [0], [0], [0], [0.0]
 
-def _bounded(df: DataFrame, rows: int) -> DataFrame:
-    """A table the driver made: broadcast while it is small, else left to the planner."""
-    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+    def split(self, at: int, feature: int, cut: int) -> tuple[int, int]:
+        self.feature[at], self.bin[at] = feature, cut
+        self.left[at], self.right[at] = len(self.node), len(self.node) + 1
+        for side in (1, 2):
+            self.node.append(2 * self.node[at] + side)
+            for column, empty in ((self.feature, -1), (self.bin, 0), (self.left, 0), (self.right, 0), (self.value, 0.0)):
+                column.append(empty)
+        return self.left[at], self.right[at]
 
+    def arrays(self) -> tuple[np.ndarray, ...]:
+        ints = [np.array(x, np.int32) for x in (self.feature, self.bin, self.left, self.right)]
+        return (*ints, np.array(self.value))
 
-STATE_COLS = ("model_id", "tree", "row_id", "in_train", "margin")
 
+def ends_of(tree: tuple[np.ndarray, ...], bins: np.ndarray) -> np.ndarray:
+    """The entry at which each row's way down the tree ends."""
+    feature, cut, left, right, _ = tree
+    at, rows = np.zeros(len(bins), np.int32), np.arange(len(bins))
+    while True:
+        f = feature[at]
+        inner = f >= 0
+        if not inner.any():
+            return at
+        go_right = bins[rows, np.maximum(f, 0)] > cut[at]
+        at = np.where(inner, np.where(go_right, right[at], left[at]), at)
 
-def init_state(rows: DataFrame, models: list[ModelSpec], n_classes: int) -> DataFrame:
-    """Narrow per-model state: every row for every model (``tree`` = class for softmax).
 
-    Bins, labels and folds stay in the shared rows table and are joined back per round.
-    """
-    n_trees = 1 if n_classes == 2 else n_classes
-    fold_of = {m.model_id: (m.fold if m.fold is not None else -1) for m in models}
-    base = {}
-    for m in models:
-        bs = m.params.base_score
-        base[m.model_id] = math.log(bs / (1 - bs)) if n_trees == 1 else 0.0
-    ids = F.array(*[F.lit(m.model_id) for m in models])
-    st = rows.select("row_id", "fold", F.explode(ids).alias("model_id"))
-    return st.select(
-        "model_id",
-        F.explode(F.sequence(F.lit(0), F.lit(n_trees - 1))).alias("tree"),
-        "row_id",
-        (F.col("fold") != _lookup(fold_of, F.col("model_id"), "int")).alias("in_train"),
-        _lookup(base, F.col("model_id"), "double").alias("margin"),
-    )
+# ---- B-1 .. B-6: training ---------------------------------------------------------------
 
 
-def _with_rows(state: DataFrame, rows: DataFrame) -> DataFrame:
-    """Join the bins, label and fold back to the narrow state (shuffled hash join on
-    row_id; each task's hash table holds one partition of rows)."""
-    return state.join(rows.hint("shuffle_hash"), "row_id")
+TREE_SCHEMA = "model_id int, round int, tree int, node long, is_leaf boolean, fi int, bin int, gain double, value double"
+#: Gradients are whole multiples of 2**-GRAD_BITS, so their sums do not depend on partitioning.
+GRAD_BITS = 30
+SCALE = float(1 << GRAD_BITS)
+#: Bytes of dense histograms a task holds; open nodes beyond them take another pass over the rows.
+HIST_BYTES = 128 << 20
+#: Histograms move in blocks of so many features, each merged by itself.
+FEATURE_BLOCK = 8
 
 
-def _gradients(st: DataFrame, models: list[ModelSpec], n_trees: int) -> DataFrame:
-    spw = {m.model_id: m.params.scale_pos_weight for m in models}
-    if n_trees == 1:
-        p = 1.0 / (1.0 + F.exp(-F.col("margin")))
-        y1 = (F.col("y") == 1).cast("double")
-        w = F.when(F.col("y") == 1, _lookup(spw, F.col("model_id"), "double")).otherwise(F.lit(1.0))
-        return st.withColumn("g", (p - y1) * w).withColumn("h", F.greatest(p * (1 - p), F.lit(HESS_FLOOR)) * w)
-    # softmax over the class trees of one (model, row): rows are co-located by row_id
-    w = Window.partitionBy("model_id", "row_id")
-    mx = F.max("margin").over(w)
-    e = F.exp(F.col("margin") - mx)
-    p = e / F.sum(e).over(w)
-    yk = (F.col("y") == F.col("tree")).cast("double")
-    return st.withColumn("_p", p).withColumn("g", F.col("_p") - yk).withColumn(
-        "h", F.greatest(2.0 * F.col("_p") * (1 - F.col("_p")), F.lit(HESS_FLOOR))
-    ).drop("_p")
-
-
-def _best_splits(hist: DataFrame, models: list[ModelSpec], depth: int, exact: bool = False) -> DataFrame:
-    """B-3: best split per (model, tree, node): gain desc, feature asc, bin asc.
-
-    Histogram mode (bins <= max_bin) uses windows over at most max_bin rows; exact mode
-    (one bin per distinct value) uses range-partitioned running totals, so a feature with
-    billions of distinct values is never gathered into one task. The pick itself is a
-    ``min(struct)`` aggregate, not a window over all candidates of a node.
-    """
-    lam = _lookup({m.model_id: m.params.reg_lambda for m in models}, F.col("model_id"), "double")
-    alpha = _lookup({m.model_id: m.params.reg_alpha for m in models}, F.col("model_id"), "double")
-    gamma = _lookup({m.model_id: m.params.gamma for m in models}, F.col("model_id"), "double")
-    mcw = _lookup({m.model_id: m.params.min_child_weight for m in models}, F.col("model_id"), "double")
-    max_depth = _lookup({m.model_id: m.params.max_depth for m in models}, F.col("model_id"), "int")
-    keys = ["model_id", "tree", "node", "fi"]
-    if exact:
-        run = with_running_totals(hist, keys, "bin", ["sg", "sh"])
-        tot = hist.groupBy(*keys).agg(F.sum("sg").alias("G"), F.sum("sh").alias("H"))
-        s = run.join(tot, keys).select(*keys, "bin", F.col("cum_sg").alias("GL"), F.col("cum_sh").alias("HL"), "G", "H")
+@dataclass
+class Batch:
+    """What a pass over the rows must know: the models, and the trees grown since the state was written."""
+
+    models: list[ModelSpec]
+    n_trees: int
+    grown: list[dict[tuple[int, int], tuple[np.ndarray, ...]]]
+
+    def base(self) -> np.ndarray:
+        one = [math.log(m.params.base_score / (1 - m.params.base_score)) if self.n_trees == 1 else 0.0 for m in self.models]
+        return np.repeat(np.array(one), self.n_trees)
+
+    def read(self, batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Bins (rows by features), folds, labels and margins (rows by models x trees) of some rows."""
+        n = batch.num_rows
+        bins = batch.column("b").flatten().to_numpy(zero_copy_only=False).reshape(n, -1)
+        fold = pc.fill_null(batch.column("fold"), -2).to_numpy(zero_copy_only=False)
+        if "margins" in batch.schema.names:
+            margins = batch.column("margins").flatten().to_numpy(zero_copy_only=False).reshape(n, -1).copy()
+        else:
+            margins = np.repeat(self.base()[None, :], n, axis=0)
+        for trees in self.grown:
+            for (m, k), tree in trees.items():
+                margins[:, m * self.n_trees + k] += tree[4][ends_of(tree, bins)]
+        return bins, fold, batch.column("y").to_numpy(zero_copy_only=False), margins
+
+    def trains(self, m: int, fold: np.ndarray) -> np.ndarray:
+        held = self.models[m].fold
+        return np.ones(len(fold), bool) if held is None else fold != held
+
+
+def gradients(margins: np.ndarray, y: np.ndarray, weight: float) -> tuple[np.ndarray, np.ndarray]:
+    """B-1: first and second derivatives (rows by trees), as whole numbers of 2**-GRAD_BITS."""
+    if margins.shape[1] == 1:
+        p = 1.0 / (1.0 + np.exp(-margins))
+        hit = (y == 1)[:, None]
+        w = np.where(hit, weight, 1.0)
+        g, h = (p - hit) * w, p * (1 - p) * w
     else:
-        part = Window.partitionBy(*keys)
-        cum = part.orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        whole = part.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-        s = hist.select(
-            *keys, "bin",
-            F.sum("sg").over(cum).alias("GL"), F.sum("sh").over(cum).alias("HL"),
-            F.sum("sg").over(whole).alias("G"), F.sum("sh").over(whole).alias("H"),
-        )
-    GR, HR = F.col("G") - F.col("GL"), F.col("H") - F.col("HL")
-    gain = 0.5 * (
-        _score(F.col("GL"), F.col("HL"), lam, alpha) + _score(GR, HR, lam, alpha) - _score(F.col("G"), F.col("H"), lam, alpha)
-    ) - gamma
-    valid = (F.col("HL") >= mcw) & (HR >= mcw) & (F.col("HL") > 0) & (HR > 1e-12) & (F.lit(depth) < max_depth)
+        e = np.exp(margins - margins.max(1, keepdims=True))
+        p = e / e.sum(1, keepdims=True)
+        g, h = p - (y[:, None] == np.arange(margins.shape[1])), 2.0 * p * (1 - p)
+    return np.rint(g * SCALE), np.maximum(np.rint(h * SCALE), 1.0)
+
+
+@dataclass
+class Open:
+    """A node to be split: which model and tree, its entry there and its depth."""
+
+    model: int
+    tree: int
+    at: int
+    depth: int
+
+
+@dataclass
+class Level:
+    """A pass that gathers the histograms of some open nodes (their position here is their slot)."""
+
+    batch: Batch
+    nodes: list[Open]
+    trees: dict[tuple[int, int], tuple[np.ndarray, ...]]
+    allowed: dict[int, list[int]]  # features of each model in this round
+    n_features: int
+    n_bins: int
+
+    def slots(self) -> dict[tuple[int, int], tuple[int, int, np.ndarray]]:
+        """For each tree the first of its slots, their number, and the slot of each of its entries."""
+        found: dict[tuple[int, int], list[int]] = {}
+        for s, o in enumerate(self.nodes):
+            found.setdefault((o.model, o.tree), []).append(s)
+        out = {}
+        for key, mine in found.items():
+            slot = np.full(len(self.trees[key][0]), -1, np.int64)
+            slot[[self.nodes[s].at for s in mine]] = np.arange(len(mine))
+            out[key] = (mine[0], len(mine), slot)
+        return out
+
+    def active(self, batch: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """(first slot, slots, slot, bins of the model's features, g, h) of the rows that count, tree by tree."""
+        bins, fold, y, margins = self.batch.read(batch)
+        drawn = batch.column("draw").to_numpy(zero_copy_only=False) if "draw" in batch.schema.names else None
+        t, rows_of, grads = self.batch.n_trees, {}, {}
+        for (m, k), (first, many, slot) in self.slots().items():
+            p = self.batch.models[m].params
+            if m not in rows_of:
+                rows = self.batch.trains(m, fold)
+                rows_of[m] = np.flatnonzero(rows if drawn is None else rows & (drawn < p.subsample))
+                grads[m] = gradients(margins[rows_of[m], m * t : m * t + t], y[rows_of[m]], p.scale_pos_weight)
+            mine = bins[rows_of[m]]
+            here = slot[ends_of(self.trees[m, k], mine)]
+            on = here >= 0
+            if on.any():
+                yield first, many, here[on], mine[on][:, self.allowed[m]], grads[m][0][on, k], grads[m][1][on, k]
+
+    def dense(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """B-2: one histogram for each slot and block of features, summed over all rows of the partition."""
+        f, b = self.n_features, self.n_bins
+        sums = np.zeros((2, len(self.nodes), f, b), np.int64)
+        for batch in batches:
+            for first, many, slot, bins, g, h in self.active(batch):
+                mine = np.array(self.allowed[self.nodes[first].model])
+                cell = (slot[:, None] * f + mine[None, :]) * b + np.minimum(bins, b - 1)
+                for into, x in zip(sums, (g, h), strict=True):  # whole numbers below 2**53 in a batch
+                    part = np.bincount(cell.ravel(), np.repeat(x, len(mine)), many * f * b)
+                    into[first : first + many] += part.reshape(many, f, b).astype(np.int64)
+        for s in np.flatnonzero(sums[1].any((1, 2))).tolist():
+            for k in range(0, f, FEATURE_BLOCK):
+                yield pa.RecordBatch.from_pydict(
+                    {"slot": pa.array([s], pa.int32()), "block": pa.array([k], pa.int32()), "sums": pa.array([sums[:, s, k : k + FEATURE_BLOCK].tobytes()], pa.binary())}
+                )
+
+    def cells(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """B-2 with a bin for each distinct value: sums of the cells that have rows."""
+        for batch in batches:
+            for first, _, slot, bins, g, h in self.active(batch):
+                for j, fi in enumerate(self.allowed[self.nodes[first].model]):
+                    key, place = np.unique((slot << 32) | bins[:, j], return_inverse=True)
+                    yield pa.RecordBatch.from_pydict(
+                        {
+                            "slot": pa.array((key >> 32) + first, pa.int32()),
+                            "fi": pa.array(np.full(len(key), fi), pa.int32()),
+                            "bin": pa.array(key & 0xFFFFFFFF, pa.int32()),
+                            "sg": pa.array(np.bincount(place, g).astype(np.int64)),
+                            "sh": pa.array(np.bincount(place, h).astype(np.int64)),
+                        }
+                    )
+
+    def merge(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """B-3: add the sorted partitions' histograms of each slot and block, and find the best split there.
+
+        Sums are kept as high and low halves, so they do not overflow however many rows there are.
+        """
+        held: tuple[int, int] | None = None
+        high = low = np.zeros(0, np.int64)
+        for batch in batches:
+            for slot, block, raw in zip(*(batch.column(c).to_pylist() for c in ("slot", "block", "sums")), strict=True):
+                sums = np.frombuffer(raw, np.int64)
+                if held != (slot, block):
+                    if held is not None:
+                        yield self.best(held, high, low)
+                    held, high, low = (slot, block), np.zeros(len(sums), np.int64), np.zeros(len(sums), np.int64)
+                high += sums >> 32
+                low += sums & 0xFFFFFFFF
+        if held is not None:
+            yield self.best(held, high, low)
+
+    def best(self, key: tuple[int, int], high: np.ndarray, low: np.ndarray) -> pa.RecordBatch:
+        slot, block = key
+        p = self.batch.models[self.nodes[slot].model].params
+        sg, sh = ((high.astype(np.float64) * 2.0**32 + low) / SCALE).reshape(2, -1, self.n_bins)
+        mine = set(self.allowed[self.nodes[slot].model])
+        free = np.array([block + j in mine for j in range(len(sg))])
+        row = {"slot": slot, "fi": None, "bin": None, "gain": None, "G": None, "H": None, "GL": None, "HL": None}
+        if free.any():
+            gl, hl = sg.cumsum(1), sh.cumsum(1)
+            some = int(np.flatnonzero(free)[0])
+            total_g, total_h = gl[some, -1], hl[some, -1]
+            gr, hr = total_g - gl, total_h - hl
+            score = lambda g, h: np.maximum(np.abs(g) - p.reg_alpha, 0.0) ** 2 / (h + p.reg_lambda)
+            with np.errstate(divide="ignore", invalid="ignore"):
+                gain = 0.5 * (score(gl, hl) + score(gr, hr) - score(total_g, total_h)) - p.gamma
+            valid = (hl >= p.min_child_weight) & (hr >= p.min_child_weight) & (hl > 0) & (hr > 1e-12) & free[:, None]
+            row |= {"G": float(total_g), "H": float(total_h)}
+            if valid.any():
+                at = int(np.argmax(np.where(valid, np.round(gain, GAIN_DIGITS), -np.inf)))
+                j, cut = divmod(at, self.n_bins)
+                row |= {"fi": block + j, "bin": cut, "gain": float(gain[j, cut]), "GL": float(gl[j, cut]), "HL": float(hl[j, cut])}
+        return pa.RecordBatch.from_pylist([row], schema=SPLIT_ARROW)
+
+
+SPLIT_ARROW = pa.schema([("slot", pa.int32()), ("fi", pa.int32()), ("bin", pa.int32()), *[(c, pa.float64()) for c in ("gain", "G", "H", "GL", "HL")]])
+SPLIT_SCHEMA = "slot int, fi int, bin int, gain double, G double, H double, GL double, HL double"
+
+
+def _best_exact(cells: DataFrame, level: Level) -> DataFrame:
+    """B-3 with a bin for each distinct value: running totals over balanced key ranges, so that a
+    feature of very many values is never gathered in one task; then the best split of each slot."""
+    hist = cells.groupBy("slot", "fi", "bin").agg(F.sum("sg").alias("sg"), F.sum("sh").alias("sh"))
+    params = [(s, *(getattr(level.batch.models[o.model].params, n) for n in ("reg_lambda", "reg_alpha", "gamma", "min_child_weight"))) for s, o in enumerate(level.nodes)]
+    params = [(s, *map(float, rest)) for s, *rest in params]
+    table = cells.sparkSession.createDataFrame(params, "slot int, lam double, alpha double, gamma double, mcw double")
+    run = with_running_totals(hist, ["slot", "fi"], "bin", ["sg", "sh"])
+    tot = hist.groupBy("slot", "fi").agg(F.sum("sg").alias("tg"), F.sum("sh").alias("th"))
+    s = run.join(tot, ["slot", "fi"]).join(F.broadcast(table), "slot")  # a row for each open node
+    real = lambda c: F.col(c) / F.lit(SCALE)
+    s = s.select("slot", "fi", "bin", "lam", "alpha", "gamma", "mcw", real("cum_sg").alias("GL"), real("cum_sh").alias("HL"), real("tg").alias("G"), real("th").alias("H"))
+    soft = lambda g: F.greatest(F.abs(g) - F.col("alpha"), F.lit(0.0))
+    score = lambda g, h: soft(g) * soft(g) / (h + F.col("lam"))
+    gr, hr = F.col("G") - F.col("GL"), F.col("H") - F.col("HL")
+    gain = F.lit(0.5) * (score(F.col("GL"), F.col("HL")) + score(gr, hr) - score(F.col("G"), F.col("H"))) - F.col("gamma")
+    valid = (F.col("HL") >= F.col("mcw")) & (hr >= F.col("mcw")) & (F.col("HL") > 0) & (hr > 1e-12)
     g = F.when(valid, gain)
     cand = F.struct(
-        F.coalesce(-F.round(g, GAIN_DIGITS), F.lit(math.inf)).alias("k"),
-        F.col("fi").alias("fi"),
-        F.col("bin").alias("bin"),
-        g.alias("gain"),
-        F.col("G").alias("G"),
-        F.col("H").alias("H"),
-        F.col("GL").alias("GL"),
-        F.col("HL").alias("HL"),
-    )
-    top = s.groupBy("model_id", "tree", "node").agg(F.min(cand).alias("b"))
-    return top.select(
-        "model_id", "tree", "node", "b.fi", "b.bin", "b.gain", "b.G", "b.H", "b.GL", "b.HL",
-        (F.col("b.gain").isNotNull() & (F.col("b.gain") > 0)).alias("split"),
+        F.coalesce(-F.round(g, GAIN_DIGITS), F.lit(math.inf)).alias("k"), "fi", "bin", g.alias("gain"), "G", "H", "GL", "HL"
     )
+    return s.groupBy("slot").agg(F.min(cand).alias("c")).select("slot", "c.fi", "c.bin", "c.gain", "c.G", "c.H", "c.GL", "c.HL")
+
+
+def _gather(state: DataFrame, level: Level, exact: bool) -> dict[int, tuple]:
+    """The best split of each slot: one shuffle of histograms, then a row for each node and block of features."""
+    told = state.sparkSession.sparkContext.broadcast(level)
+    if exact:
+        found = _best_exact(state.mapInArrow(lambda rows: told.value.cells(rows), "slot int, fi int, bin int, sg long, sh long"), level)
+    else:
+        parts = state.mapInArrow(lambda rows: told.value.dense(rows), "slot int, block int, sums binary")
+        dealt = parts.repartition("slot", "block").sortWithinPartitions("slot", "block")
+        found = dealt.mapInArrow(lambda rows: told.value.merge(rows), SPLIT_SCHEMA)
+    best: dict[int, tuple] = {}
+    for slot, fi, cut, gain, *sums in found.collect():
+        key = (math.inf if gain is None else -round(gain, GAIN_DIGITS), fi if fi is not None else -1, cut if cut is not None else -1)
+        if sums[0] is not None and (slot not in best or key < best[slot][0]):
+            best[slot] = (key, fi, cut, gain, *sums)
+    told.destroy()
+    return best
+
+
+def _advance(state: DataFrame, batch: Batch) -> DataFrame:
+    """The rows with the margins that the trees grown so far give them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in batches:
+            margins = batch.read(rows)[3]
+            ends = pa.array(np.arange(0, margins.size + 1, max(1, margins.shape[1]), dtype=np.int32)[: rows.num_rows + 1])
+            yield pa.RecordBatch.from_arrays([*(rows.column(c) for c in ROW_COLS), pa.ListArray.from_arrays(ends, pa.array(margins.ravel()))], [*ROW_COLS, "margins"])
+
+    kinds = {f.name: f.dataType.simpleString() for f in state.schema.fields}
+    return state.mapInArrow(run, ", ".join(f"{c} {kinds[c]}" for c in ROW_COLS) + ", margins array<double>")
+
+
+ROW_COLS = ("row_id", "fold", "y", "b")
+
+
+def _exploded(state: DataFrame, batch: Batch, which: list[int], round_no: int | None, held_out_only: bool) -> DataFrame:
+    """(model_id[, round], tree, row_id, fold, y, in_train, margin): a row for each model, tree and data row."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in batches:
+            _, fold, _, margins = batch.read(rows)
+            for m in which:
+                trains = batch.trains(m, fold)
+                at = pa.array(np.flatnonzero(~trains) if held_out_only else np.arange(rows.num_rows))
+                for k in range(batch.n_trees):
+                    same = lambda v, kind: pa.array(np.full(len(at), v), kind)
+                    columns = {"model_id": same(batch.models[m].model_id, pa.int32())}
+                    if round_no is not None:
+                        columns["round"] = same(round_no, pa.int32())
+                    columns |= {"tree": same(k, pa.int32()), **{c: rows.column(c).take(at) for c in ROW_COLS[:3]}}
+                    columns |= {"in_train": pa.array(trains).take(at), "margin": pa.array(margins[:, m * batch.n_trees + k]).take(at)}
+                    yield pa.RecordBatch.from_pydict(columns)
+
+    kinds = {f.name: f.dataType.simpleString() for f in state.schema.fields}
+    head = "model_id int" + (", round int" if round_no is not None else "") + ", tree int"
+    return state.mapInArrow(run, f"{head}, row_id {kinds['row_id']}, fold {kinds['fold']}, y {kinds['y']}, in_train boolean, margin double")
 
 
 def train(
@@ -294,183 +479,87 @@ def train(
     models: list[ModelSpec],
     n_classes: int,
     record_rounds: dict[int, list[int]] | None = None,
-    checkpoint_every: int = 1,
-    subtract: bool = False,
+    checkpoint_every: int = 8,
     keep_trees: bool = True,
+    held_out_only: bool = False,
 ) -> TrainResult:
     """B-6: boosting loop over rounds and depth levels for a batch of models.
 
-    ``subtract`` builds each level's histograms only for the smaller child of every split and
-    derives the sibling as parent minus child: less to aggregate for one more join a level.
-    Each round's trees are written to the shared folder, or dropped without ``keep_trees``;
-    the driver holds the open nodes of one level.
+    The state is one row for each data row: its bins, and the margins of all models in one
+    array. A level is one pass over it: rows find their node by walking the tree grown so far,
+    each partition adds up dense histograms, and these, not the rows, are shuffled once. Every
+    ``checkpoint_every`` rounds the margins are written to the shared folder; trees grown since are
+    walked again. No row is joined, and models past their last round are left alone.
+
+    ``record_rounds`` asks for the margins after some rounds; with ``held_out_only`` those are
+    given for the rows of each model's own fold. The driver holds the trees since the last
+    write and the open nodes of a level. Trees are written as they come, or dropped without ``keep_trees``.
     """
     spark: SparkSession = binned.df.sparkSession
     n_trees = 1 if n_classes == 2 else n_classes
-    by_id = {m.model_id: m for m in models}
-    max_rounds = max(m.params.n_estimators for m in models)
-    max_depth = max(m.params.max_depth for m in models)
-    # bins, labels and folds stay once in the checkpointed binned table and are joined
-    # back each round (reading them back measured faster than caching the array column)
-    row_table = binned.df.select("row_id", "fold", "y", "b")
-    # one explode over the rows table: short lineage, no write needed
-    state = init_state(row_table, models, n_classes)
+    exact = binned.missing_bin is not None
+    record_rounds = record_rounds or {}
+    state = write_shared(binned.df.select(*ROW_COLS), "boost-rows")
+    n_features, seed = len(binned.features), models[0].params.seed
+    n_bins = 0 if exact else binned.bins()
+    node_bytes = 16 * n_features * max(1, n_bins)
+    per_pass = len(models) * n_trees << 10 if exact else max(1, HIST_BYTES // node_bytes)
+    pending: list[dict[tuple[int, int], tuple[np.ndarray, ...]]] = []
     tree_rows: list[tuple] = []
-    rounds_of_trees: list[DataFrame] = []
+    written: list[DataFrame] = []
     snaps: list[DataFrame] = []
-    record_rounds = record_rounds or {}
-    for r in range(1, max_rounds + 1):
-        live = [m for m in models if r <= m.params.n_estimators]
-        live_ids = [m.model_id for m in live]
-        sub = _lookup({m.model_id: m.params.subsample for m in models}, F.col("model_id"), "double")
-        seed = models[0].params.seed
-        allowed = {m.model_id: sampled_features(m, r) for m in live}
-        allow_map = F.create_map(
-            *[x for k, v in allowed.items() for x in (F.lit(k), F.array(*[F.lit(i) for i in v]))]
-        )
-        st = _gradients(_with_rows(state, row_table), models, n_trees)
-        st = st.withColumn(
-            "_act", F.col("in_train") & F.col("model_id").isin(*live_ids) & row_sampled(seed, r, sub)
-        ).withColumn("node", F.lit(0)).withColumn("_leaf", F.lit(False))
-        st = st.withColumn("_small", F.lit(True)).persist()
-        leaves: list[tuple] = []
-        stale: list[DataFrame] = []
-        parent_hist: DataFrame | None = None
-        siblings: list[tuple] = []  # (model, tree, parent, small child, large child)
-
-        def leaf(mid: int, tree: int, node: int, G: float, H: float) -> None:
-            p = by_id[mid].params
-            t = math.copysign(max(abs(G) - p.reg_alpha, 0.0), G)
-            value = -t / (H + p.reg_lambda) * p.learning_rate
-            leaves.append((mid, tree, node, value))
-            tree_rows.append((mid, r, tree, node, True, None, None, None, value))
-
-        for d in range(max_depth):
-            # histograms only for the smaller child of each split; the sibling is parent - child
-            built = (
-                st.where(F.col("_act") & ~F.col("_leaf") & F.col("_small"))
-                .select("model_id", "tree", "node", "g", "h", F.posexplode("b").alias("fi", "bin"))
-                .where(F.array_contains(F.element_at(allow_map, F.col("model_id")), F.col("fi")))
-                .groupBy("model_id", "tree", "node", "fi", "bin")
-                .agg(F.sum("g").alias("sg"), F.sum("h").alias("sh"), F.count(F.lit(1)).alias("cnt"))
-            )
-            if parent_hist is None:
-                hist = built
-            else:
-                # one row per split with children still open: bounded like the split table
-                sib = _bounded(
-                    spark.createDataFrame(siblings, "model_id int, tree int, _parent int, _smallnode int, _largenode int"),
-                    len(siblings),
-                )
-                small = built.join(
-                    sib.select("model_id", "tree", "_parent", F.col("_smallnode").alias("node")), ["model_id", "tree", "node"]
-                ).select("model_id", "tree", "_parent", "fi", "bin",
-                         F.col("sg").alias("_ssg"), F.col("sh").alias("_ssh"), F.col("cnt").alias("_scnt"))
-                large = (
-                    parent_hist.join(
-                        sib.select("model_id", "tree", F.col("_parent").alias("node"), "_largenode"), ["model_id", "tree", "node"]
-                    )
-                    .withColumnRenamed("node", "_parent")
-                    .join(small, ["model_id", "tree", "_parent", "fi", "bin"], "left")
-                    .select(
-                        "model_id", "tree", F.col("_largenode").alias("node"), "fi", "bin",
-                        (F.col("sg") - F.coalesce("_ssg", F.lit(0.0))).alias("sg"),
-                        (F.col("sh") - F.coalesce("_ssh", F.lit(0.0))).alias("sh"),
-                        (F.col("cnt") - F.coalesce("_scnt", F.lit(0))).alias("cnt"),
-                    )
-                    .where(F.col("cnt") > 0)
-                )
-                hist = built.unionByName(large)
-            if subtract:
-                hist = hist.persist()
-            rows = _best_splits(hist, models, d, exact=binned.missing_bin is not None).collect()
-            for old in stale:
-                old.unpersist()
-            stale.clear()
-            if parent_hist is not None:
-                parent_hist.unpersist()
-            parent_hist = hist if subtract else None
-            splits = []
-            siblings = []
-            continuing = False
-            for row in rows:
-                mid, tree, node, fi, b, gain, G, H, GL, HL, split = tuple(row)
-                if not split:
-                    leaf(mid, tree, node, G, H)
-                    continue
-                tree_rows.append((mid, r, tree, node, False, fi, b, float(gain), None))
-                children_are_leaves = d + 1 >= by_id[mid].params.max_depth
-                small_right = (H - HL) < HL
-                if children_are_leaves:
-                    leaf(mid, tree, 2 * node + 1, GL, HL)
-                    leaf(mid, tree, 2 * node + 2, G - GL, H - HL)
-                else:
-                    continuing = True
-                    small = 2 * node + 1 + int(small_right)
-                    siblings.append((mid, tree, node, small, 4 * node + 3 - small))
-                splits.append((mid, tree, node, fi, b, children_are_leaves, small_right))
-            if not splits:
-                break
-            sdf = _bounded(
-                spark.createDataFrame(
-                    splits, "model_id int, tree int, node int, _sfi int, _sbin int, _cleaf boolean, _sright boolean"
-                ),
-                len(splits),
-            )
-            nxt = st.drop("_small").join(sdf, ["model_id", "tree", "node"], "left")
-            go_right = F.element_at(F.col("b"), F.col("_sfi") + 1) > F.col("_sbin")
-            nxt = (
-                nxt.withColumn("_leaf", F.col("_leaf") | F.col("_sfi").isNull() | F.coalesce(F.col("_cleaf"), F.lit(False)))
-                .withColumn(
-                    "_small",
-                    F.coalesce(go_right == F.col("_sright"), F.lit(False)) if subtract else F.lit(True),
-                )
-                .withColumn(
-                    "node",
-                    F.when(F.col("_sfi").isNotNull(), 2 * F.col("node") + 1 + go_right.cast("int")).otherwise(F.col("node")),
-                )
-                .drop("_sfi", "_sbin", "_cleaf", "_sright")
-                .persist()
-            )
-            # the next level's histogram job materialises `nxt`; `st` stays cached until then
-            stale.append(st)
-            st = nxt
-            if not continuing:
-                break
-        if parent_hist is not None:
-            parent_hist.unpersist()
-        ldf = _bounded(
-            spark.createDataFrame(leaves or [(-1, 0, 0, 0.0)], "model_id int, tree int, node int, _lv double"), len(leaves)
-        )
-        if keep_trees:
-            rounds_of_trees.append(write_shared(spark.createDataFrame(tree_rows, TREE_SCHEMA), "trees"))
-        tree_rows.clear()
-        upd = st.join(ldf, ["model_id", "tree", "node"], "left").withColumn(
-            "margin", F.col("margin") + F.coalesce(F.col("_lv"), F.lit(0.0))
-        ).select(*STATE_COLS)
-        if r % checkpoint_every == 0 or r == max_rounds:
-            new_state = reliable_checkpoint(upd)
-        else:
-            new_state = upd.persist()
-            new_state.count()
-        st.unpersist()
-        for old in stale:
-            old.unpersist()
-        state = new_state
-        rec = [mid for mid, rounds in record_rounds.items() if r in rounds]
-        if rec:
-            snaps.append(
-                _with_rows(state.where(F.col("model_id").isin(*rec)), row_table).select(
-                    "model_id", F.lit(r).alias("round"), "tree", "row_id", "fold", "y", "in_train", "margin"
-                )
-            )
-    trees = spark.createDataFrame([], TREE_SCHEMA)
-    for part in rounds_of_trees:
-        trees = trees.unionByName(part)
+    last = max(m.params.n_estimators for m in models)
+    for r in range(1, last + 1):
+        live = [i for i, m in enumerate(models) if r <= m.params.n_estimators]
+        allowed = {i: sampled_features(models[i], r) for i in live}
+        rows = state
+        if any(models[i].params.subsample < 1 for i in live):
+            rows = state.withColumn("draw", row_draw(seed, r))
+        trees = {(i, k): Tree() for i in live for k in range(n_trees)}
+
+        def leaf(i: int, k: int, at: int, G: float, H: float) -> None:
+            p, tree = models[i].params, trees[i, k]
+            tree.value[at] = -math.copysign(max(abs(G) - p.reg_alpha, 0.0), G) / (H + p.reg_lambda) * p.learning_rate
+            tree_rows.append((models[i].model_id, r, k, tree.node[at], True, None, None, None, tree.value[at]))
+
+        open_nodes = [Open(i, k, 0, 0) for i, k in trees]
+        while open_nodes:
+            deeper: list[Open] = []
+            arrays = {key: trees[key].arrays() for key in {(o.model, o.tree) for o in open_nodes}}
+            for start in range(0, len(open_nodes), per_pass):
+                nodes = open_nodes[start : start + per_pass]
+                level = Level(Batch(models, n_trees, pending), nodes, arrays, allowed, n_features, n_bins)
+                for slot, (_, fi, cut, gain, G, H, GL, HL) in sorted(_gather(rows, level, exact).items()):
+                    o = nodes[slot]
+                    if gain is None or gain <= 0:
+                        leaf(o.model, o.tree, o.at, G, H)
+                        continue
+                    tree = trees[o.model, o.tree]
+                    tree_rows.append((models[o.model].model_id, r, o.tree, tree.node[o.at], False, fi, cut, float(gain), None))
+                    left, right = tree.split(o.at, fi, cut)
+                    if o.depth + 1 >= models[o.model].params.max_depth:
+                        leaf(o.model, o.tree, left, GL, HL)
+                        leaf(o.model, o.tree, right, G - GL, H - HL)
+                    else:
+                        deeper += [Open(o.model, o.tree, left, o.depth + 1), Open(o.model, o.tree, right, o.depth + 1)]
+            open_nodes = deeper
+        pending = [*pending, {key: tree.arrays() for key, tree in trees.items()}]
+        if asked := [i for i in live if r in record_rounds.get(models[i].model_id, ())]:
+            snaps.append(_exploded(state, Batch(models, n_trees, pending), asked, r, held_out_only))
+        if r % checkpoint_every == 0 and r < last:
+            state, pending = write_shared(_advance(state, Batch(models, n_trees, pending)), "boost-rows"), []
+        if keep_trees and (r % checkpoint_every == 0 or r == last):
+            written.append(write_shared(spark.createDataFrame(tree_rows, TREE_SCHEMA), "trees"))
+            tree_rows.clear()
+        elif not keep_trees:
+            tree_rows.clear()
+    trees_df = spark.createDataFrame([], TREE_SCHEMA)
+    for part in written:
+        trees_df = trees_df.unionByName(part)
     # histogram cut points are bounded (features x max_bin) and broadcast; exact-mode
     # thresholds are one row per distinct value, so the planner chooses the join there
-    thresholds = binned.thresholds if binned.missing_bin is not None else F.broadcast(binned.thresholds)
-    trees = trees.join(thresholds, ["fi", "bin"], "left").select(
+    thresholds = binned.thresholds if exact else F.broadcast(binned.thresholds)
+    trees_df = trees_df.join(thresholds, ["fi", "bin"], "left").select(
         "model_id", "round", "tree", "node", "is_leaf", "fi",
         F.when(F.col("fi").isNotNull(), F.element_at(F.array(*[F.lit(f) for f in binned.features]), F.col("fi") + 1)).alias(
             "feature"
@@ -478,12 +567,10 @@ def train(
         "bin", "threshold", "gain", "value",
     )
     snapshots = None
-    if snaps:
-        snapshots = snaps[0]
-        for s in snaps[1:]:
-            snapshots = snapshots.unionByName(s)
-    full = _with_rows(state, row_table).select("model_id", "tree", "row_id", "fold", "y", "b", "in_train", "margin")
-    return TrainResult(trees, full, snapshots, n_trees)
+    for s in snaps:
+        snapshots = s if snapshots is None else snapshots.unionByName(s)
+    full = _exploded(state, Batch(models, n_trees, pending), list(range(len(models))), None, False)
+    return TrainResult(trees_df, full, snapshots, n_trees)
 
 
 def probabilities(state: DataFrame, n_classes: int, keys: tuple[str, ...] = ("model_id", "row_id")) -> DataFrame:
@@ -500,13 +587,30 @@ def probabilities(state: DataFrame, n_classes: int, keys: tuple[str, ...] = ("mo
         out = soft.groupBy(*keys, "fold", "y", "in_train").agg(
             F.transform(F.array_sort(F.collect_list(F.struct("tree", "_p"))), lambda s: s["_p"]).alias("probability")
         )
-    idx = F.sequence(F.lit(0), F.lit(n_classes - 1))
+    return out.withColumn("pred", argmax("probability", n_classes))
+
+
+def argmax(column: str, n_classes: int) -> Column:
+    """The class of the highest probability, of several the lowest class."""
     best = F.aggregate(
-        idx,
+        F.sequence(F.lit(0), F.lit(n_classes - 1)),
         F.lit(0),
-        lambda acc, k: F.when(F.element_at("probability", k + 1) > F.element_at("probability", acc + 1), k).otherwise(acc),
+        lambda acc, k: F.when(F.element_at(column, k + 1) > F.element_at(column, acc + 1), k).otherwise(acc),
     )
-    return out.withColumn("pred", best.cast("int"))
+    return best.cast("int")
+
+
+#: Nodes of a forest that are shipped to the tasks at a time.
+FOREST_NODES = 1_000_000
+
+
+def forest(trees: DataFrame) -> DataFrame:
+    """B-7: one row for each tree, its nodes as flat arrays in node order: (model_id, round, tree, nodes,
+    features, thresholds, values). A child is found by its number, 2n + 1 or 2n + 2."""
+    entry = F.struct("node", F.coalesce("fi", F.lit(-1)).alias("fi"), F.coalesce("threshold", F.lit(math.nan)).alias("threshold"), F.coalesce("value", F.lit(0.0)).alias("value"))
+    flat = trees.groupBy("model_id", "round", "tree").agg(F.array_sort(F.collect_list(entry)).alias("e"))
+    names = {"nodes": "node", "features": "fi", "thresholds": "threshold", "values": "value"}
+    return flat.select("model_id", "round", "tree", *[F.col("e")[c].alias(n) for n, c in names.items()])
 
 
 def predict(
@@ -520,61 +624,75 @@ def predict(
     """B-7 on new rows: route raw feature values through a tree table (``value < threshold``
     goes left, missing goes right) and return ``(model_id, keys..., probability, pred)``.
 
-    The tree table is model parameters (bounded by models x rounds x 2^(depth+1) rows),
-    so it is collected once and shipped to the tasks; rows are scored per Arrow batch
-    with vectorised numpy in ``mapInPandas``, partitioned and shuffled by Spark.
+    The forest is taken in blocks of about FOREST_NODES nodes, in order of round; each block is
+    one pass that adds to the rows' margins, so no task holds more than a block.
     """
-    import numpy as np
-
+    spark = rows.sparkSession
     n_trees = 1 if n_classes == 2 else n_classes
-    table: dict[int, list[tuple[int, dict[int, tuple]]]] = {}
-    grouped: dict[tuple[int, int, int], dict[int, tuple]] = {}
-    for t in trees.select("model_id", "round", "tree", "node", "is_leaf", "fi", "threshold", "value").collect():
-        grouped.setdefault((t["model_id"], t["round"], t["tree"]), {})[t["node"]] = (
-            t["is_leaf"], t["fi"], t["threshold"], t["value"]
-        )
-    for (mid, rnd, tree), nodes in sorted(grouped.items()):
-        table.setdefault(mid, []).append((tree, nodes))
-    base = {}
-    for m in models:
-        bs = m.params.base_score
-        base[m.model_id] = math.log(bs / (1 - bs)) if n_trees == 1 else 0.0
-    model_ids = [m.model_id for m in models]
-
-    def score(batches):
-        for pdf in batches:
-            x = pdf[features].to_numpy(dtype="float64")
-            n = len(pdf)
-            for mid in model_ids:
-                margin = np.full((n, n_trees), base[mid])
-                for tree, nodes in table.get(mid, []):
-                    node = np.zeros(n, dtype=np.int64)
-                    done = np.zeros(n, dtype=bool)
-                    value = np.zeros(n)
-                    while not done.all():
-                        for nd in np.unique(node[~done]):
-                            at = (node == nd) & ~done
-                            leaf, fi, thr, val = nodes.get(int(nd), (True, None, None, 0.0))
-                            if leaf:
-                                value[at] = val
-                                done[at] = True
-                            else:
-                                go_left = x[at, fi] < thr  # NaN compares False: missing goes right
-                                node[at] = np.where(go_left, 2 * nd + 1, 2 * nd + 2)
-                    margin[:, tree] += value
-                if n_trees == 1:
-                    p1 = 1.0 / (1.0 + np.exp(-margin[:, 0]))
-                    prob = np.stack([1.0 - p1, p1], axis=1)
-                else:
-                    e = np.exp(margin - margin.max(axis=1, keepdims=True))
-                    prob = e / e.sum(axis=1, keepdims=True)
-                out = pdf[list(keys)].copy()
-                out.insert(0, "model_id", mid)
-                out["probability"] = list(prob)
-                out["pred"] = prob.argmax(axis=1).astype("int32")
-                yield out
-
-    key_types = ", ".join(f"{k} {rows.schema[k].dataType.simpleString()}" for k in keys)
-    schema = f"model_id int, {key_types}, probability array<double>, pred int"
-    cols = [col(k) for k in keys] + [col(f).cast("double").alias(f) for f in features]
-    return rows.select(*cols).mapInPandas(score, schema)
+    place = {m.model_id: i for i, m in enumerate(models)}
+    base = Batch(models, n_trees, []).base()
+    flat = write_shared(forest(trees), "forest")
+    sizes = flat.groupBy("round").agg(F.sum(F.size("nodes")).alias("n")).orderBy("round").collect()
+    blocks, held = [[]], 0
+    for r, n in sizes:  # rounds of a block; a round of more nodes is a block of its own
+        if held and held + n > FOREST_NODES:
+            blocks.append([])
+            held = 0
+        blocks[-1].append(r)
+        held += n
+    kinds = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
+    head = ", ".join(f"`{k}` {kinds[k]}" for k in keys) + ", x array<double>, margins array<double>"
+    state = rows.select(*[col(k) for k in keys], F.array(*[col(f).cast("double") for f in features]).alias("x"), F.array(*[F.lit(float(v)) for v in base]).alias("margins"))
+
+    def adder(block: list[tuple]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+        def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                n = batch.num_rows
+                x = batch.column("x").flatten().to_numpy(zero_copy_only=False).reshape(n, -1)
+                margins = batch.column("margins").flatten().to_numpy(zero_copy_only=False).reshape(n, -1).copy()
+                for column, tree in block:
+                    margins[:, column] += tree[4][raw_ends(tree, x)]
+                ends = pa.array(np.arange(n + 1, dtype=np.int32) * margins.shape[1])
+                yield batch.set_column(batch.schema.names.index("margins"), "margins", pa.ListArray.from_arrays(ends, pa.array(margins.ravel())))
+
+        return add
+
+    for number, rounds in enumerate(blocks):
+        block = []
+        for t in flat.where(F.col("round").isin(rounds)).orderBy("round", "model_id", "tree").collect():
+            if t["model_id"] in place:
+                block.append((place[t["model_id"]] * n_trees + t["tree"], flat_tree(t["nodes"], t["features"], t["thresholds"], t["values"])))
+        state = state.mapInArrow(adder(block), head)
+        if number + 1 < len(blocks):
+            state = write_shared(state, "forest-margins")
+    ids = F.array(*[F.lit(m.model_id) for m in models])
+    each = state.select(*[col(k) for k in keys], F.posexplode(ids).alias("_m", "model_id"), "margins")
+    own = F.slice("margins", F.col("_m") * n_trees + 1, n_trees)
+    if n_trees == 1:
+        p1 = 1.0 / (1.0 + F.exp(-F.element_at(own, 1)))
+        probability = F.array(1.0 - p1, p1)
+    else:
+        e = F.transform(own, lambda v: F.exp(v - F.array_max(own)))
+        probability = F.transform(e, lambda v: v / F.aggregate(e, F.lit(0.0), lambda a, w: a + w))
+    out = each.select("model_id", *[col(k) for k in keys], probability.alias("probability"))
+    return out.withColumn("pred", argmax("probability", n_classes))
+
+
+def flat_tree(nodes: list[int], features: list[int], thresholds: list[float], values: list[float]) -> tuple[np.ndarray, ...]:
+    """(feature, threshold, left, right, value) of a tree; children by their place in the arrays."""
+    at = {n: i for i, n in enumerate(nodes)}
+    left, right = ([at.get(2 * n + s, 0) for n in nodes] for s in (1, 2))
+    return np.array(features, np.int32), np.array(thresholds), np.array(left, np.int32), np.array(right, np.int32), np.array(values)
+
+
+def raw_ends(tree: tuple[np.ndarray, ...], x: np.ndarray) -> np.ndarray:
+    """The entry at which each row's raw values end; missing values compare false and go right."""
+    feature, threshold, left, right, _ = tree
+    at, rows = np.zeros(len(x), np.int32), np.arange(len(x))
+    while True:
+        f = feature[at]
+        inner = f >= 0
+        if not inner.any():
+            return at
+        go_left = x[rows, np.maximum(f, 0)] < threshold[at]
+        at = np.where(inner, np.where(go_left, left[at], right[at]), at)

@@ -164,7 +164,7 @@ def evaluate_combinations(
     snaps = []
     for start in range(0, len(models), per_batch):
         batch = models[start : start + per_batch]
-        res = train(binned, batch, n_classes, record_rounds={m.model_id: record[m.model_id] for m in batch}, keep_trees=False)
+        res = train(binned, batch, n_classes, record_rounds={m.model_id: record[m.model_id] for m in batch}, keep_trees=False, held_out_only=True)
         snaps.append(res.snapshots)
     snap = snaps[0]
     for s in snaps[1:]:
@@ -328,8 +328,9 @@ def oof_predictions(
     for f in sorted(fold_lists):
         names = list(binned.features) if params["top_k"] is None else _selected(fold_lists[f], params["top_k"])
         models.append(ModelSpec(f, f, tuple(sorted(index[n] for n in names)), p))
-    res = train(binned, models, n_classes, keep_trees=False)
-    return probabilities(res.state.where(~F.col("in_train")), n_classes)
+    last = {m.model_id: [p.n_estimators] for m in models}
+    res = train(binned, models, n_classes, record_rounds=last, keep_trees=False, held_out_only=True)
+    return probabilities(res.snapshots.drop("round"), n_classes)
 
 
 __all__ = [

@@ -606,3 +606,94 @@ gains AS (
 best AS (SELECT *, row_number() OVER (PARTITION BY fold ORDER BY ROUND(gain, 12) DESC, fi, bin) AS rn FROM gains)
 SELECT fold, feature, threshold, {rnd('gain', digits)} AS gain, {rnd('gl', digits)} AS grad_left, {rnd('hl', digits)} AS hess_left
 FROM best WHERE rn = 1 AND gain > 0"""
+
+
+# ---- B-1 .. B-7: whole rounds of boosting ----------------------------------------------
+
+
+def boost_ctes(b: SqlBinding, n_classes: int, rounds: int, depth: int, rate: float, k: int = 10) -> str:
+    """CTEs up to ``probs(fold, row_id, y, k, p)``: one model a fold, trained on the other folds and
+    asked for its own rows. Base score 0.5, lambda 1, min_child_weight 1, a bin for each distinct
+    value; gradients are whole multiples of 2^-30, so every sum is exact."""
+    trees = 1 if n_classes == 2 else n_classes
+    cells = " UNION ALL ".join(
+        f"SELECT row_id, {i} AS fi, dense_rank() OVER (ORDER BY CAST({q(n)} AS DOUBLE)) AS bin FROM folded" for i, n in enumerate(b.feature_names)
+    )
+    out = [
+        ctes(b, k),
+        f"cell AS MATERIALIZED ({cells})",
+        f"s0 AS MATERIALIZED (SELECT f.range AS model, row_id, fold, {q(b.target)} AS y, t.range AS k, 0.0::DOUBLE AS margin "
+        f"FROM folded, range(1, {k + 1}) AS f, range({trees}) AS t)",
+    ]
+    unit = float(1 << 30)
+    for r in range(1, rounds + 1):
+        if trees == 1:
+            p, h = "1.0 / (1.0 + exp(-margin))", "p * (1 - p)"
+            src = f"(SELECT *, {p} AS p FROM s{r - 1})"
+        else:
+            src = f"(SELECT *, exp(margin - max(margin) OVER w) AS e FROM s{r - 1} WINDOW w AS (PARTITION BY model, row_id))"
+            src = f"(SELECT *, e / sum(e) OVER w AS p FROM {src} WINDOW w AS (PARTITION BY model, row_id))"
+            h = "2.0 * p * (1 - p)"
+        hit = "CAST(y = 1 AS INT)" if trees == 1 else "CAST(y = k AS INT)"
+        out.append(
+            f"n{r}_0 AS MATERIALIZED (SELECT model, row_id, fold, y, k, margin, 0 AS node, fold <> model AS trains, "
+            f"CAST(round((p - {hit}) * {unit}) AS BIGINT) AS g, greatest(CAST(round({h} * {unit}) AS BIGINT), 1) AS h FROM {src})"
+        )
+        for d in range(depth):
+            low = (1 << d) - 1  # nodes of this depth are open
+            out.append(
+                f"b{r}_{d} AS MATERIALIZED (SELECT model, k, node, fi, bin FROM (SELECT *, row_number() OVER (PARTITION BY model, k, node ORDER BY round(gain, 12) DESC, fi, bin) AS rn FROM ("
+                f"SELECT *, 0.5 * (gl * gl / (hl + 1.0) + (g - gl) * (g - gl) / (h - hl + 1.0) - g * g / (h + 1.0)) AS gain FROM ("
+                f"SELECT model, k, node, fi, bin, sum(g) OVER c / {unit} AS gl, sum(h) OVER c / {unit} AS hl, sum(g) OVER a / {unit} AS g, sum(h) OVER a / {unit} AS h FROM ("
+                f"SELECT model, k, node, fi, bin, sum(g)::BIGINT AS g, sum(h)::BIGINT AS h FROM n{r}_{d} JOIN cell USING (row_id) WHERE trains AND node >= {low} GROUP BY ALL) "
+                f"WINDOW a AS (PARTITION BY model, k, node, fi), c AS (PARTITION BY model, k, node, fi ORDER BY bin))) "
+                f"WHERE hl >= 1.0 AND h - hl >= 1.0) WHERE rn = 1 AND gain > 0)"
+            )
+            out.append(
+                f"n{r}_{d + 1} AS MATERIALIZED (SELECT n.* EXCLUDE (node), CASE WHEN b.fi IS NULL THEN n.node ELSE 2 * n.node + 1 + CAST(cell.bin > b.bin AS INT) END AS node "
+                f"FROM n{r}_{d} AS n LEFT JOIN b{r}_{d} AS b ON b.model = n.model AND b.k = n.k AND b.node = n.node LEFT JOIN cell ON cell.row_id = n.row_id AND cell.fi = b.fi)"
+            )
+        out.append(f"l{r} AS MATERIALIZED (SELECT model, k, node, -(sum(g) / {unit}) / (sum(h) / {unit} + 1.0) * {rate} AS value FROM n{r}_{depth} WHERE trains GROUP BY ALL)")
+        out.append(
+            f"s{r} AS MATERIALIZED (SELECT n.model, n.row_id, n.fold, n.y, n.k, n.margin + coalesce(l.value, 0.0) AS margin FROM n{r}_{depth} AS n "
+            f"LEFT JOIN l{r} AS l ON l.model = n.model AND l.k = n.k AND l.node = n.node)"
+        )
+    own = f"(SELECT * FROM s{rounds} WHERE model = fold)"
+    if trees == 1:
+        one = f"SELECT fold, row_id, y, 1.0 / (1.0 + exp(-margin)) AS p1 FROM {own}"
+        out.append(f"probs AS MATERIALIZED (SELECT fold, row_id, y, 0 AS k, 1 - p1 AS p FROM ({one}) UNION ALL SELECT fold, row_id, y, 1 AS k, p1 AS p FROM ({one}))")
+    else:
+        e = f"SELECT *, exp(margin - max(margin) OVER (PARTITION BY row_id)) AS e FROM {own}"
+        out.append(f"probs AS MATERIALIZED (SELECT fold, row_id, y, k, e / sum(e) OVER (PARTITION BY row_id) AS p FROM ({e}))")
+    out.append("said AS MATERIALIZED (SELECT row_id, k AS pred FROM probs QUALIFY row_number() OVER (PARTITION BY row_id ORDER BY p DESC, k) = 1)")
+    return ",\n".join(out)
+
+
+def oof_predictions_sql(b: SqlBinding, classes: list[str], rounds: int, depth: int, rate: float) -> str:
+    """G-21, G-22: out-of-fold predictions of one model a fold."""
+    label = lambda c: "CASE " + c + " " + " ".join(f"WHEN {i} THEN '{x}'" for i, x in enumerate(classes)) + " END"
+    columns = ", ".join(f"round(max(CASE WHEN k = {i} THEN p END), 4) AS {q('probability_' + x)}" for i, x in enumerate(classes))
+    return (
+        f"WITH {boost_ctes(b, len(classes), rounds, depth, rate)}\n"
+        f"SELECT row_id AS source_row_index, fold, {label('y')} AS actual_label, {label('pred')} AS predicted_label, y = pred AS is_correct, {columns} "
+        "FROM probs JOIN said USING (row_id) GROUP BY row_id, fold, y, pred"
+    )
+
+
+def oof_confusion_sql(b: SqlBinding, n_classes: int, rounds: int, depth: int, rate: float) -> str:
+    """M-1 by fold on the out-of-fold predictions: (fold, actual, predicted, rows)."""
+    return (
+        f"WITH {boost_ctes(b, n_classes, rounds, depth, rate)}\n"
+        "SELECT p.fold, CAST(y AS INT) AS actual, CAST(pred AS INT) AS predicted, count(*) AS rows FROM (SELECT DISTINCT fold, row_id, y FROM probs) AS p JOIN said USING (row_id) GROUP BY ALL"
+    )
+
+
+def oof_fold_metrics_sql(name: str, b: SqlBinding, rounds: int, depth: int, rate: float) -> str:
+    """M-14 on the out-of-fold predictions of three classes or more."""
+    cols = ", ".join(f"{rnd(c)} AS {c}" for c in METRIC_COLS)
+    return (
+        f"WITH {boost_ctes(b, len(b.classes), rounds, depth, rate)},\n"
+        "pred AS (SELECT p.fold, y, pred FROM (SELECT DISTINCT fold, row_id, y FROM probs) AS p JOIN said USING (row_id)),\n"
+        f"{metrics_cte(name, b, True)}\n"
+        f"SELECT fold, CAST((SELECT count(*) FROM folded) - n AS BIGINT) AS train_samples, CAST(n AS BIGINT) AS test_samples, {cols} FROM m"
+    )

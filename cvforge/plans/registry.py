@@ -13,9 +13,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cvforge.functions.columns import strip_text
 from cvforge.plans import oracle as O
 from cvforge.plans.datasets import BINDINGS
 from cvforge.plans.prepare import Prepared, prepare
+from cvforge.session import write_shared
 
 DIGITS = O.DIGITS
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -421,8 +423,9 @@ def _first_split(spark, sf_dir, name):
     res = train(binned, models, p.n_classes)
     # gain/GL/HL of the chosen split come from the split table; recompute GL/HL of the root split
     root = res.trees.where((F.col("round") == 1) & (F.col("node") == 0) & ~F.col("is_leaf"))
+    rows = binned.df.select("fold", "y", "b", F.explode(F.array(*[F.lit(m.model_id) for m in models])).alias("model_id"))
     stats = (
-        res.state.where(F.col("in_train") & (F.col("tree") == 0))
+        rows.where(F.col("fold") != F.col("model_id"))
         .join(F.broadcast(root.select("model_id", "fi", "bin")), "model_id")
         .where(F.element_at("b", F.col("fi") + 1) <= F.col("bin"))
         .groupBy("model_id")
@@ -498,45 +501,86 @@ for _q, _attr in _WORKFLOW_TABLES.items():
     )
 
 
-# ---- B-8 / G-21 / G-22 on the three-class orders binding (rows-only) -------------------
+# ---- B-1..B-8, G-21, G-22: out-of-fold predictions of whole boosting rounds -------------
 
-_MULTICLASS: dict[tuple, object] = {}
+OOF_ROUNDS, OOF_DEPTH, OOF_RATE = 2, 2, 0.3
+_OOF: dict[tuple, object] = {}
 
 
-def _orders_oof(spark, sf_dir):
+def _oof(spark, sf_dir, name):
+    """One model a fold with all features, a bin for each distinct value."""
     from cvforge.operators.boost import bin_features
-    from cvforge.operators.infogain import fold_information_gain
-    from cvforge.operators.search import fold_feature_lists, oof_predictions
+    from cvforge.operators.search import oof_predictions
     from cvforge.spec import BoostParams
 
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
-    if key not in _MULTICLASS:
-        p = prepared(spark, sf_dir, "orders")
-        ig = fold_information_gain(p.folded, p.features, p.target, p.n_classes, p.k, roles=p.roles())
-        binned = bin_features(p.folded, p.features, p.target, max_bin=64)
-        params = {"top_k": None, "learning_rate": 0.3, "max_depth": 2, "n_estimators": 2, "subsample": 1.0,
-                  "colsample_bytree": 1.0}
-        probs = oof_predictions(binned, fold_feature_lists(ig), params, p.n_classes, BoostParams(n_estimators=2, max_depth=2))
-        _MULTICLASS[key] = (p, probs)
-    return _MULTICLASS[key]
-
-
-def _orders_predictions(spark, sf_dir):
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
+    if key not in _OOF:
+        p = prepared(spark, sf_dir, name)
+        binned = bin_features(p.folded, p.features, p.target, max_bin=None)
+        params = {"top_k": None, "learning_rate": OOF_RATE, "max_depth": OOF_DEPTH, "n_estimators": OOF_ROUNDS, "subsample": 1.0, "colsample_bytree": 1.0}
+        lists = {f: list(p.features) for f in range(1, p.k + 1)}
+        _OOF[key] = (p, write_shared(oof_predictions(binned, lists, params, p.n_classes, BoostParams()), "oof"))
+    return _OOF[key]
+
+
+def _oof_predictions(spark, sf_dir, name):
     from cvforge.operators.report import prediction_table
 
-    p, probs = _orders_oof(spark, sf_dir)
+    p, probs = _oof(spark, sf_dir, name)
     return prediction_table(probs, p.encoded.target.classes)
 
 
+def _oof_confusion(spark, sf_dir, name):
+    _, probs = _oof(spark, sf_dir, name)
+    return probs.groupBy("fold", F.col("y").cast("int").alias("actual"), F.col("pred").alias("predicted")).agg(F.count(F.lit(1)).alias("rows"))
+
+
 def _orders_fold_metrics(spark, sf_dir):
     from cvforge.operators.metrics import fold_metric_table
 
-    p, probs = _orders_oof(spark, sf_dir)
-    return fold_metric_table(probs.select("fold", "y", "pred"), p.n_classes, p.encoded.target.positive_label, score=None)
+    p, probs = _oof(spark, sf_dir, "orders")
+    return round_doubles(fold_metric_table(probs.select("fold", "y", "pred"), p.n_classes, p.encoded.target.positive_label, score=None))
+
+
+for _name, _classes in (("orders", ["F", "O", "P"]), ("lineitem", ["No", "Yes"])):
+    _b = O.SQL_BINDINGS[_name]()
+    register(f"oof_predictions_{_name}", O.oof_predictions_sql(_b, _classes, OOF_ROUNDS, OOF_DEPTH, OOF_RATE))(
+        lambda spark, sf_dir, _name=_name: _oof_predictions(spark, sf_dir, _name)
+    )
+    register(f"oof_confusion_{_name}", O.oof_confusion_sql(_b, len(_classes), OOF_ROUNDS, OOF_DEPTH, OOF_RATE))(
+        lambda spark, sf_dir, _name=_name: _oof_confusion(spark, sf_dir, _name)
+    )
+register("oof_fold_metrics_orders", O.oof_fold_metrics_sql("orders", O.SQL_BINDINGS["orders"](), OOF_ROUNDS, OOF_DEPTH, OOF_RATE))(_orders_fold_metrics)
+
+
+# ---- B-7: a model of the labelled documents, applied to all documents -------------------
+
+
+def _predict_unlabelled(spark, sf_dir):
+    """Class and probability of every document without a label, by one model of all labelled ones."""
+    from cvforge.operators.boost import ModelSpec, bin_features, predict, train
+    from cvforge.spec import BoostParams
+
+    p = prepared(spark, sf_dir, "documents")
+    binned = bin_features(p.folded, p.features, p.target)
+    model = ModelSpec(0, None, tuple(range(len(p.features))), BoostParams(n_estimators=20, max_depth=4))
+    trees = train(binned, [model], p.n_classes).trees
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id")
+    return predict(trees, encode_unlabelled(docs.join(labels, "doc_id", "left_anti"), p), p.features, [model], p.n_classes, keys=("doc_id",))
+
+
+def encode_unlabelled(docs: DataFrame, p) -> DataFrame:
+    """The encoded features of documents that have no target, as the labelled ones have them."""
+    columns = []
+    for f in p.features:
+        source = next((c for c in ("lang", "source") if f.startswith(f"{c}_")), None)
+        one = F.col("n_chars") if source is None else (strip_text(F.col(source)) == F.lit(f[len(source) + 1 :])).cast("int")
+        columns.append(one.cast("double").alias(f))
+    return docs.select("doc_id", *columns)
 
 
-register("oof_predictions_orders")(_orders_predictions)
-register("oof_fold_metrics_orders")(_orders_fold_metrics)
+register("predict_unlabelled_documents")(_predict_unlabelled)
 
 
 # ---- G: progress, ranking and reports over a progress table made of lineitem ------------

@@ -163,11 +163,11 @@ def _numpy_boost(b, y, train, rounds, depth, lr, lam=1.0, mcw=1.0, alpha=0.0, ga
     return margin
 
 
-@pytest.mark.parametrize("subtract", [False, True])
-def test_trainer_matches_numpy_reference(spark, small, subtract):
+@pytest.mark.parametrize("every", [1, 2, 8])
+def test_trainer_matches_numpy_reference(spark, small, every):
     binned = bin_features(small, ["a", "b"], "y", max_bin=16)
     params = BoostParams(n_estimators=3, max_depth=3, learning_rate=0.3)
-    res = train(binned, [ModelSpec(7, 2, (0, 1), params)], 2, subtract=subtract)
+    res = train(binned, [ModelSpec(7, 2, (0, 1), params)], 2, checkpoint_every=every)
     got = res.state.select("row_id", "margin").toPandas().set_index("row_id")["margin"].sort_index()
     bd = binned.df.toPandas().sort_values("row_id")
     b = np.array(bd["b"].tolist())
