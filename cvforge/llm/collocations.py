@@ -210,7 +210,7 @@ def collocations(
     share: int = 80,
     most: int = 2000,
     scale: int = 2_000_000,
-    period: int = 24,
+    period: int = 64,
 ) -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score): each lang's ``most`` best phrases.
 
