@@ -61,7 +61,7 @@ def main() -> None:
     binned.df.persist()
     binned.df.count()
     params = BoostParams(n_estimators=2, max_depth=3)
-    for n_models in (1, 10):
+    for n_models in (1, 10, 100):
         models = [ModelSpec(i, (i % 10) + 1, tuple(range(len(p.features))), params) for i in range(n_models)]
         t = time.time()
         train(binned, models, p.n_classes)

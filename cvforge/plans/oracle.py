@@ -697,3 +697,9 @@ def oof_fold_metrics_sql(name: str, b: SqlBinding, rounds: int, depth: int, rate
         f"{metrics_cte(name, b, True)}\n"
         f"SELECT fold, CAST((SELECT count(*) FROM folded) - n AS BIGINT) AS train_samples, CAST(n AS BIGINT) AS test_samples, {cols} FROM m"
     )
+
+
+def row_draws_sql(b: SqlBinding, seed: int, rate: float, rounds: int = 3) -> str:
+    """B-5: which rows each round draws."""
+    draw = f"CAST('0x' || substr(md5(concat_ws('|', '{seed}', r.range, row_id)), 1, 8) AS BIGINT) / 4294967296.0"
+    return f"WITH {ctes(b)} SELECT CAST(r.range AS INT) AS round, row_id, {draw} < {rate} AS drawn FROM folded, range(1, {rounds + 1}) AS r"

@@ -553,6 +553,20 @@ for _name, _classes in (("orders", ["F", "O", "P"]), ("lineitem", ["No", "Yes"])
 register("oof_fold_metrics_orders", O.oof_fold_metrics_sql("orders", O.SQL_BINDINGS["orders"](), OOF_ROUNDS, OOF_DEPTH, OOF_RATE))(_orders_fold_metrics)
 
 
+# ---- B-5: rows drawn for each round -----------------------------------------------------
+
+
+def _row_draws(spark, sf_dir):
+    from cvforge.operators.boost import row_draw
+
+    folded = prepared(spark, sf_dir, "orders").folded
+    every = [folded.select(F.lit(r).alias("round"), "row_id", (row_draw(42, r) < 0.8).alias("drawn")) for r in (1, 2, 3)]
+    return every[0].unionByName(every[1]).unionByName(every[2])
+
+
+register("row_draws_orders", O.row_draws_sql(O.SQL_BINDINGS["orders"](), 42, 0.8))(_row_draws)
+
+
 # ---- B-7: a model of the labelled documents, applied to all documents -------------------
 
 
