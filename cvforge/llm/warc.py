@@ -12,7 +12,14 @@ that the chain reaches: first inside each input split (one task each), then over
 splits of a file, in rounds that double the distance. A magic inside a payload is never
 reached and its piece goes back to the record that holds it.
 
-Null html is the empty payload. Rows that share page_id and payload are alike and get the
+Size and digest of a response are those of the bytes read back, not of its header; a revisit
+has no payload and repeats its header's. An archive is damaged if a response's bytes differ
+from its header's digest or if the chain from a file's start does not end at the file's end;
+``read_archives`` then fails, or with ``strict=False`` returns what the chain reaches and says
+in ``intact`` which records are as written.
+
+Null html is the empty payload. A null url leaves its header out; blanks and control characters
+of a url are written as ``%20``. Rows that share page_id and payload are alike and get the
 same record type. A null page_id sorts after all others. An empty table gives an empty
 result; columns other than the two read do not matter.
 """
@@ -31,15 +38,19 @@ from cvforge.session import checkpoint_dir, write_shared
 
 MAGIC = "WARC/1.1\r\n"
 END = "\r\n\r\n"
+PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
-def plan_records(pages: DataFrame, id_col: str = "page_id", payload_col: str = "html", min_revisit: int = 100, small: int = 1_000_000) -> DataFrame:
-    """Rows (page_id, payload, payload_bytes, payload_digest, record_type, refers_to).
+def plan_records(
+    pages: DataFrame, id_col: str = "page_id", payload_col: str = "html", min_revisit: int = 100, small: int = 1_000_000, url_col: str | None = "url"
+) -> DataFrame:
+    """Rows (page_id, url, payload, payload_bytes, payload_digest, record_type, refers_to).
 
     Equal payloads are found on ids and digests alone. The list of revisits is broadcast if it has at
     most ``small`` rows (of about 100 bytes), so payloads need no shuffle; else both sides shuffle.
     """
-    rows = pages.select(pages[id_col].cast("long").alias("page_id"), F.coalesce(pages[payload_col].cast("string"), F.lit("")).alias("payload"))
+    url = pages[url_col].cast("string") if url_col in pages.columns else F.lit(None).cast("string")
+    rows = pages.select(pages[id_col].cast("long").alias("page_id"), url.alias("url"), F.coalesce(pages[payload_col].cast("string"), F.lit("")).alias("payload"))
     rows = rows.withColumns({"payload_bytes": F.octet_length("payload").cast("long"), "payload_digest": F.sha2(F.col("payload").cast("binary"), 256)})
     long_ones = rows.where(F.col("payload_bytes") >= min_revisit).select("page_id", "payload_digest")
     firsts = long_ones.groupBy(F.col("payload_digest").alias("first_digest")).agg(F.min("page_id").alias("first_id"), F.count("*").alias("copies")).where("copies > 1")
@@ -51,6 +62,7 @@ def plan_records(pages: DataFrame, id_col: str = "page_id", payload_col: str = "
     revisit = F.col("first_digest").isNotNull()
     return joined.select(
         "page_id",
+        "url",
         "payload",
         "payload_bytes",
         "payload_digest",
@@ -60,11 +72,14 @@ def plan_records(pages: DataFrame, id_col: str = "page_id", payload_col: str = "
 
 
 def write_archives(records: DataFrame, path: str, records_per_file: int = 100_000) -> None:
-    """One WARC record per row of ``plan_records``; revisits carry headers only."""
+    """One WARC record per row of ``plan_records``, dated now; revisits carry headers only."""
     body = F.when(F.col("record_type") == "response", F.col("payload")).otherwise(F.lit(""))
     header = F.concat_ws(
         "\r\n",
         F.concat(F.lit("WARC-Type: "), "record_type"),
+        F.date_format(F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()), "'WARC-Date: 'yyyy-MM-dd'T'HH:mm:ss'Z'"),
+        F.concat(F.lit("WARC-Target-URI: "), F.regexp_replace("url", r"[\x00-\x20\x7F]", "%20")),
+        F.when(F.col("record_type") == "revisit", F.lit(f"WARC-Profile: {PROFILE}")),
         F.concat(F.lit("WARC-Record-ID: <urn:page:"), F.coalesce(F.col("page_id").cast("string"), F.lit("")), F.lit(">")),
         F.concat(F.lit("WARC-Payload-Digest: sha256:"), "payload_digest"),
         F.concat(F.lit("X-Payload-Length: "), F.col("payload_bytes").cast("string")),
@@ -111,6 +126,8 @@ def candidates(spark: SparkSession, path: str) -> DataFrame:
         F.expr("try_cast(regexp_extract(head, '(?:^|\\r\\n)X-Payload-Length: ([0-9]+)(?:\\r\\n|$)', 1) as long)").alias("payload_bytes"),
         F.expr("try_cast(regexp_extract(head, '(?:^|\\r\\n)WARC-Refers-To: <urn:page:(-?[0-9]+)>(?:\\r\\n|$)', 1) as long)").alias("refers_to"),
         F.when(whole, digest).alias("read_digest"),
+        F.when(whole, F.octet_length(payload).cast("long")).alias("read_bytes"),
+        F.when(whole, F.sha2(F.col("value").cast("binary"), 256)).alias("text_digest"),
         F.when(~whole, F.col("value")).alias("piece"),
     )
 
@@ -183,34 +200,71 @@ def reachable(index: DataFrame) -> DataFrame:
     return grouped.applyInArrow(_marks, "file string, block long, seq long, start long, next long")
 
 
-def read_archives(spark: SparkSession, path: str) -> DataFrame:
-    """Records of all archives under ``path``: the columns of ``plan_records`` without the
-    payload, and ``read_digest``, the SHA-256 of the payload bytes found (of none for revisits;
-    null if the payload holds a whole record with its right digest, whose text is not kept)."""
+def texts_of(spark: SparkSession, path: str, lost: DataFrame) -> DataFrame:
+    """``lost`` (with ``text_digest``) and each row's ``piece``, read from the archives again by content."""
+    wanted = lost.select("text_digest").distinct()
+    raw = spark.read.option("lineSep", MAGIC).text(path).withColumn("text_digest", F.sha2(F.col("value").cast("binary"), 256))
+    texts = raw.join(wanted, "text_digest", "left_semi").groupBy("text_digest").agg(F.any_value("value").alias("piece"))
+    return lost.join(texts, "text_digest")
+
+
+def read_archives(spark: SparkSession, path: str, strict: bool = True) -> DataFrame:
+    """Records of all archives under ``path``: page_id, payload_bytes, payload_digest (of the
+    bytes read, for responses), record_type, refers_to, and ``intact``, whether a response's
+    bytes have the digest and size that its header tells (revisits: true).
+
+    Raises ValueError for a damaged archive unless ``strict`` is False.
+    """
     pieces = write_shared(candidates(spark, path), "warc-pieces")
     sizes = pieces.groupBy("file", "block").agg(F.sum("size").alias("bytes"))
     sizes = sizes.withColumn("base", F.sum("bytes").over(W.partitionBy("file").orderBy("block")) - F.col("bytes"))
     order = W.partitionBy("file", "block").orderBy("seq")
     start = F.col("base") + F.sum("size").over(order) - F.col("size") - len(MAGIC)
     placed = (
-        pieces.select("file", "block", "seq", "size", "span", "piece")
+        pieces.select("file", "block", "seq", "size", "span", "text_digest", "piece")
         .join(sizes, ["file", "block"])
-        .select("file", "block", "seq", start.alias("start"), "span", (F.col("base") + F.col("bytes") - len(MAGIC)).alias("block_end"), "piece")
+        .select("file", "block", "seq", start.alias("start"), "span", (F.col("base") + F.col("bytes") - len(MAGIC)).alias("block_end"), "text_digest", "piece")
     )
     placed = write_shared(placed.withColumn("next", F.when(F.col("start") >= 0, F.col("start") + F.col("span"))), "warc-index")
     kept = reachable(placed).select("file", "block", "seq", F.col("start").alias("k_start"), F.col("next").alias("k_next"))
     records = write_shared(pieces.drop("size", "span", "piece").join(kept, ["file", "block", "seq"]), "warc-records")
+    if strict:
+        ends = placed.groupBy("file").agg(F.max("block_end").alias("end"))
+        reached = records.groupBy("file").agg(F.max("k_next").alias("reached"))
+        broken = ends.join(reached, "file", "left").where("end > 0 and not end <=> reached").select("file").first()
+        if broken:
+            raise ValueError(f"damaged archive: the records of {broken.file} do not end where the file ends")
     # a payload that holds a magic lies in several pieces; they are few and go back together by record
     holders = records.where("read_digest is null").select(F.col("file").alias("h_file"), F.col("k_start").alias("owner"), "k_next")
-    parts = placed.where("piece is not null").join(holders, F.expr("file = h_file and start >= owner and start < k_next"))
+    parts = placed.where("piece is not null").select("file", "start", "piece")
+    whole_ones = placed.where("text_digest is not null").select("file", "block", "seq", "start", "text_digest")
+    if whole_ones.count() > records.where("text_digest is not null").count():  # whole records inside payloads
+        lost = whole_ones.join(records.select("file", "block", "seq"), ["file", "block", "seq"], "left_anti")
+        parts = parts.unionByName(texts_of(spark, path, lost).select("file", "start", "piece"))
+    parts = parts.join(holders, F.expr("file = h_file and start >= owner and start < k_next"))
     joined = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("start", "piece"))), lambda p: p["piece"]), MAGIC)
-    found = F.sum(F.octet_length("piece") + len(MAGIC)) == F.max(F.col("k_next") - F.col("owner"))
-    whole = parts.groupBy("h_file", "owner").agg(joined.alias("joined"), found.alias("found")).where("found")
+    whole = parts.groupBy("h_file", "owner").agg(joined.alias("joined"))
     cut = F.substr("joined", F.length(F.substring_index("joined", END, 1)) + F.lit(len(END) + 1))
-    whole = whole.select("h_file", "owner", F.sha2(F.substr(cut, F.lit(1), F.length(cut) - len(END)).cast("binary"), 256).alias("joined_digest"))
-    return records.join(whole, F.expr("file = h_file and k_start = owner"), "left").select(
-        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", F.coalesce("read_digest", "joined_digest").alias("read_digest")
+    payload = F.substr(cut, F.lit(1), F.length(cut) - len(END))
+    whole = whole.select(
+        "h_file", "owner", F.sha2(payload.cast("binary"), 256).alias("joined_digest"), F.octet_length(payload).cast("long").alias("joined_bytes")
+    )
+    revisit = F.col("record_type") == "revisit"
+    read_digest, read_bytes = F.coalesce("read_digest", "joined_digest"), F.coalesce("read_bytes", "joined_bytes")
+    found = records.join(whole, F.expr("file = h_file and k_start = owner"), "left").select(
+        "page_id",
+        F.when(revisit, F.col("payload_bytes")).otherwise(read_bytes).alias("payload_bytes"),
+        F.when(revisit, F.col("payload_digest")).otherwise(read_digest).alias("payload_digest"),
+        "record_type",
+        "refers_to",
+        F.coalesce(revisit | ((read_digest == F.col("payload_digest")) & (read_bytes == F.col("payload_bytes"))), F.lit(False)).alias("intact"),
     )
+    if strict:
+        found = write_shared(found, "warc-found")
+        bad = found.where("not intact").select("page_id").first()
+        if bad:
+            raise ValueError(f"damaged archive: the payload of page {bad.page_id} is not what its header tells")
+    return found
 
 
 def archive_round_trip(pages: DataFrame, id_col: str = "page_id", payload_col: str = "html", path: str | None = None) -> DataFrame:

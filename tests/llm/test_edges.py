@@ -228,10 +228,44 @@ def test_warc(spark):
         text = texts[r.page_id] if r.page_id is not None else "same" * 40
         assert (r.payload_bytes, r.payload_digest) == (len((text or "").encode()), sha(text))
         assert (r.record_type, r.refers_to) == (("revisit", 5) if r.page_id in (6, 7, None) else ("response", None))
-        assert r.record_type == "revisit" or r.read_digest == r.payload_digest
+        assert r.intact
     assert warc.archive_round_trip(pages.limit(0)).count() == 0
 
 
+def test_warc_holds_whole_records(spark):
+    inner = lambda t: warc.MAGIC + f"WARC-Type: response\r\nWARC-Payload-Digest: sha256:{hashlib.sha256(t.encode()).hexdigest()}\r\nContent-Length: {len(t)}\r\n\r\n{t}\r\n\r\n"
+    texts = [inner("one") + inner("two") + "after", "before" + inner("one") * 3, inner("one"), "plain"]
+    pages = spark.createDataFrame([(i, t, f"http://x.org/{i} \r\n") for i, t in enumerate(texts)], "page_id long, html string, url string")
+    got = {r.page_id: (r.payload_bytes, r.payload_digest, r.intact) for r in warc.archive_round_trip(pages).collect()}
+    assert got == {i: (len(t), hashlib.sha256(t.encode()).hexdigest(), True) for i, t in enumerate(texts)}
+
+
+def test_warc_damaged(spark, tmp_path):
+    pages = spark.createDataFrame([(i, f"page {i} " * 30, "http://x.org/a b" if i else None) for i in range(6)], "page_id long, html string, url string").coalesce(1)
+
+    def written(name, change):
+        warc.write_archives(warc.plan_records(pages), str(tmp_path / name))
+        (part,) = (tmp_path / name).glob("part-*")
+        part.write_bytes(change(part.read_bytes()))
+        for crc in (tmp_path / name).glob(".part-*.crc"):
+            crc.unlink()
+        return str(tmp_path / name)
+
+    sound = written("sound", lambda b: b)
+    text = next((tmp_path / "sound").glob("part-*")).read_text(newline="")
+    assert text.count("WARC-Date: ") == 6 and text.count("WARC-Target-URI: http://x.org/a%20b\r\n") == 5
+    assert [r.intact for r in warc.read_archives(spark, sound).collect()] == [True] * 6
+    changed = written("changed", lambda b: b.replace(b"page 3 page 3", b"page 3 pagX 3", 1))
+    with pytest.raises(ValueError, match="page 3"):
+        warc.read_archives(spark, changed)
+    rows = {r.page_id: r for r in warc.read_archives(spark, changed, strict=False).collect()}
+    told = hashlib.sha256(("page 3 pagX 3 " + "page 3 " * 28).encode()).hexdigest()
+    assert [i for i in rows if not rows[i].intact] == [3] and rows[3].payload_digest == told and rows[3].payload_bytes == 210
+    for name, cut in {"tail": lambda b: b[:-50], "head": lambda b: b[20:], "middle": lambda b: b.replace(b"Content-Length: 210", b"Content-Length: 211", 1)}.items():
+        with pytest.raises(ValueError, match="damaged archive"):
+            warc.read_archives(spark, written(name, cut))
+
+
 def test_pipeline_stages(spark, docs, nothing, benchmark, tmp_path):
     benchmark.write.parquet(f"{tmp_path}/benchmark.parquet")
     docs.write.parquet(f"{tmp_path}/documents.parquet")
