@@ -10,8 +10,17 @@ Plan (one shuffle for all K folds):
       -> groupBy(fold, feature)           sum of terms, value count [tiny]
       -> IG = H(Y)_f - H(Y|X)_f, row_number per fold
 
-Missing values (possible only after numeric coercion) are imputed with the
-training-fold median of the feature before the entropy, as the workflow does.
+Missing values are imputed from each fold's training rows before the entropy, as the
+workflow does: numbers with the median, text with the most frequent value.
+
+With text features, or when folds x classes would pass ``WIDE_CELLS`` columns, classes are
+rows instead of columns:
+
+    -> groupBy(feature, value, y)       one training count per fold
+    -> groupBy(feature, value)          n and sum n log n per fold
+    -> groupBy(feature)                 terms and value counts per fold  [tiny]
+
+so the plan's width depends on the number of folds alone.
 """
 
 from __future__ import annotations
@@ -20,6 +29,7 @@ from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from cvforge.functions.columns import col, entropy_term
 from cvforge.functions.ordering import weighted_quantiles
@@ -32,6 +42,7 @@ IG_ENCODING = {
 }
 FORMULA = "H(Y) - H(Y|X)"
 RANK_DIGITS = 12  # ties closer than 1e-12 are broken by feature name
+WIDE_CELLS = 64  # folds x classes up to which each pair has a column of its own
 
 
 def entropy_of_counts(counts: Sequence[Column]) -> Column:
@@ -133,19 +144,100 @@ def _impute_missing(cells: DataFrame, n_classes: int, nullable: Sequence[str]) -
     return clean.unionByName(merged)
 
 
-def _rank_table(
-    per_feature: DataFrame,
-    totals: DataFrame,
-    n_classes: int,
-    roles: dict[str, str] | None,
-) -> DataFrame:
+def _n_log_n(n: Column) -> Column:
+    return F.when(n > 0, n * F.log2(n)).otherwise(F.lit(0.0))
+
+
+def _by_fold(k: int, **fields: str) -> Column:
+    """One struct for each fold: its number and, as ``name``, the column ``prefix + fold``."""
+    return F.explode(F.array(*[F.struct(F.lit(f).alias("fold"), *[F.col(f"{p}{f}").alias(n) for n, p in fields.items()]) for f in range(1, k + 1)]))
+
+
+def _impute_cells(cells: DataFrame, k: int, gappy: Sequence[str]) -> DataFrame:
+    """E-14 on (feature, value, text, y, t1..tK): a fold's missing cell moves onto its median or most frequent value.
+
+    Ties go to the smallest text. A feature without any value in a training fold keeps
+    its missing cell there. Missing cells are classes x features at most.
+    """
+    t = [f"t{f}" for f in range(1, k + 1)]
+    missing = F.col("value").isNull() & F.col("text").isNull()
+    open_ = cells.where(F.col("feature").isin(*gappy))
+    present, absent = open_.where(~missing), open_.where(missing)
+    sizes = present.groupBy("feature", "value", "text").agg(*[F.sum(c).alias(c) for c in t])
+    modes = (
+        sizes.where(F.col("text").isNotNull())
+        .groupBy("feature")
+        .agg(*[F.min(F.when(F.col(c) > 0, F.struct((-F.col(c)).alias("n"), F.col("text").alias("text")))).alias(f"m{i}") for i, c in enumerate(t, 1)])
+        .select("feature", _by_fold(k, best="m").alias("_m"))
+        .select("_m.fold", "feature", F.lit(None).cast("double").alias("value"), F.col("_m.best.text").alias("text"))
+    )
+    numbers = sizes.where(F.col("value").isNotNull()).select("feature", "value", _by_fold(k, n="t").alias("_t")).select("_t.fold", "feature", "value", "_t.n")
+    medians = weighted_quantiles(numbers, ["fold", "feature"], "value", "n", [0.5]).select(
+        "fold", "feature", F.col("quantile").alias("value"), F.lit(None).cast("string").alias("text")
+    )
+    moved = (
+        absent.select("feature", "_y", _by_fold(k, n="t").alias("_t"))
+        .select("_t.fold", "feature", "_y", "_t.n")
+        .where("n > 0")
+        .join(modes.unionByName(medians), ["fold", "feature"], "left")
+        .select("feature", "value", "text", "_y", *[F.when(F.col("fold") == i, F.col("n")).otherwise(F.lit(0)).alias(c) for i, c in enumerate(t, 1)])
+    )
+    filled = present.unionByName(moved).groupBy("feature", "value", "text", "_y").agg(*[F.sum(c).alias(c) for c in t])
+    return cells.where(~F.col("feature").isin(*gappy)).unionByName(filled)
+
+
+def _sparse_terms(
+    modeling: DataFrame, features: Sequence[str], target: str, folds: int | None, fold_col: str, nullable: Sequence[str]
+) -> tuple[DataFrame, DataFrame]:
+    """(fold, feature, _s, _k) and (fold, _n, target_entropy) with a row, not a column, for each class."""
+    k = folds or 1
+    words = {f for f in features if isinstance(modeling.schema[f].dataType, StringType)}
+    null = F.lit(None)
+    entries = [
+        F.struct(
+            F.lit(f).alias("feature"),
+            (null.cast("double") if f in words else F.nanvl(col(f).cast("double"), null.cast("double"))).alias("value"),
+            (col(f) if f in words else null.cast("string")).alias("text"),
+        )
+        for f in features
+    ]
+    rows = modeling.where(col(target).isNotNull())
+    fold = col(fold_col) if folds else F.lit(0)
+    train = [F.count_if(F.col("_fold") != f).alias(f"t{f}") for f in range(1, k + 1)]
+    long = rows.select(fold.alias("_fold"), col(target).alias("_y"), F.explode(F.array(*entries)).alias("_c")).select("_fold", "_y", "_c.*")
+    cells = long.groupBy("feature", "value", "text", "_y").agg(*train)
+    gappy = sorted(words | set(nullable))
+    if gappy:
+        cells = _impute_cells(cells, k, gappy)
+    of = range(1, k + 1)
+    values = cells.groupBy("feature", "value", "text").agg(
+        *[F.sum(f"t{f}").alias(f"n{f}") for f in of], *[F.sum(_n_log_n(F.col(f"t{f}"))).alias(f"s{f}") for f in of]
+    )
+    per_feature = values.groupBy("feature").agg(
+        *[F.sum(F.col(f"s{f}") - _n_log_n(F.col(f"n{f}"))).alias(f"_s{f}") for f in of],
+        *[F.count_if(F.col(f"n{f}") > 0).alias(f"_k{f}") for f in of],
+    )
+    per_feature = per_feature.select("feature", _by_fold(k, _s="_s", _k="_k").alias("_t")).select("_t.fold", "feature", "_t._s", "_t._k")
+    classes = rows.select(fold.alias("_fold"), col(target).alias("_y")).groupBy("_y").agg(*train)
+    sums = classes.agg(*[F.sum(f"t{f}").alias(f"n{f}") for f in of], *[F.sum(_n_log_n(F.col(f"t{f}"))).alias(f"s{f}") for f in of])
+    stats = sums.select(_by_fold(k, n="n", s="s").alias("_t")).select(
+        "_t.fold",
+        F.col("_t.n").alias("_n"),
+        F.when(F.col("_t.n") > 0, F.greatest(F.lit(0.0), (_n_log_n(F.col("_t.n")) - F.col("_t.s")) / F.col("_t.n"))).otherwise(F.lit(0.0)).alias("target_entropy"),
+    )
+    return per_feature, stats
+
+
+def _fold_stats(totals: DataFrame, n_classes: int) -> DataFrame:
     tcols = _class_count_cols(n_classes)
-    n_train = sum((F.col(t) for t in tcols[1:]), F.col(tcols[0]))
-    fold_stats = totals.select(
+    return totals.select(
         "fold",
-        n_train.alias("_n"),
+        sum((F.col(t) for t in tcols[1:]), F.col(tcols[0])).alias("_n"),
         entropy_of_counts([F.col(t) for t in tcols]).alias("target_entropy"),
     )
+
+
+def _rank_table(per_feature: DataFrame, fold_stats: DataFrame, roles: dict[str, str] | None) -> DataFrame:
     # one row per fold: the broadcast is bounded by K
     joined = per_feature.join(F.broadcast(fold_stats), "fold")
     # 0 - s rather than -s: an all-zero sum must give +0.0, never -0.0
@@ -197,8 +289,12 @@ def fold_information_gain(
     """I-4 (``folds=K``): IG ranking on each fold's training rows; I-3 (``folds=None``): whole table.
 
     Output: fold, rank, feature, role, information_gain, target_entropy,
-    conditional_entropy, feature_value_count, ig_encoding, formula.
+    conditional_entropy, feature_value_count, ig_encoding, formula. Missing numbers are
+    imputed in the ``nullable`` features, missing text in every text feature.
     """
+    text = any(isinstance(modeling.schema[f].dataType, StringType) for f in features)
+    if text or (folds or 1) * n_classes > WIDE_CELLS:
+        return _rank_table(*_sparse_terms(modeling, features, target, folds, fold_col, nullable), roles)
     cells, totals = _train_cells(modeling, features, target, n_classes, folds, fold_col)
     if nullable:
         cells = _impute_missing(cells, n_classes, nullable)
@@ -212,7 +308,7 @@ def fold_information_gain(
     per_feature = terms.groupBy("fold", "feature").agg(
         F.sum("_term").alias("_s"), F.count(F.lit(1)).alias("_k")
     )
-    return _rank_table(per_feature, totals, n_classes, roles)
+    return _rank_table(per_feature, _fold_stats(totals, n_classes), roles)
 
 
 def information_gain(

@@ -123,6 +123,44 @@ SELECT {fold_sel}rank, feature, role, {rnd('information_gain')} AS information_g
 FROM ranked"""
 
 
+def class_rows_ig_sql(source: str, numeric: list[str], text: list[str], folds: int) -> str:
+    """I-4 with E-14 from ``source(fold, y, features...)``: medians and most frequent texts of each fold's training rows."""
+    parts = [f"SELECT fold, y, '{n}' AS feature, CAST({q(n)} AS DOUBLE) AS num, CAST(NULL AS VARCHAR) AS txt FROM src" for n in numeric]
+    parts += [f"SELECT fold, y, '{n}' AS feature, NULL AS num, {q(n)} AS txt FROM src" for n in text]
+    return f"""WITH src AS ({source}),
+folds AS (SELECT CAST(range AS INTEGER) AS f FROM range(1, {folds + 1})),
+long AS ({' UNION ALL '.join(parts)}),
+seen AS (SELECT f AS fold, feature, num, txt, y, count(*) AS n FROM long JOIN folds ON fold <> f GROUP BY ALL),
+sizes AS (SELECT fold, feature, num, txt, sum(n) AS n FROM seen WHERE num IS NOT NULL OR txt IS NOT NULL GROUP BY ALL),
+modes AS (SELECT fold, feature, txt AS mode FROM sizes WHERE txt IS NOT NULL QUALIFY row_number() OVER (PARTITION BY fold, feature ORDER BY n DESC, txt) = 1),
+medians AS (SELECT f AS fold, feature, quantile_cont(num, 0.5) AS median FROM long JOIN folds ON fold <> f WHERE num IS NOT NULL GROUP BY ALL),
+filled AS (
+  SELECT s.fold, s.feature, y, coalesce(CAST(num AS VARCHAR), txt, CAST(median AS VARCHAR), mode) AS v, sum(n) AS n
+  FROM seen s LEFT JOIN modes USING (fold, feature) LEFT JOIN medians USING (fold, feature) GROUP BY ALL),
+nx AS (SELECT fold, feature, v, sum(n) AS n_x FROM filled GROUP BY ALL),
+cond AS (
+  SELECT c.fold, c.feature, sum(c.n * log2(c.n / nx.n_x)) AS s
+  FROM filled c JOIN nx ON c.fold = nx.fold AND c.feature = nx.feature AND c.v IS NOT DISTINCT FROM nx.v GROUP BY ALL),
+vc AS (SELECT fold, feature, count(*) AS value_count FROM nx GROUP BY ALL),
+cls AS (SELECT f AS fold, y, count(*) AS n FROM src JOIN folds ON fold <> f GROUP BY ALL),
+tot AS (SELECT fold, sum(n) AS n_train FROM cls GROUP BY ALL),
+hy AS (SELECT cls.fold, tot.n_train, -sum(cls.n * log2(cls.n / tot.n_train)) / tot.n_train AS h FROM cls JOIN tot ON cls.fold = tot.fold GROUP BY cls.fold, tot.n_train),
+ig AS (
+  SELECT fold, feature, h - (0.0 - s) / n_train AS information_gain, h, (0.0 - s) / n_train AS conditional, value_count
+  FROM cond JOIN hy USING (fold) JOIN vc USING (fold, feature))
+SELECT fold, CAST(row_number() OVER (PARTITION BY fold ORDER BY ROUND(information_gain, 12) DESC, feature) AS INTEGER) AS rank, feature,
+       'encoded' AS role, {rnd('information_gain')} AS information_gain, {rnd('h')} AS target_entropy, {rnd('conditional')} AS conditional_entropy,
+       CAST(value_count AS BIGINT) AS feature_value_count, 'encoded values' AS ig_encoding, 'H(Y) - H(Y|X)' AS formula
+FROM ig"""
+
+
+IG_GAPS = """SELECT CAST(l_orderkey % 10 + 1 AS INTEGER) AS fold, CASE l_returnflag WHEN 'A' THEN 0 WHEN 'N' THEN 1 ELSE 2 END AS y,
+       l_linenumber AS line, nullif(l_quantity, 7) AS quantity, CASE WHEN l_suppkey % 3 > 0 THEN l_linestatus END AS status,
+       CASE WHEN l_partkey % 11 > 0 THEN concat('p', l_partkey % 5) END AS part FROM lineitem"""
+IG_PARTS = """SELECT CAST(l_orderkey % 10 + 1 AS INTEGER) AS fold, CAST(l_partkey % 1000 AS INTEGER) AS y,
+       l_quantity AS quantity, l_discount AS discount, l_returnflag AS flag, l_linenumber AS line FROM lineitem"""
+
+
 def selected_sql(b: SqlBinding, top_k: int) -> str:
     """I-5."""
     return f"WITH {ig_ctes(b, 10)} SELECT fold, rank, feature FROM ranked WHERE rank <= {top_k}"

@@ -300,6 +300,40 @@ register("clean_rows_gaps", f"WITH {O.clean_cte(_GAPS)} SELECT * FROM clean")(_g
 register("encoded_gaps", O.GAPS_ENCODED)(_gaps_encoded)
 
 
+# ---- I-4, E-14: gaps filled from each fold's training rows; a thousand classes ------------
+
+
+def gaps_folded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whole(spark, sf_dir, "lineitem").selectExpr(
+        "cast(l_orderkey % 10 + 1 AS int) AS fold",
+        "CASE l_returnflag WHEN 'A' THEN 0 WHEN 'N' THEN 1 ELSE 2 END AS y",
+        "l_linenumber AS line",
+        "nullif(l_quantity, 7) AS quantity",
+        "CASE WHEN l_suppkey % 3 > 0 THEN l_linestatus END AS status",
+        "CASE WHEN l_partkey % 11 > 0 THEN concat('p', l_partkey % 5) END AS part",
+    )
+
+
+def _fold_ig_gaps(spark, sf_dir):
+    from cvforge.operators.infogain import fold_information_gain
+
+    return round_doubles(fold_information_gain(gaps_folded(spark, sf_dir), ["line", "quantity", "status", "part"], "y", 3, 10, nullable=["quantity"]))
+
+
+def _fold_ig_parts(spark, sf_dir):
+    from cvforge.operators.infogain import fold_information_gain
+
+    rows = whole(spark, sf_dir, "lineitem").selectExpr(
+        "cast(l_orderkey % 10 + 1 AS int) AS fold", "cast(l_partkey % 1000 AS int) AS y",
+        "l_quantity AS quantity", "l_discount AS discount", "l_returnflag AS flag", "l_linenumber AS line",
+    )
+    return round_doubles(fold_information_gain(rows, ["quantity", "discount", "flag", "line"], "y", 1000, 10))
+
+
+register("fold_ig_gaps", O.class_rows_ig_sql(O.IG_GAPS, ["line", "quantity"], ["status", "part"], 10))(_fold_ig_gaps)
+register("fold_ig_thousand_classes", O.class_rows_ig_sql(O.IG_PARTS, ["quantity", "discount", "line"], ["flag"], 10))(_fold_ig_parts)
+
+
 # ---- I-5 .. I-9: fold-local selection ------------------------------------------------
 
 SELECTION_TOP_K = {"lineitem": 3, "documents": 10, "orders": 1, "events": 1}

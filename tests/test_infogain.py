@@ -120,3 +120,39 @@ def test_fold_selection_all_uses_column_order(spark, table):
     assert all(r["selected_features"] == "c, a, b" and r["selected_feature_count"] == 3 for r in rows)
     top = fold_selection_table(ig, df, 1).collect()
     assert all(r["selected_features"] == "a" for r in top)
+
+
+def test_gaps_take_each_training_folds_median_or_most_frequent(spark):
+    rng = np.random.default_rng(3)
+    n = 300
+    pdf = pd.DataFrame({"x": rng.integers(0, 9, n).astype(float), "w": rng.choice(["a", "b", "c", ""], n), "fold": np.arange(n) % 3 + 1, "y": rng.integers(0, 3, n)})
+    pdf.loc[rng.random(n) < 0.3, "x"] = np.nan
+    pdf["w"] = pdf["w"].astype(object).where(rng.random(n) > 0.3, None)
+    pdf["none"] = pd.Series([None] * n, dtype=object)
+    pdf.loc[pdf["fold"] == 1, "only"] = 5.0  # training rows of fold 1 hold no value
+    df = spark.createDataFrame(pdf, "x double, w string, fold int, y int, none string, only double")
+    got = fold_information_gain(df, ["x", "w", "none", "only"], "y", 3, 3, nullable=["x", "only"]).toPandas().set_index(["fold", "feature"])
+    for fold in (1, 2, 3):
+        train = pdf[pdf["fold"] != fold]
+        h = _entropy(train["y"])
+        x = train["x"].fillna(train["x"].median())
+        counts = train["w"].value_counts()
+        w = train["w"].fillna(min(counts[counts == counts.max()].index))
+        for name, filled in {"x": x, "w": w}.items():
+            row = got.loc[(fold, name)]
+            assert row["information_gain"] == pytest.approx(h - _cond(train["y"], filled), abs=1e-12)
+            assert row["feature_value_count"] == filled.nunique()
+        for name in ("none", "only"):
+            assert got.loc[(fold, name), "information_gain"] == pytest.approx(0, abs=1e-12) and got.loc[(fold, name), "feature_value_count"] == 1
+
+
+def test_class_rows_equal_class_columns(spark, table, monkeypatch):
+    from cvforge.operators import infogain
+
+    _, df = table
+    wide = fold_information_gain(df, ["a", "b", "c"], "y", 2, 5).toPandas()
+    whole = information_gain(df, ["a", "b", "c"], "y", 2).toPandas()
+    monkeypatch.setattr(infogain, "WIDE_CELLS", 0)
+    order = ["fold", "rank"]
+    pd.testing.assert_frame_equal(fold_information_gain(df, ["a", "b", "c"], "y", 2, 5).toPandas().sort_values(order), wide.sort_values(order), atol=1e-12)
+    pd.testing.assert_frame_equal(information_gain(df, ["a", "b", "c"], "y", 2).toPandas(), whole, atol=1e-12)
