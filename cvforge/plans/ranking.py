@@ -8,6 +8,8 @@ ties are common. Each query is paired with SQL that recomputes it from the table
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,6 +32,8 @@ from cvforge.operators.search import (
     latest_within_grid,
     pending_combinations,
 )
+from cvforge.session import checkpoint_dir
+from cvforge.sources.progress import append_progress, read_progress, stage_batch
 from cvforge.spec import REPORT_METRICS, GridSpec
 
 #: The grid asked for; the table also holds combinations outside it and lacks some inside.
@@ -85,6 +89,19 @@ def progress(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.agg(*[F.expr(e).alias(n) for n, e in _metrics().items()], F.lit("completed").alias("status"))
 
 
+def stored_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S-2, S-3: one committed batch for each write of this run, one that was never committed, and what a reader sees."""
+    path = f"{checkpoint_dir(spark)}/progress-{uuid.uuid4().hex}"
+    writes = progress(spark, sf_dir)
+    own = writes.where(F.col("signature") == SIGNATURE)
+    for (seq,) in own.select("seq").distinct().collect():  # line numbers, 1 to 7
+        append_progress(own.where(F.col("seq") == seq), path, SIGNATURE, seq << 40)
+    append_progress(writes.where("signature = 'N'"), path, "N", 1 << 40)
+    stage_batch(own, path, SIGNATURE)
+    seen = read_progress(spark, path, SIGNATURE)
+    return seen.withColumn("seq", F.shiftright("seq", 40))
+
+
 def own_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
     """G-28: the writes under this run's signature only."""
     return progress(spark, sf_dir).where(F.col("signature") == SIGNATURE)
@@ -235,6 +252,7 @@ SQL = {
     f"coalesce(CAST(grid.top_k AS VARCHAR), 'all') || '|' || {' || '.join(chr(39) + '|' + chr(39) + ' || ' + f'CAST(grid.{k} AS VARCHAR)' if i else f'CAST(grid.{k} AS VARCHAR)' for i, k in enumerate(GRID_KEYS[1:]))} AS grid_key "
     f"FROM grid LEFT JOIN own ON {_ON('grid', 'own')} GROUP BY ALL",
     "progress_latest": f"WITH {BASE_SQL} SELECT {_ALL}, seq, signature, 'completed' AS status FROM latest",
+    "progress_stored": f"WITH {BASE_SQL} SELECT {_ALL}, seq, signature, 'completed' AS status FROM own",
     "progress_pending": f"WITH {BASE_SQL} SELECT {_KEYS} FROM grid WHERE NOT EXISTS (SELECT 1 FROM latest WHERE {_ON('grid', 'latest')})",
     "progress_signatures": f"WITH {BASE_SQL} SELECT signature, CAST(count(*) AS BIGINT) AS writes, CAST(count(DISTINCT ({_KEYS})) AS BIGINT) AS combinations FROM progress GROUP BY signature",
     "ranked_grid": f"WITH {BASE_SQL} SELECT rank, rank = 1 AS is_best, {_ALL} FROM ranked",
@@ -263,6 +281,7 @@ SQL = {
 QUERIES = {
     "grid_coverage": coverage,
     "progress_latest": lambda s, d: latest(s, d),
+    "progress_stored": stored_progress,
     "progress_pending": lambda s, d: pending_combinations(grid_combinations(s, GRID), latest(s, d)),
     "progress_signatures": lambda s, d: progress(s, d).groupBy("signature").agg(
         F.count("*").alias("writes"), F.count_distinct(F.struct(*GRID_KEYS)).alias("combinations")

@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 from cvforge.operators.boost import ModelSpec, bin_features, train
 from cvforge.operators.encode import encode_features, encode_target
 from cvforge.operators.search import configuration_signature, dataset_fingerprint, grid_combinations, path_batches
-from cvforge.sources.progress import read_progress
+from cvforge.sources.progress import append_progress, commit_batch, read_progress, stage_batch
 from cvforge.sources.tables import load_table
-from cvforge.spec import BoostParams, FeatureSpec, GridSpec
+from cvforge.spec import REPORT_METRICS, BoostParams, FeatureSpec, GridSpec
 
 
 def test_constant_and_missing_features_train(spark):
@@ -57,10 +57,34 @@ def test_fingerprint_tells_nulls_apart(spark):
 
 def test_damaged_progress_is_no_empty_progress(spark, tmp_path):
     assert read_progress(spark, str(tmp_path / "absent")).count() == 0
-    os.makedirs(tmp_path / "bad/signature=s")
-    (tmp_path / "bad/signature=s/part-0.parquet").write_bytes(b"no parquet")
-    with pytest.raises(Exception):
-        read_progress(spark, str(tmp_path / "bad"), "s").count()
+    for part in ("log", "batches"):
+        os.makedirs(tmp_path / f"bad-{part}/{part}/signature=s/batch=b")
+        (tmp_path / f"bad-{part}/{part}/signature=s/batch=b/part-0.parquet").write_bytes(b"no parquet")
+        with pytest.raises(Exception):
+            read_progress(spark, str(tmp_path / f"bad-{part}"), "s").count()
+
+
+def test_readers_see_committed_batches_only(spark, tmp_path):
+    path, seq = str(tmp_path / "p"), 1 << 40
+    rows = spark.createDataFrame([(k, 0.1, 2, 5, 1.0, 1.0, "completed") for k in (1, 2)], "top_k int, learning_rate double, max_depth int, n_estimators int, subsample double, colsample_bytree double, status string")
+    rows = rows.select("*", *[F.lit(0.5).alias(f"{s}_cv_{m}") for m in REPORT_METRICS for s in ("mean", "std")])
+    seen = lambda: sorted((r.top_k, r.seq >> 40) for r in read_progress(spark, path, "s").collect())
+    stage_batch(rows, path, "s")  # this writer is killed before its commit
+    assert seen() == []
+    one, two = stage_batch(rows, path, "s"), stage_batch(rows, path, "s")  # two writers that began alike
+    commit_batch(spark, path, "s", two, seq)
+    assert seen() == [(1, 1), (2, 1)]
+    commit_batch(spark, path, "s", one, seq)
+    stored = read_progress(spark, path).collect()
+    assert len(stored) == len({r.seq for r in stored}) == 4 and {r.signature for r in stored} == {"s"}
+    append_progress(rows.where("top_k = 1"), path, "s", 2 * seq)
+    append_progress(rows.limit(0), path, "s", 3 * seq)
+    append_progress(rows, path, "007", seq)  # a signature that looks like a number
+    assert seen() == [(1, 1), (1, 1), (1, 2), (2, 1), (2, 1)] and read_progress(spark, path, "007").count() == 2
+    for part in (tmp_path / f"p/batches/signature=s/batch={one}").glob("*part-*"):
+        part.unlink()
+    with pytest.raises(ValueError, match="should have 2 rows"):
+        read_progress(spark, path, "s")
 
 
 def test_default_grid_trains_every_path_once(spark):
