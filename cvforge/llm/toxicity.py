@@ -44,6 +44,8 @@ DISCOUNT = 0.75
 MOST = 4.0
 #: Bytes of the texts that are measured together.
 CHUNK_BYTES = 8 << 20
+#: Shuffle partitions that the chunks are dealt over at most; a partition takes its chunks one by one.
+PARTITIONS = 20_000
 #: Keys that a task holds at most before it asks for them.
 HELD_KEYS = 4_000_000
 #: Stands for the unit before in the keys of units alone; beyond all ids.
@@ -237,7 +239,7 @@ def measure(rows: DataFrame, values: DataFrame, unseen: float, stretches: tuple[
 
     packed = rows.select("chunk", "doc_id", "toxic", "text").mapInArrow(tidy(pack), "chunk long, doc_id long, toxic int, copies long, packed binary")
     # both uses of the dealt texts read one shuffle
-    dealt = packed.repartition(max(chunks, int(spark.conf.get("spark.sql.shuffle.partitions"))), "chunk")
+    dealt = packed.repartition(min(max(chunks, int(spark.conf.get("spark.sql.shuffle.partitions"))), PARTITIONS), "chunk")
     asked = dealt.mapInArrow(tidy(ask), "a_chunk long, a_key long")
     told = asked.join(values.hint("merge"), F.col("a_key") == F.col("key")).select("a_chunk", "key", "value")
     return dealt.groupBy("chunk").cogroup(told.groupBy("a_chunk")).applyInArrow(answer, "doc_id long, toxic int, evidence array<double>")
