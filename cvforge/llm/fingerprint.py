@@ -8,12 +8,14 @@ the resemblance; the place of the k-th hash estimates the number of distinct shi
 together give the containment. With fewer than k shingles all three are exact.
 
 Null texts are empty; texts without words have the empty sketch, which resembles another
-empty one fully and any other not at all. Rows that share an id are ordered by their text; a
-null id comes before all others. Empty tables give empty results; columns not read do not matter.
+empty one fully and any other not at all. Rows that share an id are ordered by a hash of their
+text; a null id comes before all others. Empty tables give empty results; columns not read do not matter.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -22,8 +24,8 @@ from cvforge.llm.common import id_text
 
 K = 256
 SHINGLE = 5
-#: Bits of an id within a group of neighbours, and of a group's number within a group of groups.
-NEAR_IDS, NEAR_GROUPS = 8, 12
+#: Documents meet their next one in GROUPS x GROUPS groups of neighbours; more for tables beyond some 100 TB.
+GROUPS = 64
 
 
 def held(df: DataFrame, **columns: Column) -> DataFrame:
@@ -82,30 +84,51 @@ def written(a: Column) -> Column:
     return F.array_join(F.transform(a, lambda h: F.lower(F.hex(h))), ",")
 
 
-def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, text, next_text) where the next document is that of the next higher id, the first's after the last.
+def chunked(rows: DataFrame, groups: int) -> DataFrame:
+    """``rows`` (doc_id, text) with the order key (near, tie) and the place ``chunk`` of their group.
+
+    The borders of the groups are quantiles of the ids, so groups are alike in size however ids lie.
+    An id that takes up several borders is dealt over as many groups, by the hash that orders its texts.
+    """
+    rows = rows.select("*", F.coalesce("doc_id", F.lit(-(1 << 63))).alias("near"), F.shiftrightunsigned(F.xxhash64("text"), 1).alias("tie"))
+    shares = [i / (groups * groups) for i in range(1, groups * groups)]
+    borders = rows.agg(F.percentile_approx("near", shares, 10 * groups * groups).alias("b")).first().b or [0]
+    parts = [borders[i : i + groups] for i in range(0, len(borders), groups)]
+    longs = lambda values: F.array(*map(F.lit, values)).cast("array<bigint>")
+    tops, all_parts = longs([p[0] for p in parts]), F.array(*map(longs, parts))
+
+    def before(below: Callable[[Column], Column]) -> Column:
+        top = F.size(F.filter(tops, below))
+        return F.when(top == 0, 0).otherwise((top - 1) * groups + F.size(F.filter(F.get(all_parts, top - 1), below)))
+
+    rows = held(rows, low=before(lambda b: b < F.col("near")), high=before(lambda b: b <= F.col("near")))
+    chunk = F.col("low") + F.shiftright((F.col("high") - F.col("low")) * F.shiftright("tie", 32), 31)
+    return rows.select("doc_id", "text", "near", "tie", chunk.cast("int").alias("chunk"))
+
+
+def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = K, size: int = SHINGLE, groups: int = GROUPS) -> DataFrame:
+    """(doc_id, text, sketch, next_text, next_sketch) where the next document is that of the next higher id, the first's after the last.
 
-    Documents meet in groups of neighbouring ids, so their texts are shuffled once. The last
-    document of a group is joined with the first of the next group that has any; which group
-    that is comes from the narrow list of groups, itself taken in groups.
+    Texts are shuffled once, to groups of neighbours, and sketched there, so a document takes over
+    the sketch of the next one. The last document of a group takes the first of the next group that
+    has any; the list of groups has ``groups`` x ``groups`` rows at most.
     """
-    rows = id_text(docs, id_col, text_col).select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.shiftright("doc_id", NEAR_IDS).alias("chunk"))
-    order = W.partitionBy("chunk").orderBy("doc_id", "text")
-    placed = rows.select("*", F.row_number().over(order).alias("place"), F.lead("text").over(order).alias("next_text"))
-    far = rows.select("chunk").distinct().withColumn("far", F.shiftright("chunk", NEAR_GROUPS))
-    groups = far.groupBy("far").agg(F.min("chunk").alias("head"))
-    # one row for every 2**20 ids: narrow, and few at any size
-    every = W.orderBy("far")
+    rows = id_text(docs, id_col, text_col).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    rows = chunked(rows, groups)
+    dealt = rows.repartition("chunk")  # read twice: all rows, and the first of each group
+    order = W.partitionBy("chunk").orderBy("near", "tie", "text")
+    following = F.lead(F.struct("text", "sketch")).over(order)
+    inner = sketch(dealt, "text", "sketch", k, size).select("doc_id", "text", "sketch", "chunk", following.alias("following"))
+    firsts = dealt.select("*", F.row_number().over(order).alias("place")).where("place = 1").select("chunk", "text")
+    firsts = sketch(firsts, "text", "sketch", k, size).select(F.col("chunk").alias("f_chunk"), F.struct("text", "sketch").alias("first"))
+    every = W.orderBy("n_chunk")
     around = every.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
-    groups = groups.select(F.col("far").alias("g_far"), F.coalesce(F.lead(F.struct("head")).over(every), F.first(F.struct("head")).over(around)).alias("onward"))
-    after = F.lead(F.struct(F.col("chunk").alias("head"))).over(W.partitionBy("far").orderBy("chunk"))
-    far = far.select("chunk", "far", after.alias("after"))
-    follow = far.join(groups, far.far.eqNullSafe(groups.g_far)).select(F.col("chunk").alias("l_chunk"), F.coalesce("after", "onward")["head"].alias("n_chunk"))
-    inner = placed.where("next_text is not null").select("doc_id", "text", "next_text")
-    firsts = placed.where("place = 1").select(F.col("chunk").alias("f_chunk"), F.col("text").alias("first_text"))
-    lasts = placed.where("next_text is null").select("doc_id", "text", "chunk")
-    lasts = lasts.join(follow, lasts.chunk.eqNullSafe(follow.l_chunk)).join(firsts, F.col("n_chunk").eqNullSafe(F.col("f_chunk")))
-    return inner.union(lasts.select("doc_id", "text", F.col("first_text").alias("next_text")))
+    follow = rows.select(F.col("chunk").alias("n_chunk")).distinct()
+    follow = follow.select("n_chunk", F.coalesce(F.lag("n_chunk").over(every), F.last("n_chunk").over(around)).alias("l_chunk"))
+    firsts = follow.join(firsts, F.col("n_chunk") == F.col("f_chunk")).select("l_chunk", "first")
+    found = inner.join(firsts.hint("merge"), F.col("chunk") == F.col("l_chunk"), "left")
+    onward = F.coalesce("following", "first")
+    return found.select("doc_id", "text", "sketch", onward["text"].alias("next_text"), onward["sketch"].alias("next_sketch"))
 
 
 def edited_text(text: Column, next_text: Column) -> Column:
@@ -116,8 +139,6 @@ def edited_text(text: Column, next_text: Column) -> Column:
 
 def compare_with_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = K, size: int = SHINGLE) -> DataFrame:
     """(doc_id, text, edited, sketch, edited_sketch, next_sketch) of every document."""
-    rows = with_next(docs, id_col, text_col)
+    rows = with_next(docs, id_col, text_col, k, size)
     rows = held(rows, edited=edited_text(F.col("text"), F.col("next_text")))
-    for source, out in (("text", "sketch"), ("edited", "edited_sketch"), ("next_text", "next_sketch")):
-        rows = sketch(rows, source, out, k, size)
-    return rows.drop("next_text")
+    return sketch(rows, "edited", "edited_sketch", k, size).drop("next_text")

@@ -182,12 +182,21 @@ def test_op7(spark, texts):
         return {tuple(w[i : i + 5]) for i in range(len(w) - 4)} or ({tuple(w)} if w else set())
 
     like = lambda a, b: len(a & b) / len(a | b) if a | b else 1.0
+    def estimate(a, b):
+        value = lambda h: int(h, 16) - (1 << 64 if int(h, 16) >> 63 else 0)
+        a, b = ({value(h) for h in x.split(",") if h} for x in (a, b))
+        union = sorted(a | b)[:256]
+        return len(a & b & set(union)) / len(union) if union else 1.0
+
     got = {r.doc_id: r for r in QUERIES["op7_fingerprints"](spark, SF).collect()}
     for n, (i, t, _) in enumerate(texts):
         onward = texts[(n + 1) % len(texts)][1]
         half = len(t) // 2
         edited = t[: len(t) - half] + onward[:half]
         assert (got[i].n_chars, got[i].edited_sha256) == (len(t), hashlib.sha256(edited.encode()).hexdigest())
+        assert got[i].near_next == pytest.approx(estimate(got[i].fingerprint, got[texts[(n + 1) % len(texts)][0]].fingerprint))
+        assert got[i].near_edited == pytest.approx(estimate(got[i].fingerprint, got[i].edited_fingerprint))
+        assert len(got[i].fingerprint.split(",")) == max(1, min(256, len(shingles(t))))
         assert abs(got[i].near_edited - like(shingles(t), shingles(edited))) < 0.15
         assert abs(got[i].near_next - like(shingles(t), shingles(onward))) < 0.15
 

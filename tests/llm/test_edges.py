@@ -127,6 +127,30 @@ def test_pii(docs, nothing):
     assert pii.redact(docs, {}).columns == docs.columns
 
 
+def test_fingerprint_neighbours(spark):
+    """Ids far apart, in clusters, repeated and null: everyone's next is the next id's, the last one's the first's."""
+    draw = random.Random(5)
+    ids = [draw.randrange(-(1 << 62), 1 << 62) for _ in range(150)] + [(1 << 40) + i for i in range(60)]
+    rows = [(i, f"text {i}") for i in ids] + [(None, f"none {n}") for n in range(120)] + [(77, f"same {n}") for n in range(90)]
+    draw.shuffle(rows)
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    found = fingerprint.with_next(table, groups=8).collect()
+    assert sorted(r.text for r in found) == sorted(t for _, t in rows)
+    onward = {r.text: r.next_text for r in found}
+    way = ["none 0"]
+    while len(way) < len(rows):
+        way.append(onward[way[-1]])
+    assert len(set(way)) == len(rows) and onward[way[-1]] == "none 0"
+    place = {t: -(1 << 63) if i is None else i for i, t in rows}
+    start = min(range(len(way)), key=lambda n: (place[way[n]], place[way[n - 1]] == place[way[n]]))
+    order = [place[t] for t in way[start:] + way[:start]]
+    assert order == sorted(order)
+    chunks = fingerprint.chunked(table, 8).groupBy("doc_id").agg(F.count_distinct("chunk").alias("n"))
+    assert {r.doc_id for r in chunks.where("n > 5").collect()} == {None, 77}
+    sketched = {r.text: r.sketch for r in found}
+    assert all(r.next_sketch == sketched[r.next_text] for r in found)
+
+
 def test_fingerprint(spark, docs, nothing):
     rows = fingerprint.compare_with_edits(docs).collect()
     assert len(rows) == docs.count() and fingerprint.compare_with_edits(nothing).count() == 0
