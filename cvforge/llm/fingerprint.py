@@ -115,8 +115,9 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k
     """
     rows = id_text(docs, id_col, text_col).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     rows = chunked(rows, groups)
-    dealt = rows.repartition("chunk")  # read twice: all rows, and the first of each group
-    order = W.partitionBy("chunk").orderBy("near", "tie", "text")
+    # read twice, with the same columns so that one shuffle serves both: all rows, and the first of each group
+    dealt = rows.repartition("chunk")
+    order = W.partitionBy("chunk").orderBy("near", "doc_id", "tie", "text")
     following = F.lead(F.struct("text", "sketch")).over(order)
     inner = sketch(dealt, "text", "sketch", k, size).select("doc_id", "text", "sketch", "chunk", following.alias("following"))
     firsts = dealt.select("*", F.row_number().over(order).alias("place")).where("place = 1").select("chunk", "text")
