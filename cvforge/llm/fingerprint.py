@@ -103,7 +103,8 @@ def chunked(rows: DataFrame, groups: int) -> DataFrame:
 
     rows = held(rows, low=before(lambda b: b < F.col("near")), high=before(lambda b: b <= F.col("near")))
     chunk = F.col("low") + F.shiftright((F.col("high") - F.col("low")) * F.shiftright("tie", 32), 31)
-    return rows.select("doc_id", "text", "near", "tie", chunk.cast("int").alias("chunk"))
+    # never null, so that no join adds a null filter below one of two uses of the same shuffle
+    return rows.select("doc_id", "text", "near", "tie", F.coalesce(chunk.cast("int"), F.lit(0)).alias("chunk"))
 
 
 def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = K, size: int = SHINGLE, groups: int = GROUPS) -> DataFrame:
