@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 
 from cvforge.functions.columns import col
 from cvforge.functions.ordering import with_running_totals
+from cvforge.functions.sketch import column_cuts
 from cvforge.session import write_shared
 from cvforge.spec import BoostParams
 
@@ -82,32 +83,14 @@ def bin_features(
     target: str,
     max_bin: int | None = 256,
     fold_col: str = "fold",
+    weight: str | None = None,
 ) -> Binned:
-    """``max_bin`` (hist): distinct values when few, else approximate quantile cuts;
-    ``None`` (exact): every distinct value is a candidate, ranked without a driver round trip."""
+    """``max_bin`` (hist): distinct values when few, else quantile cuts from one scan, by rows or
+    by the column ``weight`` (``functions.sketch``); ``None`` (exact): every distinct value is a candidate, ranked without a driver round trip."""
     spark = folded.sparkSession
     if max_bin is None:
         return _bin_exact(folded, features, target, fold_col)
-    counts = folded.agg(*[F.count_distinct(col(f)).alias(f"n{i}") for i, f in enumerate(features)]).first()
-    few = [i for i, f in enumerate(features) if counts[f"n{i}"] <= max_bin]
-    many = [i for i in range(len(features)) if i not in few]
-    cuts: dict[int, list[float]] = {}
-    if few:
-        long = folded.select(
-            F.explode(F.array(*[F.struct(F.lit(i).alias("fi"), col(features[i]).cast("double").alias("v")) for i in few])).alias("c")
-        ).select("c.*").where(F.col("v").isNotNull()).distinct()
-        vals: dict[int, list[float]] = {i: [] for i in few}
-        for r in long.collect():  # at most max_bin values per feature
-            vals[r["fi"]].append(r["v"])
-        for i in few:
-            cuts[i] = sorted(vals[i])[1:]
-    if many:
-        probs = [k / max_bin for k in range(1, max_bin)]
-        row = folded.agg(
-            *[F.percentile_approx(col(features[i]).cast("double"), probs, 10000).alias(f"q{i}") for i in many]
-        ).first()
-        for i in many:
-            cuts[i] = sorted(set(v for v in row[f"q{i}"] if v is not None))
+    cuts = [found for found, _ in column_cuts(folded, features, max_bin, weight)]
     splits = [[-math.inf] + cuts[i] + [math.inf] for i in range(len(features))]
     xs = folded.select("row_id", F.col(fold_col).alias("fold"), col(target).alias("y"),
                        *[col(f).cast("double").alias(f"_x{i}") for i, f in enumerate(features)])

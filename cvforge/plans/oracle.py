@@ -737,6 +737,16 @@ def oof_fold_metrics_sql(name: str, b: SqlBinding, rounds: int, depth: int, rate
     )
 
 
+def hist_bins_sql(b: SqlBinding, max_bin: int) -> str:
+    """B-4 (hist): every value but the least, of features with at most ``max_bin`` values."""
+    parts = [f"SELECT DISTINCT '{f}' AS feature, CAST({q(f)} AS DOUBLE) AS v FROM enc WHERE {q(f)} IS NOT NULL" for f in b.feature_names]
+    return (
+        f"WITH {ctes(b)}, vals AS ({' UNION ALL '.join(parts)}), "
+        "placed AS (SELECT *, row_number() OVER (PARTITION BY feature ORDER BY v) AS place, count(*) OVER (PARTITION BY feature) AS n FROM vals) "
+        f"SELECT feature, CAST(place - 2 AS INTEGER) AS bin, v AS threshold FROM placed WHERE place > 1 AND n <= {max_bin}"
+    )
+
+
 def row_draws_sql(b: SqlBinding, seed: int, rate: float, rounds: int = 3) -> str:
     """B-5: which rows each round draws."""
     draw = f"CAST('0x' || substr(md5(concat_ws('|', '{seed}', r.range, row_id)), 1, 8) AS BIGINT) / 4294967296.0"

@@ -631,6 +631,22 @@ def encode_unlabelled(docs: DataFrame, p) -> DataFrame:
 register("predict_unlabelled_documents")(_predict_unlabelled)
 
 
+# ---- B-4: bins of the default tree method, features of at most 256 values ------------
+
+
+def _hist_bins(spark, sf_dir, name):
+    from cvforge.functions.sketch import column_cuts
+
+    p = prepared(spark, sf_dir, name)
+    found = column_cuts(p.folded, p.features, 256)
+    rows = [(f, i, cut) for f, (cuts, whole_) in zip(p.features, found, strict=True) if whole_ for i, cut in enumerate(cuts)]
+    return spark.createDataFrame(rows, "feature string, bin int, threshold double")
+
+
+for _name in ("lineitem", "documents", "orders", "events"):
+    register(f"hist_bins_{_name}", O.hist_bins_sql(O.SQL_BINDINGS[_name](), 256))(lambda s, d, _name=_name: _hist_bins(s, d, _name))
+
+
 # ---- G: progress, ranking and reports over a progress table made of lineitem ------------
 
 from cvforge.plans import ranking as R  # noqa: E402
