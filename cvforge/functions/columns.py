@@ -86,15 +86,15 @@ def format_decimal(c: Column, decimals: int = 4) -> Column:
 
 
 def round_metric_columns(df: DataFrame, decimals: int = 4) -> DataFrame:
-    """Round numeric columns whose lower-cased name contains a metric token."""
-    out = []
-    for field in df.schema.fields:
-        name = field.name
-        if is_numeric_type(field.dataType) and any(tok in name.lower() for tok in METRIC_TOKENS):
-            out.append(F.round(col(name).cast("double"), decimals).alias(name))
-        else:
-            out.append(col(name))
-    return df.select(*out)
+    """Round columns whose lower-cased name contains a metric token: numeric ones, and text
+    ones of which every value that is there is a number; other text stays as it is."""
+    named = [f for f in df.schema.fields if any(tok in f.name.lower() for tok in METRIC_TOKENS)]
+    numeric = {f.name: col(f.name).cast("double") for f in named if is_numeric_type(f.dataType)}
+    text = {f.name: nan_to_null(F.trim(col(f.name)).try_cast("double")) for f in named if isinstance(f.dataType, T.StringType)}
+    if text:
+        held = df.agg(*[(F.count(number) == F.count(col(name))).alias(f"t{i}") for i, (name, number) in enumerate(text.items())]).first()
+        numeric |= {name: number for i, (name, number) in enumerate(text.items()) if held[f"t{i}"]}
+    return df.select(*[F.round(numeric[c], decimals).alias(c) if c in numeric else col(c) for c in df.columns])
 
 
 def top_k_label(top_k: Column) -> Column:

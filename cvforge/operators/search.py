@@ -11,12 +11,12 @@ signature, so a killed run resumes with an anti join.
 from __future__ import annotations
 
 import hashlib
-import json
 from dataclasses import asdict, replace
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from cvforge.functions.fingerprints import dataset_fingerprint
 from cvforge.operators.boost import Binned, ModelSpec, bin_features, probabilities, train
 from cvforge.operators.metrics import fold_metric_table, fold_summary
 from cvforge.operators.report import rank_grid
@@ -72,18 +72,6 @@ def pending_combinations(combos: DataFrame, completed: DataFrame) -> DataFrame:
     return combos.join(completed, _same_key(combos, completed), "left_anti")
 
 
-def dataset_fingerprint(df: DataFrame) -> str:
-    """G-26: order-free fingerprint: schema, row count and a sum of row hashes. Hashes skip
-    nulls, so each row's hash also covers which of its cells are null."""
-    cells = [F.col(f"`{c}`") for c in df.columns]
-    row = df.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum(F.xxhash64(*cells, F.array(*[c.isNull() for c in cells])).cast("decimal(38,0)")).alias("h"),
-    ).first()
-    payload = json.dumps({"schema": df.schema.simpleString(), "rows": row["n"], "hash": str(row["h"])}, sort_keys=True)
-    return hashlib.sha256(payload.encode()).hexdigest()
-
-
 def configuration_signature(config: dict) -> str:
     """G-28: one text for everything that decides a stored result: name and value of each
     setting, sorted by name, under the layout version of the progress table."""

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 
 from cvforge.functions.columns import round_metric_columns
+from cvforge.functions.fingerprints import dataset_fingerprint
 from cvforge.operators.audit import cleaning_stats
 from cvforge.operators.encode import feature_role_table
-from cvforge.operators.search import fit_plan
+from cvforge.operators.report import winner
+from cvforge.operators.search import configuration_signature, fit_plan
 from cvforge.plans.prepare import Prepared
 from cvforge.plans.workflow import WorkflowResult
-from cvforge.sources.tables import write_metadata, write_table
+from cvforge.sources.tables import seal_tables, write_metadata, write_table
 from cvforge.spec import BoostParams, GridSpec, RunConfig
 
 # Artifact names of the workflow's output folder.
@@ -39,8 +41,16 @@ def export_results(
     config: RunConfig = RunConfig(),
     base: BoostParams = BoostParams(),
     fmt: str = "parquet",
+    data_path: str | None = None,
+    run_name: str | None = None,
+    progress_path: str | None = None,
+    exact: bool = False,
 ) -> dict[str, str]:
-    """Write each table to ``out_dir/<name>``; returns name -> path."""
+    """Write each table to ``out_dir/<name>``; returns name -> path.
+
+    ``run_seal`` binds the tables to the configuration and the input: ``sources.tables.verify_tables`` tells
+    whether they are what this run wrote. ``exact`` as given to ``run_workflow``.
+    """
     spark = p.folded.sparkSession
     out = out_dir.rstrip("/")
     spec = p.binding.spec
@@ -70,7 +80,27 @@ def export_results(
         paths[name] = path
     stats = cleaning_stats(p.binding.raw).first().asDict()
     screened = w.screened.first()
+    default = winner(w.comparison.where("model_type = 'default_xgboost' and top_k is not null"), len(p.features), config.final_metric).first()
+    top_k_text = lambda k: "all" if k is None else k
+    tree_method = "exact" if exact else "hist"
+    signature = configuration_signature(
+        {"grid": grid, "run": config, "base": base, "spec": spec, "cv_splits": p.k, "tree_method": tree_method}
+    )
+    source = dataset_fingerprint(p.binding.raw)
+    sealed = seal_tables(spark, out, list(tables), signature, source, fmt)
     metadata = {
+        "data_path": data_path,
+        "run_name": run_name,
+        "grid_search_progress_path": progress_path,
+        "progress_every": config.progress_every,
+        "tree_method": tree_method,
+        "checkpoint_signature": signature,
+        "input_fingerprint": source,
+        "run_digest": sealed,
+        "feature_encoding_roles": [r.asDict() for r in tables["feature_encoding_roles"].collect()],  # one row a column
+        "selected_grid_ig_top_k": top_k_text(w.best_params["top_k"]),
+        "grid_feature_setups": [top_k_text(k) for k in grid.normalized_top_k()],
+        "best_default_ig_top_k": top_k_text(default["top_k"]) if default else "all",
         "target_col": spec.target,
         "exclude_features": list(spec.exclude),
         "cv_splits": p.k,

@@ -13,11 +13,13 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cvforge.functions.columns import format_decimal
 from cvforge.operators.report import (
     best_by_feature_count,
     default_vs_grid,
     final_ranking,
     four_setup_summaries,
+    params_from_row,
     prediction_table,
     rank_defaults,
     rank_grid,
@@ -173,6 +175,20 @@ def display_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return by_text.select("ig_top_k", "writes", place.alias("place"))
 
 
+def best_params(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """G-17: typed parameters of the best combination of each feature count."""
+    rows = best_by_feature_count(ranked(spark, sf_dir)).collect()  # one row a feature count of the grid
+    return spark.createDataFrame([tuple(params_from_row(r).values()) for r in rows], ", ".join(f"{k} {t}" for k, t in KEY_TYPES.items()))
+
+
+def metric_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M-17: the metrics of all writes as text."""
+    return progress(spark, sf_dir).select(*GRID_KEYS, "signature", "seq", *[format_decimal(F.col(m) / 7 - 0.05).alias(m) for m in TEXT_METRICS])
+
+
+TEXT_METRICS = ("mean_cv_accuracy", "mean_cv_recall", "mean_cv_brier_score", "std_cv_accuracy")
+
+
 def _window(*order: Column):
     from pyspark.sql import Window
 
@@ -274,6 +290,13 @@ SQL = {
     "SELECT 'feature_count_screening_fits' AS item, CAST(t * 10 AS BIGINT) AS fits FROM n UNION ALL SELECT 'grid_search_combinations', c FROM n "
     "UNION ALL SELECT 'grid_search_fits', c * 10 FROM n UNION ALL SELECT 'final_oof_prediction_fits', 10 FROM n "
     "UNION ALL SELECT 'total_planned_model_fits', t * 10 + c * 10 + 10 FROM n",
+    "best_params": f"WITH {BASE_SQL} SELECT {_KEYS} FROM by_count",
+    "metric_text": f"WITH {BASE_SQL} SELECT {_KEYS}, signature, seq, "
+    + ", ".join(
+        f"CASE WHEN round({m} / 7 - 0.05, 4) = 0 THEN '0' ELSE regexp_replace(regexp_replace(printf('%.4f', round({m} / 7 - 0.05, 4)), '0+$', ''), '\\.$', '') END AS {m}"
+        for m in TEXT_METRICS
+    )
+    + " FROM progress",
     "display_order": f"WITH {BASE_SQL} SELECT coalesce(CAST(top_k AS VARCHAR), 'all') AS ig_top_k, CAST(count(*) AS BIGINT) AS writes, "
     "CAST(row_number() OVER (ORDER BY top_k ASC NULLS FIRST) AS INT) AS place FROM progress GROUP BY top_k",
 }
@@ -296,5 +319,7 @@ QUERIES = {
     "final_main": lambda s, d: final_ranking(*setups(s, d))[0],
     "final_supporting": lambda s, d: final_ranking(*setups(s, d))[1],
     "planned_fits": planned_fits,
+    "best_params": best_params,
+    "metric_text": metric_text,
     "display_order": display_order,
 }

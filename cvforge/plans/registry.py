@@ -7,6 +7,7 @@ Spark result and the SQL oracle can be compared value by value.
 
 from __future__ import annotations
 
+import uuid
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -647,6 +648,40 @@ for _name in ("lineitem", "documents", "orders", "events"):
     register(f"hist_bins_{_name}", O.hist_bins_sql(O.SQL_BINDINGS[_name](), 256))(lambda s, d, _name=_name: _hist_bins(s, d, _name))
 
 
+# ---- S-4, S-5: written tables bound to their run; one of them is written anew afterwards ------------
+
+
+def _sealed_tables(spark, sf_dir):
+    from cvforge.functions.fingerprints import dataset_fingerprint
+    from cvforge.operators.encode import feature_role_table
+    from cvforge.operators.search import configuration_signature
+    from cvforge.operators.split import fold_sizes
+    from cvforge.session import checkpoint_dir
+    from cvforge.sources.tables import seal_tables, verify_tables, write_table
+
+    p = prepared(spark, sf_dir, "lineitem")
+    out = f"{checkpoint_dir(spark)}/sealed-{uuid.uuid4().hex}"
+    tables = {
+        "encoded": p.encoded.df,
+        "fold_sizes": fold_sizes(p.folded),
+        "roles": feature_role_table(p.clean, p.binding.spec, [c for c, _ in O.SQL_BINDINGS["lineitem"]().source_roles]),
+    }
+    for name, df in tables.items():
+        write_table(df, f"{out}/{name}")
+    signature = configuration_signature({"cv_splits": p.k, "target": p.target})
+    seal_tables(spark, out, list(tables), signature, dataset_fingerprint(p.binding.raw))
+    write_table(tables["fold_sizes"].where("fold > 1"), f"{out}/fold_sizes")
+    return verify_tables(spark, out, signature)
+
+
+_b = O.SQL_BINDINGS["lineitem"]()
+register(
+    "sealed_tables_lineitem",
+    f"WITH {O.ctes(_b)} SELECT 'encoded' AS name, count(*) AS rows, true AS intact FROM enc UNION ALL SELECT 'fold_sizes', count(DISTINCT fold) - 1, false FROM folded "
+    f"UNION ALL SELECT 'roles', count(*), true FROM ({O.feature_roles_sql(_b)})",
+)(_sealed_tables)
+
+
 # ---- G: progress, ranking and reports over a progress table made of lineitem ------------
 
 from cvforge.plans import ranking as R  # noqa: E402

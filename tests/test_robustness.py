@@ -95,3 +95,12 @@ def test_default_grid_trains_every_path_once(spark):
         assert not paths & seen and len(batch) == 25
         seen |= paths
     assert len(seen) == len(combos) // 5
+
+
+def test_metrics_written_as_text_are_rounded(spark):
+    from cvforge.functions.columns import round_metric_columns
+
+    rows = [("0.123456", "0.5", "NaN", None, 0.98765, "x"), (" 2 ", "n/a", "1", None, None, "y")]
+    table = spark.createDataFrame(rows, "a_score string, b_score string, c_score string, d_score string, auc double, name string")
+    got = [tuple(r) for r in round_metric_columns(table).collect()]
+    assert got == [(0.1235, "0.5", "NaN", None, 0.9877, "x"), (2.0, "n/a", "1", None, None, "y")]

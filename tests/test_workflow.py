@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from cvforge.plans.datasets import Binding
 from cvforge.plans.export import OUTPUT_NAMES, export_results
+from cvforge.sources.tables import verify_tables
 from cvforge.plans.prepare import prepare
 from cvforge.plans.workflow import run_workflow
 from cvforge.spec import BoostParams, FeatureSpec, GridSpec
@@ -36,3 +37,7 @@ def test_workflow_end_to_end_and_export(spark, tmp_dir):
     meta = json.loads(text)
     assert meta["grid_search_combinations"] == 4 and meta["target_metadata"]["classes"] == ["No", "Yes"]
     assert spark.read.parquet(paths["best_cv_predictions"]).count() == 240
+    assert (meta["tree_method"], meta["best_default_ig_top_k"], meta["grid_feature_setups"]) == ("hist", 2, ["all", 2])
+    assert {r["feature"] for r in meta["feature_encoding_roles"]} >= {"x", "kind", "level"}
+    sealed = verify_tables(spark, f"{tmp_dir}/out", meta["checkpoint_signature"]).collect()
+    assert {r.name for r in sealed} == set(OUTPUT_NAMES) - {"run_metadata"} and all(r.intact for r in sealed)
